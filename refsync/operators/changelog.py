@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -11,14 +10,10 @@ from pyspark.sql import functions as F
 from refsync.functions.text import iso_time, qualified_name
 from refsync.operators.envelope import envelope_id
 from refsync.operators.joins import lookup_join
-from refsync.sources.registry import CHANGE_LOG, RESOURCES, SYNC, TARGET_SCHEMA
+from refsync.sources.registry import CHANGE_LOG, RESOURCES, SYNC, TARGET_SCHEMA, ResourceSpec
 
 _EPOCH = "1970-01-01 00:00:00"
 
-_REGISTRY = (
-    "map<string, struct<target: string, fields: array<struct<target: string, source: string>>>>"
-)
-
 
 def last_sync(sync_logs: DataFrame, successful_only: bool = False) -> DataFrame:
     """``(resource, last_change)``: when each resource was last synchronized.
@@ -67,48 +62,47 @@ def _or_epoch(mark: Column) -> Column:
 def mapped_changes(changes: DataFrame) -> DataFrame:
     """Each change with its target table, mapped row and, if it has none, the reason.
 
-    One pass over a log that mixes all tables: the columns a change must have
-    are looked up in a literal of the fixed registry, and the values keep their
-    JSON types.
+    One pass over a log that mixes all tables. A row is parsed with the columns
+    of its own table only, and values keep their JSON types.
     """
     name = qualified_name(F.col("schema_name"), F.col("table_name"))
-    parsed = (
-        changes.withColumn("_spec", F.element_at(_registry(), name))
-        .withColumn("_target", F.col("_spec.target"))
-        .withColumn("_fields", F.col("_spec.fields"))
-        .withColumn("_values", F.from_json("row_data", "map<string, variant>"))
-    )
-    wanted = F.transform("_fields", lambda f: f["source"])
-    lacking = F.array_except(wanted, F.map_keys("_values"))
+    outcome = F
+    for spec in RESOURCES:
+        outcome = outcome.when(name == spec.name, F.expr(_mapping(spec)))
     reason = (
-        F.when(F.col("_target").isNull(), "unmapped_table")
-        .when(F.col("_values").isNull(), "bad_json")
-        .when(F.size(lacking) > 0, "missing_key")
+        F.when(F.col("_outcome").isNull(), "unmapped_table")
+        .when(F.col("row_data").isNull() | F.col("_outcome.malformed").isNotNull(), "bad_json")
+        .when(F.size("_outcome.missing") > 0, "missing_key")
     )
-    mapped = F.map_from_entries(
-        F.transform(
-            "_fields",
-            lambda f: F.struct(f["target"], F.element_at(F.col("_values"), f["source"])),
-        )
-    )
-    return (
-        parsed.withColumn("reason", reason)
-        .withColumn("missing", F.when(F.col("reason") == "missing_key", lacking))
-        .withColumn("_mapped", F.when(F.col("reason").isNull(), F.to_json(mapped)))
-        .drop("_spec", "_fields", "_values")
+    return changes.withColumn("_outcome", outcome).select(
+        *changes.columns,
+        F.col("_outcome.target").alias("_target"),
+        reason.alias("reason"),
+        F.when(reason == "missing_key", F.col("_outcome.missing")).alias("missing"),
+        F.when(reason.isNull(), F.col("_outcome.row")).alias("_mapped"),
     )
 
 
-def _registry() -> Column:
-    """The registry as a literal map: 21 entries, fixed, folded when planned."""
-    entries = {
-        spec.name: {
-            "target": spec.target,
-            "fields": [{"target": target, "source": source} for target, source in spec.columns],
-        }
-        for spec in RESOURCES
-    }
-    return F.from_json(F.lit(json.dumps(entries)), _REGISTRY)
+def _mapping(spec: ResourceSpec) -> str:
+    """Parse ``row_data`` once and derive the mapped row and the keys it lacks.
+
+    A key that is absent parses to null, whereas a JSON null does not.
+    """
+    columns = ", ".join(f"{source} variant" for source in spec.sources)
+    parsed = (
+        f"from_json(row_data, '{columns}, _malformed string',"
+        " map('columnNameOfCorruptRecord', '_malformed'))"
+    )
+    lacking = ", ".join(f"if(p.{source} is null, '{source}', null)" for source in spec.sources)
+    renamed = ", ".join(f"'{target}', p.{source}" for target, source in spec.columns)
+    return f"""
+        transform(array({parsed}), p -> named_struct(
+            'target', '{spec.target}',
+            'malformed', p._malformed,
+            'missing', array_compact(array({lacking})),
+            'row', to_json(named_struct({renamed}), map('ignoreNullFields', 'false'))
+        ))[0]
+    """
 
 
 def change_envelopes(mapped: DataFrame, random_ids: bool = False) -> DataFrame:

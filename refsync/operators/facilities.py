@@ -17,7 +17,7 @@ from refsync.functions.changes import (
 from refsync.functions.programs import merge_programs, no_programs, program_list, support_entry
 from refsync.functions.text import present_or
 from refsync.operators.joins import fits_broadcast, lookup_join
-from refsync.operators.reference import MUNICIPALITY, PROVINCE, zones_at
+from refsync.operators.reference import MUNICIPALITY, PROVINCE, Small, zones_at
 from refsync.sources.schemas import PROGRAM_MAP
 
 CREATE_ACTION, UPDATE_ACTION, DISABLE_ACTION = "create", "update", "disable"
@@ -54,6 +54,7 @@ def enrich(
     types: DataFrame,
     programs: DataFrame,
     by_province: bool = False,
+    small: Small | None = None,
 ) -> DataFrame:
     """Valid records with the zones, type and programs their names refer to.
 
@@ -75,7 +76,10 @@ def enrich(
         F.col("name").alias("type_name"),
     )
     codes = programs.select("code", "id")
-    fits = fits_broadcast(municipalities, provinces, categories, codes)
+    if small:
+        fits = [small.zones, small.zones, small.types, small.programs]
+    else:
+        fits = fits_broadcast(municipalities, provinces, categories, codes)
 
     place = ["municipality", "province"] if by_province else ["municipality"]
     found = lookup_join(records, municipalities, place, small=fits[0])
@@ -89,7 +93,7 @@ def with_program_ids(
 ) -> DataFrame:
     """Add ``program_ids``: the services whose code is a known program, as a map.
 
-    A small program table becomes one literal map, and no record moves. Beyond
+    A small program table becomes one constant map, and no record moves. Beyond
     that, the distinct service lists are resolved by a join and joined back.
     """
     codes = programs.filter(F.col("code").isNotNull()).select("code", "id")
@@ -101,14 +105,15 @@ def with_program_ids(
     # One id per code, the largest if a code occurs twice.
     ids = codes.groupBy("code").agg(F.max("id").alias("id"))
     if small:
-        table = ids.agg(F.map_from_entries(F.collect_list(F.struct("code", "id"))).alias("_ids"))
-        known = F.filter(wanted, lambda code: F.map_contains_key("_ids", code))
+        table = ids.agg(F.map_from_entries(F.collect_list(F.struct("code", "id"))))
+        known = F.filter(
+            wanted, lambda code: code.isNotNull() & F.map_contains_key(F.col("_ids"), code)
+        )
         entries = F.transform(
-            F.filter(known, lambda code: code.isNotNull()),
-            lambda code: F.struct(code, support_entry(F.element_at("_ids", code))),
+            known, lambda code: F.struct(code, support_entry(F.element_at(F.col("_ids"), code)))
         )
         return (
-            records.crossJoin(F.broadcast(table))
+            records.withColumn("_ids", table.scalar())
             .withColumn("program_ids", F.map_from_entries(entries).cast(PROGRAM_MAP))
             .drop("_ids")
         )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,13 +17,40 @@ COUNTRY, PROVINCE, MUNICIPALITY = 1, 2, 3
 _UNKNOWN_PROGRAM = "undefined"
 
 
-def zone_hierarchy(zones: DataFrame, levels: DataFrame) -> DataFrame:
+@dataclass(frozen=True)
+class Small:
+    """Which reference tables were found to fit a broadcast.
+
+    What is filtered out of a small table, or projected from it, is small too.
+    """
+
+    zones: bool
+    levels: bool
+    types: bool
+    programs: bool
+
+
+def measure(zones: DataFrame, levels: DataFrame, types: DataFrame, programs: DataFrame) -> Small:
+    """Check all tables in one job, by the columns that lookups take from them."""
+    return Small(
+        *fits_broadcast(
+            zones.select("id", "name", "levelid", "parentid"),
+            levels.select("id", "levelnumber"),
+            types.select("id", "name"),
+            programs.select("id", "code"),
+        )
+    )
+
+
+def zone_hierarchy(
+    zones: DataFrame, levels: DataFrame, small: Small | None = None
+) -> DataFrame:
     """Zones with their level number and the name of their parent."""
     numbers = levels.select(F.col("id").alias("levelid"), "levelnumber")
     parents = zones.select(F.col("id").alias("parentid"), F.col("name").alias("parentname"))
-    small_numbers, small_parents = fits_broadcast(numbers, parents)
-    named = lookup_join(zones, numbers, "levelid", small=small_numbers)
-    named = lookup_join(named, parents, "parentid", small=small_parents)
+    fits = (small.levels, small.zones) if small else fits_broadcast(numbers, parents)
+    named = lookup_join(zones, numbers, "levelid", small=fits[0])
+    named = lookup_join(named, parents, "parentid", small=fits[1])
     return named.select(*zones.columns, "levelnumber", "parentname")
 
 
@@ -38,7 +67,9 @@ def root_zone_id(hierarchy: DataFrame) -> Column:
     return zones_at(hierarchy, COUNTRY).agg(F.min("id")).scalar()
 
 
-def facility_programs(supported: DataFrame, programs: DataFrame) -> DataFrame:
+def facility_programs(
+    supported: DataFrame, programs: DataFrame, small: Small | None = None
+) -> DataFrame:
     """``(facilityid, programs)``: the supported programs of each facility as a map.
 
     Rows of one facility and code are combined before they are collected, so a
@@ -49,7 +80,8 @@ def facility_programs(supported: DataFrame, programs: DataFrame) -> DataFrame:
     codes = programs.select(F.col("id").alias("programid"), "code")
     # The id is that of the program found, null if there is none.
     found = codes.withColumn("id", F.col("programid"))
-    entries = lookup_join(supported, found, "programid").select(
+    fits = small.programs if small else None
+    entries = lookup_join(supported, found, "programid", small=fits).select(
         "facilityid",
         F.coalesce("code", F.lit(_UNKNOWN_PROGRAM)).alias("code"),
         F.col("code").isNotNull().alias("known"),
@@ -74,7 +106,11 @@ def facility_programs(supported: DataFrame, programs: DataFrame) -> DataFrame:
 
 
 def existing_facilities(
-    facilities: DataFrame, supported: DataFrame, programs: DataFrame, zones: DataFrame
+    facilities: DataFrame,
+    supported: DataFrame,
+    programs: DataFrame,
+    zones: DataFrame,
+    small: Small | None = None,
 ) -> DataFrame:
     """Known facilities with their programs and the parent of their own zone.
 
@@ -85,11 +121,11 @@ def existing_facilities(
         F.col("id").alias("geographiczoneid"), F.col("parentid").alias("_parent")
     )
     known = zones.select(F.col("id").alias("_parent"), F.col("id").alias("zone"))
-    small_parents, small_known = fits_broadcast(parents, known)
-    placed = lookup_join(facilities, parents, "geographiczoneid", small=small_parents)
-    placed = lookup_join(placed, known, "_parent", small=small_known)
+    fits = small.zones if small else fits_broadcast(parents)[0]
+    placed = lookup_join(facilities, parents, "geographiczoneid", small=fits)
+    placed = lookup_join(placed, known, "_parent", small=fits)
 
-    maps = facility_programs(supported, programs).withColumnRenamed("facilityid", "id")
+    maps = facility_programs(supported, programs, small).withColumnRenamed("facilityid", "id")
     return placed.join(maps, "id", "left").select(
         "id",
         "name",

@@ -15,6 +15,7 @@ from refsync.operators.numbering import running_total
 from refsync.operators.reference import (
     MUNICIPALITY,
     PROVINCE,
+    Small,
     level_id,
     root_zone_id,
     zones_at,
@@ -23,29 +24,35 @@ from refsync.operators.reference import (
 _LEVEL_COLUMN = {PROVINCE: "province", MUNICIPALITY: "municipality"}
 
 
-def missing_names(records: DataFrame, hierarchy: DataFrame, level: int) -> DataFrame:
+def missing_names(
+    records: DataFrame, hierarchy: DataFrame, level: int, small: Small | None = None
+) -> DataFrame:
     """Distinct zone names (with their province) that no zone of the level has."""
     column = _LEVEL_COLUMN[level]
     named = records.select(*dict.fromkeys([column, "province"])).distinct()
     known = zones_at(hierarchy, level).select(F.col("name").alias(column))
-    return lookup_join(named, known, column, "left_anti")
+    return lookup_join(named, known, column, "left_anti", small=small and small.zones)
 
 
-def records_missing_zone(records: DataFrame, hierarchy: DataFrame, level: int) -> DataFrame:
+def records_missing_zone(
+    records: DataFrame, hierarchy: DataFrame, level: int, small: Small | None = None
+) -> DataFrame:
     """The records behind ``missing_names``, for a report."""
     column = _LEVEL_COLUMN[level]
     known = zones_at(hierarchy, level).select(F.col("name").alias(column))
     return (
-        lookup_join(records, known, column, "left_anti")
+        lookup_join(records, known, column, "left_anti", small=small and small.zones)
         .select("code", "name", column, "province")
         .distinct()
     )
 
 
-def missing_provinces(records: DataFrame, hierarchy: DataFrame, levels: DataFrame) -> DataFrame:
+def missing_provinces(
+    records: DataFrame, hierarchy: DataFrame, levels: DataFrame, small: Small | None = None
+) -> DataFrame:
     """Provinces to create below the country."""
     name = F.col("province")
-    return missing_names(records, hierarchy, PROVINCE).select(
+    return missing_names(records, hierarchy, PROVINCE, small).select(
         *_zone(
             zone_code(name, "province"),
             name,
@@ -60,6 +67,7 @@ def missing_municipalities(
     hierarchy: DataFrame,
     levels: DataFrame,
     new_provinces: DataFrame | None = None,
+    small: Small | None = None,
 ) -> DataFrame:
     """Municipalities to create below their province.
 
@@ -72,13 +80,15 @@ def missing_municipalities(
         .groupBy(F.col("name").alias("province"))
         .agg(F.min("id").alias("_parent"))
     )
-    placed = lookup_join(missing_names(records, hierarchy, MUNICIPALITY), provinces, "province")
+    placed = missing_names(records, hierarchy, MUNICIPALITY, small)
+    placed = lookup_join(placed, provinces, "province", small=small and small.zones)
     parent_code = F.lit(None).cast("string")
     if new_provinces is not None:
         created = new_provinces.select(
             F.col("name").alias("province"), F.col("code").alias("_parent_code")
         )
-        placed = lookup_join(placed, created, "province")
+        # Distinct names on both sides: no key is hot, and no size is known.
+        placed = placed.join(created, "province", "left")
         parent_code = F.col("_parent_code")
     unknown = F.col("_parent").isNull() & F.col("parent_code").isNull()
     return (
@@ -106,14 +116,16 @@ def _zone(code: Column, name: Column, level: Column, parent: Column) -> list[Col
     ]
 
 
-def missing_types(records: DataFrame, types: DataFrame) -> DataFrame:
+def missing_types(
+    records: DataFrame, types: DataFrame, small: Small | None = None
+) -> DataFrame:
     """Facility types to create, displayed after the existing ones.
 
     Records without a category name no type.
     """
     named = records.select("category").filter(F.col("category").isNotNull()).distinct()
     known = types.select(F.col("name").alias("category"))
-    missing = lookup_join(named, known, "category", "left_anti")
+    missing = lookup_join(named, known, "category", "left_anti", small=small and small.types)
     highest = types.agg(F.coalesce(F.max("displayorder"), F.lit(0))).scalar()
     numbered = running_total(missing, ["category"], column="position")
     return numbered.select(
@@ -124,11 +136,14 @@ def missing_types(records: DataFrame, types: DataFrame) -> DataFrame:
     )
 
 
-def missing_programs(records: DataFrame, programs: DataFrame) -> DataFrame:
+def missing_programs(
+    records: DataFrame, programs: DataFrame, small: Small | None = None
+) -> DataFrame:
     """Programs to create for services whose code is unknown."""
     services = records.select(F.explode("services").alias("service"))
     named = services.select("service.name", "service.code").distinct()
-    missing = lookup_join(named, programs.select("code"), "code", "left_anti")
+    known = programs.select("code")
+    missing = lookup_join(named, known, "code", "left_anti", small=small and small.programs)
     return missing.select(
         "code", "name", F.col("name").alias("description"), F.lit(True).alias("active")
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from refsync.operators.facilities import (
     match_existing,
     report_rows,
 )
-from refsync.operators.reference import existing_facilities, zone_hierarchy
+from refsync.operators.reference import Small, existing_facilities, measure, zone_hierarchy
 from refsync.operators.report import report_pages
 from refsync.operators.supplement import (
     missing_municipalities,
@@ -54,12 +55,17 @@ class ReferenceTables:
     levels: DataFrame
     types: DataFrame
 
+    @cached_property
+    def small(self) -> Small:
+        """Measured once for all joins of a run."""
+        return measure(self.zones, self.levels, self.types, self.programs)
+
     def hierarchy(self) -> DataFrame:
-        return zone_hierarchy(self.zones, self.levels)
+        return zone_hierarchy(self.zones, self.levels, self.small)
 
     def existing(self) -> DataFrame:
         return existing_facilities(
-            self.facilities, self.supported_programs, self.programs, self.zones
+            self.facilities, self.supported_programs, self.programs, self.zones, self.small
         )
 
 
@@ -71,21 +77,26 @@ def decisions(
 ) -> DataFrame:
     """Validated, enriched and matched records with what to do about them."""
     found = enrich(
-        valid_records(records), tables.hierarchy(), tables.types, tables.programs, by_province
+        valid_records(records),
+        tables.hierarchy(),
+        tables.types,
+        tables.programs,
+        by_province,
+        tables.small,
     )
     return decide(match_existing(found, tables.existing()), rules)
 
 
 def supplement_actions(records: DataFrame, tables: ReferenceTables) -> DataFrame:
     """Creations of the zones, types and programs that valid records name."""
-    valid, hierarchy = valid_records(records), tables.hierarchy()
-    provinces = missing_provinces(valid, hierarchy, tables.levels)
-    municipalities = missing_municipalities(valid, hierarchy, tables.levels, provinces)
+    valid, hierarchy, small = valid_records(records), tables.hierarchy(), tables.small
+    provinces = missing_provinces(valid, hierarchy, tables.levels, small)
+    municipalities = missing_municipalities(valid, hierarchy, tables.levels, provinces, small)
     created = {
         "create_province": provinces,
         "create_municipality": municipalities.filter(F.col("reason").isNull()).drop("reason"),
-        "create_type": missing_types(valid, tables.types),
-        "create_program": missing_programs(valid, tables.programs),
+        "create_type": missing_types(valid, tables.types, small),
+        "create_program": missing_programs(valid, tables.programs, small),
     }
     rows = [
         missing.select(
@@ -126,7 +137,10 @@ def run_metrics(records: DataFrame, decided: DataFrame) -> DataFrame:
         F.count_if(action == DISABLE_ACTION).alias("disable_candidates"),
         F.count_if((action == DISABLE_ACTION) & changed).alias("disable"),
     )
-    counts = seen.crossJoin(F.broadcast(done))
+    return _listed(seen).unionByName(_listed(done))
+
+
+def _listed(counts: DataFrame) -> DataFrame:
     return counts.unpivot([], counts.columns, "metric", "value")
 
 

@@ -16,25 +16,29 @@ from refsync.operators.envelope import with_json_rows
 
 
 def write_envelopes(
-    envelopes: DataFrame, root: str, run: str, format: str = "json", rows_per_file: int = 1_000_000
-) -> str:
+    envelopes: DataFrame,
+    root: str,
+    run: str,
+    table: str | None = None,
+    format: str = "json",
+    rows_per_file: int = 1_000_000,
+) -> None:
     """Envelopes under ``<root>/run=<run>/table_name=<target>``.
 
-    Rewriting one table of a run leaves the run's other tables alone. Nothing
-    is written for a table without rows.
+    Envelopes of one ``table`` go straight to its folder; a mixed batch is laid
+    out by target table. Either way nothing is shuffled, and only the folders of
+    the tables written are replaced.
     """
     path = f"{root}/run={run}"
     if dict(envelopes.dtypes)["row_data"] != "string":
         envelopes = with_json_rows(envelopes)
-    (
-        envelopes.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", rows_per_file)
-        .partitionBy("table_name")
-        .format(format)
-        .save(path)
-    )
-    return path
+    if table is not None:
+        path = f"{path}/table_name={table}"
+        writer = envelopes.drop("table_name").write
+    else:
+        writer = envelopes.write.partitionBy("table_name")
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.mode("overwrite").option("maxRecordsPerFile", rows_per_file).format(format).save(path)
 
 
 def write_actions(actions: DataFrame, path: str) -> None:

@@ -365,7 +365,7 @@ from customer
 
 # A role per priority, a right per order status, a user per customer.
 INPUTS["in_role_rights"] = """
-select distinct o_orderstatus as rightid, 'role-' || o_orderpriority as roleid
+select distinct md5(o_orderstatus) as rightid, 'role-' || o_orderpriority as roleid
 from orders where o_orderpriority <> '3-MEDIUM' or o_orderstatus <> 'F'
 """
 
@@ -405,9 +405,12 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._read: dict[str, DataFrame] = {}
 
     def base(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._read[name]
 
     def __getitem__(self, name: str) -> DataFrame:
         sql = with_inputs(f"select * from {name}")

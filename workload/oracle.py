@@ -191,8 +191,8 @@ from src_{_table}
 
 SQL["export_run"] = "\nunion all\n".join(
     f"""select '{target}' as table_name, count(*) as envelopes,
-       count(distinct {key}) as ids, cast(21 as bigint) as logged_resources from src_{table}"""
-    for table, (target, key, _) in _EXPORTS.items()
+       cast(21 as bigint) as logged_resources from src_{table}"""
+    for table, (target, _, _) in _EXPORTS.items()
 )
 
 # --- change log -----------------------------------------------------------------
@@ -395,7 +395,7 @@ select distinct c.email
 from in_role_rights rr
 join in_role_assignments ra on ra.roleid = rr.roleid
 join in_contacts c on c.referencedatauserid = ra.userid
-where rr.rightid = 'F' and c.email is not null
+where rr.rightid = md5('F') and c.email is not null
 """
 
 # --- facilities -----------------------------------------------------------------

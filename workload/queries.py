@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from datetime import datetime
 
@@ -113,11 +114,9 @@ def export_run(spark: SparkSession, t: Tables) -> DataFrame:
         " table_name string"
     ).json(f"{out}/batch/run=20240601T000000")
     log = spark.read.schema(SYNC_LOGS).parquet(f"{out}/log").filter("success")
-    counts = sent.groupBy("table_name").agg(
-        F.count(F.lit(1)).alias("envelopes"), F.countDistinct("id").alias("ids")
-    )
-    logged = log.agg(F.count_distinct("resource").alias("logged_resources"))
-    return counts.crossJoin(F.broadcast(logged))
+    counts = sent.groupBy("table_name").agg(F.count(F.lit(1)).alias("envelopes"))
+    logged = log.agg(F.count_distinct("resource"))
+    return counts.withColumn("logged_resources", logged.scalar())
 
 
 # --- change log -----------------------------------------------------------------
@@ -343,7 +342,8 @@ def contacts_by_right(spark: SparkSession, t: Tables) -> DataFrame:
 
 @query
 def report_recipients(spark: SparkSession, t: Tables) -> DataFrame:
-    return recipients(t["in_role_rights"], t["in_role_assignments"], t["in_contacts"], "F")
+    right = hashlib.md5(b"F").hexdigest()
+    return recipients(t["in_role_rights"], t["in_role_assignments"], t["in_contacts"], right)
 
 
 # --- facilities -----------------------------------------------------------------
@@ -352,7 +352,8 @@ def report_recipients(spark: SparkSession, t: Tables) -> DataFrame:
 def _enriched(t: Tables, **options: bool) -> DataFrame:
     tables = reference_tables(t)
     return enrich(
-        valid_records(records(t)), tables.hierarchy(), tables.types, tables.programs, **options
+        valid_records(records(t)), tables.hierarchy(), tables.types, tables.programs,
+        small=tables.small, **options,
     )
 
 
@@ -520,8 +521,9 @@ def report_parts_of_segments(spark: SparkSession, t: Tables) -> DataFrame:
 
 @query
 def create_provinces(spark: SparkSession, t: Tables) -> DataFrame:
+    tables = reference_tables(t)
     found = missing_provinces(
-        valid_records(t["in_records"]), reference_tables(t).hierarchy(), t["in_levels"]
+        valid_records(t["in_records"]), tables.hierarchy(), tables.levels, tables.small
     )
     return found.select(
         "code", "name", F.col("level.id").alias("level_id"), F.col("parent.id").alias("parent_id")
@@ -530,9 +532,10 @@ def create_provinces(spark: SparkSession, t: Tables) -> DataFrame:
 
 @query
 def create_municipalities(spark: SparkSession, t: Tables) -> DataFrame:
-    valid, hierarchy = valid_records(t["in_records"]), reference_tables(t).hierarchy()
-    provinces = missing_provinces(valid, hierarchy, t["in_levels"])
-    found = missing_municipalities(valid, hierarchy, t["in_levels"], provinces)
+    tables = reference_tables(t)
+    valid, hierarchy = valid_records(t["in_records"]), tables.hierarchy()
+    provinces = missing_provinces(valid, hierarchy, tables.levels, tables.small)
+    found = missing_municipalities(valid, hierarchy, tables.levels, provinces, tables.small)
     return found.select(
         "code", "name", F.col("level.id").alias("level_id"),
         F.col("parent.id").alias("parent_id"), "parent_code", "reason",
@@ -542,8 +545,9 @@ def create_municipalities(spark: SparkSession, t: Tables) -> DataFrame:
 @query
 def create_municipalities_only(spark: SparkSession, t: Tables) -> DataFrame:
     """Where provinces are not created, some municipalities have no parent."""
+    tables = reference_tables(t)
     found = missing_municipalities(
-        valid_records(t["in_records"]), reference_tables(t).hierarchy(), t["in_levels"]
+        valid_records(t["in_records"]), tables.hierarchy(), tables.levels, small=tables.small
     )
     return found.select("code", "name", F.col("parent.id").alias("parent_id"), "reason")
 
@@ -567,8 +571,9 @@ def create_programs(spark: SparkSession, t: Tables) -> DataFrame:
 
 @query
 def records_missing_municipality(spark: SparkSession, t: Tables) -> DataFrame:
+    tables = reference_tables(t)
     return records_missing_zone(
-        valid_records(t["in_records"]), reference_tables(t).hierarchy(), 3
+        valid_records(t["in_records"]), tables.hierarchy(), 3, tables.small
     )
 
 
