@@ -43,22 +43,25 @@ def changes_since(
     marks per table are joined to what is left.
     """
     marks = last_sync(sync_logs, successful_only)
-    log_mark = marks.filter(F.col("resource") == CHANGE_LOG).agg(F.max("last_change"))
-    recent = changes.filter(F.col("change_time") > _or_epoch(log_mark.scalar()))
+    logged, time = (
+        df.schema[name].dataType for df, name in ((marks, "last_change"), (changes, "change_time"))
+    )
+
+    def or_epoch(mark: Column) -> Column:
+        return F.coalesce(mark, F.lit(_EPOCH).cast(logged)).cast(time)
+
+    log_mark = marks.filter(F.col("resource") == CHANGE_LOG).agg(or_epoch(F.max("last_change")))
+    recent = changes.filter(F.col("change_time") > log_mark.scalar())
     named = recent.withColumn(
         "resource", qualified_name(F.col("schema_name"), F.col("table_name"))
     )
     return (
         lookup_join(named, marks, "resource")
-        .filter(F.col("change_time") > _or_epoch(F.col("last_change")))
+        .filter(F.col("change_time") > or_epoch(F.col("last_change")))
         .select(*changes.columns)
     )
 
 
-def _or_epoch(mark: Column) -> Column:
-    return F.coalesce(mark, F.lit(_EPOCH).cast("timestamp_ntz"))
-
-
 def mapped_changes(changes: DataFrame) -> DataFrame:
     """Each change with its target table, mapped row and, if it has none, the reason.
 

@@ -154,10 +154,12 @@ def run_import(
     supplement: bool = False,
     report: bool = True,
     stage: bool = False,
+    part: str | None = None,
 ) -> None:
     """Write ``decisions``, ``actions``, ``rejects``, ``report`` and ``metrics`` below ``out``.
 
-    ``stage`` keeps a columnar copy of the records first, which pays where they
+    ``part``, such as ``batch=3``, names the partition of each table that this
+    run writes; without it the run replaces the tables. ``stage`` keeps a columnar copy of the records first, which pays where they
     come as JSON, since several results read them.
 
     Decisions are written first and everything else is read back from them, so
@@ -165,23 +167,27 @@ def run_import(
     depend on executors keeping anything.
     """
     spark = records.sparkSession
+
+    def to(name: str) -> str:
+        return f"{out}/{name}/{part}" if part else f"{out}/{name}"
+
     if stage:
-        write_rows(records, f"{out}/records")
-        records = spark.read.schema(records.schema).parquet(f"{out}/records")
+        write_rows(records, to("records"))
+        records = spark.read.schema(records.schema).parquet(to("records"))
     decided = decisions(records, tables, rules, by_province).select(*_DECIDED)
-    write_rows(decided, f"{out}/decisions")
-    decided = spark.read.schema(decided.schema).parquet(f"{out}/decisions")
+    write_rows(decided, to("decisions"))
+    decided = spark.read.schema(decided.schema).parquet(to("decisions"))
 
     wanted = _as_text(actions(decided))
     if disable_missing:
         wanted = wanted.unionByName(_as_text(absent_facilities(tables.existing(), records, rules)))
     if supplement:
         wanted = wanted.unionByName(supplement_actions(records, tables))
-    write_actions(wanted, f"{out}/actions")
-    write_rows(rejects(records), f"{out}/rejects")
+    write_actions(wanted, to("actions"))
+    write_rows(rejects(records), to("rejects"))
     if report:
-        write_rows(report_pages(report_rows(decided)), f"{out}/report")
-    write_rows(run_metrics(records, decided), f"{out}/metrics")
+        write_rows(report_pages(report_rows(decided)), to("report"))
+    write_rows(run_metrics(records, decided), to("metrics"))
 
 
 def _as_text(rows: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ def read_change_stream(
     path: str,
     format: str = "parquet",
     schema: str = DATA_CHANGES,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """The log as a stream of its files; ``max_bytes`` bounds one batch."""
     reader = spark.readStream.format(format).schema(schema)

@@ -19,13 +19,14 @@ def run_import_stream(
     rules: FacilityRules = FacilityRules(),
     **options: bool,
 ) -> StreamingQuery:
-    """Import each batch of delivered records into ``<out>/batch=<n>``.
+    """Import each batch of delivered records into the partition ``batch=<n>`` of each table.
 
     Reference tables are read anew for every batch, as an import changes them.
     """
 
     def import_batch(batch: DataFrame, batch_id: int) -> None:
-        run_import(batch, tables(), f"{out}/batch={batch_id}", rules, stage=True, **options)
+        part = f"batch={batch_id}"
+        run_import(batch, tables(), out, rules, stage=True, part=part, **options)
 
     return (
         records.writeStream.foreachBatch(import_batch)

@@ -1,0 +1,170 @@
+from datetime import date
+
+from helpers import rows
+
+from refsync.operators.facilities import enrich
+from refsync.operators.reference import (
+    contact_details,
+    existing_facilities,
+    level_id,
+    root_zone_id,
+    zone_hierarchy,
+    zones_at,
+)
+from refsync.operators.report import recipients
+
+
+def zones(spark):
+    return spark.createDataFrame(
+        [
+            ("z0", "Country", "l1", None),
+            ("p1", "North", "l2", "z0"),
+            ("p2", "South", "l2", "z0"),
+            ("m1", "Bela", "l3", "p1"),
+            ("m2", "Bela", "l3", "p2"),
+            ("w1", "Ward", "l4", "m1"),
+            ("x", "Lost", "l9", "gone"),
+        ],
+        "id string, name string, levelid string, parentid string",
+    )
+
+
+def levels(spark):
+    return spark.createDataFrame(
+        [("l1", 1), ("l2", 2), ("l3", 3), ("l4", 4), ("l3b", 3)], "id string, levelnumber int"
+    )
+
+
+def programs(spark):
+    return spark.createDataFrame([("g1", "AA"), ("g2", "B")], "id string, code string")
+
+
+def test_hierarchy(spark):
+    found = zone_hierarchy(zones(spark), levels(spark))
+    assert rows(found, "id", "levelnumber", "parentname") == [
+        ("m1", 3, "North"),
+        ("m2", 3, "South"),
+        ("p1", 2, "Country"),
+        ("p2", 2, "Country"),
+        ("w1", 4, "Bela"),
+        ("x", None, None),
+        ("z0", 1, None),
+    ]
+    one = spark.range(1).select(level_id(levels(spark), 3), root_zone_id(found)).first()
+    assert tuple(one) == ("l3", "z0")
+
+
+def test_existing_facilities(spark):
+    facilities = spark.createDataFrame(
+        [
+            ("f1", "One", "c1", True, True, "t1", "w1"),
+            ("f2", "Two", "c2", None, False, "t1", "z0"),
+            ("f3", "Three", "c3", True, True, None, "unknown"),
+        ],
+        "id string, name string, code string, active boolean, enabled boolean, typeid string,"
+        " geographiczoneid string",
+    )
+    supported = spark.createDataFrame(
+        [
+            ("f1", "g1", True, False, date(2024, 1, 2)),
+            ("f1", "g2", None, True, None),
+            ("f1", "g2", None, True, None),
+            ("f1", "lost", True, True, None),
+            ("f2", "lost", True, True, None),
+        ],
+        "facilityid string, programid string, active boolean, locallyfulfilled boolean,"
+        " startdate date",
+    )
+    found = existing_facilities(facilities, supported, programs(spark), zones(spark))
+    by_id = {row.id: row for row in found.collect()}
+    # The zone is the parent of the facility's own.
+    assert by_id["f1"].geographiczoneid == "m1"
+    assert by_id["f2"].geographiczoneid is None
+    assert by_id["f3"].geographiczoneid is None
+    programs_map = {code: tuple(v) for code, v in by_id["f1"].supported_programs.items()}
+    assert programs_map == {
+        "B": ("g2", None, True, None),
+        "AA": ("g1", True, False, "2024-01-02"),
+        "undefined": (None, True, True, None),
+    }
+    # Shorter keys come first, as the database orders them.
+    keys = found.filter("id = 'f1'").selectExpr("map_keys(supported_programs)").first()[0]
+    assert keys == ["B", "AA", "undefined"]
+    # Without any known program the map is empty.
+    assert by_id["f2"].supported_programs == {}
+    assert by_id["f3"].supported_programs == {}
+
+
+def records(spark):
+    return spark.createDataFrame(
+        [
+            ("r1", "c1", "Bela", "North", "Clinic", [("A", "AA"), ("A", "AA"), ("N", "new")]),
+            ("r2", "c2", "Nowhere", "South", None, None),
+            ("r3", "c3", "bela", "North", "clinic", []),
+        ],
+        "id string, code string, municipality string, province string, category string,"
+        " services array<struct<name: string, code: string>>",
+    )
+
+
+def enriched(spark, **options):
+    types = spark.createDataFrame([("t1", "Clinic")], "id string, name string")
+    hierarchy = zone_hierarchy(zones(spark), levels(spark))
+    return enrich(records(spark), hierarchy, types, programs(spark), **options)
+
+
+def test_ambiguous_municipality_repeats_the_record(spark):
+    found = enriched(spark)
+    picked = rows(found, "id", "municipality_id", "province_id", "type_id")
+    # Level 3 exists twice with one id used, so each name matches per zone.
+    assert picked == [
+        ("r1", "m1", "p1", "t1"),
+        ("r1", "m2", "p1", "t1"),
+        ("r2", None, "p2", None),
+        ("r3", None, "p1", None),
+    ]
+
+
+def test_municipality_within_its_province(spark):
+    found = enriched(spark, by_province=True)
+    assert rows(found, "id", "municipality_id") == [("r1", "m1"), ("r2", None), ("r3", None)]
+
+
+def test_services_become_known_program_ids(spark):
+    found = enriched(spark, by_province=True).collect()
+    ids = {row.id: {code: v.id for code, v in row.program_ids.items()} for row in found}
+    assert ids == {"r1": {"AA": "g1"}, "r2": {}, "r3": {}}
+    known = next(row for row in found if row.id == "r1").program_ids["AA"]
+    assert tuple(known) == ("g1", True, False, None)
+
+
+RIGHT = "12345678-1234-5678-1234-567812345678"
+
+
+def test_contacts_and_recipients(spark):
+    rights = spark.createDataFrame(
+        [(RIGHT, "a"), (RIGHT, "b"), ("other", "c")], "rightid string, roleid string"
+    )
+    assigned = spark.createDataFrame(
+        [("a", "u1"), ("b", "u1"), ("a", "u2"), ("c", "u3"), ("a", "u4")],
+        "roleid string, userid string",
+    )
+    contacts = spark.createDataFrame(
+        [("u1", "x@e"), ("u2", None), ("u3", "z@e"), ("u4", "x@e")],
+        "referencedatauserid string, email string",
+    )
+    assert rows(recipients(rights, assigned, contacts, RIGHT)) == [("x@e",)]
+    assert contact_details(rights, assigned, contacts).count() == 5
+
+
+def test_recipients_need_a_uuid(spark):
+    import pytest
+
+    empty = spark.createDataFrame([], "rightid string, roleid string")
+    with pytest.raises(ValueError):
+        recipients(empty, empty, empty, "not-a-uuid")
+
+
+def test_levels_filter(spark):
+    found = zones_at(zone_hierarchy(zones(spark), levels(spark)), 2)
+    assert rows(found, "id") == [("p1",), ("p2",)]

@@ -1,0 +1,90 @@
+from helpers import rows
+from pyspark.sql import functions as F
+
+from refsync.functions.text import fold, is_coordinate, is_uuid, present_or, zone_code
+from refsync.operators.validate import rejects, valid_records
+
+
+def test_coordinate_format(spark):
+    texts = ["7.81807", "-3.2", "1380299", "1.", ".5", "+1", " 1", "7.8\n", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n int, t string")
+    flags = [row.ok for row in df.orderBy("n").select(is_coordinate(F.col("t")).alias("ok")).collect()]
+    assert flags == [True, True, True, False, False, False, False, True, False]
+
+
+RECORD = {
+    "code": "c", "name": "n", "municipality": "m", "province": "p",
+    "latitude": "1.5", "longitude": "2",
+}
+SCHEMA = ", ".join(f"{name} string" for name in RECORD)
+
+
+def frame(spark, *changes):
+    return spark.createDataFrame(
+        [tuple({**RECORD, **change}.values()) for change in changes], SCHEMA
+    )
+
+
+def test_mandatory_fields(spark):
+    changes = [{"code": "ok"}]
+    for field in ("name", "code", "municipality", "province"):
+        changes += [{field: None}, {field: ""}]
+    df = frame(spark, *changes)
+    assert rows(valid_records(df), "code") == [("ok",)]
+    found = rejects(df).filter("reason = 'missing_mandatory'")
+    assert found.count() == 8
+    assert rows(found.filter("code = ''"), "columns") == [(["code"],)]
+
+
+def test_bad_coordinates_are_reported_and_kept(spark):
+    df = frame(spark, {"latitude": "abc"}, {"code": "d", "longitude": None, "latitude": "1."})
+    assert rows(valid_records(df), "code", "latitude_num", "longitude_num") == [
+        ("c", None, 2.0),
+        ("d", None, None),
+    ]
+    assert rows(rejects(df)) == [
+        ("c", "bad_coordinate", ["latitude"]),
+        ("d", "bad_coordinate", ["latitude", "longitude"]),
+    ]
+
+
+def test_missing_field_hides_bad_coordinate(spark):
+    df = frame(spark, {"name": None, "latitude": "abc"})
+    assert rows(rejects(df)) == [("c", "missing_mandatory", ["name"])]
+
+
+def test_fold(spark):
+    cases = {
+        "São Tomé e Príncipe": "sao tome e principe",
+        "ÇÃÊÑ": "caen",
+        "Straße": "strasse",
+        "Ærø": "aero",
+        "plain ASCII 1": "plain ascii 1",
+        "é": "e",
+        "“x” – y…": '"x" - y...',
+        None: None,
+    }
+    df = spark.createDataFrame([(k, v) for k, v in cases.items()], "t string, want string")
+    for row in df.withColumn("got", fold(F.col("t"))).collect():
+        assert row.got == row.want
+    code = df.filter("t = 'ÇÃÊÑ'").select(zone_code(F.col("t"), "municipality")).first()[0]
+    assert code == "gz-caen-m"
+
+
+def test_uuid_forms(spark):
+    digits = "12345678123456781234567812345678"
+    hyphens = "12345678-1234-5678-1234-567812345678"
+    cases = {
+        digits: True, hyphens: True, "{" + hyphens + "}": True, "urn:uuid:" + hyphens: True,
+        digits.upper(): True, digits[1:]: False, digits + "0": False, "g" + digits[1:]: False,
+        "": False,
+    }
+    df = spark.createDataFrame(list(cases.items()), "t string, want boolean")
+    for row in df.withColumn("got", is_uuid(F.col("t"))).collect():
+        assert row.got == row.want, row.t
+
+
+def test_present_or(spark):
+    df = spark.createDataFrame([("a",), ("",), (None,)], "t string")
+    got = [row[0] for row in df.select(present_or(F.col("t"), F.lit("x"))).collect()]
+    assert got == ["a", "x", "x"]

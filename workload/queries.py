@@ -483,7 +483,7 @@ def import_stream(spark: SparkSession, t: Tables) -> DataFrame:
         RULES,
         report=False,
     ).awaitTermination()
-    return spark.read.parquet(f"{out}/imports/batch=*/actions").select(
+    return spark.read.parquet(f"{out}/imports/actions").select(
         F.col("action").cast("string").alias("action"), "code", "target_id", "payload"
     )
 
