@@ -16,8 +16,8 @@ from refsync.functions.changes import (
 )
 from refsync.functions.programs import merge_programs, no_programs, program_list, support_entry
 from refsync.functions.text import present_or
-from refsync.operators.joins import fits_broadcast, lookup_join
-from refsync.operators.reference import MUNICIPALITY, PROVINCE, Small, zones_at
+from refsync.operators.joins import fits_broadcast, lookup_join, measured
+from refsync.operators.reference import MAP_ROWS, MUNICIPALITY, PROVINCE, Small, zones_at
 from refsync.sources.schemas import PROGRAM_MAP
 
 CREATE_ACTION, UPDATE_ACTION, DISABLE_ACTION = "create", "update", "disable"
@@ -75,36 +75,35 @@ def enrich(
         F.col("id").alias("type_id"),
         F.col("name").alias("type_name"),
     )
-    codes = programs.select("code", "id")
     if small:
-        fits = [small.zones, small.zones, small.types, small.programs]
+        fits = [small.zones, small.zones, small.types]
     else:
-        fits = fits_broadcast(municipalities, provinces, categories, codes)
+        fits = fits_broadcast(municipalities, provinces, categories)
 
     place = ["municipality", "province"] if by_province else ["municipality"]
     found = lookup_join(records, municipalities, place, small=fits[0])
     found = lookup_join(found, provinces, "province", small=fits[1])
     found = lookup_join(found, categories, "category", small=fits[2])
-    return with_program_ids(found, codes, small=fits[3])
+    return with_program_ids(found, programs, few=small.program_map if small else None)
 
 
 def with_program_ids(
-    records: DataFrame, programs: DataFrame, small: bool | None = None
+    records: DataFrame, programs: DataFrame, few: bool | None = None
 ) -> DataFrame:
     """Add ``program_ids``: the services whose code is a known program, as a map.
 
-    A small program table becomes one constant map, and no record moves. Beyond
-    that, the distinct service lists are resolved by a join and joined back.
+    A few programs become one constant map, and no record moves. Beyond that,
+    the distinct service lists are resolved by a join and joined back.
     """
     codes = programs.filter(F.col("code").isNotNull()).select("code", "id")
-    if small is None:
-        (small,) = fits_broadcast(codes)
+    if few is None:
+        few = measured(codes)[0].rows <= MAP_ROWS
     wanted = F.array_sort(
         F.array_distinct(F.coalesce(F.transform("services", lambda s: s["code"]), F.array()))
     ).cast("array<string>")
     # One id per code, the largest if a code occurs twice.
     ids = codes.groupBy("code").agg(F.max("id").alias("id"))
-    if small:
+    if few:
         table = ids.agg(F.map_from_entries(F.collect_list(F.struct("code", "id"))))
         known = F.filter(
             wanted, lambda code: code.isNotNull() & F.map_contains_key(F.col("_ids"), code)

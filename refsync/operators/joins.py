@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,28 +25,34 @@ def _width(name: str, data_type: DataType) -> Column:
     return F.lit(_FIXED_WIDTH)
 
 
-def fits_broadcast(
-    *frames: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES
-) -> list[bool]:
-    """Count rows and bytes of each frame, in one job, against the bounds.
+class Size(NamedTuple):
+    rows: int
+    bytes: int
+
+    def broadcastable(self) -> bool:
+        return self.rows <= BROADCAST_ROWS and self.bytes <= BROADCAST_BYTES
+
+
+def measured(*frames: DataFrame) -> list[Size]:
+    """Rows and bytes of each frame, in one job.
 
     Counting is a partial aggregate per partition; no rows move.
     """
-    measured = []
+    counts = None
     for index, frame in enumerate(frames):
         width = sum((_width(f.name, f.dataType) for f in frame.schema.fields), F.lit(0))
-        measured.append(
-            frame.agg(
-                F.lit(index).alias("frame"),
-                F.count(F.lit(1)).alias("rows"),
-                F.coalesce(F.sum(width.cast("long")), F.lit(0)).alias("size"),
-            )
+        count = frame.agg(
+            F.lit(index).alias("frame"),
+            F.count(F.lit(1)).alias("rows"),
+            F.coalesce(F.sum(width.cast("long")), F.lit(0)).alias("bytes"),
         )
-    counts = measured[0]
-    for other in measured[1:]:
-        counts = counts.unionAll(other)
-    found = {row["frame"]: row for row in counts.collect()}
-    return [found[i]["rows"] <= rows and found[i]["size"] <= size for i in range(len(frames))]
+        counts = count if counts is None else counts.unionAll(count)
+    found = {row["frame"]: Size(row["rows"], row["bytes"]) for row in counts.collect()}
+    return [found[index] for index in range(len(frames))]
+
+
+def fits_broadcast(*frames: DataFrame) -> list[bool]:
+    return [size.broadcastable() for size in measured(*frames)]
 
 
 def lookup_join(

@@ -8,12 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refsync.functions.programs import no_programs, ordered_map
-from refsync.operators.joins import fits_broadcast, lookup_join
+from refsync.operators.joins import fits_broadcast, lookup_join, measured
 from refsync.sources.schemas import PROGRAM_MAP, PROGRAM_SUPPORT
 
 # Level numbers of the zone hierarchy.
 COUNTRY, PROVINCE, MUNICIPALITY = 1, 2, 3
 
+# Beyond this many programs, service codes are joined instead of searched.
+MAP_ROWS = 1000
+
 _UNKNOWN_PROGRAM = "undefined"
 
 
@@ -22,24 +25,27 @@ class Small:
     """Which reference tables were found to fit a broadcast.
 
     What is filtered out of a small table, or projected from it, is small too.
+    ``program_map`` says that the programs are few enough to be searched one by
+    one, as a lookup in a map value does.
     """
 
     zones: bool
     levels: bool
     types: bool
     programs: bool
+    program_map: bool
 
 
 def measure(zones: DataFrame, levels: DataFrame, types: DataFrame, programs: DataFrame) -> Small:
     """Check all tables in one job, by the columns that lookups take from them."""
-    return Small(
-        *fits_broadcast(
-            zones.select("id", "name", "levelid", "parentid"),
-            levels.select("id", "levelnumber"),
-            types.select("id", "name"),
-            programs.select("id", "code"),
-        )
+    sizes = measured(
+        zones.select("id", "name", "levelid", "parentid"),
+        levels.select("id", "levelnumber"),
+        types.select("id", "name"),
+        programs.select("id", "code"),
     )
+    fits = [size.broadcastable() for size in sizes]
+    return Small(*fits, program_map=sizes[3].rows <= MAP_ROWS)
 
 
 def zone_hierarchy(

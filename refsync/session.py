@@ -19,10 +19,23 @@ RUNTIME_SETTINGS = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Set the runtime options the operators count on; all are per session."""
+# What one shuffle partition should hold, so that it sorts and joins in memory.
+PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def configure(spark: SparkSession, shuffled_bytes: int | None = None) -> SparkSession:
+    """Set the runtime options the operators count on; all are per session.
+
+    ``shuffled_bytes``, the size of the largest input that is shuffled, raises
+    the number of shuffle partitions to fit it; the re-plan puts small ones
+    together again.
+    """
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    if shuffled_bytes is not None:
+        current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        wanted = -(-shuffled_bytes // PARTITION_BYTES)
+        spark.conf.set("spark.sql.shuffle.partitions", max(current, wanted))
     return spark
 
 

@@ -25,9 +25,10 @@ def write_envelopes(
 ) -> None:
     """Envelopes under ``<root>/run=<run>/table_name=<target>``.
 
-    Envelopes of one ``table`` go straight to its folder; a mixed batch is laid
-    out by target table. Either way nothing is shuffled, and only the folders of
-    the tables written are replaced.
+    Envelopes of one ``table`` go straight to its folder and are not shuffled. A
+    mixed batch is first balanced by target table, or every task would leave a
+    file per table; large tables are split and small ones put together. Only the
+    folders of the tables written are replaced.
     """
     path = f"{root}/run={run}"
     if dict(envelopes.dtypes)["row_data"] != "string":
@@ -36,11 +37,16 @@ def write_envelopes(
         path = f"{path}/table_name={table}"
         writer = envelopes.drop("table_name").write
     else:
-        writer = envelopes.write.partitionBy("table_name")
+        writer = balanced(envelopes, "table_name").write.partitionBy("table_name")
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.mode("overwrite").option("maxRecordsPerFile", rows_per_file).format(format).save(path)
 
 
+def balanced(df: DataFrame, column: str) -> DataFrame:
+    """Rows gathered by a column into partitions of even size, hot values split."""
+    return df.hint("rebalance", column)
+
+
 def write_actions(actions: DataFrame, path: str) -> None:
     """``(action, target_id, code, payload)`` with the payload as JSON text."""
     text = F.to_json("payload", {"ignoreNullFields": "false"})

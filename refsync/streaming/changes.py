@@ -14,7 +14,7 @@ from refsync.operators.changelog import (
     mapped_changes,
     sync_log_row,
 )
-from refsync.sinks import append_sync_log
+from refsync.sinks import append_sync_log, balanced, write_rows
 from refsync.sources.registry import CHANGE_LOG
 from refsync.sources.schemas import DATA_CHANGES
 
@@ -52,12 +52,11 @@ def run_change_stream(
     def export(batch: DataFrame, batch_id: int) -> None:
         mapped = mapped_changes(batch).persist()
         try:
-            change_envelopes(mapped).write.mode("overwrite").partitionBy("table_name").parquet(
+            envelopes = balanced(change_envelopes(mapped), "table_name")
+            envelopes.write.mode("overwrite").partitionBy("table_name").parquet(
                 f"{out}/envelopes/batch={batch_id}"
             )
-            change_rejects(mapped).write.mode("overwrite").parquet(
-                f"{out}/rejects/batch={batch_id}"
-            )
+            write_rows(change_rejects(mapped), f"{out}/rejects/batch={batch_id}")
         finally:
             mapped.unpersist()
         if log is not None:

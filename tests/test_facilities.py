@@ -197,8 +197,8 @@ def test_programs_from_json(spark):
     ]
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_program_ids_both_ways(spark, small):
+@pytest.mark.parametrize("few", [True, False])
+def test_program_ids_both_ways(spark, few):
     records = spark.createDataFrame(
         [
             (1, None), (2, []), (3, [("A", "a")]), (4, [("X", "x")]),
@@ -209,7 +209,7 @@ def test_program_ids_both_ways(spark, small):
     programs = spark.createDataFrame(
         [("1", "a"), ("2", "b"), ("3", None), ("0", "a")], "id string, code string"
     )
-    found = with_program_ids(records, programs, small=small)
+    found = with_program_ids(records, programs, few=few)
     ids = {row.n: {c: v.id for c, v in row.program_ids.items()} for row in found.collect()}
     assert ids == {1: {}, 2: {}, 3: {"a": "1"}, 4: {}, 5: {"a": "1", "b": "2"}}
 
@@ -229,3 +229,54 @@ def test_report_rows(spark):
     disabled = decided(spark, {"is_deleted": True})
     assert report_rows(disabled).count() == 0
     assert report_rows(disabled, with_disabled=True).first().operation == "DELETE"
+
+
+def test_decisions_without_any_broadcast(spark):
+    """Reference tables beyond the broadcast bounds give the same decisions."""
+    from refsync.operators.reference import Small
+    from refsync.plans.facility_import import ReferenceTables, decisions
+    from test_reference import levels, programs, zones
+
+    facilities = spark.createDataFrame(
+        [(f"f{n}", f"N{n}", f"c{n}", True, n % 3 > 0, "t1", ["w1", "z0"][n % 2]) for n in range(9)],
+        "id string, name string, code string, active boolean, enabled boolean, typeid string,"
+        " geographiczoneid string",
+    )
+    supported = spark.createDataFrame(
+        [(f"f{n}", ["g1", "g2", "lost"][n % 3], True, False, None) for n in range(9)],
+        "facilityid string, programid string, active boolean, locallyfulfilled boolean,"
+        " startdate date",
+    )
+    types = spark.createDataFrame([("t1", "Clinic")], "id string, name string")
+    incoming = spark.createDataFrame(
+        [
+            (f"c{n}", f"N{n % 7}", ["Bela", "Rio"][n % 2], ["North", "South", "East"][n % 3],
+             ["Clinic", None][n % 2], n % 5 == 0, n % 4 > 0, "1", "2",
+             [("A", "AA"), ("B", "B"), ("N", "new")][: n % 4])
+            for n in range(12)
+        ],
+        "code string, name string, municipality string, province string, category string,"
+        " is_deleted boolean, is_operational boolean, latitude string, longitude string,"
+        " services array<struct<name: string, code: string>>",
+    )
+
+    def run(**fixed):
+        tables = ReferenceTables(
+            facilities, supported, programs(spark), zones(spark), levels(spark), types
+        )
+        tables.__dict__.update(fixed)
+        return decisions(incoming, tables, RULES).select(
+            "code", "action", "any_change", "existing_id", "merged_programs",
+            F.to_json("payload").alias("payload"), "changed",
+        )
+
+    usual = rows(run())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = run(small=Small(False, False, False, False, False))
+        plan = shuffled._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+        assert rows(shuffled) == usual
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert {row[1] for row in usual} == {"create", "update", "disable", None}

@@ -3,7 +3,7 @@ from helpers import rows
 from pyspark.sql import functions as F
 
 from refsync.operators import joins
-from refsync.operators.joins import fits_broadcast, lookup_join
+from refsync.operators.joins import fits_broadcast, lookup_join, measured
 from refsync.operators.numbering import running_total
 
 
@@ -11,17 +11,21 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_bounds(spark):
+def test_bounds(spark, monkeypatch):
     df = spark.range(10).withColumn("t", F.repeat(F.lit("x"), 100))
-    assert fits_broadcast(df) == [True]
-    assert fits_broadcast(df, rows=9) == [False]
-    assert fits_broadcast(df, size=500) == [False]
-    assert fits_broadcast(df, spark.range(0), rows=9) == [False, True]
+    (size,) = measured(df)
+    assert size.rows == 10 and size.bytes >= 1080
+    assert fits_broadcast(df, spark.range(0)) == [True, True]
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 9)
+    assert fits_broadcast(df, spark.range(0)) == [False, True]
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 10)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 1000)
+    assert fits_broadcast(df) == [False]
 
 
 def test_nested_columns_are_measured(spark):
     df = spark.range(1).select(F.struct(F.repeat(F.lit("x"), 1000).alias("t")).alias("s"))
-    assert fits_broadcast(df, size=900) == [False]
+    assert measured(df)[0].bytes > 1000
 
 
 def test_large_side_is_not_broadcast(spark, monkeypatch):

@@ -372,8 +372,8 @@ def enrich_records_by_province(spark: SparkSession, t: Tables) -> DataFrame:
 
 @query
 def program_ids_by_join(spark: SparkSession, t: Tables) -> DataFrame:
-    """The way taken when the program table is too large for a literal map."""
-    found = with_program_ids(records(t), t["in_programs"], small=False)
+    """The way taken when there are too many programs for a constant map."""
+    found = with_program_ids(records(t), t["in_programs"], few=False)
     return found.select("id", as_json("program_ids").alias("program_ids"))
 
 
