@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from refsync.functions.text import iso_time, qualified_name
 from refsync.operators.envelope import envelope_id
 from refsync.operators.joins import lookup_join
+from refsync.sources.schemas import ENVELOPE_COLUMNS
 from refsync.sources.registry import CHANGE_LOG, RESOURCES, SYNC, TARGET_SCHEMA, ResourceSpec
 
 _EPOCH = "1970-01-01 00:00:00"
 
+SENT, REJECTED = "sent", "rejected"
+
 
 def last_sync(sync_logs: DataFrame, successful_only: bool = False) -> DataFrame:
     """``(resource, last_change)``: when each resource was last synchronized.
@@ -77,7 +80,8 @@ def mapped_changes(changes: DataFrame) -> DataFrame:
         .when(F.col("row_data").isNull() | F.col("_outcome.malformed").isNotNull(), "bad_json")
         .when(F.size("_outcome.missing") > 0, "missing_key")
     )
-    return changes.withColumn("_outcome", outcome).select(
+    # Generated, so that filters on the outcome do not parse a second time.
+    return changes.select("*", F.explode_outer(outcome).alias("_outcome")).select(
         *changes.columns,
         F.col("_outcome.target").alias("_target"),
         reason.alias("reason"),
@@ -104,31 +108,50 @@ def _mapping(spec: ResourceSpec) -> str:
             'malformed', p._malformed,
             'missing', array_compact(array({lacking})),
             'row', to_json(named_struct({renamed}), map('ignoreNullFields', 'false'))
-        ))[0]
+        ))
     """
 
 
-def change_envelopes(mapped: DataFrame, random_ids: bool = False) -> DataFrame:
-    """Envelopes of the changes that could be mapped; ``row_data`` is JSON text."""
+def change_outcomes(mapped: DataFrame, random_ids: bool = False) -> DataFrame:
+    """Every change once: as an envelope to send, or as a reject with its reason.
+
+    ``row_data`` is the mapped row of an envelope and the logged row of a reject.
+    """
+    rejected = F.col("reason").isNotNull()
+    time = iso_time(F.col("change_time"))
     identity = (
-        F.uuid()
-        if random_ids
-        else envelope_id(F.col("_target"), F.col("id"), iso_time(F.col("change_time")))
+        F.uuid() if random_ids else envelope_id(F.col("_target"), F.col("id"), time)
     )
-    return mapped.filter(F.col("reason").isNull()).select(
-        identity.alias("id"),
+    return mapped.select(
+        F.when(rejected, REJECTED).otherwise(SENT).alias("status"),
+        F.coalesce("_target", F.lit("unmapped")).alias("table_name"),
+        F.when(~rejected, identity).alias("id"),
         F.lit(TARGET_SCHEMA).alias("schema_name"),
-        F.col("_target").alias("table_name"),
         "operation",
-        iso_time(F.col("change_time")).alias("change_time"),
-        F.col("_mapped").alias("row_data"),
+        time.alias("change_time"),
+        F.when(rejected, F.col("row_data")).otherwise(F.col("_mapped")).alias("row_data"),
+        F.col("id").alias("change_id"),
+        F.col("schema_name").alias("source_schema"),
+        F.col("table_name").alias("source_table"),
+        "reason",
+        "missing",
     )
 
 
-def change_rejects(mapped: DataFrame) -> DataFrame:
+def change_envelopes(outcomes: DataFrame) -> DataFrame:
+    """Envelopes of the changes that could be mapped; ``row_data`` is JSON text."""
+    return outcomes.filter(F.col("status") == SENT).select(*ENVELOPE_COLUMNS)
+
+
+def change_rejects(outcomes: DataFrame) -> DataFrame:
     """Changes that cannot be sent, with the reason and the columns they lack."""
-    return mapped.filter(F.col("reason").isNotNull()).select(
-        "id", "schema_name", "table_name", "reason", "missing", "row_data"
+    return outcomes.filter(F.col("status") == REJECTED).select(
+        F.col("change_id").alias("id"),
+        F.col("source_schema").alias("schema_name"),
+        F.col("source_table").alias("table_name"),
+        "reason",
+        "missing",
+        "row_data",
     )
 
 

@@ -42,15 +42,12 @@ def rejects(df: DataFrame) -> DataFrame:
     malformed = F.array_compact(
         F.array(*[F.when(~is_coordinate(F.col(c)), F.lit(c)) for c in COORDINATES])
     )
-    return (
-        df.select(
-            "code",
-            F.when(F.size(missing) > 0, "missing_mandatory")
-            .when(F.size(malformed) > 0, "bad_coordinate")
-            .alias("reason"),
-            F.when(F.size(missing) > 0, missing).otherwise(malformed).alias("columns"),
-        )
-        .filter(F.col("reason").isNotNull())
+    dropped = ~_true(has_mandatory())
+    odd = reduce(Column.__or__, [~is_coordinate(F.col(c)) for c in COORDINATES])
+    return df.filter(dropped | odd).select(
+        "code",
+        F.when(dropped, "missing_mandatory").otherwise("bad_coordinate").alias("reason"),
+        F.when(dropped, missing).otherwise(malformed).alias("columns"),
     )
 
 

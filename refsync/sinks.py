@@ -12,39 +12,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from refsync.operators.changelog import retained_changes
-from refsync.operators.envelope import with_json_rows
 
 
 def write_envelopes(
     envelopes: DataFrame,
     root: str,
     run: str,
-    table: str | None = None,
+    table: str,
     format: str = "json",
     rows_per_file: int = 1_000_000,
 ) -> None:
-    """Envelopes under ``<root>/run=<run>/table_name=<target>``.
+    """Envelopes of one table under ``<root>/run=<run>/table_name=<table>``.
 
-    Envelopes of one ``table`` go straight to its folder and are not shuffled. A
-    mixed batch is first balanced by target table, or every task would leave a
-    file per table; large tables are split and small ones put together. Only the
-    folders of the tables written are replaced.
+    The folder names the table, so rows are neither shuffled nor sorted, and
+    ``row_data`` stays a nested object.
     """
-    path = f"{root}/run={run}"
-    if dict(envelopes.dtypes)["row_data"] != "string":
-        envelopes = with_json_rows(envelopes)
-    if table is not None:
-        path = f"{path}/table_name={table}"
-        writer = envelopes.drop("table_name").write
-    else:
-        writer = balanced(envelopes, "table_name").write.partitionBy("table_name")
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.mode("overwrite").option("maxRecordsPerFile", rows_per_file).format(format).save(path)
-
-
-def balanced(df: DataFrame, column: str) -> DataFrame:
-    """Rows gathered by a column into partitions of even size, hot values split."""
-    return df.hint("rebalance", column)
+    writer = envelopes.drop("table_name").write.mode("overwrite").format(format)
+    if format == "json":
+        writer = writer.option("ignoreNullFields", "false")
+    writer.option("maxRecordsPerFile", rows_per_file).save(
+        f"{root}/run={run}/table_name={table}"
+    )
+
+
+def write_changes(outcomes: DataFrame, path: str) -> None:
+    """Sent and rejected changes under ``status=<...>/table_name=<target>``.
+
+    One pass writes both. Rows are first balanced by folder, or every task would
+    leave a file in each; folders with many rows are split over several tasks.
+    """
+    folders = ["status", "table_name"]
+    balanced = outcomes.hint("rebalance", *folders)
+    balanced.write.mode("overwrite").partitionBy(*folders).parquet(path)
 
 
 def write_actions(actions: DataFrame, path: str) -> None:

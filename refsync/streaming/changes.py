@@ -8,13 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from refsync.operators.changelog import (
-    change_envelopes,
-    change_rejects,
+    change_outcomes,
     changes_since,
     mapped_changes,
     sync_log_row,
 )
-from refsync.sinks import append_sync_log, balanced, write_rows
+from refsync.sinks import append_sync_log, write_changes
 from refsync.sources.registry import CHANGE_LOG
 from refsync.sources.schemas import DATA_CHANGES
 
@@ -44,21 +43,14 @@ def run_change_stream(
 
     The checkpoint takes the place of the marks. ``sync_logs`` hands over from
     earlier batch runs: what their marks cover is not sent again. A batch that
-    is repeated after a failure replaces its own files.
+    is repeated after a failure replaces its own files, ``<out>/batch=<n>``.
     """
     if sync_logs is not None:
         changes = changes_since(changes, sync_logs)
 
     def export(batch: DataFrame, batch_id: int) -> None:
-        mapped = mapped_changes(batch).persist()
-        try:
-            envelopes = balanced(change_envelopes(mapped), "table_name")
-            envelopes.write.mode("overwrite").partitionBy("table_name").parquet(
-                f"{out}/envelopes/batch={batch_id}"
-            )
-            write_rows(change_rejects(mapped), f"{out}/rejects/batch={batch_id}")
-        finally:
-            mapped.unpersist()
+        outcomes = change_outcomes(mapped_changes(batch))
+        write_changes(outcomes, f"{out}/batch={batch_id}")
         if log is not None:
             row = sync_log_row(batch.sparkSession, CHANGE_LOG, "change", True, datetime.now())
             append_sync_log(row, log)

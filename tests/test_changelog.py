@@ -5,6 +5,7 @@ from helpers import rows
 
 from refsync.operators.changelog import (
     change_envelopes,
+    change_outcomes,
     change_rejects,
     changes_since,
     last_success,
@@ -90,7 +91,7 @@ def test_rows_are_mapped_with_their_json_types(spark):
         [change(1, "geographic_levels", at(1, 9), LEVEL, "referencedata", "I")],
         [],
     )
-    row = change_envelopes(mapped_changes(changes)).first()
+    row = change_envelopes(change_outcomes(mapped_changes(changes))).first()
     assert (row.table_name, row.operation) == ("geographic_level", "I")
     assert row.change_time == "2024-01-01T00:00:09Z"
     assert json.loads(row.row_data) == {"id": "1", "code": "c", "level": 2, "name": None}
@@ -103,7 +104,7 @@ def test_nested_and_large_values_survive(spark):
     changes, _ = frames(
         spark, [change(1, "geographic_levels", at(1), data, "referencedata")], []
     )
-    mapped = json.loads(change_envelopes(mapped_changes(changes)).first().row_data)
+    mapped = json.loads(change_envelopes(change_outcomes(mapped_changes(changes))).first().row_data)
     assert mapped == {
         "id": 12345678901234567890,
         "code": {"a": [1, "é"]},
@@ -126,7 +127,7 @@ def test_unmappable_changes_are_rejected_with_a_reason(spark):
         ],
         [],
     )
-    mapped = mapped_changes(changes)
+    mapped = change_outcomes(mapped_changes(changes))
     assert rows(change_rejects(mapped), "id", "reason", "missing") == [
         (2, "missing_key", ["levelnumber", "name"]),
         (3, "unmapped_table", None),
@@ -160,3 +161,11 @@ def test_log_mark_reaches_the_scan(spark, tmp_path, capsys):
     stored = spark.read.parquet(str(tmp_path / "changes"))
     changes_since(stored, logs).explain("formatted")
     assert "GreaterThan(change_time" in capsys.readouterr().out
+
+
+def test_a_row_is_parsed_once(spark, capsys):
+    changes, _ = frames(spark, [change(1, "orders", at(1))], [])
+    change_envelopes(change_outcomes(mapped_changes(changes))).explain("extended")
+    physical = capsys.readouterr().out.split("== Physical Plan ==")[1]
+    assert physical.count("Generate explode") == 1
+    assert "from_json" not in physical.replace("Generate explode", "\0").split("\0")[0]

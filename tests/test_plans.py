@@ -39,6 +39,8 @@ def test_full_export_and_its_repetition(spark, tmp_path):
         export_full(spark, tables, out, logs, AT, SPECS)
     counts = sent(spark, out).groupBy("table_name").count()
     assert rows(counts) == [("facility", 3), ("geographic_level", 3), ("geographic_zone", 3)]
+    levels = sent(spark, out).filter("table_name = 'geographic_level'")
+    assert rows(levels, "row_data.level") == [("0",), ("1",), ("2",)]
     assert log(spark, logs).filter("success and sync_type = 'full'").count() == 6
 
 
@@ -81,8 +83,11 @@ def test_change_export_then_incremental(spark, tmp_path):
     )
     empty = spark.createDataFrame([], SYNC_LOGS)
     export_changes(spark, changes, empty, out, logs, AT)
-    assert rows(sent(spark, f"{out}/envelopes"), "table_name") == [("geographic_level",)]
-    assert rows(spark.read.parquet(f"{out}/rejects"), "id", "reason") == [(2, "unmapped_table")]
+    found = spark.read.parquet(f"{out}/run=20240601T000000")
+    assert rows(found, "status", "table_name", "change_id", "reason") == [
+        ("rejected", "unmapped", 2, "unmapped_table"),
+        ("sent", "geographic_level", 1, None),
+    ]
     assert rows(log(spark, logs), "resource", "sync_type") == [(CHANGE_LOG, "full")]
 
     later = changes.union(
@@ -93,7 +98,7 @@ def test_change_export_then_incremental(spark, tmp_path):
     )
     second = datetime(2024, 7, 2)
     export_changes(spark, later, log(spark, logs), out, logs, second)
-    again = spark.read.json(f"{out}/envelopes/run=20240702T000000")
+    again = spark.read.parquet(f"{out}/run=20240702T000000")
     assert rows(again, "change_time") == [("2024-07-01T00:00:00Z",)]
     assert rows(log(spark, logs), "sync_type") == [("change",), ("full",)]
 

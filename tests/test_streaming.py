@@ -1,6 +1,12 @@
 from helpers import rows
 
-from refsync.operators.changelog import change_envelopes, changes_since, mapped_changes
+from refsync.operators.changelog import (
+    change_envelopes,
+    change_outcomes,
+    change_rejects,
+    changes_since,
+    mapped_changes,
+)
 from refsync.sources.incoming import stream_facility_records
 from refsync.sources.registry import CHANGE_LOG
 from refsync.sources.schemas import DATA_CHANGES, FACILITY_RECORD, SYNC_LOGS
@@ -23,16 +29,22 @@ def test_stream_equals_batch_and_goes_on_where_it_stopped(spark, tmp_path):
     append(spark, path, *[level_change(n, n) for n in range(1, 9)], change(9, "nope", at(9)))
     marks = spark.createDataFrame([log(1, CHANGE_LOG, at(3))], SYNC_LOGS)
 
+    def written():
+        return spark.read.parquet(f"{out}/changes")
+
     def run():
         stream = read_change_stream(spark, path)
-        run_change_stream(stream, out, f"{out}/checkpoint", marks, logs).awaitTermination()
-        return rows(spark.read.parquet(f"{out}/envelopes"), "id", "change_time", "row_data")
+        run_change_stream(
+            stream, f"{out}/changes", f"{out}/checkpoint", marks, logs
+        ).awaitTermination()
+        return rows(change_envelopes(written()), "id", "change_time", "row_data")
 
     first = run()
-    batch = change_envelopes(mapped_changes(changes_since(spark.read.parquet(path), marks)))
+    due = changes_since(spark.read.parquet(path), marks)
+    batch = change_envelopes(change_outcomes(mapped_changes(due)))
     assert first == rows(batch, "id", "change_time", "row_data")
     assert len(first) == 5
-    assert rows(spark.read.parquet(f"{out}/rejects"), "id", "reason") == [(9, "unmapped_table")]
+    assert rows(change_rejects(written()), "id", "reason") == [(9, "unmapped_table")]
 
     assert run() == first
     append(spark, path, level_change(20, 20))
@@ -45,8 +57,8 @@ def test_stream_in_bounded_batches(spark, tmp_path):
     for n in range(1, 4):
         append(spark, path, level_change(n, n))
     stream = read_change_stream(spark, path, max_bytes=1)
-    run_change_stream(stream, out, f"{out}/checkpoint").awaitTermination()
-    found = spark.read.parquet(f"{out}/envelopes")
+    run_change_stream(stream, f"{out}/changes", f"{out}/checkpoint").awaitTermination()
+    found = spark.read.parquet(f"{out}/changes")
     assert found.select("batch").distinct().count() == 3
     assert found.count() == 3
 

@@ -268,8 +268,10 @@ select * from in_changes where change_time > timestamp '2024-01-15'
 
 SQL["changelog_run"] = """
 select case o_orderstatus when 'P' then 'unmapped_table' when 'O' then 'missing_key'
-       else 'sent' end as outcome, count(*) as changes
-from in_order_changes group by 1
+       else 'sent' end as outcome,
+       case o_orderstatus when 'P' then 'unmapped' else 'order' end as table_name,
+       count(*) as changes
+from in_order_changes group by 1, 2
 """
 
 SQL["changelog_stream"] = f"""

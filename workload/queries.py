@@ -13,6 +13,7 @@ from refsync.functions.programs import merge_programs
 from refsync.functions.text import fold, is_coordinate, is_uuid, iso_time, present_or
 from refsync.operators.changelog import (
     change_envelopes,
+    change_outcomes,
     change_rejects,
     changes_since,
     last_success,
@@ -195,12 +196,12 @@ def order_changes(t: Tables) -> DataFrame:
 
 @query
 def changelog_envelopes(spark: SparkSession, t: Tables) -> DataFrame:
-    return change_envelopes(mapped_changes(order_changes(t)))
+    return change_envelopes(change_outcomes(mapped_changes(order_changes(t))))
 
 
 @query
 def changelog_rejects(spark: SparkSession, t: Tables) -> DataFrame:
-    found = change_rejects(mapped_changes(order_changes(t)))
+    found = change_rejects(change_outcomes(mapped_changes(order_changes(t))))
     return found.withColumn("missing", F.array_join("missing", ",")).drop("row_data")
 
 
@@ -211,21 +212,15 @@ def changelog_retained(spark: SparkSession, t: Tables) -> DataFrame:
 
 @query
 def changelog_run(spark: SparkSession, t: Tables) -> DataFrame:
-    """A change export written out: envelopes and rejects it left, by operation."""
+    """A change export written out: what it has sent and rejected."""
     out = new_shared_path(spark, "changes")
     logs = t["in_sync_logs"].filter(F.col("resource") != CHANGE_LOG)
-    export_changes(spark, order_changes(t), logs, out, f"{out}/log", AT)
-    sent = spark.read.schema("id string, operation string, row_data string").json(
-        f"{out}/envelopes"
-    )
-    rejected = spark.read.parquet(f"{out}/rejects")
-    sent_counts = sent.groupBy(F.lit("sent").alias("outcome")).agg(
-        F.count(F.lit(1)).alias("changes")
-    )
-    reject_counts = rejected.groupBy(F.col("reason").alias("outcome")).agg(
+    export_changes(spark, order_changes(t), logs, f"{out}/changes", f"{out}/log", AT)
+    found = spark.read.parquet(f"{out}/changes")
+    outcome = F.coalesce("reason", "status")
+    return found.groupBy(outcome.alias("outcome"), F.col("table_name").cast("string")).agg(
         F.count(F.lit(1)).alias("changes")
-    )
-    return sent_counts.unionByName(reject_counts)
+    ).toDF("outcome", "table_name", "changes")
 
 
 @query
@@ -239,10 +234,8 @@ def changelog_stream(spark: SparkSession, t: Tables) -> DataFrame:
     logs = t["in_sync_logs"].withColumn(
         "timestamp", F.col("timestamp") - F.make_interval(years=F.lit(26))
     )
-    run_change_stream(stream, out, f"{out}/checkpoint", logs).awaitTermination()
-    return spark.read.parquet(f"{out}/envelopes").select(
-        "id", "schema_name", "table_name", "operation", "change_time", "row_data"
-    )
+    run_change_stream(stream, f"{out}/changes", f"{out}/checkpoint", logs).awaitTermination()
+    return change_envelopes(spark.read.parquet(f"{out}/changes"))
 
 
 _STREAMED = (
