@@ -51,12 +51,11 @@ def program_list(programs: Column) -> Column:
 
 
 def programs_from_json(text: Column) -> Column:
-    """The payload array out of a JSON object keyed by program code.
+    """The program map out of a JSON object keyed by program code.
 
     Entries without an ``id`` key are dropped. A missing support flag takes its
     default, whereas a flag that is present and null stays null.
     """
-    entries = F.map_values(F.from_json(text, "map<string, string>"))
 
     def given(entry: Column, name: str) -> Column:
         return F.array_contains(F.json_object_keys(entry), name)
@@ -65,12 +64,13 @@ def programs_from_json(text: Column) -> Column:
         value = F.get_json_object(entry, f"$.{name}").try_cast("boolean")
         return F.when(given(entry, name), value).otherwise(F.lit(default))
 
-    return F.transform(
-        F.filter(entries, lambda e: given(e, "id")),
-        lambda e: F.struct(
+    entries = F.from_json(text, "map<string, string>")
+    return F.transform_values(
+        F.map_filter(entries, lambda _, e: given(e, "id")),
+        lambda _, e: F.struct(
             F.get_json_object(e, "$.id").alias("id"),
             flag(e, "supportActive", True).alias("supportActive"),
             flag(e, "supportLocallyFulfilled", False).alias("supportLocallyFulfilled"),
             F.get_json_object(e, "$.supportStartDate").alias("supportStartDate"),
         ),
-    )
+    ).cast(PROGRAM_MAP)

@@ -42,6 +42,10 @@ class FacilityRules:
     programs: str = "existing"
     comparisons: Mapping[str, Comparison] | None = None
 
+    def __post_init__(self) -> None:
+        if self.programs not in ("existing", "merged"):
+            raise ValueError("programs must be 'existing' or 'merged'")
+
     def compared(self) -> Mapping[str, Comparison]:
         if self.comparisons is not None:
             return self.comparisons

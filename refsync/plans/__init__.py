@@ -1,4 +1,4 @@
 from refsync.plans.export import export_changes, export_full
-from refsync.plans.facility_import import ReferenceTables, run_import
+from refsync.plans.facility_import import ReferenceTables, report_recipients, run_import
 
-__all__ = ["export_changes", "export_full", "ReferenceTables", "run_import"]
+__all__ = ["export_changes", "export_full", "ReferenceTables", "report_recipients", "run_import"]

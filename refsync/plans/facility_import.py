@@ -8,6 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from refsync.functions.text import is_coordinate
 from refsync.operators.facilities import (
     CREATE_ACTION,
     DISABLE_ACTION,
@@ -21,7 +22,7 @@ from refsync.operators.facilities import (
     report_rows,
 )
 from refsync.operators.reference import Small, existing_facilities, measure, zone_hierarchy
-from refsync.operators.report import report_pages
+from refsync.operators.report import recipients, report_pages
 from refsync.operators.supplement import (
     missing_municipalities,
     missing_programs,
@@ -30,7 +31,7 @@ from refsync.operators.supplement import (
 )
 from refsync.operators.validate import has_mandatory, rejects, valid_records
 from refsync.sinks import write_actions, write_rows
-from refsync.functions.text import is_coordinate
+from refsync.sources.tables import TableSource
 
 # What later steps need of a decided record.
 _DECIDED = (
@@ -55,6 +56,17 @@ class ReferenceTables:
     levels: DataFrame
     types: DataFrame
 
+    @classmethod
+    def read(cls, source: TableSource) -> ReferenceTables:
+        return cls(
+            facilities=source.table("referencedata.facilities"),
+            supported_programs=source.table("referencedata.supported_programs"),
+            programs=source.table("referencedata.programs"),
+            zones=source.table("referencedata.geographic_zones"),
+            levels=source.table("referencedata.geographic_levels"),
+            types=source.table("referencedata.facility_types"),
+        )
+
     @cached_property
     def small(self) -> Small:
         """Measured once for all joins of a run."""
@@ -69,6 +81,16 @@ class ReferenceTables:
         )
 
 
+def report_recipients(source: TableSource, right_id: str) -> DataFrame:
+    """Addresses of the users who hold a right, for the report of a run."""
+    return recipients(
+        source.table("referencedata.role_rights"),
+        source.table("referencedata.role_assignments"),
+        source.table("notification.user_contact_details"),
+        right_id,
+    )
+
+
 def decisions(
     records: DataFrame,
     tables: ReferenceTables,

@@ -5,7 +5,7 @@ from helpers import rows
 from pyspark.sql import functions as F
 
 from refsync.functions.changes import differs
-from refsync.functions.programs import merge_programs, programs_from_json
+from refsync.functions.programs import merge_programs, program_list, programs_from_json
 from refsync.operators.facilities import (
     FacilityRules,
     absent_facilities,
@@ -190,8 +190,8 @@ def test_programs_from_json(spark):
         }
     )
     df = spark.createDataFrame([(text,), ("{}",)], "t string")
-    found = [[tuple(e) for e in row[0]] for row in df.select(programs_from_json(F.col("t"))).collect()]
-    assert found == [
+    listed = df.select(program_list(programs_from_json(F.col("t")))).collect()
+    assert [[tuple(entry) for entry in row[0]] for row in listed] == [
         [("1", True, False, None), ("2", None, True, None), (None, False, False, "2024-01-01")],
         [],
     ]
@@ -214,6 +214,11 @@ def test_program_ids_both_ways(spark, few):
     assert ids == {1: {}, 2: {}, 3: {"a": "1"}, 4: {}, 5: {"a": "1", "b": "2"}}
 
 
+def test_rules_name_the_programs_to_send():
+    with pytest.raises(ValueError):
+        FacilityRules(programs="all")
+
+
 def test_absent_facilities(spark):
     existing = facility(spark).union(facility(spark, id="g", code="d")).union(
         facility(spark, id="h", code="e", enabled=False)

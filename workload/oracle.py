@@ -377,6 +377,7 @@ left join program_texts t on t.facilityid = f.id
 SQL["zone_hierarchy"] = "select * from hierarchy"
 SQL["zones_of_level"] = "select id, name, parentname from hierarchy where levelnumber = 3"
 SQL["existing_facilities"] = "select * exclude (program_list) from existing"
+SQL["program_lists_from_json"] = "select id, program_list as programs from existing"
 SQL["facility_program_entries"] = """
 select facilityid, code, program_id as id, active as "supportActive",
        locallyfulfilled as "supportLocallyFulfilled",
@@ -392,7 +393,7 @@ join in_contacts c on c.referencedatauserid = ra.userid
 group by rr.rightid, c.email
 """
 
-SQL["report_recipients"] = """
+SQL["recipients_of_report"] = """
 select distinct c.email
 from in_role_rights rr
 join in_role_assignments ra on ra.roleid = rr.roleid

@@ -9,7 +9,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refsync.functions.programs import merge_programs
+from refsync.functions.programs import merge_programs, program_list, programs_from_json
 from refsync.functions.text import fold, is_coordinate, is_uuid, iso_time, present_or
 from refsync.operators.changelog import (
     change_envelopes,
@@ -40,7 +40,7 @@ from refsync.operators.lookup import (
     supported_programs,
 )
 from refsync.operators.reference import contact_details, facility_programs, zones_at
-from refsync.operators.report import recipients, report_pages
+from refsync.operators.report import report_pages
 from refsync.operators.supplement import (
     missing_municipalities,
     missing_programs,
@@ -50,7 +50,13 @@ from refsync.operators.supplement import (
 )
 from refsync.operators.validate import rejects, valid_records
 from refsync.plans.export import due_changes, export_changes, export_full
-from refsync.plans.facility_import import ReferenceTables, decisions, run_import, run_metrics
+from refsync.plans.facility_import import (
+    ReferenceTables,
+    decisions,
+    report_recipients,
+    run_import,
+    run_metrics,
+)
 from refsync.session import configure, new_shared_path
 from refsync.sources.incoming import read_facility_records, stream_facility_records
 from refsync.sources.registry import CHANGE_LOG, RESOURCES
@@ -95,21 +101,22 @@ for _resource in RESOURCES:
     QUERIES[f"export_{_resource.table}"] = _export(_resource)
 
 
-class _Stand:
-    """The derived tables as a source of the export."""
+class DerivedSource:
+    """The derived tables as a source: ``names`` first, export tables otherwise."""
 
-    def __init__(self, tables: Tables):
+    def __init__(self, tables: Tables, names: dict[str, str] | None = None):
         self.tables = tables
+        self.names = names or {}
 
     def table(self, name: str) -> DataFrame:
-        return self.tables[f"src_{name.split('.')[1]}"]
+        return self.tables[self.names.get(name, f"src_{name.split('.')[1]}")]
 
 
 @query
 def export_run(spark: SparkSession, t: Tables) -> DataFrame:
     """A full export written out: what it left per target table, and its log."""
     out = new_shared_path(spark, "export")
-    export_full(spark, _Stand(t), f"{out}/batch", f"{out}/log", AT)
+    export_full(spark, DerivedSource(t), f"{out}/batch", f"{out}/log", AT)
     sent = spark.read.schema(
         "id string, schema_name string, operation string, change_time string, row_data string,"
         " table_name string"
@@ -292,15 +299,21 @@ def records_from_json(spark: SparkSession, t: Tables) -> DataFrame:
 # --- reference tables -----------------------------------------------------------
 
 
+_REFERENCE = {
+    "referencedata.facilities": "in_facilities",
+    "referencedata.supported_programs": "in_supported",
+    "referencedata.programs": "in_programs",
+    "referencedata.geographic_zones": "in_zones",
+    "referencedata.geographic_levels": "in_levels",
+    "referencedata.facility_types": "in_types",
+    "referencedata.role_rights": "in_role_rights",
+    "referencedata.role_assignments": "in_role_assignments",
+    "notification.user_contact_details": "in_contacts",
+}
+
+
 def reference_tables(t: Tables) -> ReferenceTables:
-    return ReferenceTables(
-        facilities=t["in_facilities"],
-        supported_programs=t["in_supported"],
-        programs=t["in_programs"],
-        zones=t["in_zones"],
-        levels=t["in_levels"],
-        types=t["in_types"],
-    )
+    return ReferenceTables.read(DerivedSource(t, _REFERENCE))
 
 
 @query
@@ -319,6 +332,14 @@ def existing_facilities(spark: SparkSession, t: Tables) -> DataFrame:
     return existing.withColumn("supported_programs", as_json("supported_programs"))
 
 
+@query
+def program_lists_from_json(spark: SparkSession, t: Tables) -> DataFrame:
+    """Programs as they come as JSON text from a source that has joined them."""
+    text = reference_tables(t).existing().select("id", as_json("supported_programs").alias("text"))
+    listed = text.select("id", program_list(programs_from_json(F.col("text"))).alias("programs"))
+    return listed.select("id", as_json("programs").alias("programs"))
+
+
 @query
 def facility_program_entries(spark: SparkSession, t: Tables) -> DataFrame:
     found = facility_programs(t["in_supported"], t["in_programs"])
@@ -334,9 +355,9 @@ def contacts_by_right(spark: SparkSession, t: Tables) -> DataFrame:
 
 
 @query
-def report_recipients(spark: SparkSession, t: Tables) -> DataFrame:
+def recipients_of_report(spark: SparkSession, t: Tables) -> DataFrame:
     right = hashlib.md5(b"F").hexdigest()
-    return recipients(t["in_role_rights"], t["in_role_assignments"], t["in_contacts"], right)
+    return report_recipients(DerivedSource(t, _REFERENCE), right)
 
 
 # --- facilities -----------------------------------------------------------------
