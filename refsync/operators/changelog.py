@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refsync.functions.text import iso_time, qualified_name
@@ -155,14 +155,14 @@ def change_rejects(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def retained_changes(changes: DataFrame, snapshot: datetime | Column) -> DataFrame:
+def retained_changes(changes: DataFrame, snapshot: datetime) -> DataFrame:
     """What stays in the log after a full sync: changes later than its snapshot."""
-    at = snapshot if isinstance(snapshot, Column) else F.lit(snapshot)
+    at = F.lit(str(snapshot)).cast(changes.schema["change_time"].dataType)
     return changes.filter(F.col("change_time") > at)
 
 
 def sync_log_row(
-    spark,
+    spark: SparkSession,
     resource: str,
     sync_type: str,
     success: bool,
@@ -176,7 +176,7 @@ def sync_log_row(
         F.lit(resource).alias("resource"),
         F.lit(sync_type).alias("sync_type"),
         F.lit(SYNC).alias("operation"),
-        F.lit(at).alias("timestamp"),
+        F.lit(str(at)).cast("timestamp").alias("timestamp"),
         F.lit(success).alias("success"),
         F.lit(message).cast("string").alias("message"),
         F.lit(details).cast("string").alias("details"),

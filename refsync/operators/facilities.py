@@ -249,7 +249,8 @@ def absent_facilities(
     existing: DataFrame, records: DataFrame, rules: FacilityRules = FacilityRules()
 ) -> DataFrame:
     """Decisions that disable enabled facilities which no record mentions."""
-    gone = existing.filter("enabled").join(records.select("code"), "code", "left_anti")
+    listed = records.select("code").distinct()
+    gone = existing.filter("enabled").join(listed, "code", "left_anti")
     return gone.select(
         F.lit(DISABLE_ACTION).alias("action"),
         F.col("id").alias("target_id"),

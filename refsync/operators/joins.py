@@ -67,8 +67,13 @@ def lookup_join(
     The reference side is broadcast after a check of its size, so that records
     do not move and a hot key costs nothing. Beyond the bounds both sides are
     shuffled on the key, and the runtime re-plan splits a hot key's partition
-    (see ``session.configure``).
+    (see ``session.configure``). It cannot split the right side of a semi or
+    anti join, whose keys are therefore made distinct first.
     """
     if small is None:
         (small,) = fits_broadcast(right)
-    return left.join(F.broadcast(right) if small else right, on, how)
+    if small:
+        return left.join(F.broadcast(right), on, how)
+    if how in ("left_semi", "left_anti"):
+        right = right.select(on).distinct()
+    return left.join(right, on, how)

@@ -18,7 +18,7 @@ def by_code(df: DataFrame, value: str) -> DataFrame:
 
 def by_codes(df: DataFrame, codes: DataFrame) -> DataFrame:
     """Rows whose code is among ``codes``, however many those are."""
-    return lookup_join(df, codes.select("code").distinct(), "code", "left_semi")
+    return lookup_join(df, codes.select("code"), "code", "left_semi")
 
 
 def supported_program(supported: DataFrame, facility_id: str, program_id: str) -> DataFrame:

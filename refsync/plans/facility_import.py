@@ -30,6 +30,7 @@ from refsync.operators.supplement import (
     missing_types,
 )
 from refsync.operators.validate import has_mandatory, rejects, valid_records
+from refsync.session import materialize
 from refsync.sinks import write_actions, write_rows
 from refsync.sources.tables import TableSource
 
@@ -96,8 +97,11 @@ def decisions(
     tables: ReferenceTables,
     rules: FacilityRules = FacilityRules(),
     by_province: bool = False,
+    existing: DataFrame | None = None,
 ) -> DataFrame:
     """Validated, enriched and matched records with what to do about them."""
+    if existing is None:
+        existing = tables.existing()
     found = enrich(
         valid_records(records),
         tables.hierarchy(),
@@ -106,7 +110,7 @@ def decisions(
         by_province,
         tables.small,
     )
-    return decide(match_existing(found, tables.existing()), rules)
+    return decide(match_existing(found, existing), rules)
 
 
 def supplement_actions(records: DataFrame, tables: ReferenceTables) -> DataFrame:
@@ -196,13 +200,17 @@ def run_import(
     if stage:
         write_rows(records, to("records"))
         records = spark.read.schema(records.schema).parquet(to("records"))
-    decided = decisions(records, tables, rules, by_province).select(*_DECIDED)
+    existing = tables.existing()
+    if disable_missing:
+        # Needed twice, and costs joins and an aggregation.
+        existing = materialize(existing, "existing")
+    decided = decisions(records, tables, rules, by_province, existing).select(*_DECIDED)
     write_rows(decided, to("decisions"))
     decided = spark.read.schema(decided.schema).parquet(to("decisions"))
 
     wanted = _as_text(actions(decided))
     if disable_missing:
-        wanted = wanted.unionByName(_as_text(absent_facilities(tables.existing(), records, rules)))
+        wanted = wanted.unionByName(_as_text(absent_facilities(existing, records, rules)))
     if supplement:
         wanted = wanted.unionByName(supplement_actions(records, tables))
     write_actions(wanted, to("actions"))

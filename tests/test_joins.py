@@ -43,6 +43,16 @@ def test_large_side_is_not_broadcast(spark, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("how", ["left_semi", "left_anti"])
+def test_copies_on_the_right_are_reduced_before_the_shuffle(spark, how):
+    left = spark.range(10).withColumn("k", F.col("id") % 4)
+    right = spark.range(90).select((F.col("id") % 3).alias("k"), F.lit("x").alias("other"))
+    usual = lookup_join(left, right, "k", how, small=True)
+    shuffled = lookup_join(left, right, "k", how, small=False)
+    assert rows(shuffled) == rows(usual)
+    assert "HashAggregate" in plan(shuffled) and "HashAggregate" not in plan(usual)
+
+
 def test_hot_key_is_split_at_runtime(spark, monkeypatch):
     """Beyond the broadcast bounds a third of the rows may share one key."""
     settings = {
