@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from refsync.sources.schemas import FACILITY_RECORD
 
+# A backlog is worked off in batches, so that a failure repeats one of them only.
+BATCH_BYTES = 1024**4
+
 
 def read_facility_records(spark: SparkSession, landing: str, multi_line: bool = False) -> DataFrame:
     """All delivered records; keys that a record lacks become null.
@@ -17,10 +20,8 @@ def read_facility_records(spark: SparkSession, landing: str, multi_line: bool =
 
 
 def stream_facility_records(
-    spark: SparkSession, landing: str, max_files: int | None = None
+    spark: SparkSession, landing: str, max_bytes: int = BATCH_BYTES
 ) -> DataFrame:
-    """The same records as a stream of newly landed files."""
+    """The same records as a stream of newly landed files; ``max_bytes`` bounds one batch."""
     reader = spark.readStream.schema(FACILITY_RECORD)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(landing)
+    return reader.option("maxBytesPerTrigger", max_bytes).json(landing)

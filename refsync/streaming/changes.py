@@ -14,6 +14,7 @@ from refsync.operators.changelog import (
     sync_log_row,
 )
 from refsync.sinks import append_sync_log, write_changes
+from refsync.sources.incoming import BATCH_BYTES
 from refsync.sources.registry import CHANGE_LOG
 from refsync.sources.schemas import DATA_CHANGES
 
@@ -23,13 +24,11 @@ def read_change_stream(
     path: str,
     format: str = "parquet",
     schema: str = DATA_CHANGES,
-    max_bytes: int | None = None,
+    max_bytes: int = BATCH_BYTES,
 ) -> DataFrame:
     """The log as a stream of its files; ``max_bytes`` bounds one batch."""
     reader = spark.readStream.format(format).schema(schema)
-    if max_bytes:
-        reader = reader.option("maxBytesPerTrigger", max_bytes)
-    return reader.load(path)
+    return reader.option("maxBytesPerTrigger", max_bytes).load(path)
 
 
 def run_change_stream(

@@ -30,7 +30,9 @@ def test_every_query_has_its_sql():
 
 
 def test_entry(spark):
-    assert ENTRY.entry(spark).columns == ["action", "target_id", "code", "payload"]
+    result = ENTRY.entry(spark)
+    assert result.columns == ["action", "target_id", "code", "payload"]
+    assert result.count() > 0
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from refsync.session import shared_dir
 from refsync.sources.incoming import read_facility_records
-from refsync.sources.tables import CatalogSource, FileSource, uuid_splits
+from refsync.sources.tables import CatalogSource, FileSource, JdbcSource, uuid_splits
 
 
 @pytest.mark.parametrize("partitions", [1, 2, 7, 64])
@@ -58,3 +58,53 @@ def test_records_in_one_array(spark, tmp_path):
 
 def test_shared_dir_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+class RecordedReader:
+    """Stands in for a reader, as the tests start no database."""
+
+    def __init__(self):
+        self.asked = {}
+
+    def format(self, name):
+        self.asked["format"] = name
+        return self
+
+    def option(self, key, value):
+        self.asked[key] = value
+        return self
+
+    def options(self, **given):
+        self.asked.update(given)
+        return self
+
+    def load(self):
+        return self.asked
+
+    def jdbc(self, url, table, predicates, properties):
+        return {"url": url, "dbtable": table, "predicates": predicates, **properties}
+
+
+class RecordedSession:
+    @property
+    def read(self):
+        return RecordedReader()
+
+
+def test_jdbc_reads():
+    splits = {"fulfillment.orders": uuid_splits("id", 4)}
+    source = JdbcSource(RecordedSession(), "jdbc:x", {"user": "u", "driver": "d"}, splits)
+    common = {"url": "jdbc:x", "user": "u", "driver": "d"}
+    jdbc = {"format": "jdbc", **common}
+    assert source.table("referencedata.lots") == {**jdbc, "dbtable": "referencedata.lots"}
+    assert source.query("select 1") == {**jdbc, "query": "select 1"}
+    split = source.table("fulfillment.orders")
+    assert (split["dbtable"], len(split["predicates"])) == ("fulfillment.orders", 4)
+    assert source.ranged("t", "id", 1, 9, 3) == {
+        **jdbc,
+        "dbtable": "t",
+        "partitionColumn": "id",
+        "lowerBound": "1",
+        "upperBound": "9",
+        "numPartitions": "3",
+    }
