@@ -17,7 +17,14 @@ from refsync.functions.changes import (
 from refsync.functions.programs import merge_programs, no_programs, program_list, support_entry
 from refsync.functions.text import present_or
 from refsync.operators.joins import fits_broadcast, lookup_join, measured
-from refsync.operators.reference import MAP_ROWS, MUNICIPALITY, PROVINCE, Small, zones_at
+from refsync.operators.reference import (
+    MAP_ROWS,
+    MUNICIPALITY,
+    PROVINCE,
+    Small,
+    facility_programs,
+    zones_at,
+)
 from refsync.sources.schemas import PROGRAM_MAP
 
 CREATE_ACTION, UPDATE_ACTION, DISABLE_ACTION = "create", "update", "disable"
@@ -269,11 +276,37 @@ def absent_facilities(
     )
 
 
-def actions(decided: DataFrame) -> DataFrame:
+def actions(decided: DataFrame, *extra: str) -> DataFrame:
     """``(action, target_id, code, payload)`` of everything that has to be sent."""
     return decided.filter("any_change").select(
-        "action", F.col("existing_id").alias("target_id"), "code", "payload"
+        "action", F.col("existing_id").alias("target_id"), "code", "payload", *extra
+    )
+
+
+def with_facility_programs(
+    acts: DataFrame,
+    supported: DataFrame,
+    programs: DataFrame,
+    rules: FacilityRules = FacilityRules(),
+    small: Small | None = None,
+) -> DataFrame:
+    """Put the programs of the facilities into actions decided without them.
+
+    Only programs of facilities that are acted on are read into maps, which
+    spares the others where few facilities change. Creations have no programs
+    and are not joined.
+    """
+    creating = F.col("action") == CREATE_ACTION
+    acting = acts.filter(~creating)
+    ids = acting.select(F.col("target_id").alias("facilityid"))
+    needed = lookup_join(supported, ids, "facilityid", "left_semi")
+    maps = facility_programs(needed, programs, small).withColumnRenamed("facilityid", "target_id")
+    own = F.coalesce("programs", no_programs())
+    sent = merge_programs(own, F.col("program_ids")) if rules.programs == "merged" else own
+    filled = acting.join(maps, "target_id", "left").withColumn(
+        "payload", F.col("payload").withField("supportedPrograms", program_list(sent))
     )
+    return acts.filter(creating).unionByName(filled.select(*acts.columns))
 
 
 def report_rows(decided: DataFrame, with_disabled: bool = False) -> DataFrame:

@@ -111,14 +111,10 @@ def facility_programs(
     return grouped.select("facilityid", programs_map.alias("programs"))
 
 
-def existing_facilities(
-    facilities: DataFrame,
-    supported: DataFrame,
-    programs: DataFrame,
-    zones: DataFrame,
-    small: Small | None = None,
+def placed_facilities(
+    facilities: DataFrame, zones: DataFrame, small: Small | None = None
 ) -> DataFrame:
-    """Known facilities with their programs and the parent of their own zone.
+    """Known facilities with the parent of their own zone, without programs.
 
     The parent is reported because facilities are assigned to wards, while the
     records to compare with name municipalities.
@@ -130,9 +126,7 @@ def existing_facilities(
     fits = small.zones if small else fits_broadcast(parents)[0]
     placed = lookup_join(facilities, parents, "geographiczoneid", small=fits)
     placed = lookup_join(placed, known, "_parent", small=fits)
-
-    maps = facility_programs(supported, programs, small).withColumnRenamed("facilityid", "id")
-    return placed.join(maps, "id", "left").select(
+    return placed.select(
         "id",
         "name",
         "code",
@@ -140,6 +134,22 @@ def existing_facilities(
         "enabled",
         "typeid",
         F.col("zone").alias("geographiczoneid"),
+        no_programs().alias("supported_programs"),
+    )
+
+
+def existing_facilities(
+    facilities: DataFrame,
+    supported: DataFrame,
+    programs: DataFrame,
+    zones: DataFrame,
+    small: Small | None = None,
+) -> DataFrame:
+    """Known facilities, placed and with their programs."""
+    placed = placed_facilities(facilities, zones, small)
+    maps = facility_programs(supported, programs, small).withColumnRenamed("facilityid", "id")
+    return placed.join(maps, "id", "left").select(
+        *[name for name in placed.columns if name != "supported_programs"],
         F.coalesce("programs", no_programs()).cast(PROGRAM_MAP).alias("supported_programs"),
     )
 

@@ -8,6 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from refsync.functions.programs import no_programs
 from refsync.functions.text import is_coordinate
 from refsync.operators.facilities import (
     CREATE_ACTION,
@@ -20,8 +21,15 @@ from refsync.operators.facilities import (
     enrich,
     match_existing,
     report_rows,
+    with_facility_programs,
+)
+from refsync.operators.reference import (
+    Small,
+    existing_facilities,
+    measure,
+    placed_facilities,
+    zone_hierarchy,
 )
-from refsync.operators.reference import Small, existing_facilities, measure, zone_hierarchy
 from refsync.operators.report import recipients, report_pages
 from refsync.operators.supplement import (
     missing_municipalities,
@@ -43,6 +51,7 @@ _DECIDED = (
     "municipality_name",
     "type_name",
     "payload",
+    "program_ids",
     "any_change",
     "changed",
 )
@@ -76,6 +85,9 @@ class ReferenceTables:
     def hierarchy(self) -> DataFrame:
         return zone_hierarchy(self.zones, self.levels, self.small)
 
+    def placed(self) -> DataFrame:
+        return placed_facilities(self.facilities, self.zones, self.small)
+
     def existing(self) -> DataFrame:
         return existing_facilities(
             self.facilities, self.supported_programs, self.programs, self.zones, self.small
@@ -190,7 +202,9 @@ def run_import(
 
     Decisions are written first and everything else is read back from them, so
     the joins run once however many results follow, and the later steps do not
-    depend on executors keeping anything.
+    depend on executors keeping anything. The payloads of ``actions`` are whole;
+    those of ``decisions`` lack the programs of known facilities, unless own
+    comparisons ask for them.
     """
     spark = records.sparkSession
 
@@ -200,17 +214,28 @@ def run_import(
     if stage:
         write_rows(records, to("records"))
         records = spark.read.schema(records.schema).parquet(to("records"))
-    existing = tables.existing()
+    # The default comparisons ignore programs, which are then read for changes only.
+    late = rules.comparisons is None
+    existing = tables.placed() if late else tables.existing()
     if disable_missing:
-        # Needed twice, and costs joins and an aggregation.
+        # Needed twice, and costs joins.
         existing = materialize(existing, "existing")
     decided = decisions(records, tables, rules, by_province, existing).select(*_DECIDED)
     write_rows(decided, to("decisions"))
     decided = spark.read.schema(decided.schema).parquet(to("decisions"))
 
-    wanted = _as_text(actions(decided))
+    wanted = actions(decided, "program_ids")
     if disable_missing:
-        wanted = wanted.unionByName(_as_text(absent_facilities(existing, records, rules)))
+        absent = absent_facilities(existing, records, rules)
+        wanted = wanted.unionByName(absent.withColumn("program_ids", no_programs()))
+        wanted = materialize(wanted, "actions")
+    if late:
+        wanted = with_facility_programs(
+            wanted, tables.supported_programs, tables.programs, rules, tables.small
+        )
+    wanted = wanted.drop("program_ids").withColumn(
+        "payload", F.to_json("payload", {"ignoreNullFields": "false"})
+    )
     if supplement:
         wanted = wanted.unionByName(supplement_actions(records, tables))
     write_actions(wanted, to("actions"))
@@ -219,6 +244,3 @@ def run_import(
         write_rows(report_pages(report_rows(decided)), to("report"))
     write_rows(run_metrics(records, decided), to("metrics"))
 
-
-def _as_text(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("payload", F.to_json("payload", {"ignoreNullFields": "false"}))

@@ -1,9 +1,12 @@
+import json
 from datetime import datetime
 
 import pytest
 from helpers import rows
 from pyspark.errors import AnalysisException
 
+from refsync.functions.changes import default_comparisons
+from refsync.operators.facilities import FacilityRules
 from refsync.plans.export import export_changes, export_full
 from refsync.plans.facility_import import ReferenceTables, run_import
 from refsync.sources.registry import CHANGE_LOG, RESOURCES
@@ -103,25 +106,29 @@ def test_change_export_then_incremental(spark, tmp_path):
     assert rows(log(spark, logs), "sync_type") == [("change",), ("full",)]
 
 
-def test_import_run(spark, tmp_path):
+def import_tables(spark):
     facilities = spark.createDataFrame(
         [("f1", "One", "c1", True, True, "t1", "w1"), ("f2", "Two", "c2", True, True, "t1", "w1")],
         "id string, name string, code string, active boolean, enabled boolean, typeid string,"
         " geographiczoneid string",
     )
     supported = spark.createDataFrame(
-        [], "facilityid string, programid string, active boolean, locallyfulfilled boolean,"
+        [("f1", "g1", True, False, None), ("f2", "g2", None, True, None)],
+        "facilityid string, programid string, active boolean, locallyfulfilled boolean,"
         " startdate date",
     )
     types = spark.createDataFrame(
         [("t1", "Clinic", 1)], "id string, name string, displayorder int"
     )
-    tables = ReferenceTables(
+    return ReferenceTables(
         facilities, supported, programs(spark), zones(spark), levels(spark), types
     )
-    incoming = spark.createDataFrame(
+
+
+def import_records(spark):
+    return spark.createDataFrame(
         [
-            ("c1", "One new", "Ward", "North", "Clinic", False, True, "1", "2", None),
+            ("c1", "One new", "Ward", "North", "Clinic", False, True, "1", "2", [("B", "B")]),
             ("c9", "Nine", "Rio", "Évora", "Post", False, True, "x", "2", [("S", "s")]),
             ("c8", "", "Rio", "Évora", "Post", False, True, "1", "2", None),
         ],
@@ -129,9 +136,14 @@ def test_import_run(spark, tmp_path):
         " is_deleted boolean, is_operational boolean, latitude string, longitude string,"
         " services array<struct<name: string, code: string>>",
     )
+
+
+def test_import_run(spark, tmp_path):
     out = str(tmp_path / "out")
     for _ in range(2):
-        run_import(incoming, tables, out, disable_missing=True, supplement=True)
+        run_import(
+            import_records(spark), import_tables(spark), out, disable_missing=True, supplement=True
+        )
     found = spark.read.parquet(f"{out}/actions")
     assert rows(found, "action", "code", "target_id") == [
         ("create", "c9", None),
@@ -150,3 +162,28 @@ def test_import_run(spark, tmp_path):
     assert spark.read.parquet(f"{out}/report").first().lines == 2
     metrics = dict(tuple(row) for row in spark.read.parquet(f"{out}/metrics").collect())
     assert (metrics["incoming"], metrics["invalid"], metrics["create"]) == (3, 1, 1)
+
+
+@pytest.mark.parametrize(
+    "programs_sent, expected", [("existing", ["g1"]), ("merged", ["g1", "g2"])]
+)
+def test_programs_are_sent_whichever_way_they_are_read(spark, tmp_path, programs_sent, expected):
+    """With the default comparisons programs are read after the decision, else before."""
+    found = []
+    for name, comparisons in (("late", None), ("early", default_comparisons())):
+        rules = FacilityRules(programs=programs_sent, comparisons=comparisons)
+        out = str(tmp_path / name)
+        run_import(import_records(spark), import_tables(spark), out, rules, disable_missing=True)
+        found.append(rows(spark.read.parquet(f"{out}/actions"), "action", "code", "payload"))
+    assert found[0] == found[1]
+    sent = {code: json.loads(payload)["supportedPrograms"] for _, code, payload in found[0]}
+    assert [program["id"] for program in sent["c1"]] == expected
+    assert sent["c2"] == [
+        {
+            "id": "g2",
+            "supportActive": None,
+            "supportLocallyFulfilled": True,
+            "supportStartDate": None,
+        }
+    ]
+    assert sent["c9"] == []

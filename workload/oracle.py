@@ -556,18 +556,6 @@ where action = 'update'
   and coalesce(cast(d_name as int) + cast(d_active as int) + cast(d_enabled as int) > 0, false)
 """
 
-SQL["disable_absent"] = """
-select 'disable' as action, x.id as target_id, x.code,
-       '{"id":"' || x.id || '","code":"' || x.code || '","name":"' || x.name
-       || '","geographicZone":{"id":"' || coalesce(x.geographiczoneid, 'Z-UNKNOWN')
-       || '"},"type":{"id":"' || x.typeid || '"},"active":'
-       || coalesce(cast(x.active as varchar), 'null')
-       || ',"enabled":false,"openLmisAccessible":false,"supportedPrograms":' || x.program_list
-       || '}' as payload
-from existing x
-where x.enabled and not exists (select 1 from valid_records r where r.code = x.code)
-"""
-
 SQL["changed_fields"] = """
 select id, any_change,
        concat_ws(',', case when d_name then 'name' end, case when d_active then 'active' end,
@@ -673,22 +661,7 @@ select distinct code, name, municipality, province from valid_records
 where municipality not in (select name from hierarchy where levelnumber = 3)
 """
 
-_RUN_ACTIONS = """
-select action, code, existing_id as target_id from decided where any_change
-"""
-
-SQL["import_run"] = f"""
-{_RUN_ACTIONS}
-union all
-select 'disable', x.code, x.id from in_facilities x
-where x.enabled and not exists (select 1 from in_records r where r.code = x.code)
-union all select 'create_province', code, null from new_provinces
-union all select 'create_municipality', code, null from new_municipalities
-union all select 'create_type', code, null from new_types
-union all select 'create_program', code, null from new_programs
-"""
-
-SQL["import_stream"] = f"""
+VIEWS["run_actions"] = f"""
 select action, code, existing_id as target_id,
        case action when 'create' then {_payload("true", "'[]'")}
             when 'update' then {_payload("true", "existing_programs")}
@@ -696,6 +669,32 @@ select action, code, existing_id as target_id,
 from decided where any_change
 """
 
+
+def _disabled(listed: str) -> str:
+    return f"""
+select 'disable' as action, x.code, x.id as target_id,
+       '{{"id":"' || x.id || '","code":"' || x.code || '","name":"' || x.name
+       || '","geographicZone":{{"id":"' || coalesce(x.geographiczoneid, 'Z-UNKNOWN')
+       || '"}},"type":{{"id":"' || x.typeid || '"}},"active":'
+       || coalesce(cast(x.active as varchar), 'null')
+       || ',"enabled":false,"openLmisAccessible":false,"supportedPrograms":' || x.program_list
+       || '}}' as payload
+from existing x
+where x.enabled and not exists (select 1 from {listed} r where r.code = x.code)
+"""
+
+
+SQL["disable_absent"] = _disabled("valid_records")
+SQL["import_stream"] = "select action, code, target_id, payload from run_actions"
+SQL["import_run"] = f"""
+select action, code, target_id, payload from run_actions
+union all {_disabled("in_records")}
+union all select 'create_province', code, null, null from new_provinces
+union all select 'create_municipality', code, null, null from new_municipalities
+union all select 'create_type', code, null, null from new_types
+union all select 'create_program', code, null, null from new_programs
+"""
+
 # --- report ---------------------------------------------------------------------
 
 VIEWS["lines"] = """

@@ -478,8 +478,12 @@ def import_run(spark: SparkSession, t: Tables) -> DataFrame:
         records(t), reference_tables(t), out, RULES, disable_missing=True, supplement=True,
         stage=True,
     )
+    facility = F.col("action").isin("create", "update", "disable")
     return spark.read.parquet(f"{out}/actions").select(
-        F.col("action").cast("string").alias("action"), "code", "target_id"
+        F.col("action").cast("string").alias("action"),
+        "code",
+        "target_id",
+        F.when(facility, F.col("payload")).alias("payload"),
     )
 
 
