@@ -3,5 +3,39 @@
 from __future__ import annotations
 
 
+# Rows of ``embeddings`` that take part, and for each query its best 20.
+_BEST = """
+with usable as (
+    select vec_id, {vector} as v
+    from embeddings
+    where vec_id is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0{more}
+),
+scored as (
+    select q.vec_id as query_id, c.vec_id as vec_id, {score} as score
+    from usable q join usable c on c.vec_id <> q.vec_id
+    where q.vec_id % 20 = 0
+),
+ranked as (
+    select query_id, row_number() over (partition by query_id order by score desc, vec_id) as rank,
+        vec_id, score
+    from scored
+)
+select query_id, cast(rank as integer) as rank, vec_id, score from ranked where rank <= 20
+"""
+
+_TOP_K = _BEST.format(
+    vector="list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint))",
+    more="",
+    score="cast(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) as bigint)",
+)
+
+_NEAREST = _BEST.format(
+    vector="cast(embedding as double[])",
+    more="\n      and len(list_filter(embedding, lambda x: x <> 0)) > 0",
+    score="list_inner_product(q.v, c.v)",
+)
+
+
 def statements() -> dict[str, str]:
-    return {}
+    return {"op2_exact_top_k": _TOP_K, "op4_nearest_neighbours": _NEAREST}

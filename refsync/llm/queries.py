@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from refsync.llm import packing, sharding, tokens
+from refsync.llm import neighbours, packing, sharding, tokens, topk
 from refsync.llm.common import table, tokenizer_path
 
 
@@ -12,6 +12,14 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(
         table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model")
@@ -27,6 +35,8 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_exact_top_k": op2_exact_top_k,
+    "op4_nearest_neighbours": op4_nearest_neighbours,
     "op7_token_counts": op7_token_counts,
     "op8_sharding": op8_sharding,
 }
