@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from refsync.llm import neighbours, packing, sharding, tokens, topk
+from refsync.llm import neighbours, packing, sharding, simhash, tokens, topk
 from refsync.llm.common import table, tokenizer_path
 
 
@@ -20,6 +20,10 @@ def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(
         table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model")
@@ -37,6 +41,7 @@ QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_exact_top_k": op2_exact_top_k,
     "op4_nearest_neighbours": op4_nearest_neighbours,
+    "op6_near_duplicates": op6_near_duplicates,
     "op7_token_counts": op7_token_counts,
     "op8_sharding": op8_sharding,
 }
