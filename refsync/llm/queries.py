@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from refsync.llm import neighbours, packing, sharding, simhash, tokens, topk
+from refsync.llm import language, mixing, neighbours, packing, sharding, simhash, tokens, topk
 from refsync.llm.common import table, tokenizer_path
 
 
@@ -16,10 +16,18 @@ def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -40,7 +48,9 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_exact_top_k": op2_exact_top_k,
+    "op3_language_id": op3_language_id,
     "op4_nearest_neighbours": op4_nearest_neighbours,
+    "op5_source_mix": op5_source_mix,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_token_counts": op7_token_counts,
     "op8_sharding": op8_sharding,
