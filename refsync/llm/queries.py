@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from refsync.llm import language, mixing, neighbours, packing, sharding, simhash, tokens, topk
+from refsync.llm import language, mixing, neighbours, packing, sharding, simhash, tokens, topk, toxicity
 from refsync.llm.common import table, tokenizer_path
 
 
@@ -45,6 +45,10 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_exact_top_k": op2_exact_top_k,
@@ -54,4 +58,5 @@ QUERIES = {
     "op6_near_duplicates": op6_near_duplicates,
     "op7_token_counts": op7_token_counts,
     "op8_sharding": op8_sharding,
+    "op10_toxicity": op10_toxicity,
 }
