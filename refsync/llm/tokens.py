@@ -17,7 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refsync.llm.common import new_shared_path, python_tasks, text_of
+from refsync.llm.common import materialize, new_shared_path, python_tasks, text_of
 
 CACHE_SCHEMA = "tokenizer binary, content binary, n_tokens long"
 LIMIT = 4096
@@ -140,9 +140,9 @@ def token_counts(
         F.octet_length(body).cast("long").alias("n_bytes"),
         content_digest(body).alias("content"),
     )
-    return asked.join(
-        read_cache(spark, cache, tokenizer_digest(tokenizer)), "content", "left"
-    ).select(
+    # Stored, so that the join sees it as a plain table and splits a hot digest.
+    known = materialize(read_cache(spark, cache, tokenizer_digest(tokenizer)), "token-counts")
+    return asked.join(known, "content", "left").select(
         "doc_id",
         "n_bytes",
         "n_tokens",
