@@ -37,7 +37,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def python_tasks(spark: SparkSession) -> None:
-    """Send the package to the Python workers, and let batches of whole texts stay small."""
+    """Send the package to the Python workers, and let batches of whole texts stay small.
+
+    The number of partitions that a scan aims for is fixed too. Otherwise it
+    follows the executors at hand, and two scans of a file may be cut
+    differently if some are lost in between.
+    """
     context = spark.sparkContext
     if not any(name.startswith("refsync-") for name in map(_file_name, context.listFiles)):
         root = Path(__file__).resolve().parents[2]
@@ -46,6 +51,8 @@ def python_tasks(spark: SparkSession) -> None:
         context.addPyFile(zipped)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set("spark.sql.files.minPartitionNum", context.defaultParallelism)
 
 
 def _file_name(path: str) -> str:

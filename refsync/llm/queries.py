@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from refsync.llm import language, mixing, neighbours, packing, sharding, simhash, tokens, topk, toxicity
+from refsync.llm import language, lm, mixing, neighbours, packing, sharding, simhash, tokens, topk, toxicity
 from refsync.llm.common import table, tokenizer_path
 
 
@@ -45,6 +45,12 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.cross_entropy_difference(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -58,5 +64,6 @@ QUERIES = {
     "op6_near_duplicates": op6_near_duplicates,
     "op7_token_counts": op7_token_counts,
     "op8_sharding": op8_sharding,
+    "op9_cross_entropy": op9_cross_entropy,
     "op10_toxicity": op10_toxicity,
 }
