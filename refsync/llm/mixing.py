@@ -305,4 +305,4 @@ def mixture(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     repeated = found.where("copies > 0").select(
         row, F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))
     )
-    return repeated.select(*(F.col(row)[name].alias(name) for name in docs.columns))
+    return repeated.select(f"{row}.*")

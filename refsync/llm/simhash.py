@@ -469,11 +469,7 @@ def one_of_each(
     pairs = links(nodes, columns, max_bits, stars=False)
     found = node_components(nodes, similar_pairs(pairs, nodes, similarity))
     mark = free_name(docs.columns, "identity")
-    kept = materialize(found.select(F.col("component.identity").alias(mark)).distinct(), "kept")
+    kept = materialize(found.select(F.col("component.identity").alias("kept")).distinct(), "kept")
     # Copies with the same key fall together on the map side, before texts are shuffled.
-    return (
-        docs.withColumn(mark, identity)
-        .dropDuplicates([mark])
-        .join(kept, mark, "left_semi")
-        .select(*docs.columns)
-    )
+    distinct = docs.withColumn(mark, identity).dropDuplicates([mark])
+    return distinct.join(kept, distinct[mark] == kept["kept"], "left_semi").drop(mark)
