@@ -190,37 +190,17 @@ def mix_plan(
             (F.first("room") - F.first("before")).alias("left"),
         )
     )
-    # The smallest document passed over closes the gap if that brings the words nearer.
-    nothing = F.lit(None).cast("struct<n:bigint,key:bigint>")
-    taken = F.aggregate(
-        "items",
-        F.struct(
-            F.col("left").cast("double").alias("left"),
-            F.array().cast("array<bigint>").alias("picks"),
-            nothing.alias("over"),
-        ),
-        lambda state, item: F.when(
-            item["n"] <= state["left"],
-            F.struct(
-                (state["left"] - item["n"]).alias("left"),
-                F.array_append(state["picks"], item["key"]).alias("picks"),
-                state["over"].alias("over"),
-            ),
-        ).otherwise(
-            F.struct(
-                state["left"].alias("left"),
-                state["picks"].alias("picks"),
-                F.least(
-                    state["over"], F.struct(item["n"].alias("n"), item["key"].alias("key"))
-                ).alias("over"),
-            )
-        ),
-        lambda state: F.when(
-            state["over"]["n"] < 2 * state["left"],
-            F.array_append(state["picks"], state["over"]["key"]),
-        ).otherwise(state["picks"]),
+    # Two ways to meet the words: take what fits in order of rank, or take all and leave out
+    # what is too much, from the last rank on. The nearer one counts.
+    total = F.aggregate("items", F.lit(0).cast("long"), lambda n, item: n + item["n"])
+    taken = _fitting(F.col("items"), F.col("left"))
+    left_out = _fitting(F.reverse("items"), total - F.col("left"))
+    others = F.filter(
+        F.transform("items", lambda item: item["key"]),
+        lambda key: ~F.array_contains(left_out["keys"], key),
     )
-    picked = last.select("source", "cut", taken.alias("picks"))
+    nearer = F.when(F.abs(taken["gap"]) <= F.abs(left_out["gap"]), taken["keys"]).otherwise(others)
+    picked = last.select("source", "cut", nearer.alias("picks"))
     return materialize(
         planned.alias("p")
         .join(picked.alias("c"), F.col("p.source").eqNullSafe(F.col("c.source")), "left")
@@ -229,6 +209,43 @@ def mix_plan(
     )
 
 
+def _fitting(items: Column, room: Column) -> Column:
+    """``keys`` of the items that fit into ``room`` words in their order, and the ``gap`` left.
+
+    The smallest item passed over is added if that brings the words nearer.
+    """
+    nothing = F.lit(None).cast("struct<n:bigint,key:bigint>")
+    start = F.struct(
+        room.cast("double").alias("gap"),
+        F.array().cast("array<bigint>").alias("keys"),
+        nothing.alias("over"),
+    )
+
+    def step(state: Column, item: Column) -> Column:
+        fits = F.struct(
+            (state["gap"] - item["n"]).alias("gap"),
+            F.array_append(state["keys"], item["key"]).alias("keys"),
+            state["over"].alias("over"),
+        )
+        this = F.struct(item["n"].alias("n"), item["key"].alias("key"))
+        passed = F.struct(
+            state["gap"].alias("gap"),
+            state["keys"].alias("keys"),
+            F.least(state["over"], this).alias("over"),
+        )
+        return F.when(item["n"] <= state["gap"], fits).otherwise(passed)
+
+    def end(state: Column) -> Column:
+        closed = F.struct(
+            (state["gap"] - state["over"]["n"]).alias("gap"),
+            F.array_append(state["keys"], state["over"]["key"]).alias("keys"),
+        )
+        plain = F.struct(state["gap"].alias("gap"), state["keys"].alias("keys"))
+        return F.when(state["over"]["n"] < 2 * state["gap"], closed).otherwise(plain)
+
+    return F.aggregate(items, start, step, end)
+
+
 def _within(ranked: DataFrame, found: DataFrame, part: str) -> DataFrame:
     """The rows of the ``part`` found for their source, with the words ``before`` it."""
     other = found.select(

@@ -1,0 +1,116 @@
+import re
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from refsync.llm import mixing
+
+
+def words(text):
+    return len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+
+
+def targets(sizes, weights=(5, 2, 1), share=1.5, limit=2):
+    """Plain version: fix the sources that would exceed their limit, divide the rest again."""
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + (
+        [None] if None in sizes else []
+    )
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    full, whole = set(), share * sum(sizes.values())
+    while True:
+        rest = whole - sum(limit * sizes[s] for s in full)
+        total = sum(weight[s] for s in names if s not in full)
+        level = rest / total if total else 0
+        more = {s for s in names if s not in full and weight[s] * level > limit * sizes[s]}
+        if not more:
+            return {s: limit * sizes[s] if s in full else weight[s] * level for s in names}
+        full |= more
+
+
+def check(docs, rows, near):
+    sizes, taken, target = defaultdict(int), defaultdict(int), {}
+    source_of = defaultdict(set)
+    for d in docs:
+        sizes[d.source] += words(d.text)
+        source_of[d.doc_id, words(d.text)].add(d.source)
+    expected = targets(sizes)
+    assert len(rows) == len(docs)
+    for r in rows:
+        (source,) = source_of[r.doc_id, r["size"]]
+        assert r.source_size == sizes[source]
+        assert r.target == pytest.approx(expected[source], rel=1e-9)
+        assert r.taken % max(1, r["size"]) == 0 and r.taken <= 2 * r["size"]
+        taken[source] += r.taken
+        target[source] = r.target
+    for source in sizes:
+        assert abs(taken[source] - target[source]) <= near * max(1, target[source])
+
+
+def test_awkward_documents(spark, awkward):
+    rows = mixing.mixed(awkward).collect()
+    assert len(rows) == awkward.count()
+    docs = awkward.collect()
+    sizes = defaultdict(int)
+    for d in docs:
+        sizes[d.source] += words(d.text)
+    expected = targets(sizes)
+    by_id = {(d.doc_id, words(d.text)): d.source for d in docs}
+    for r in rows:
+        source = by_id[r.doc_id, r["size"]]
+        assert r.source_size == sizes[source]
+        assert r.target == pytest.approx(expected[source], rel=1e-9)
+        assert r.taken <= 2 * r["size"] and (r["size"] or not r.taken)
+
+
+def test_words_come_near_the_targets(spark, sample):
+    check(sample.select("doc_id", "text", "source").collect(), mixing.mixed(sample).collect(), 0.25)
+    few = sample.withColumn("source", F.concat(F.lit("s"), (F.col("doc_id") % 3).cast("string")))
+    check(few.select("doc_id", "text", "source").collect(), mixing.mixed(few).collect(), 0.02)
+
+
+def test_many_bins_and_groups(spark, sample, monkeypatch):
+    monkeypatch.setattr(mixing, "PER_BIN", 4)
+    monkeypatch.setattr(mixing, "BINS_PER_GROUP", 3)
+    few = sample.withColumn("source", F.concat(F.lit("s"), (F.col("doc_id") % 3).cast("string")))
+    check(few.select("doc_id", "text", "source").collect(), mixing.mixed(few).collect(), 0.15)
+
+
+def test_reruns_agree(spark, sample):
+    assert sorted(mixing.mixed(sample).collect()) == sorted(
+        mixing.mixed(sample.repartition(3)).collect()
+    )
+
+
+def test_inclusion_odds_are_unequal(spark):
+    """Fragments are sampled less often than longer texts of the same source."""
+    docs = spark.range(3000).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 2 == 0, F.repeat(F.lit("w "), F.lit(5)))
+        .otherwise(F.repeat(F.lit("w "), F.lit(60)))
+        .alias("text"),
+        F.when(F.col("id") < 2000, "a").otherwise("b").alias("source"),
+    )
+    rows = [r for r in mixing.mixed(docs).collect() if 1 < r.target / r.source_size < 2]
+    short = [r.taken > r["size"] for r in rows if r["size"] == 5]
+    long = [r.taken > r["size"] for r in rows if r["size"] == 60]
+    assert len(short) > 300 and sum(short) / len(short) < 0.7 * sum(long) / len(long)
+
+
+def test_mixture_repeats_whole_rows(spark, awkward):
+    taken = {(r.doc_id, r["size"]): r.taken for r in mixing.mixed(awkward).collect()}
+    rows = mixing.mixture(awkward).collect()
+    assert mixing.mixture(awkward).columns == awkward.columns
+    copies = defaultdict(int)
+    for r in rows:
+        copies[r.doc_id, words(r.text)] += 1
+    present = defaultdict(int)
+    for d in awkward.collect():
+        present[d.doc_id, words(d.text)] += 1
+    for (doc_id, size), total in taken.items():
+        assert copies[doc_id, size] * size == total * present[doc_id, size] or not size
+
+
+def test_empty_table(spark, nothing):
+    assert mixing.mixed(nothing).collect() == []
+    assert mixing.mixture(nothing).collect() == []

@@ -1,0 +1,81 @@
+import zlib
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from refsync.llm import toxicity
+
+
+def held_out(doc_id):
+    return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % 5 == 0
+
+
+def test_held_out_quality(spark):
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    rows = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out").collect()
+    toxic = [r.predicted for r in rows if r.toxic]
+    ordinary = [r.predicted for r in rows if not r.toxic]
+    assert sum(toxic) / len(toxic) > 0.8
+    assert sum(ordinary) / len(ordinary) < 0.01
+
+
+def labels_of(spark, pairs):
+    return spark.createDataFrame(pairs, "doc_id long, quality int, toxic int, body string")
+
+
+def test_awkward_documents(spark, awkward):
+    labels = labels_of(
+        spark,
+        [(1, 1, 0, "b"), (2, 1, 1, "b"), (2, 1, 0, "b"), (3, 1, 1, "b"), (6, 1, 0, "b"),
+         (7, 1, None, "b"), (None, 1, 1, "b"), (99, 0, 1, "b")],
+    )
+    rows = toxicity.toxicity(awkward, labels).collect()
+    assert sorted((r.doc_id for r in rows), key=repr) == sorted(
+        (r.doc_id for r in awkward.collect()), key=repr
+    )
+    for r in rows:
+        assert r.held_out == held_out(r.doc_id)
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5)
+
+
+def test_without_labels_or_rows(spark, awkward, nothing):
+    none = labels_of(spark, [])
+    assert {r.predicted for r in toxicity.toxicity(awkward, none).collect()} == {0}
+    assert toxicity.toxicity(nothing, none).collect() == []
+
+
+def test_filter_keeps_columns(spark, awkward):
+    kept = toxicity.ordinary_documents(awkward, labels_of(spark, []))
+    assert kept.columns == awkward.columns and kept.count() == awkward.count()
+
+
+def test_probabilities_of_a_model_add_up():
+    """Discounted counts and what the shared distribution gets make one."""
+    draw = np.random.default_rng(0)
+    counts = draw.poisson(0.01, toxicity.BUCKETS).astype(float)
+    other = draw.poisson(0.05, toxicity.BUCKETS).astype(float)
+    shared = counts + other + 0.5
+    shared /= shared.sum()
+    expected = counts.sum() * shared
+    chance = np.maximum(
+        toxicity.LEAST_DISCOUNT, expected + toxicity.DEVIATIONS * np.sqrt(expected)
+    )
+    p = np.maximum(counts - chance, 0) / counts.sum()
+    p += np.minimum(counts, chance).sum() / counts.sum() * shared
+    assert abs(p.sum() - 1) < 1e-9
+
+
+def test_marked_words_decide(spark):
+    """An insult that only toxic rows hold is found in any length of ordinary text."""
+    rows = []
+    draw = np.random.default_rng(5)
+    for i in range(600):
+        text = " ".join(f"w{j}" for j in draw.integers(0, 200, 20 + i % 60))
+        rows.append((i, text + " insult, scoundrel" if i % 6 == 0 else text))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 6 == 0).cast("int").alias("toxic"))
+    found = {r.doc_id: r.predicted for r in toxicity.toxicity(docs, labels).collect()}
+    wrong = [i for i, predicted in found.items() if predicted != int(i % 6 == 0)]
+    assert len(wrong) <= 6
