@@ -51,6 +51,12 @@ PRIOR_WORDS = 10
 LEAST_DISCOUNT = 0.75
 DEVIATIONS = 5.0
 _MASK = np.uint64(BUCKETS - 1)
+_BLOOM_FILTER = {
+    "enabled": "true",
+    "applicationSideScanSizeThreshold": "0",
+    "expectedNumItems": "4000000",
+    "numBits": "67108864",
+}
 _COUNTS = ["ordinary0", "toxic0", "ordinary1", "toxic1"]
 
 
@@ -107,6 +113,10 @@ def labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str
     counts as toxic. Labels are made unique and stored first, so that a hot
     document id is split by the re-plan.
     """
+    # Most documents may have no label: a Bloom filter of the labelled ids, of 8 MB at most,
+    # keeps their texts out of the shuffle. Spark adds it to joins on selective sides.
+    for name, value in _BLOOM_FILTER.items():
+        docs.sparkSession.conf.set(f"spark.sql.optimizer.runtime.bloomFilter.{name}", value)
     known = materialize(
         labels.where(F.col(label).isNotNull() & F.col(key).isNotNull())
         .groupBy(F.col(key).alias("label_id"))
@@ -118,7 +128,8 @@ def labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str
         text_of(text).alias("body"),
         F.pmod(F.floor(F.crc32(F.col(key).cast("string")) / 5), F.lit(2)).cast("int").alias("half"),
     )
-    return rows.join(known, F.col("id") == F.col("label_id")).select("body", "toxic", "half")
+    selected = known.where(F.col("toxic").isin(0, 1))
+    return rows.join(selected, F.col("id") == F.col("label_id")).select("body", "toxic", "half")
 
 
 def counts_of(rows: DataFrame) -> list[np.ndarray]:
