@@ -168,22 +168,44 @@ def bucket_keys(values: np.ndarray, max_bits: int, which: int = 0) -> list[np.nd
     ]
 
 
+def few_pairs(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of linked rows: each row with its nearest one, and with the least row of its component."""
+    if not len(a):
+        return a, b
+    apart = np.bitwise_count(values[a] ^ values[b])
+    ends, others = np.concatenate([a, b]), np.concatenate([b, a])
+    order = np.lexsort((others, np.concatenate([apart, apart]), ends))
+    which, first = np.unique(ends[order], return_index=True)
+    nearest = others[order][first]
+    low = a.min()
+    span = max(a.max(), b.max()) + 1 - low
+    least = merged(np.arange(span), a - low, b - low)[which - low] + low
+    off = which != least
+    return np.concatenate([which, which[off]]), np.concatenate([nearest, least[off]])
+
+
 def close_pairs(
-    keys: np.ndarray, values: np.ndarray, max_bits: int
+    keys: np.ndarray, values: np.ndarray, max_bits: int, labels: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
     """Rows of equal key whose values lie within ``max_bits``.
 
-    Of runs longer than ``SQUARE_RUN`` only as many pairs as connect them.
+    With ``labels`` all pairs whose labels differ. Without, runs longer than
+    ``SHORT_RUN`` report a few pairs per row, which connect what is linked.
     """
     starts = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1])
     lengths = np.diff(np.concatenate([starts, [len(keys)]]))
     left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     table = np.bitwise_count(values[:, None] ^ PIVOTS).astype(np.int8)
 
-    def verified(a: np.ndarray, b: np.ndarray) -> None:
+    def verified(a: np.ndarray, b: np.ndarray, few: bool) -> None:
         near = np.bitwise_count(values[a] ^ values[b]) <= max_bits
-        left.append(a[near])
-        right.append(b[near])
+        if labels is not None:
+            near &= labels[a] != labels[b]
+        a, b = a[near], b[near]
+        if few and labels is None:
+            a, b = few_pairs(values, a, b)
+        left.append(a)
+        right.append(b)
 
     short = np.repeat(lengths <= SHORT_RUN, lengths)
     room = np.repeat(starts + lengths, lengths) - np.arange(len(keys)) - 1
@@ -195,7 +217,7 @@ def close_pairs(
         for pivot in range(len(PIVOTS)):
             kept = np.abs(table[a, pivot] - table[b, pivot]) <= max_bits
             a, b = a[kept], b[kept]
-        verified(a, b)
+        verified(a, b, False)
     for start, length in zip(
         starts[lengths > SHORT_RUN].tolist(), lengths[lengths > SHORT_RUN].tolist(), strict=True
     ):
@@ -205,9 +227,12 @@ def close_pairs(
             for line in run[1:]:
                 kept &= _within(line, line, max_bits)
             a, b = np.nonzero(np.triu(kept, 1))
-            verified(a + start, b + start)
+            verified(a + start, b + start, True)
         else:
-            a, b = _long_run(values[start : start + length], run, max_bits)
+            part = slice(start, start + length)
+            a, b = _long_run(
+                values[part], run, max_bits, None if labels is None else labels[part]
+            )
             left.append(a + start)
             right.append(b + start)
     return np.concatenate(left), np.concatenate(right)
@@ -219,17 +244,17 @@ def _within(rows: np.ndarray, columns: np.ndarray, max_bits: int) -> np.ndarray:
 
 
 def _long_run(
-    values: np.ndarray, table: np.ndarray, max_bits: int
+    values: np.ndarray, table: np.ndarray, max_bits: int, labels: np.ndarray | None
 ) -> tuple[np.ndarray, np.ndarray]:
     """Tiles of rows, sorted by the first pivot's distance so that far ones never meet.
 
-    Reports for every row the least row of its component, and one row that it is
-    within ``max_bits`` of.
+    Reports, without ``labels``, for every row the least row of its component and
+    some row that it is within ``max_bits`` of; else all pairs of other labels.
     """
     order = np.argsort(table[0], kind="stable")
     turned = table[:, order]
     count = len(order)
-    roots = np.arange(count)
+    roots = np.arange(count) if labels is None else labels[order]
     left, right = [], []
     for start in range(0, count, TILE):
         rows = np.arange(start, min(start + TILE, count))
@@ -243,16 +268,20 @@ def _long_run(
             x, y = rows[x], columns[y]
             near = np.bitwise_count(values[order[x]] ^ values[order[y]]) <= max_bits
             x, y = x[near], y[near]
-            if len(x):
+            if labels is not None:
+                left.append(order[x])
+                right.append(order[y])
+            elif len(x):
                 for ends, others in ((x, y), (y, x)):
                     which, first = np.unique(ends, return_index=True)
                     left.append(order[which])
                     right.append(order[others[first]])
                 roots = merged(roots, x, y)
-    least = np.full(count, count)
-    np.minimum.at(least, roots, order)
-    left.append(order)
-    right.append(least[roots])
+    if labels is None:
+        least = np.full(count, count)
+        np.minimum.at(least, roots, order)
+        left.append(order)
+        right.append(least[roots])
     a, b = np.concatenate(left), np.concatenate(right)
     return a[a != b], b[a != b]
 
@@ -275,26 +304,35 @@ def merged(roots: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def links(
-    nodes: DataFrame, columns: list[str], max_bits: int, stars: bool, bucket: int = BUCKET
+    nodes: DataFrame,
+    columns: list[str],
+    max_bits: int,
+    stars: bool = False,
+    labelled: bool = False,
+    bucket: int = BUCKET,
 ) -> DataFrame:
     """Pairs (``a``, ``b``) of ``node`` that are within ``max_bits`` in one of ``columns``.
 
-    With ``stars`` only as many as connect what is linked; else all pairs, except
-    in buckets beyond ``SQUARE_RUN``.
+    With ``stars`` as many as connect what is linked, and a few more without.
+    ``labelled`` nodes have a ``label``, and all pairs of different labels count.
     """
+    extra = ["label"] if labelled else []
+    fields = ["value", "node", *extra]
+    kinds = ", ".join(f"{name} long" for name in fields)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for which, name in enumerate(columns):
                 column = batch.column(name)
                 values = column.to_numpy().astype(np.int64).view(np.uint64)
+                others = [batch.column(other) for other in ("node", *extra)]
                 for keys in bucket_keys(values, max_bits, which):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys), column, batch.column("node")], ["key", "value", "node"]
+                        [pa.array(keys), column, *others], ["key", *fields]
                     )
 
-    spread_out = nodes.select(*dict.fromkeys(["node", *columns])).mapInArrow(
-        spread, "key long, value long, node long"
+    spread_out = nodes.select(*dict.fromkeys(["node", *columns, *extra])).mapInArrow(
+        spread, f"key long, {kinds}"
     )
     hot = materialize(
         spread_out.groupBy("key")
@@ -314,18 +352,18 @@ def links(
         tile = F.least("own", "other") * F.lit(1 << 31) + F.greatest("own", "other")
         tiled = (
             spread_out.join(hot, "key", "left")
-            .select("key", "value", "node", own.alias("own"), F.explode(others).alias("other"))
+            .select("key", *fields, own.alias("own"), F.explode(others).alias("other"))
             .withColumn("tile", F.when(F.col("other").isNull(), F.lit(0)).otherwise(tile))
-            .select("key", "value", "node", F.col("tile").cast("long").alias("tile"))
+            .select("key", *fields, F.col("tile").cast("long").alias("tile"))
         )
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def report(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            key, tile, value, node = np.concatenate(parts, axis=1)
+            key, tile, value, node, *label = np.concatenate(parts, axis=1)
             # Rows come sorted, so a change of key or tile is a new run.
             runs = np.zeros(len(key), np.int64)
             runs[1:] = np.cumsum((np.diff(key) != 0) | (np.diff(tile) != 0))
-            a, b = close_pairs(runs, value.view(np.uint64), max_bits)
+            a, b = close_pairs(runs, value.view(np.uint64), max_bits, *label)
             if stars and len(a):
                 roots = merged(np.arange(len(node)), a, b)
                 a = np.flatnonzero(roots != np.arange(len(node)))
@@ -343,7 +381,7 @@ def links(
             if not batch.num_rows:
                 continue
             part = np.stack(
-                [batch.column(name).to_numpy() for name in ("key", "tile", "value", "node")]
+                [batch.column(name).to_numpy() for name in ("key", "tile", *fields)]
             )
             changes = np.flatnonzero((np.diff(part[:2], axis=1) != 0).any(axis=0)) + 1
             cut = int(changes[-1]) if len(changes) else 0
@@ -379,16 +417,44 @@ def similar_pairs(pairs: DataFrame, nodes: DataFrame, similarity: float) -> Data
             ]
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
-    proposed = materialize(pairs.distinct(), "proposed")
     known = nodes.select("node", "sketch")
     return (
-        proposed.join(known.toDF("a", "x"), "a")
+        pairs.join(known.toDF("a", "x"), "a")
         .join(known.toDF("b", "y"), "b")
         .select("a", "b", "x", "y")
         .mapInArrow(verify, "a long, b long")
     )
 
 
+def similar_links(
+    nodes: DataFrame, columns: list[str], max_bits: int, similarity: float
+) -> DataFrame:
+    """Verified links that connect all similar texts that are ``max_bits`` apart.
+
+    A large group of near-copies has far more pairs than it takes to connect it.
+    So a first pass verifies a few pairs per text. A second pass takes the texts
+    that had any, and verifies all pairs that the first one left unconnected.
+    """
+    proposed = materialize(links(nodes, columns, max_bits).distinct(), "proposed")
+    found = materialize(similar_pairs(proposed, nodes, similarity), "similar")
+    roots = materialize(components(found), "components")
+    touched = proposed.select(F.col("a").alias("node")).unionAll(
+        proposed.select(F.col("b").alias("node"))
+    )
+    again = materialize(
+        nodes.select(*dict.fromkeys(["node", *columns]))
+        .join(materialize(touched.distinct(), "touched"), "node")
+        .join(roots, "node", "left")
+        .withColumn("label", F.coalesce("root", "node"))
+        .drop("root"),
+        "again",
+    )
+    rest = materialize(
+        links(again, columns, max_bits, labelled=True).distinct(), "proposed"
+    ).join(proposed, ["a", "b"], "left_anti")
+    return found.unionAll(similar_pairs(materialize(rest, "rest"), nodes, similarity))
+
+
 def node_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``node`` and ``component``: the least ``first`` of the nodes connected with it."""
     roots = materialize(components(edges), "components")
@@ -466,8 +532,7 @@ def one_of_each(
         ),
         "nodes",
     )
-    pairs = links(nodes, columns, max_bits, stars=False)
-    found = node_components(nodes, similar_pairs(pairs, nodes, similarity))
+    found = node_components(nodes, similar_links(nodes, columns, max_bits, similarity))
     mark = free_name(docs.columns, "identity")
     kept = materialize(found.select(F.col("component.identity").alias("kept")).distinct(), "kept")
     # Copies with the same key fall together on the map side, before texts are shuffled.

@@ -82,7 +82,7 @@ def linked(spark, values, bucket):
     nodes = spark.createDataFrame(
         [(int(np.uint64(v).astype(np.int64)),) for v in values], "node long"
     )
-    pairs = simhash.links(nodes, ["node"], 4, True, bucket)
+    pairs = simhash.links(nodes, ["node"], 4, stars=True, bucket=bucket)
     found = simhash.components(pairs).collect()
     root = {r.node % (1 << 64): r.root % (1 << 64) for r in found}
     classes = defaultdict(set)
@@ -119,6 +119,31 @@ def test_runs_of_every_length(monkeypatch, short, square, tile):
     assert (roots == simhash.merged(np.arange(len(values)), x, y)).all()
 
 
+@pytest.mark.parametrize("short, square", [(16, 512), (2, 512), (2, 3)])
+def test_all_pairs_of_different_labels(monkeypatch, short, square):
+    monkeypatch.setattr(simhash, "SHORT_RUN", short)
+    monkeypatch.setattr(simhash, "SQUARE_RUN", square)
+    monkeypatch.setattr(simhash, "TILE", 7)
+    values = np.array(groups(9, 12, 12), np.uint64)
+    draw = np.random.default_rng(2)
+    keys, labels = np.sort(draw.integers(0, 4, len(values))), draw.integers(0, 5, len(values))
+    a, b = simhash.close_pairs(keys, values, 4, labels)
+    near = (np.bitwise_count(values[:, None] ^ values) <= 4) & (keys[:, None] == keys)
+    near &= labels[:, None] != labels
+    assert set(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist())) == set(
+        zip(*(x.tolist() for x in np.nonzero(np.triu(near, 1))))
+    )
+
+
+def test_a_group_of_copies_has_few_pairs():
+    draw = random.Random(4)
+    base = draw.getrandbits(64)
+    values = sorted({base ^ (1 << draw.randrange(64)) ^ (1 << draw.randrange(64)) for _ in range(400)})
+    a, b = simhash.close_pairs(np.zeros(len(values), np.int64), np.array(values, np.uint64), 4)
+    assert len(a) <= 2 * len(values)
+    assert len(set(simhash.merged(np.arange(len(values)), a, b))) == 1
+
+
 def test_one_of_each(spark):
     draw = random.Random(2)
     words = [f"w{i}" for i in range(5000)]
