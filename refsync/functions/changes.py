@@ -1,80 +1,70 @@
-"""Comparison of a facility payload with the one it would replace."""
+"""What counts as a change between a facility payload and the one it would replace."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A comparison takes the new and the old payload and flags a difference.
-Comparison = Callable[[Column, Column], Column]
 
+@dataclass(frozen=True)
+class Watched:
+    """A payload field whose value is watched.
 
-def never() -> Comparison:
-    return lambda new, old: F.lit(False)
-
-
-def differs(field: str, null_safe: bool = False) -> Comparison:
-    """The field has another value.
-
-    Unless ``null_safe``, a null on either side makes the answer unknown.
+    ``unless`` is the id of an object that is only assumed where the record
+    knows none: a reference to it must not replace what was assigned by hand.
+    ``reference`` fields have such an id, null if none is configured.
     """
 
-    def compare(new: Column, old: Column) -> Column:
-        return _unequal(new[field], old[field], null_safe)
+    field: str
+    reference: bool = False
+    unless: str | None = None
 
-    return compare
 
+# Programs are kept up by other means and never make a facility differ.
+PLAIN_FIELDS = ("name", "code", "active", "enabled", "openLmisAccessible")
 
-def differs_beyond_fallback(
-    field: str, fallback: str | None, null_safe: bool = False
-) -> Comparison:
-    """The referenced object is another one, and not just the fallback.
 
-    A facility that only gets the fallback because its own value is unknown
-    must not overwrite what was assigned by hand.
-    """
+def watched_fields(
+    fallback_zone: str | None = None, fallback_type: str | None = None
+) -> tuple[Watched, ...]:
+    references = {"geographicZone": fallback_zone, "type": fallback_type}
+    return (
+        *map(Watched, PLAIN_FIELDS),
+        *(Watched(field, True, unless) for field, unless in references.items()),
+    )
 
-    def compare(new: Column, old: Column) -> Column:
-        assigned = _unequal(new[field]["id"], F.lit(fallback), null_safe)
-        return _unequal(new[field], old[field], null_safe) & assigned
 
-    return compare
+def differences(
+    new: Column, old: Column, watched: Sequence[Watched], null_safe: bool = False
+) -> Column:
+    """``array<struct<field, differs>>``, one entry per watched field.
 
+    Unless ``null_safe``, a null on either side makes ``differs`` unknown.
+    """
 
-def default_comparisons(
-    fallback_zone: str | None = None, fallback_type: str | None = None, null_safe: bool = False
-) -> dict[str, Comparison]:
-    return {
-        "supportedPrograms": never(),
-        "name": differs("name", null_safe),
-        "code": differs("code", null_safe),
-        "active": differs("active", null_safe),
-        "enabled": differs("enabled", null_safe),
-        "openLmisAccessible": differs("openLmisAccessible", null_safe),
-        "geographicZone": differs_beyond_fallback("geographicZone", fallback_zone, null_safe),
-        "type": differs_beyond_fallback("type", fallback_type, null_safe),
-    }
+    def unequal(left: Column, right: Column) -> Column:
+        return ~left.eqNullSafe(right) if null_safe else left != right
 
+    def entry(watch: Watched) -> Column:
+        differs = unequal(new[watch.field], old[watch.field])
+        if watch.reference:
+            differs = differs & unequal(new[watch.field]["id"], F.lit(watch.unless))
+        return F.struct(F.lit(watch.field).alias("field"), differs.alias("differs"))
 
-def any_change(new: Column, old: Column, comparisons: Mapping[str, Comparison]) -> Column:
-    """True if a comparison holds and none of them is unknown."""
-    flags = [compare(new, old) for compare in comparisons.values()]
-    if not flags:
-        return F.lit(False)
-    known, found = F.lit(True), F.lit(False)
-    for flag in flags:
-        known = known & flag.isNotNull()
-        found = found | flag
-    return F.coalesce(known & found, F.lit(False))
+    if not watched:
+        return F.array().cast("array<struct<field:string,differs:boolean>>")
+    return F.array(*map(entry, watched))
 
 
-def changed_fields(new: Column, old: Column, comparisons: Mapping[str, Comparison]) -> Column:
-    """Names of the fields whose comparison holds, also where others are unknown."""
-    named = [F.when(compare(new, old), F.lit(field)) for field, compare in comparisons.items()]
-    return F.array_compact(F.array(*named)) if named else F.array().cast("array<string>")
+def any_change(found: Column) -> Column:
+    """True if a field differs and of none it is unknown."""
+    unknown = F.exists(found, lambda entry: entry["differs"].isNull())
+    return ~unknown & F.exists(found, lambda entry: F.coalesce(entry["differs"], F.lit(False)))
 
 
-def _unequal(left: Column, right: Column, null_safe: bool) -> Column:
-    return ~left.eqNullSafe(right) if null_safe else left != right
+def changed_fields(found: Column) -> Column:
+    """Names of the fields that differ, also where others are unknown."""
+    return F.transform(F.filter(found, lambda entry: entry["differs"]), lambda e: e["field"])

@@ -13,8 +13,8 @@ COORDINATE = r"^-?\d+(\.\d+)?$"
 # Fixed value: wall-clock time with a literal Z.
 ISO_TIME = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
-# Letters and signs written with several plain characters, or
-# that Unicode does not decompose into a plain letter and marks.
+# Letters and signs that Unicode does not decompose, as they are
+# written in ASCII.
 SPELLED_OUT = {
     "ß": "ss",
     "æ": "ae",
@@ -27,8 +27,6 @@ SPELLED_OUT = {
     "—": "--",
     "…": "...",
     "€": "EUR",
-}
-PLAIN = {
     "ø": "o",
     "đ": "d",
     "ð": "d",
@@ -36,8 +34,6 @@ PLAIN = {
     "ł": "l",
     "ŧ": "t",
     "ı": "i",
-    "ª": "a",
-    "º": "o",
     "¿": "?",
     "¡": "!",
     "‘": "'",
@@ -45,43 +41,79 @@ PLAIN = {
     "“": '"',
     "”": '"',
     "–": "-",
-    " ": " ",
+    "⁄": "/",
+    " ": " ",
 }
 
-# Blocks of accented Latin letters, and the combining marks.
-_LATIN = [*range(0x00C0, 0x0250), *range(0x1E00, 0x1F00)]
-_MARKS = range(0x0300, 0x0370)
-
 
-def _translation() -> tuple[str, str]:
-    """Lower-case accented letters with their base letters, then the marks to drop.
+# Fixed value: Unicode has no character beyond that decomposes to ASCII.
+_LAST = 0x1FBFF
 
-    The base letter is the first character of the canonical decomposition.
-    """
-    plain = dict(PLAIN)
-    for code in _LATIN:
-        letter = chr(code)
-        base = unicodedata.normalize("NFD", letter)[0]
-        if letter == letter.lower() and base != letter and base.isascii():
-            plain[letter] = base
-    return "".join(plain) + "".join(map(chr, _MARKS)), "".join(plain.values())
 
+def _ascii_forms() -> dict[str, str]:
+    """ASCII form of every lower-case character that has one; combining marks have none left.
 
-_ACCENTED, _BASE = _translation()
+    The form is the compatibility decomposition without its marks, which covers
+    accented letters, raised digits, fractions, ligatures, full-width letters
+    and the like. Other scripts have no ASCII form and pass through.
+    """
+    forms = dict(SPELLED_OUT)
+    for code in range(0x80, _LAST + 1):
+        sign = chr(code)
+        if unicodedata.category(sign) == "Cs" or sign != sign.lower() or sign in forms:
+            continue
+        if unicodedata.combining(sign):
+            if code < 0x0370:
+                forms[sign] = ""
+            continue
+        parts = unicodedata.normalize("NFKD", sign).lower()
+        if parts == sign:
+            continue
+        plain = "".join(
+            SPELLED_OUT.get(part, part) for part in parts if not unicodedata.combining(part)
+        )
+        if plain.isascii() and plain.isprintable():
+            forms[sign] = plain
+    return forms
+
+
+_FORMS = _ascii_forms()
+_SINGLE = {sign: form for sign, form in _FORMS.items() if len(form) == 1 and ord(sign) < 0x10000}
+_REMOVED = "".join(sign for sign, form in _FORMS.items() if not form)
+_LONGER = {
+    sign: form for sign, form in _FORMS.items() if sign not in _SINGLE and sign not in _REMOVED
+}
+# The few longer forms that ordinary text is full of; the others are rare.
+_USUAL = [sign for sign in SPELLED_OUT if sign in _LONGER]
+_RARE = {sign: form for sign, form in _LONGER.items() if sign not in _USUAL}
+_ACCENTED, _BASE = "".join(_SINGLE) + _REMOVED, "".join(_SINGLE.values())
 _NOT_ASCII = r"[^\x00-\x7F]"
+_ANY_RARE = "[" + "".join(f"\\x{{{ord(sign):x}}}" for sign in _RARE) + "]"
 
 
 def fold(text: Column) -> Column:
     """Lower case without accents: ``São Tomé`` becomes ``sao tome``.
 
-    Covers the Latin script; other scripts pass through. Texts that are plain
-    ASCII skip the replacements.
+    Every character with an ASCII form in Unicode gets it; other scripts pass
+    through. Texts that are plain ASCII skip the replacements, and only texts
+    with a rare character such as a fraction are looked up sign by sign.
     """
     lowered = F.lower(text)
     folded = F.translate(lowered, _ACCENTED, _BASE)
-    for sign, spelled in SPELLED_OUT.items():
-        folded = F.replace(folded, F.lit(sign), F.lit(spelled))
-    return F.when(lowered.rlike(_NOT_ASCII), folded).otherwise(lowered)
+    for sign in _USUAL:
+        folded = F.replace(folded, F.lit(sign), F.lit(_FORMS[sign]))
+    forms = F.create_map(*(F.lit(x) for pair in _RARE.items() for x in pair))
+    by_sign = F.array_join(
+        F.transform(
+            F.split(folded, ""), lambda sign: F.coalesce(F.element_at(forms, sign), sign)
+        ),
+        "",
+    )
+    return (
+        F.when(~lowered.rlike(_NOT_ASCII), lowered)
+        .when(folded.rlike(_ANY_RARE), by_sign)
+        .otherwise(folded)
+    )
 
 
 def zone_code(name: Column, level: str) -> Column:

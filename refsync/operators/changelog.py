@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refsync.functions.text import iso_time, qualified_name
-from refsync.operators.envelope import envelope_id
+from refsync.operators.envelope import envelope_id, utc
 from refsync.operators.joins import lookup_join
-from refsync.sources.registry import CHANGE_LOG, RESOURCES, SYNC, TARGET_SCHEMA, ResourceSpec
+from refsync.sources.registry import CHANGE_LOG, RESOURCES, SYNC, TARGET_SCHEMA
 from refsync.sources.schemas import ENVELOPE_COLUMNS
 
 _EPOCH = "1970-01-01 00:00:00"
@@ -42,8 +42,9 @@ def changes_since(
 ) -> DataFrame:
     """Changes strictly newer than both marks: the table's own and the log's.
 
-    The log's mark is one value and reaches the scan as a pushed filter. The
-    marks per table are joined to what is left.
+    The log's mark is one value. It is looked up first, so that it is a literal
+    in the filter, which any source takes, databases included. The marks per
+    table are joined to what is left.
     """
     marks = last_sync(sync_logs, successful_only)
     logged, time = (
@@ -53,8 +54,11 @@ def changes_since(
     def or_epoch(mark: Column) -> Column:
         return F.coalesce(mark, F.lit(_EPOCH).cast(logged)).cast(time)
 
-    log_mark = marks.filter(F.col("resource") == CHANGE_LOG).agg(or_epoch(F.max("last_change")))
-    recent = changes.filter(F.col("change_time") > log_mark.scalar())
+    log_mark = marks.filter(F.col("resource") == CHANGE_LOG).agg(
+        or_epoch(F.max("last_change")).cast("string").alias("mark")
+    )
+    mark = F.lit(log_mark.first()["mark"]).cast(time)
+    recent = changes.filter(F.col("change_time") > mark)
     named = recent.withColumn(
         "resource", qualified_name(F.col("schema_name"), F.col("table_name"))
     )
@@ -68,48 +72,49 @@ def changes_since(
 def mapped_changes(changes: DataFrame) -> DataFrame:
     """Each change with its target table, mapped row and, if it has none, the reason.
 
-    One pass over a log that mixes all tables. A row is parsed with the columns
-    of its own table only, and values keep their JSON types.
+    One pass over a log that mixes all tables. The resource of a change is
+    looked up, its row is parsed once into its keys and values, which keep their
+    JSON types, and the mapped row is built from the resource's pairs. So a
+    change costs the same however many resources there are.
     """
-    name = qualified_name(F.col("schema_name"), F.col("table_name"))
-    outcome = F
-    for spec in RESOURCES:
-        outcome = outcome.when(name == spec.name, F.expr(_mapping(spec)))
+    # One row per resource.
+    found = changes.withColumn(
+        "_name", qualified_name(F.col("schema_name"), F.col("table_name"))
+    ).join(F.broadcast(_resources(changes.sparkSession)), "_name", "left")
+    # Generated, so that filters on the outcome do not parse a second time.
+    parsed = found.select(
+        *changes.columns,
+        "_target",
+        "_pairs",
+        F.explode(F.array(F.expr("from_json(row_data, 'map<string, variant>')"))).alias("_row"),
+    )
+    # A key that is absent has no value, whereas a JSON null is one.
+    lacking = F.filter(
+        F.transform("_pairs", lambda p: p["source"]), lambda key: F.col("_row")[key].isNull()
+    )
     reason = (
-        F.when(F.col("_outcome").isNull(), "unmapped_table")
-        .when(F.col("row_data").isNull() | F.col("_outcome.malformed").isNotNull(), "bad_json")
-        .when(F.size("_outcome.missing") > 0, "missing_key")
+        F.when(F.col("_target").isNull(), "unmapped_table")
+        .when(F.col("_row").isNull(), "bad_json")
+        .when(F.size(lacking) > 0, "missing_key")
     )
-    # Generated, so that filters on the outcome do not parse a second time.
-    return changes.select("*", F.explode_outer(outcome).alias("_outcome")).select(
+    row = F.map_from_entries(
+        F.transform("_pairs", lambda p: F.struct(p["target"], F.col("_row")[p["source"]]))
+    )
+    return parsed.select(
         *changes.columns,
-        F.col("_outcome.target").alias("_target"),
+        "_target",
         reason.alias("reason"),
-        F.when(reason == "missing_key", F.col("_outcome.missing")).alias("missing"),
-        F.when(reason.isNull(), F.col("_outcome.row")).alias("_mapped"),
+        F.when(reason == "missing_key", lacking).alias("missing"),
+        F.when(reason.isNull(), F.to_json(row, {"ignoreNullFields": "false"})).alias("_mapped"),
     )
 
 
-def _mapping(spec: ResourceSpec) -> str:
-    """Parse ``row_data`` once and derive the mapped row and the keys it lacks.
-
-    A key that is absent parses to null, whereas a JSON null does not.
-    """
-    columns = ", ".join(f"{source} variant" for source in spec.sources)
-    parsed = (
-        f"from_json(row_data, '{columns}, _malformed string',"
-        " map('columnNameOfCorruptRecord', '_malformed'))"
+def _resources(spark: SparkSession) -> DataFrame:
+    """Name, target and pairs of every resource."""
+    return spark.createDataFrame(
+        [(spec.name, spec.target, list(spec.columns)) for spec in RESOURCES],
+        "_name string, _target string, _pairs array<struct<target: string, source: string>>",
     )
-    lacking = ", ".join(f"if(p.{source} is null, '{source}', null)" for source in spec.sources)
-    renamed = ", ".join(f"'{target}', p.{source}" for target, source in spec.columns)
-    return f"""
-        transform(array({parsed}), p -> named_struct(
-            'target', '{spec.target}',
-            'malformed', p._malformed,
-            'missing', array_compact(array({lacking})),
-            'row', to_json(named_struct({renamed}), map('ignoreNullFields', 'false'))
-        ))
-    """
 
 
 def change_outcomes(mapped: DataFrame, random_ids: bool = False) -> DataFrame:
@@ -156,8 +161,11 @@ def change_rejects(outcomes: DataFrame) -> DataFrame:
 
 
 def retained_changes(changes: DataFrame, snapshot: datetime) -> DataFrame:
-    """What stays in the log after a full sync: changes later than its snapshot."""
-    at = F.lit(str(snapshot)).cast(changes.schema["change_time"].dataType)
+    """What stays in the log after a full sync: changes later than its snapshot.
+
+    Change times without a zone are wall clock in the session's zone.
+    """
+    at = F.lit(utc(snapshot)).cast(changes.schema["change_time"].dataType)
     return changes.filter(F.col("change_time") > at)
 
 
@@ -170,13 +178,14 @@ def sync_log_row(
     message: str | None = None,
     details: str | None = None,
 ) -> DataFrame:
-    """The log row of one run over one resource."""
+    """The log row of one run over one resource; ``at`` must have a zone."""
+    time = utc(at)
     return spark.range(1).select(
-        envelope_id(F.lit(resource), F.lit(sync_type), F.lit(at.isoformat())).alias("id"),
+        envelope_id(F.lit(resource), F.lit(sync_type), F.lit(time.isoformat())).alias("id"),
         F.lit(resource).alias("resource"),
         F.lit(sync_type).alias("sync_type"),
         F.lit(SYNC).alias("operation"),
-        F.lit(str(at)).cast("timestamp").alias("timestamp"),
+        F.lit(time).alias("timestamp"),
         F.lit(success).alias("success"),
         F.lit(message).cast("string").alias("message"),
         F.lit(details).cast("string").alias("details"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,9 +13,16 @@ from refsync.sources.registry import SYNC, TARGET_SCHEMA, ResourceSpec
 _SENT_AS_TEXT = (DateType, DecimalType, TimestampType, TimestampNTZType)
 
 
+def utc(at: datetime) -> datetime:
+    """A run's time in UTC. A time without a zone is refused: it may be anywhere's."""
+    if at.tzinfo is None:
+        raise ValueError("a run's time must have a zone")
+    return at.astimezone(timezone.utc)
+
+
 def run_time(sync_ts: datetime) -> str:
-    """The time of a run as envelopes carry it: wall clock with a literal Z."""
-    return sync_ts.strftime("%Y-%m-%dT%H:%M:%SZ")
+    """The time of a run as envelopes carry it: in UTC, with a literal Z."""
+    return utc(sync_ts).strftime("%Y-%m-%dT%H:%M:%SZ")
 
 
 def envelope_id(*parts: Column) -> Column:

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refsync.functions.changes import (
-    Comparison,
+    Watched,
     any_change,
     changed_fields,
-    default_comparisons,
+    differences,
+    watched_fields,
 )
 from refsync.functions.programs import merge_programs, no_programs, program_list, support_entry
 from refsync.functions.text import present_or
@@ -25,6 +26,7 @@ from refsync.operators.reference import (
     facility_programs,
     zones_at,
 )
+from refsync.session import materialize
 from refsync.sources.schemas import PROGRAM_MAP
 
 CREATE_ACTION, UPDATE_ACTION, DISABLE_ACTION = "create", "update", "disable"
@@ -40,23 +42,24 @@ class FacilityRules:
     """What to assume and what to count as a change.
 
     ``programs`` says which ones an update sends: the ``existing`` ones, or
-    those ``merged`` with the programs of the record.
+    those ``merged`` with the programs of the record. ``watched`` replaces the
+    fields that are compared.
     """
 
     fallback_zone: str | None = None
     fallback_type: str | None = None
     null_safe: bool = False
     programs: str = "existing"
-    comparisons: Mapping[str, Comparison] | None = None
+    watched: Sequence[Watched] | None = None
 
     def __post_init__(self) -> None:
         if self.programs not in ("existing", "merged"):
             raise ValueError("programs must be 'existing' or 'merged'")
 
-    def compared(self) -> Mapping[str, Comparison]:
-        if self.comparisons is not None:
-            return self.comparisons
-        return default_comparisons(self.fallback_zone, self.fallback_type, self.null_safe)
+    def compared(self) -> Sequence[Watched]:
+        if self.watched is not None:
+            return self.watched
+        return watched_fields(self.fallback_zone, self.fallback_type)
 
 
 def enrich(
@@ -129,7 +132,9 @@ def with_program_ids(
         )
     keyed = records.withColumn("_wanted", wanted)
     lists = keyed.select("_wanted").distinct()
-    resolved = (
+    # Most records share a few lists. Stored, so that the join below sees two plain
+    # tables and the re-plan can split the partition of a hot list.
+    resolved = materialize(
         lists.select("_wanted", F.explode("_wanted").alias("code"))
         .join(ids, "code")
         .groupBy("_wanted")
@@ -137,7 +142,8 @@ def with_program_ids(
             F.map_from_entries(
                 F.array_sort(F.collect_list(F.struct("code", support_entry(F.col("id")))))
             ).alias("program_ids")
-        )
+        ),
+        "service-lists",
     )
     return (
         keyed.join(resolved, "_wanted", "left")
@@ -237,12 +243,13 @@ def decide(matched: DataFrame, rules: FacilityRules = FacilityRules()) -> DataFr
         F.col("existing_enabled"),
         rules,
     )
-    compared = rules.compared()
     both = matched.withColumn("merged_programs", merged).withColumns(
         {"payload": new, "old_payload": old}
     )
-    differs = any_change(F.col("payload"), F.col("old_payload"), compared)
-    fields = changed_fields(F.col("payload"), F.col("old_payload"), compared)
+    found = differences(
+        F.col("payload"), F.col("old_payload"), rules.compared(), rules.null_safe
+    )
+    differs, fields = any_change(found), changed_fields(found)
     nothing = F.array().cast("array<string>")
     return both.withColumns(
         {

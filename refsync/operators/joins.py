@@ -9,9 +9,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
 
+from refsync.session import materialize
+
 # A side is broadcast only if it was counted and lies within both bounds.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
+# Tables whose files hold more than this are not counted at all.
+COUNTED_BYTES = 1024 * 1024 * 1024
+# Spark's estimate of a source that tells no size, such as a database.
+_NO_ESTIMATE = 1 << 62
 
 _FIXED_WIDTH = 16
 
@@ -33,13 +39,30 @@ class Size(NamedTuple):
         return self.rows <= BROADCAST_ROWS and self.bytes <= BROADCAST_BYTES
 
 
+TOO_LARGE = Size(BROADCAST_ROWS + 1, BROADCAST_BYTES + 1)
+
+
+def _scanned_bytes(frame: DataFrame) -> int:
+    """What the sources of a frame hold, by their own statistics; no job runs."""
+    leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(sizes)
+
+
 def measured(*frames: DataFrame) -> list[Size]:
     """Rows and bytes of each frame, in one job.
 
-    Counting is a partial aggregate per partition; no rows move.
+    Counting is a partial aggregate per partition; no rows move. What reads
+    more than ``COUNTED_BYTES`` is too large without a look at it, and of a
+    source without statistics no more rows are fetched than the bound asks for.
     """
     counts = None
     for index, frame in enumerate(frames):
+        scanned = _scanned_bytes(frame)
+        if COUNTED_BYTES < scanned < _NO_ESTIMATE:
+            continue
+        if scanned >= _NO_ESTIMATE:
+            frame = frame.limit(BROADCAST_ROWS + 1)
         width = sum((_width(f.name, f.dataType) for f in frame.schema.fields), F.lit(0))
         count = frame.agg(
             F.lit(index).alias("frame"),
@@ -47,8 +70,9 @@ def measured(*frames: DataFrame) -> list[Size]:
             F.coalesce(F.sum(width.cast("long")), F.lit(0)).alias("bytes"),
         )
         counts = count if counts is None else counts.unionAll(count)
-    found = {row["frame"]: Size(row["rows"], row["bytes"]) for row in counts.collect()}
-    return [found[index] for index in range(len(frames))]
+    rows = counts.collect() if counts is not None else []
+    found = {row["frame"]: Size(row["rows"], row["bytes"]) for row in rows}
+    return [found.get(index, TOO_LARGE) for index in range(len(frames))]
 
 
 def fits_broadcast(*frames: DataFrame) -> list[bool]:
@@ -67,13 +91,14 @@ def lookup_join(
     The reference side is broadcast after a check of its size, so that records
     do not move and a hot key costs nothing. Beyond the bounds both sides are
     shuffled on the key, and the runtime re-plan splits a hot key's partition
-    (see ``session.configure``). It cannot split the right side of a semi or
-    anti join, whose keys are therefore made distinct first.
+    (see ``session.configure``). It can do so only where nothing but the
+    shuffle stands between a table and the join. A semi or anti join needs the
+    keys on its right once; they are made distinct and written out first.
     """
     if small is None:
         (small,) = fits_broadcast(right)
     if small:
         return left.join(F.broadcast(right), on, how)
     if how in ("left_semi", "left_anti"):
-        right = right.select(on).distinct()
+        right = materialize(right.select(on).distinct(), "keys")
     return left.join(right, on, how)

@@ -20,6 +20,7 @@ from refsync.operators.reference import (
     root_zone_id,
     zones_at,
 )
+from refsync.session import materialize
 
 _LEVEL_COLUMN = {PROVINCE: "province", MUNICIPALITY: "municipality"}
 
@@ -75,21 +76,26 @@ def missing_municipalities(
     it by code. ``reason`` marks a municipality whose province is unknown.
     """
     name = F.col("municipality")
-    provinces = (
+    parents = (
         zones_at(hierarchy, PROVINCE)
         .groupBy(F.col("name").alias("province"))
         .agg(F.min("id").alias("_parent"))
+        .withColumn("_parent_code", F.lit(None).cast("string"))
     )
-    placed = missing_names(records, hierarchy, MUNICIPALITY, small)
-    placed = lookup_join(placed, provinces, "province", small=small and small.zones)
-    parent_code = F.lit(None).cast("string")
     if new_provinces is not None:
+        # No province is both known and new.
         created = new_provinces.select(
-            F.col("name").alias("province"), F.col("code").alias("_parent_code")
+            F.col("name").alias("province"),
+            F.lit(None).cast("string").alias("_parent"),
+            F.col("code").alias("_parent_code"),
         )
-        # Distinct names on both sides: no key is hot, and no size is known.
-        placed = placed.join(created, "province", "left")
-        parent_code = F.col("_parent_code")
+        parents = parents.unionByName(created)
+    # A province may hold a large share of the names. With both sides stored, the re-plan
+    # can split its partition.
+    placed = materialize(missing_names(records, hierarchy, MUNICIPALITY, small), "placed-names")
+    fits = False if small and not small.zones else None
+    placed = lookup_join(placed, materialize(parents, "parents"), "province", small=fits)
+    parent_code = F.col("_parent_code")
     unknown = F.col("_parent").isNull() & F.col("parent_code").isNull()
     return (
         placed.withColumn("parent_code", parent_code)

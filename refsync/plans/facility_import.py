@@ -24,24 +24,38 @@ from refsync.operators.facilities import (
     with_facility_programs,
 )
 from refsync.operators.reference import (
+    MUNICIPALITY,
+    PROVINCE,
     Small,
     existing_facilities,
     measure,
     placed_facilities,
     zone_hierarchy,
 )
-from refsync.operators.report import recipients, report_pages
+from refsync.operators.report import deliveries, recipients, report_pages
 from refsync.operators.supplement import (
     missing_municipalities,
     missing_programs,
     missing_provinces,
     missing_types,
+    records_missing_zone,
 )
-from refsync.operators.validate import has_mandatory, rejects, valid_records
-from refsync.session import materialize
+from refsync.operators.validate import is_valid, rejects, valid_records
+from refsync.session import configure, materialize, scratch_tables
 from refsync.sinks import write_actions, write_rows
 from refsync.sources.tables import TableSource
 
+# The kinds of action that a run may write.
+ACTIONS = (
+    CREATE_ACTION,
+    UPDATE_ACTION,
+    DISABLE_ACTION,
+    "create_province",
+    "create_municipality",
+    "create_type",
+    "create_program",
+)
+
 # What later steps need of a decided record.
 _DECIDED = (
     "action",
@@ -128,7 +142,10 @@ def decisions(
 def supplement_actions(records: DataFrame, tables: ReferenceTables) -> DataFrame:
     """Creations of the zones, types and programs that valid records name."""
     valid, hierarchy, small = valid_records(records), tables.hierarchy(), tables.small
-    provinces = missing_provinces(valid, hierarchy, tables.levels, small)
+    # Read by the municipalities as well.
+    provinces = materialize(
+        missing_provinces(valid, hierarchy, tables.levels, small), "new-provinces"
+    )
     municipalities = missing_municipalities(valid, hierarchy, tables.levels, provinces, small)
     created = {
         "create_province": provinces,
@@ -151,12 +168,44 @@ def supplement_actions(records: DataFrame, tables: ReferenceTables) -> DataFrame
     return result
 
 
+def import_rejects(records: DataFrame, tables: ReferenceTables) -> DataFrame:
+    """What the checks found, and the valid records whose zone no table has.
+
+    ``unknown_province`` and ``unknown_municipality`` records stay in the sync.
+    """
+    valid, hierarchy = valid_records(records), tables.hierarchy()
+    found = rejects(records)
+    for level, column in ((PROVINCE, "province"), (MUNICIPALITY, "municipality")):
+        unknown = records_missing_zone(valid, hierarchy, level, tables.small).select(
+            "code",
+            F.lit(f"unknown_{column}").alias("reason"),
+            F.array(F.lit(column)).alias("columns"),
+            F.lit(None).cast("string").alias("raw"),
+        )
+        found = found.unionByName(unknown)
+    return found
+
+
+def written_metrics(metrics: DataFrame, actions: DataFrame) -> DataFrame:
+    """``metrics`` with the actions counted as they were written, all kinds of them."""
+    counted = F.array(*map(F.lit, ACTIONS))
+    kinds = F.transform(
+        counted, lambda kind: F.struct(kind.alias("metric"), F.lit(0).cast("long").alias("value"))
+    )
+    none = metrics.sparkSession.range(1).select(F.inline(kinds))
+    counts = actions.groupBy(F.col("action").cast("string").alias("metric")).agg(
+        F.count(F.lit(1)).alias("value")
+    )
+    summed = none.unionByName(counts).groupBy("metric").agg(F.sum("value").alias("value"))
+    return metrics.filter(~F.col("metric").isin(*ACTIONS)).unionByName(summed)
+
+
 def run_metrics(records: DataFrame, decided: DataFrame) -> DataFrame:
     """Counts of one run, as ``(metric, value)``; one pass over each input.
 
     ``matched`` above ``valid`` tells how many rows ambiguous names have added.
     """
-    valid = F.coalesce(has_mandatory(), F.lit(False))
+    valid = is_valid(records)
     bad = ~is_coordinate(F.col("latitude")) | ~is_coordinate(F.col("longitude"))
     seen = records.agg(
         F.count(F.lit(1)).alias("incoming"),
@@ -193,19 +242,44 @@ def run_import(
     report: bool = True,
     stage: bool = False,
     part: str | None = None,
+    addresses: DataFrame | None = None,
 ) -> None:
     """Write ``decisions``, ``actions``, ``rejects``, ``report`` and ``metrics`` below ``out``.
 
-    ``part``, such as ``batch=3``, names the partition of each table that this
-    run writes; without it the run replaces the tables. ``stage`` keeps a columnar copy of the records first, which pays where they
-    come as JSON, since several results read them.
+    ``records`` are a whole delivery: what it does not mention counts as absent.
+    ``part``, such as ``delivery=3``, names the partition of each table that this
+    run writes; without it the run replaces the tables. ``stage`` keeps a
+    columnar copy of the records first, which pays where they come as JSON,
+    since several results read them. ``addresses`` (``email``) are to receive
+    the report; ``deliveries`` then lists which page goes to whom.
 
     Decisions are written first and everything else is read back from them, so
     the joins run once however many results follow, and the later steps do not
     depend on executors keeping anything. The payloads of ``actions`` are whole;
     those of ``decisions`` lack the programs of known facilities, unless own
-    comparisons ask for them.
+    watched fields may ask for them.
     """
+    spark = configure(records.sparkSession)
+    with scratch_tables(spark):
+        _write_import(
+            records, tables, out, rules, by_province, disable_missing, supplement, report, stage,
+            part, addresses,
+        )
+
+
+def _write_import(
+    records: DataFrame,
+    tables: ReferenceTables,
+    out: str,
+    rules: FacilityRules,
+    by_province: bool,
+    disable_missing: bool,
+    supplement: bool,
+    report: bool,
+    stage: bool,
+    part: str | None,
+    addresses: DataFrame | None,
+) -> None:
     spark = records.sparkSession
 
     def to(name: str) -> str:
@@ -214,8 +288,8 @@ def run_import(
     if stage:
         write_rows(records, to("records"))
         records = spark.read.schema(records.schema).parquet(to("records"))
-    # The default comparisons ignore programs, which are then read for changes only.
-    late = rules.comparisons is None
+    # The fields watched by default leave programs out, which are then read for changes only.
+    late = rules.watched is None
     existing = tables.placed() if late else tables.existing()
     if disable_missing:
         # Needed twice, and costs joins.
@@ -239,8 +313,13 @@ def run_import(
     if supplement:
         wanted = wanted.unionByName(supplement_actions(records, tables))
     write_actions(wanted, to("actions"))
-    write_rows(rejects(records), to("rejects"))
+    write_rows(import_rejects(records, tables), to("rejects"))
     if report:
-        write_rows(report_pages(report_rows(decided)), to("report"))
-    write_rows(run_metrics(records, decided), to("metrics"))
+        pages = report_pages(report_rows(decided))
+        write_rows(pages, to("report"))
+        if addresses is not None:
+            written = spark.read.schema(pages.schema).parquet(to("report"))
+            write_rows(deliveries(written, addresses), to("deliveries"))
+    sent = spark.read.schema("code string, action string").parquet(to("actions"))
+    write_rows(written_metrics(run_metrics(records, decided), sent), to("metrics"))
 

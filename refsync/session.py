@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +25,8 @@ RUNTIME_SETTINGS = {
 # What one shuffle partition should hold, so that it sorts and joins in memory.
 PARTITION_BYTES = 128 * 1024 * 1024
 
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
 
 def configure(spark: SparkSession, shuffled_bytes: int | None = None) -> SparkSession:
     """Set the runtime options the operators count on; all are per session.
@@ -40,23 +45,47 @@ def configure(spark: SparkSession, shuffled_bytes: int | None = None) -> SparkSe
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by the cluster.
-
-    Only a local session may fall back to a temporary folder, since its
-    executors and driver share one disk.
-    """
+    """The folder all executors can reach, as named by the cluster."""
     configured = spark.conf.get(CHECKPOINT_DIR, None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError(f"{CHECKPOINT_DIR} must name a shared folder on a cluster")
-    created = tempfile.mkdtemp(prefix="refsync-")
-    spark.conf.set(CHECKPOINT_DIR, created)
-    return created
+    if not configured:
+        raise ValueError(f"{CHECKPOINT_DIR} must name a folder that all executors share")
+    return configured.rstrip("/")
+
+
+def name_local_folder(spark: SparkSession) -> SparkSession:
+    """Name a folder for a local session that has none. For entry points of a sandbox only."""
+    if not spark.conf.get(CHECKPOINT_DIR, None) and spark.conf.get("spark.master", "").startswith(
+        "local["
+    ):
+        spark.conf.set(CHECKPOINT_DIR, tempfile.mkdtemp(prefix="refsync-"))
+    return spark
 
 
 def new_shared_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    made = _scratch.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables that were materialized inside, once the block has written its results.
+
+    Only for blocks that leave no lazy result behind.
+    """
+    made: list[str] = []
+    outer = _scratch.set(made)
+    try:
+        yield
+    finally:
+        _scratch.reset(outer)
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path
+        conf = spark._jsc.hadoopConfiguration()
+        for path in made:
+            folder = hadoop(path)
+            folder.getFileSystem(conf).delete(folder, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

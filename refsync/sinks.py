@@ -58,8 +58,9 @@ def write_rows(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def append_sync_log(row: DataFrame, path: str) -> None:
-    row.coalesce(1).write.mode("append").parquet(path)
+def write_sync_log(row: DataFrame, path: str, run: str) -> None:
+    """The log row of a run under ``run=<run>``; the run repeated writes it again."""
+    row.coalesce(1).write.mode("overwrite").parquet(f"{path}/run={run}")
 
 
 def rewrite_changes(changes: DataFrame, snapshot: datetime, target: str) -> None:

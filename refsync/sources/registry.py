@@ -29,159 +29,365 @@ class ResourceSpec:
         return tuple(source for _, source in self.columns)
 
 
-def _spec(name: str, target: str, fields: str, text: str = "", key: str = "id") -> ResourceSpec:
-    """Read a field list: ``target`` alone comes from the source column of the
-    same name without underscores, ``target<source`` from the column named."""
-    schema, table = name.split(".")
-    columns = []
-    for field in fields.split():
-        to, _, given = field.partition("<")
-        columns.append((to, given or to.replace("_", "")))
-    return ResourceSpec(schema, table, target, tuple(columns), tuple(text.split()), tuple(key.split()))
-
-
 # Resource, target and column names are the contract with the
 # receiving system, odd spellings included. Parents come before children, which
 # is the order a full export keeps.
 RESOURCES: tuple[ResourceSpec, ...] = (
-    _spec("referencedata.geographic_levels", "geographic_level", "id code level<levelnumber name"),
-    _spec(
-        "referencedata.geographic_zones",
+    ResourceSpec(
+        "referencedata",
+        "geographic_levels",
+        "geographic_level",
+        (
+            ("id", "id"),
+            ("code", "code"),
+            ("level", "levelnumber"),
+            ("name", "name"),
+        ),
+    ),
+    ResourceSpec(
+        "referencedata",
+        "geographic_zones",
         "geographic_zone",
-        "id catchment_population code latitude longitude name level_id parent_id",
+        (
+            ("id", "id"),
+            ("catchment_population", "catchmentpopulation"),
+            ("code", "code"),
+            ("latitude", "latitude"),
+            ("longitude", "longitude"),
+            ("name", "name"),
+            ("level_id", "levelid"),
+            ("parent_id", "parentid"),
+        ),
     ),
-    _spec(
-        "referencedata.facilities",
+    ResourceSpec(
+        "referencedata",
+        "facilities",
         "facility",
-        "id active code comment description enabled name geographic_zone_id",
+        (
+            ("id", "id"),
+            ("active", "active"),
+            ("code", "code"),
+            ("comment", "comment"),
+            ("description", "description"),
+            ("enabled", "enabled"),
+            ("name", "name"),
+            ("geographic_zone_id", "geographiczoneid"),
+        ),
     ),
-    _spec(
-        "referencedata.lots",
+    ResourceSpec(
+        "referencedata",
+        "lots",
         "lot",
-        "id active code<lotcode expiration_date manufacture_date",
-        text="expirationdate manufacturedate",
+        (
+            ("id", "id"),
+            ("active", "active"),
+            ("code", "lotcode"),
+            ("expiration_date", "expirationdate"),
+            ("manufacture_date", "manufacturedate"),
+        ),
+        text=("expirationdate", "manufacturedate"),
     ),
-    _spec(
-        "fulfillment.orders",
+    ResourceSpec(
+        "fulfillment",
+        "orders",
         "order",
-        "id created_by_id created_date emergency facility_id order_code program_id quoted_cost"
-        " receiving_facility_id requesting_facility_id status supplying_facility_id"
-        " last_updated_date last_updater_id",
-        text="createddate lastupdateddate quotedcost",
+        (
+            ("id", "id"),
+            ("created_by_id", "createdbyid"),
+            ("created_date", "createddate"),
+            ("emergency", "emergency"),
+            ("facility_id", "facilityid"),
+            ("order_code", "ordercode"),
+            ("program_id", "programid"),
+            ("quoted_cost", "quotedcost"),
+            ("receiving_facility_id", "receivingfacilityid"),
+            ("requesting_facility_id", "requestingfacilityid"),
+            ("status", "status"),
+            ("supplying_facility_id", "supplyingfacilityid"),
+            ("last_updated_date", "lastupdateddate"),
+            ("last_updater_id", "lastupdaterid"),
+        ),
+        text=("createddate", "lastupdateddate", "quotedcost"),
     ),
-    _spec(
-        "fulfillment.order_line_items",
+    ResourceSpec(
+        "fulfillment",
+        "order_line_items",
         "order_line",
-        "id order_id product_id<orderableid ordered_quantity"
-        " product_version_number<orderableversionnumber",
+        (
+            ("id", "id"),
+            ("order_id", "orderid"),
+            ("product_id", "orderableid"),
+            ("ordered_quantity", "orderedquantity"),
+            ("product_version_number", "orderableversionnumber"),
+        ),
     ),
-    _spec(
-        "referencedata.orderables",
+    ResourceSpec(
+        "referencedata",
+        "orderables",
         "product",
-        "id version_number code name<fullproductname description pack_rounding_threshold"
-        " net_content round_to_zero",
+        (
+            ("id", "id"),
+            ("version_number", "versionnumber"),
+            ("code", "code"),
+            ("name", "fullproductname"),
+            ("description", "description"),
+            ("pack_rounding_threshold", "packroundingthreshold"),
+            ("net_content", "netcontent"),
+            ("round_to_zero", "roundtozero"),
+        ),
     ),
-    _spec(
-        "referencedata.programs",
+    ResourceSpec(
+        "referencedata",
+        "programs",
         "program",
-        "id code name active description period_sskippable skipauthorization"
-        " shown_on_full_supply_tab enable_date_physical_stock_count_completed",
+        (
+            ("id", "id"),
+            ("code", "code"),
+            ("name", "name"),
+            ("active", "active"),
+            ("description", "description"),
+            ("period_sskippable", "periodsskippable"),
+            ("skipauthorization", "skipauthorization"),
+            ("shown_on_full_supply_tab", "shownonfullsupplytab"),
+            ("enable_date_physical_stock_count_completed", "enabledatephysicalstockcountcompleted"),
+        ),
     ),
-    _spec(
-        "referencedata.program_orderables",
+    ResourceSpec(
+        "referencedata",
+        "program_orderables",
         "program_product",
-        "id active doses_per_patient program_id product_id<orderableid"
-        " product_version_number<orderableversionnumber price_per_pack",
-        text="priceperpack",
+        (
+            ("id", "id"),
+            ("active", "active"),
+            ("doses_per_patient", "dosesperpatient"),
+            ("program_id", "programid"),
+            ("product_id", "orderableid"),
+            ("product_version_number", "orderableversionnumber"),
+            ("price_per_pack", "priceperpack"),
+        ),
+        text=("priceperpack",),
     ),
-    _spec(
-        "referencedata.price_changes",
+    ResourceSpec(
+        "referencedata",
+        "price_changes",
         "price_changes",
-        "id program_product_id<programorderableid price author_id occurred_date",
-        text="occurreddate price",
+        (
+            ("id", "id"),
+            ("program_product_id", "programorderableid"),
+            ("price", "price"),
+            ("author_id", "authorid"),
+            ("occurred_date", "occurreddate"),
+        ),
+        text=("occurreddate", "price"),
     ),
-    _spec(
-        "fulfillment.proofs_of_delivery",
+    ResourceSpec(
+        "fulfillment",
+        "proofs_of_delivery",
         "proof_of_delivery",
-        "id status delivered_by received_by received_date",
-        text="receiveddate",
+        (
+            ("id", "id"),
+            ("status", "status"),
+            ("delivered_by", "deliveredby"),
+            ("received_by", "receivedby"),
+            ("received_date", "receiveddate"),
+        ),
+        text=("receiveddate",),
     ),
-    _spec(
-        "fulfillment.proof_of_delivery_line_items",
+    ResourceSpec(
+        "fulfillment",
+        "proof_of_delivery_line_items",
         "proof_of_delivery_line",
-        "id proof_of_delivery_id notes quantity_accepted quantity_rejected"
-        " product_id<orderableid lot_id vvm_status use_vvm rejection_reason_id"
-        " product_version_number<orderableversionnumber",
+        (
+            ("id", "id"),
+            ("proof_of_delivery_id", "proofofdeliveryid"),
+            ("notes", "notes"),
+            ("quantity_accepted", "quantityaccepted"),
+            ("quantity_rejected", "quantityrejected"),
+            ("product_id", "orderableid"),
+            ("lot_id", "lotid"),
+            ("vvm_status", "vvmstatus"),
+            ("use_vvm", "usevvm"),
+            ("rejection_reason_id", "rejectionreasonid"),
+            ("product_version_number", "orderableversionnumber"),
+        ),
     ),
-    _spec(
-        "requisition.requisitions",
+    ResourceSpec(
         "requisition",
-        "id created_date modified_date emergency facility_id"
-        " months_in_period<numberofmonthsinperiod program_id status supplying_facility_id"
-        " stock_count_date<datephysicalstockcountcompleted report_only",
-        text="createddate modifieddate datephysicalstockcountcompleted",
+        "requisitions",
+        "requisition",
+        (
+            ("id", "id"),
+            ("created_date", "createddate"),
+            ("modified_date", "modifieddate"),
+            ("emergency", "emergency"),
+            ("facility_id", "facilityid"),
+            ("months_in_period", "numberofmonthsinperiod"),
+            ("program_id", "programid"),
+            ("status", "status"),
+            ("supplying_facility_id", "supplyingfacilityid"),
+            ("stock_count_date", "datephysicalstockcountcompleted"),
+            ("report_only", "reportonly"),
+        ),
+        text=("createddate", "modifieddate", "datephysicalstockcountcompleted"),
     ),
-    _spec(
-        "requisition.requisition_line_items",
+    ResourceSpec(
+        "requisition",
+        "requisition_line_items",
         "requisition_line",
-        "id adjusted_consumption approved_quantity average_consumption beginning_balance"
-        " calculated_order_quantity max_periods_of_stock max_stock_quantity<maximumstockquantity"
-        " non_full_supply new_patients_added<numberofnewpatientsadded product_id<orderableid"
-        " packs_to_ship price_per_pack requested_quantity requested_quantity_explanation skipped"
-        " stock_on_hand total total_consumed_quantity total_cost total_losses_and_adjustments"
-        " total_received_quantity total_stockout_days requisition_id ideal_stock_amount"
-        " calculated_order_quantity_isa additional_quantity_required"
-        " product_version_number<orderableversionnumber"
-        " facility_type_approved_product_id facility_type_approved_product_version_number"
-        " patients_on_treatment_next_month<numberofpatientsontreatmentnextmonth total_requirement"
-        " total_quantity_needed_by_hf quantity_to_issue converted_quantity_to_issue",
-        text="maxperiodsofstock totalcost priceperpack",
-    ),
-    _spec(
-        "stockmanagement.stock_events",
+        (
+            ("id", "id"),
+            ("adjusted_consumption", "adjustedconsumption"),
+            ("approved_quantity", "approvedquantity"),
+            ("average_consumption", "averageconsumption"),
+            ("beginning_balance", "beginningbalance"),
+            ("calculated_order_quantity", "calculatedorderquantity"),
+            ("max_periods_of_stock", "maxperiodsofstock"),
+            ("max_stock_quantity", "maximumstockquantity"),
+            ("non_full_supply", "nonfullsupply"),
+            ("new_patients_added", "numberofnewpatientsadded"),
+            ("product_id", "orderableid"),
+            ("packs_to_ship", "packstoship"),
+            ("price_per_pack", "priceperpack"),
+            ("requested_quantity", "requestedquantity"),
+            ("requested_quantity_explanation", "requestedquantityexplanation"),
+            ("skipped", "skipped"),
+            ("stock_on_hand", "stockonhand"),
+            ("total", "total"),
+            ("total_consumed_quantity", "totalconsumedquantity"),
+            ("total_cost", "totalcost"),
+            ("total_losses_and_adjustments", "totallossesandadjustments"),
+            ("total_received_quantity", "totalreceivedquantity"),
+            ("total_stockout_days", "totalstockoutdays"),
+            ("requisition_id", "requisitionid"),
+            ("ideal_stock_amount", "idealstockamount"),
+            ("calculated_order_quantity_isa", "calculatedorderquantityisa"),
+            ("additional_quantity_required", "additionalquantityrequired"),
+            ("product_version_number", "orderableversionnumber"),
+            ("facility_type_approved_product_id", "facilitytypeapprovedproductid"),
+            ("facility_type_approved_product_version_number", "facilitytypeapprovedproductversionnumber"),
+            ("patients_on_treatment_next_month", "numberofpatientsontreatmentnextmonth"),
+            ("total_requirement", "totalrequirement"),
+            ("total_quantity_needed_by_hf", "totalquantityneededbyhf"),
+            ("quantity_to_issue", "quantitytoissue"),
+            ("converted_quantity_to_issue", "convertedquantitytoissue"),
+        ),
+        text=("maxperiodsofstock", "totalcost", "priceperpack"),
+    ),
+    ResourceSpec(
+        "stockmanagement",
+        "stock_events",
         "stock_event",
-        "id document_number facility_id processed_date program_id signature user_id is_showed"
-        " is_active",
-        text="processeddate",
+        (
+            ("id", "id"),
+            ("document_number", "documentnumber"),
+            ("facility_id", "facilityid"),
+            ("processed_date", "processeddate"),
+            ("program_id", "programid"),
+            ("signature", "signature"),
+            ("user_id", "userid"),
+            ("is_showed", "isshowed"),
+            ("is_active", "isactive"),
+        ),
+        text=("processeddate",),
     ),
-    _spec(
-        "stockmanagement.stock_event_line_items",
+    ResourceSpec(
+        "stockmanagement",
+        "stock_event_line_items",
         "stock_event_line",
-        "id destination_freetext destination_id lot_id occurred_date product_id<orderableid"
-        " quantity reason_freetext reason_id source_freetext source_id stock_event_id",
-        text="occurreddate",
+        (
+            ("id", "id"),
+            ("destination_freetext", "destinationfreetext"),
+            ("destination_id", "destinationid"),
+            ("lot_id", "lotid"),
+            ("occurred_date", "occurreddate"),
+            ("product_id", "orderableid"),
+            ("quantity", "quantity"),
+            ("reason_freetext", "reasonfreetext"),
+            ("reason_id", "reasonid"),
+            ("source_freetext", "sourcefreetext"),
+            ("source_id", "sourceid"),
+            ("stock_event_id", "stockeventid"),
+        ),
+        text=("occurreddate",),
     ),
-    _spec(
-        "stockmanagement.stock_cards",
+    ResourceSpec(
+        "stockmanagement",
+        "stock_cards",
         "stock_card",
-        "id facility_id lot_id product_id<orderableid program_id origin_event_id is_showed"
-        " is_active",
+        (
+            ("id", "id"),
+            ("facility_id", "facilityid"),
+            ("lot_id", "lotid"),
+            ("product_id", "orderableid"),
+            ("program_id", "programid"),
+            ("origin_event_id", "origineventid"),
+            ("is_showed", "isshowed"),
+            ("is_active", "isactive"),
+        ),
     ),
-    _spec(
-        "stockmanagement.stock_card_line_items",
+    ResourceSpec(
+        "stockmanagement",
+        "stock_card_line_items",
         "stock_card_line",
-        "id destination_freetext document_number occurred_date processed_date quantity"
-        " reason_freetext signature source_freetext user_id origin_event_id stock_card_id",
-        text="occurreddate processeddate",
+        (
+            ("id", "id"),
+            ("destination_freetext", "destinationfreetext"),
+            ("document_number", "documentnumber"),
+            ("occurred_date", "occurreddate"),
+            ("processed_date", "processeddate"),
+            ("quantity", "quantity"),
+            ("reason_freetext", "reasonfreetext"),
+            ("signature", "signature"),
+            ("source_freetext", "sourcefreetext"),
+            ("user_id", "userid"),
+            ("origin_event_id", "origineventid"),
+            ("stock_card_id", "stockcardid"),
+        ),
+        text=("occurreddate", "processeddate"),
     ),
-    _spec(
-        "stockmanagement.calculated_stocks_on_hand",
+    ResourceSpec(
+        "stockmanagement",
+        "calculated_stocks_on_hand",
         "stock_on_hand",
-        "id stock_on_hand occurred_date stock_card_id processed_date",
-        text="occurreddate processeddate",
+        (
+            ("id", "id"),
+            ("stock_on_hand", "stockonhand"),
+            ("occurred_date", "occurreddate"),
+            ("stock_card_id", "stockcardid"),
+            ("processed_date", "processeddate"),
+        ),
+        text=("occurreddate", "processeddate"),
     ),
-    _spec(
-        "referencedata.supported_programs",
+    ResourceSpec(
+        "referencedata",
+        "supported_programs",
         "supported_program",
-        "active start_date facility_id program_id locally_fulfilled",
-        text="startdate",
-        key="facilityid programid",
+        (
+            ("active", "active"),
+            ("start_date", "startdate"),
+            ("facility_id", "facilityid"),
+            ("program_id", "programid"),
+            ("locally_fulfilled", "locallyfulfilled"),
+        ),
+        text=("startdate",),
+        key=("facilityid", "programid"),
     ),
-    _spec(
-        "referencedata.users",
+    ResourceSpec(
+        "referencedata",
+        "users",
         "user",
-        "id active first_name last_name timezone username verified home_facility_id job_title"
-        " phone_number",
+        (
+            ("id", "id"),
+            ("active", "active"),
+            ("first_name", "firstname"),
+            ("last_name", "lastname"),
+            ("timezone", "timezone"),
+            ("username", "username"),
+            ("verified", "verified"),
+            ("home_facility_id", "homefacilityid"),
+            ("job_title", "jobtitle"),
+            ("phone_number", "phonenumber"),
+        ),
     ),
 )
 

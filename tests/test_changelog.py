@@ -1,7 +1,10 @@
 import json
-from datetime import datetime
+import time as clock
+from datetime import datetime, timedelta, timezone
 
+import pytest
 from helpers import rows
+from pyspark.sql import functions as F
 
 from refsync.operators.changelog import (
     change_envelopes,
@@ -143,14 +146,44 @@ def test_changes_after_the_snapshot_stay(spark):
     changes, _ = frames(
         spark, [change(1, "orders", at(2)), change(2, "orders", at(2, 1))], []
     )
-    assert rows(retained_changes(changes, at(2)), "id") == [(2,)]
+    assert rows(retained_changes(changes, at(2).replace(tzinfo=timezone.utc)), "id") == [(2,)]
 
 
 def test_log_row(spark):
-    row = sync_log_row(spark, "fulfillment.orders", "full", False, at(3), "failed", "why")
+    time = at(3).replace(tzinfo=timezone.utc)
+    row = sync_log_row(spark, "fulfillment.orders", "full", False, time, "failed", "why")
     assert row.columns == spark.createDataFrame([], SYNC_LOGS).columns
     found = row.first()
-    assert (found.operation, found.success, found.timestamp) == ("S", False, at(3))
+    assert (found.operation, found.success) == ("S", False)
+    assert found.timestamp.astimezone(timezone.utc) == time
+    with pytest.raises(ValueError):
+        sync_log_row(spark, "fulfillment.orders", "full", True, at(3))
+
+
+def test_log_times_do_not_depend_on_the_drivers_zone(spark, monkeypatch):
+    """East of UTC the wall clock is ahead; a mark taken from it would skip changes."""
+    monkeypatch.setenv("TZ", "Asia/Tokyo")
+    clock.tzset()
+    try:
+        now = datetime(2024, 1, 5, 21, tzinfo=timezone(timedelta(hours=9)))
+        row = sync_log_row(spark, CHANGE_LOG, "change", True, now)
+        stored = row.select(F.col("timestamp").cast("string")).first()[0]
+        assert stored == "2024-01-05 12:00:00"
+        changes = spark.range(2).select(
+            "id",
+            F.lit("fulfillment").alias("schema_name"),
+            F.lit("orders").alias("table_name"),
+            F.lit("U").alias("operation"),
+            F.element_at(
+                F.array(F.lit("2024-01-05 11:59:59"), F.lit("2024-01-05 12:00:01")),
+                (F.col("id") + 1).cast("int"),
+            ).cast("timestamp").alias("change_time"),
+            F.lit("{}").alias("row_data"),
+        )
+        assert changes_since(changes, row).select("id").collect() == [(1,)]
+    finally:
+        monkeypatch.undo()
+        clock.tzset()
 
 
 def test_log_mark_reaches_the_scan(spark, tmp_path, capsys):
@@ -160,7 +193,8 @@ def test_log_mark_reaches_the_scan(spark, tmp_path, capsys):
     changes.write.parquet(str(tmp_path / "changes"))
     stored = spark.read.parquet(str(tmp_path / "changes"))
     changes_since(stored, logs).explain("formatted")
-    assert "GreaterThan(change_time" in capsys.readouterr().out
+    plan = capsys.readouterr().out
+    assert "GreaterThan(change_time,2024-01-02" in plan and "subquery" not in plan.lower()
 
 
 def test_a_row_is_parsed_once(spark, capsys):

@@ -1,5 +1,5 @@
 import json
-from datetime import datetime
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 from refsync.operators.envelope import map_resource, with_json_rows
 from refsync.sources.registry import resource
 
-AT = datetime(2024, 6, 1, 12, 30, 5)
+AT = datetime(2024, 6, 1, 12, 30, 5, tzinfo=timezone.utc)
 
 
 def zones(spark):

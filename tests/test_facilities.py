@@ -4,7 +4,7 @@ import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
-from refsync.functions.changes import differs
+from refsync.functions.changes import Watched
 from refsync.functions.programs import merge_programs, program_list, programs_from_json
 from refsync.operators.facilities import (
     FacilityRules,
@@ -112,10 +112,10 @@ def test_changed_fields(spark):
     assert row.changed == ["name", "enabled", "openLmisAccessible", "geographicZone"]
 
 
-def test_own_comparisons(spark):
-    rules = FacilityRules(comparisons={"active": differs("active")})
+def test_own_watched_fields(spark):
+    rules = FacilityRules(watched=[Watched("active")])
     assert decided(spark, {"name": "x"}, rules=rules).first().any_change is False
-    rules = FacilityRules(comparisons={})
+    rules = FacilityRules(watched=())
     assert decided(spark, {"name": "x"}, rules=rules).first().any_change is False
 
 

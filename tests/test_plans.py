@@ -1,11 +1,11 @@
 import json
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from helpers import rows
 from pyspark.errors import AnalysisException
 
-from refsync.functions.changes import default_comparisons
+from refsync.functions.changes import watched_fields
 from refsync.operators.facilities import FacilityRules
 from refsync.plans.export import export_changes, export_full
 from refsync.plans.facility_import import ReferenceTables, run_import
@@ -15,7 +15,7 @@ from refsync.sources.tables import FileSource
 from test_changelog import LEVEL, at, change
 from test_reference import levels, programs, zones
 
-AT = datetime(2024, 6, 1)
+AT = datetime(2024, 6, 1, tzinfo=timezone.utc)
 SPECS = RESOURCES[:3]
 
 
@@ -28,7 +28,7 @@ def source(spark, root, skip=()):
 
 
 def sent(spark, out):
-    return spark.read.json(f"{out}/run=20240601T000000")
+    return spark.read.json(f"{out}/run=20240601T000000.000000")
 
 
 def log(spark, path):
@@ -44,7 +44,7 @@ def test_full_export_and_its_repetition(spark, tmp_path):
     assert rows(counts) == [("facility", 3), ("geographic_level", 3), ("geographic_zone", 3)]
     levels = sent(spark, out).filter("table_name = 'geographic_level'")
     assert rows(levels, "row_data.level") == [("0",), ("1",), ("2",)]
-    assert log(spark, logs).filter("success and sync_type = 'full'").count() == 6
+    assert log(spark, logs).filter("success and sync_type = 'full'").count() == 3
 
 
 def test_full_export_stops_at_the_first_failure(spark, tmp_path):
@@ -86,7 +86,7 @@ def test_change_export_then_incremental(spark, tmp_path):
     )
     empty = spark.createDataFrame([], SYNC_LOGS)
     export_changes(spark, changes, empty, out, logs, AT)
-    found = spark.read.parquet(f"{out}/run=20240601T000000")
+    found = spark.read.parquet(f"{out}/run=20240601T000000.000000")
     assert rows(found, "status", "table_name", "change_id", "reason") == [
         ("rejected", "unmapped", 2, "unmapped_table"),
         ("sent", "geographic_level", 1, None),
@@ -99,9 +99,9 @@ def test_change_export_then_incremental(spark, tmp_path):
             DATA_CHANGES,
         )
     )
-    second = datetime(2024, 7, 2)
+    second = datetime(2024, 7, 2, tzinfo=timezone.utc)
     export_changes(spark, later, log(spark, logs), out, logs, second)
-    again = spark.read.parquet(f"{out}/run=20240702T000000")
+    again = spark.read.parquet(f"{out}/run=20240702T000000.000000")
     assert rows(again, "change_time") == [("2024-07-01T00:00:00Z",)]
     assert rows(log(spark, logs), "sync_type") == [("change",), ("full",)]
 
@@ -156,22 +156,27 @@ def test_import_run(spark, tmp_path):
         ("update", "c1", "f1"),
     ]
     assert rows(spark.read.parquet(f"{out}/rejects"), "code", "reason") == [
+        ("c1", "unknown_municipality"),
         ("c8", "missing_mandatory"),
         ("c9", "bad_coordinate"),
+        ("c9", "unknown_municipality"),
+        ("c9", "unknown_province"),
     ]
     assert spark.read.parquet(f"{out}/report").first().lines == 2
     metrics = dict(tuple(row) for row in spark.read.parquet(f"{out}/metrics").collect())
     assert (metrics["incoming"], metrics["invalid"], metrics["create"]) == (3, 1, 1)
+    # As written: the absent facility and the created reference rows too.
+    assert (metrics["disable"], metrics["create_municipality"], metrics["create_type"]) == (1, 2, 1)
 
 
 @pytest.mark.parametrize(
     "programs_sent, expected", [("existing", ["g1"]), ("merged", ["g1", "g2"])]
 )
 def test_programs_are_sent_whichever_way_they_are_read(spark, tmp_path, programs_sent, expected):
-    """With the default comparisons programs are read after the decision, else before."""
+    """With the fields watched by default programs are read after the decision, else before."""
     found = []
-    for name, comparisons in (("late", None), ("early", default_comparisons())):
-        rules = FacilityRules(programs=programs_sent, comparisons=comparisons)
+    for name, watched in (("late", None), ("early", watched_fields())):
+        rules = FacilityRules(programs=programs_sent, watched=watched)
         out = str(tmp_path / name)
         run_import(import_records(spark), import_tables(spark), out, rules, disable_missing=True)
         found.append(rows(spark.read.parquet(f"{out}/actions"), "action", "code", "payload"))
@@ -187,3 +192,32 @@ def test_programs_are_sent_whichever_way_they_are_read(spark, tmp_path, programs
         }
     ]
     assert sent["c9"] == []
+
+
+def test_errors_are_logged_whole_and_runs_never_share_a_folder(spark, tmp_path):
+    class Broken:
+        def table(self, name):
+            raise RuntimeError("x" * 5000)
+
+    logs = str(tmp_path / "log")
+    for at in (AT, AT + timedelta(milliseconds=1)):
+        with pytest.raises(RuntimeError):
+            export_full(spark, Broken(), str(tmp_path / "out"), logs, at, SPECS)
+    found = log(spark, logs).collect()
+    assert [len(row.details) for row in found] == [5000, 5000]
+    assert len({row.timestamp for row in found}) == 2
+
+
+def test_a_run_needs_a_time_with_a_zone(spark, tmp_path):
+    with pytest.raises(ValueError):
+        export_full(
+            spark, source(spark, tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "log"),
+            datetime(2024, 6, 1), SPECS,
+        )
+
+
+def test_deliveries_pair_pages_with_recipients(spark, tmp_path):
+    out = str(tmp_path / "out")
+    addresses = spark.createDataFrame([("a@x",), ("b@x",)], "email string")
+    run_import(import_records(spark), import_tables(spark), out, addresses=addresses)
+    assert rows(spark.read.parquet(f"{out}/deliveries")) == [("a@x", 1), ("b@x", 1)]

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from refsync.session import shared_dir
+from refsync.operators.validate import rejects, valid_records
 from refsync.sources.incoming import read_facility_records
 from refsync.sources.tables import CatalogSource, FileSource, JdbcSource, uuid_splits
 
@@ -45,12 +46,30 @@ def test_records_keep_the_declared_schema(spark, tmp_path):
         '{"code": "1", "services": [{"name": "n", "code": "c"}], "unknown": 1}\n{"name": "x"}\n'
     )
     df = read_facility_records(spark, str(tmp_path))
-    assert len(df.columns) == 16
+    assert len(df.columns) == 17 and df.columns[-1] == "raw_record"
     found = {row.code: row for row in df.collect()}
     assert found["1"].services[0].code == "c"
     assert found[None].is_deleted is None
 
 
+def test_unreadable_records_keep_their_text(spark, tmp_path):
+    lines = [
+        '{"code": "ok", "name": "n", "municipality": "m", "province": "p", "latitude": "1",'
+        ' "longitude": "2"}',
+        '{"code": "type", "name": "n", "municipality": "m", "province": "p", "is_deleted": "true"}',
+        '{"code": "broken", ',
+        "[1, 2]",
+        '"text"',
+    ]
+    (tmp_path / "a.json").write_text("\n".join(lines) + "\n")
+    found = read_facility_records(spark, str(tmp_path))
+    assert [row.code for row in valid_records(found).collect()] == ["ok"]
+    rejected = {row.raw: row.reason for row in rejects(found).collect()}
+    assert rejected == {
+        lines[1]: "bad_type", lines[2]: "bad_json", lines[3]: "bad_json", lines[4]: "bad_json"
+    }
+
+
 def test_records_in_one_array(spark, tmp_path):
     (tmp_path / "a.json").write_text('[\n {"code": "1"},\n {"code": "2"}\n]')
     assert read_facility_records(spark, str(tmp_path), multi_line=True).count() == 2

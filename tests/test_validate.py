@@ -42,7 +42,7 @@ def test_bad_coordinates_are_reported_and_kept(spark):
         ("c", None, 2.0),
         ("d", None, None),
     ]
-    assert rows(rejects(df)) == [
+    assert rows(rejects(df), "code", "reason", "columns") == [
         ("c", "bad_coordinate", ["latitude"]),
         ("d", "bad_coordinate", ["latitude", "longitude"]),
     ]
@@ -50,7 +50,7 @@ def test_bad_coordinates_are_reported_and_kept(spark):
 
 def test_missing_field_hides_bad_coordinate(spark):
     df = frame(spark, {"name": None, "latitude": "abc"})
-    assert rows(rejects(df)) == [("c", "missing_mandatory", ["name"])]
+    assert rows(rejects(df), "code", "reason", "columns") == [("c", "missing_mandatory", ["name"])]
 
 
 def test_fold(spark):
@@ -62,6 +62,9 @@ def test_fold(spark):
         "plain ASCII 1": "plain ascii 1",
         "é": "e",
         "“x” – y…": '"x" - y...',
+        "m² x₃ ½ ﬁn ＡＢＣ １２ ⑫ Ⅳ ™ 𝐀": "m2 x3 1/2 fin abc 12 12 iv tm a",
+        "Ŀ Йод ΑΒΓ 日本": "ŀ йод αβγ 日本",
+        "e\u0301 ǆ №": "e dz no",
         None: None,
     }
     df = spark.createDataFrame([(k, v) for k, v in cases.items()], "t string, want string")

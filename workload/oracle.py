@@ -190,9 +190,14 @@ from src_{_table}
 """
 
 SQL["export_run"] = "\nunion all\n".join(
-    f"""select '{target}' as table_name, count(*) as envelopes,
-       cast(21 as bigint) as logged_resources from src_{table}"""
-    for table, (target, _, _) in _EXPORTS.items()
+    SQL[f"export_{table}"].strip() for table in _EXPORTS
+)
+
+SQL["export_run_log"] = "\nunion all\n".join(
+    f"""select 'referencedata.{table}' as resource, 'full' as sync_type, 'S' as operation,
+       timestamp '2024-06-01' as "timestamp", true as success,
+       cast(null as varchar) as message, cast(null as varchar) as details"""
+    for table in ("geographic_levels", "geographic_zones", "facilities")
 )
 
 # --- change log -----------------------------------------------------------------
@@ -255,23 +260,71 @@ SQL["changelog_envelopes"] = f"""
 select {_ORDER_ENVELOPE} from in_order_changes where o_orderstatus not in ('P', 'O')
 """
 
-SQL["changelog_rejects"] = """
+# A changed row as its log has it; the rows of one status lack two keys.
+_ORDER_LOGGED = """cast(case o_orderstatus when 'O' then json_object(
+           'id', cast(o_orderkey as varchar), 'createdbyid', 'u-' || cast(o_custkey as varchar),
+           'createddate', cast(o_orderdate as varchar),
+           'emergency', o_orderpriority = '1-URGENT',
+           'facilityid', 'fac-' || cast(o_custkey as varchar),
+           'ordercode', 'ORD-' || cast(o_orderkey as varchar),
+           'quotedcost', cast(floor(o_totalprice) as bigint),
+           'receivingfacilityid', o_custkey, 'requestingfacilityid', o_custkey,
+           'supplyingfacilityid', null, 'lastupdateddate', cast(o_orderdate as varchar),
+           'lastupdaterid', o_custkey, 'extradata', 'not mapped')
+       else json_object(
+           'id', cast(o_orderkey as varchar), 'createdbyid', 'u-' || cast(o_custkey as varchar),
+           'createddate', cast(o_orderdate as varchar),
+           'emergency', o_orderpriority = '1-URGENT',
+           'facilityid', 'fac-' || cast(o_custkey as varchar),
+           'ordercode', 'ORD-' || cast(o_orderkey as varchar),
+           'programid', substr(o_orderpriority, 1, 1),
+           'quotedcost', cast(floor(o_totalprice) as bigint),
+           'receivingfacilityid', o_custkey, 'requestingfacilityid', o_custkey,
+           'status', o_orderstatus, 'supplyingfacilityid', null,
+           'lastupdateddate', cast(o_orderdate as varchar), 'lastupdaterid', o_custkey,
+           'extradata', 'not mapped') end as varchar)"""
+
+SQL["changelog_rejects"] = f"""
 select id, schema_name, table_name,
        case when o_orderstatus = 'P' then 'unmapped_table' else 'missing_key' end as reason,
-       case when o_orderstatus = 'O' then 'programid,status' end as missing
+       case when o_orderstatus = 'O' then 'programid,status' end as missing,
+       {_ORDER_LOGGED} as row_data
 from in_order_changes where o_orderstatus in ('P', 'O')
 """
 
+_MIXED = ("facilities", "orderables", "programs", "geographic_levels", "users")
+
+SQL["changelog_mixed_tables"] = "\nunion all\n".join(
+    f"""select md5('{_EXPORTS[table][0]}|{number}-' || id || '|{TIME}') as id,
+       '' as schema_name, '{_EXPORTS[table][0]}' as table_name, 'U' as operation,
+       '{TIME}' as change_time, cast(json_object({_EXPORTS[table][2]}) as varchar) as row_data
+       from src_{table}"""
+    for number, table in enumerate(_MIXED)
+)
+
 SQL["changelog_retained"] = """
 select * from in_changes where change_time > timestamp '2024-01-15'
 """
 
-SQL["changelog_run"] = """
-select case o_orderstatus when 'P' then 'unmapped_table' when 'O' then 'missing_key'
-       else 'sent' end as outcome,
-       case o_orderstatus when 'P' then 'unmapped' else 'order' end as table_name,
-       count(*) as changes
-from in_order_changes group by 1, 2
+SQL["changelog_run"] = f"""
+select 'sent' as status, table_name, id, schema_name, operation, change_time, row_data,
+       o_orderkey as change_id, 'fulfillment' as source_schema, 'orders' as source_table,
+       cast(null as varchar) as reason, cast(null as varchar) as missing
+from (select o_orderkey, {_ORDER_ENVELOPE} from in_order_changes
+      where o_orderstatus not in ('P', 'O')) sent
+union all
+select 'rejected', case o_orderstatus when 'P' then 'unmapped' else 'order' end, null, '',
+       operation, strftime(change_time, '%Y-%m-%dT%H:%M:%SZ'), {_ORDER_LOGGED}, id, schema_name,
+       table_name, case o_orderstatus when 'P' then 'unmapped_table' else 'missing_key' end,
+       case when o_orderstatus = 'O' then 'programid,status' end
+from in_order_changes where o_orderstatus in ('P', 'O')
+"""
+
+SQL["changelog_stream_log"] = """
+select 'changelog.data_changes' as resource, 'change' as sync_type, 'S' as operation,
+       max(change_time) as "timestamp", true as success, cast(null as varchar) as message,
+       cast(null as varchar) as details
+from in_order_changes
 """
 
 SQL["changelog_stream"] = f"""
@@ -302,7 +355,7 @@ select id, code, name, municipality, province,
 from valid_records
 """
 
-SQL["validate_rejects"] = f"""
+VIEWS["rejected"] = f"""
 select code, 'missing_mandatory' as reason,
        concat_ws(',', case when coalesce(name, '') = '' then 'name' end,
                  case when coalesce(code, '') = '' then 'code' end,
@@ -323,6 +376,8 @@ where not coalesce(regexp_matches(latitude, {_NUMBER}), false)
    or not coalesce(regexp_matches(longitude, {_NUMBER}), false)
 """
 
+SQL["validate_rejects"] = "select *, cast(null as varchar) as raw from rejected"
+
 SQL["coordinate_flags"] = f"""
 select id, coalesce(regexp_matches(latitude, {_NUMBER}), false) as latitude_valid,
        coalesce(regexp_matches(longitude, {_NUMBER}), false) as longitude_valid
@@ -331,7 +386,10 @@ from in_records
 
 SQL["records_from_json"] = """
 select r.id, cast(null as varchar) as reference_id, r.code, r.name, r.is_deleted,
-       r.is_operational, r.latitude, cast(count(s.code) as integer) as services
+       r.is_operational, r.latitude, r.longitude, r.category, r.municipality, r.province,
+       coalesce('[' || string_agg(cast(json_object('name', s.name, 'code', s.code) as varchar),
+                ',' order by s.name) filter (where s.code is not null) || ']', '[]') as services,
+       cast(null as varchar) as raw_record
 from in_records r left join in_services s on s.facility_code = r.code
 group by all
 """
@@ -386,11 +444,10 @@ from program_entries
 """
 
 SQL["contacts_by_right"] = """
-select rr.rightid, c.email, count(*) as contacts
+select rr.rightid, c.*
 from in_role_rights rr
 join in_role_assignments ra on ra.roleid = rr.roleid
 join in_contacts c on c.referencedatauserid = ra.userid
-group by rr.rightid, c.email
 """
 
 SQL["recipients_of_report"] = """
@@ -506,8 +563,9 @@ SQL["create_actions"] = _actions("create", _payload("true", "'[]'"))
 SQL["update_actions"] = _actions("update", _payload("true", "existing_programs"))
 SQL["disable_actions"] = _actions("disable", _payload("false", "existing_programs"))
 
-SQL["update_actions_null_safe"] = """
-select action, existing_id as target_id, code from sides
+SQL["update_actions_null_safe"] = f"""
+select action, existing_id as target_id, code, {_payload("true", "existing_programs")} as payload
+from sides
 where action = 'update' and (
     name is distinct from existing_name or is_operational is distinct from existing_active
     or new_enabled is distinct from existing_enabled
@@ -684,17 +742,71 @@ where x.enabled and not exists (select 1 from {listed} r where r.code = x.code)
 """
 
 
-SQL["disable_absent"] = _disabled("valid_records")
-SQL["import_stream"] = "select action, code, target_id, payload from run_actions"
-SQL["import_run"] = f"""
+SQL["disable_absent"] = _disabled("in_records")
+
+
+def _text(value: str) -> str:
+    return f"coalesce('\"' || {value} || '\"', 'null')"
+
+
+VIEWS["run_creations"] = f"""
+select 'create_province' as action, code,
+       '{{"code":"' || code || '","name":"' || name || '","level":{{"id":' || {_text("level_id")}
+       || '}},"parent":{{"id":' || {_text("parent_id")} || '}}}}' as payload
+from new_provinces
+union all
+select 'create_municipality', code,
+       '{{"code":"' || code || '","name":"' || name || '","level":{{"id":' || {_text("level_id")}
+       || '}},"parent":{{"id":' || {_text("parent_id")} || '}},"parent_code":'
+       || {_text("parent_code")} || '}}'
+from new_municipalities where parent_id is not null or parent_code is not null
+union all
+select 'create_type', code,
+       '{{"code":"' || code || '","name":"' || name || '","displayOrder":'
+       || cast("displayOrder" as varchar) || ',"active":true}}'
+from new_types
+union all
+select 'create_program', code,
+       '{{"code":"' || code || '","name":"' || name || '","description":"' || description
+       || '","active":true}}'
+from new_programs
+"""
+
+VIEWS["run_written"] = f"""
 select action, code, target_id, payload from run_actions
 union all {_disabled("in_records")}
-union all select 'create_province', code, null, null from new_provinces
-union all select 'create_municipality', code, null, null from new_municipalities
-union all select 'create_type', code, null, null from new_types
-union all select 'create_program', code, null, null from new_programs
+union all select action, code, null, payload from run_creations
+"""
+
+SQL["import_run"] = "select * from run_written"
+SQL["import_stream"] = "select * from run_written"
+SQL["import_stream_in_batches"] = "select * from run_written"
+
+SQL["import_rejects"] = """
+select *, cast(null as varchar) as raw from rejected
+union all
+select code, 'unknown_province', 'province', cast(null as varchar)
+from (select distinct code, name, province from valid_records
+      where province not in (select name from hierarchy where levelnumber = 2)) provinces
+union all
+select code, 'unknown_municipality', 'municipality', cast(null as varchar)
+from (select distinct code, name, municipality, province from valid_records
+      where municipality not in (select name from hierarchy where levelnumber = 3)) places
 """
 
+_KINDS = (
+    "create", "update", "disable", "create_province", "create_municipality", "create_type",
+    "create_program",
+)
+
+SQL["import_run_metrics"] = f"""
+select * from ({SQL["import_metrics"]}) counted
+where metric not in ({", ".join(f"'{kind}'" for kind in _KINDS)})
+""" + "".join(
+    f"union all select '{kind}', (select count(*) from run_written where action = '{kind}')\n"
+    for kind in _KINDS
+)
+
 # --- report ---------------------------------------------------------------------
 
 VIEWS["lines"] = """
@@ -730,6 +842,13 @@ group by part
 
 
 SQL["report_parts"] = _pages("lines")
+SQL["import_report"] = SQL["report_parts"]
+SQL["import_deliveries"] = f"""
+select email as recipient, part
+from ({SQL["recipients_of_report"]}) addresses
+cross join (select distinct (row_number() over (order by code) - 1) // 500 + 1 as part from lines)
+    pages
+"""
 SQL["report_parts_of_segments"] = _pages(
     """(select c_mktsegment as name, o_orderpriority as code, 'UNDEFINED' as municipality,
         'UNDEFINED' as type, o_orderstatus as operation

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,7 +49,7 @@ from refsync.operators.supplement import (
     records_missing_zone,
 )
 from refsync.operators.validate import rejects, valid_records
-from refsync.plans.export import due_changes, export_changes, export_full
+from refsync.plans.export import due_changes, export_changes, export_full, run_name
 from refsync.plans.facility_import import (
     ReferenceTables,
     decisions,
@@ -67,8 +67,8 @@ from workload.inputs import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-AT = datetime(2024, 6, 1)
-SNAPSHOT = datetime(2024, 1, 15)
+AT = datetime(2024, 6, 1, tzinfo=timezone.utc)
+SNAPSHOT = datetime(2024, 1, 15, tzinfo=timezone.utc)
 RULES = FacilityRules(fallback_zone="Z-UNKNOWN", fallback_type="T-UNKNOWN")
 
 QUERIES: dict[str, Query] = {}
@@ -114,17 +114,34 @@ class DerivedSource:
 
 @query
 def export_run(spark: SparkSession, t: Tables) -> DataFrame:
-    """A full export written out: what it left per target table, and its log."""
+    """A full export written out: every envelope as it was sent."""
     out = new_shared_path(spark, "export")
     export_full(spark, DerivedSource(t), f"{out}/batch", f"{out}/log", AT)
     sent = spark.read.schema(
         "id string, schema_name string, operation string, change_time string, row_data string,"
         " table_name string"
-    ).json(f"{out}/batch/run=20240601T000000")
-    log = spark.read.schema(SYNC_LOGS).parquet(f"{out}/log").filter("success")
-    counts = sent.groupBy("table_name").agg(F.count(F.lit(1)).alias("envelopes"))
-    logged = log.agg(F.count_distinct("resource"))
-    return counts.withColumn("logged_resources", logged.scalar())
+    ).json(f"{out}/batch/run={run_name(AT)}")
+    return sent.select(
+        "id", "schema_name", "table_name", "operation", "change_time", "row_data"
+    )
+
+
+_LOGGED = ("resource", "sync_type", "operation", "timestamp", "success", "message", "details")
+
+
+@query
+def export_run_log(spark: SparkSession, t: Tables) -> DataFrame:
+    """The log that a full export leaves, run twice under the same time."""
+    out = new_shared_path(spark, "export")
+    few = RESOURCES[:3]
+    for _ in range(2):
+        export_full(spark, DerivedSource(t), f"{out}/batch", f"{out}/log", AT, few)
+    return _log(spark, f"{out}/log")
+
+
+def _log(spark: SparkSession, path: str) -> DataFrame:
+    found = spark.read.schema(SYNC_LOGS).parquet(path).select(*_LOGGED)
+    return found.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
 # --- change log -----------------------------------------------------------------
@@ -209,7 +226,32 @@ def changelog_envelopes(spark: SparkSession, t: Tables) -> DataFrame:
 @query
 def changelog_rejects(spark: SparkSession, t: Tables) -> DataFrame:
     found = change_rejects(change_outcomes(mapped_changes(order_changes(t))))
-    return found.withColumn("missing", F.array_join("missing", ",")).drop("row_data")
+    return found.withColumn("missing", F.array_join("missing", ","))
+
+
+def mixed_changes(t: Tables) -> DataFrame:
+    """Changes of five mapped tables, each row as its source table has it."""
+    tables = ("facilities", "orderables", "programs", "geographic_levels", "users")
+    result = None
+    for number, table in enumerate(tables):
+        source = t[f"src_{table}"]
+        schema = next(spec.schema for spec in RESOURCES if spec.table == table)
+        changes = source.select(
+            F.concat(F.lit(f"{number}-"), F.col("id")).alias("id"),
+            F.lit(schema).alias("schema_name"),
+            F.lit(table).alias("table_name"),
+            F.lit("U").alias("operation"),
+            F.lit("2024-06-01").cast("timestamp_ntz").alias("change_time"),
+            F.to_json(F.struct(*source.columns), {"ignoreNullFields": "false"}).alias("row_data"),
+        )
+        result = changes if result is None else result.unionByName(changes)
+    return result
+
+
+@query
+def changelog_mixed_tables(spark: SparkSession, t: Tables) -> DataFrame:
+    """One log over five mapped tables."""
+    return change_envelopes(change_outcomes(mapped_changes(mixed_changes(t))))
 
 
 @query
@@ -223,11 +265,21 @@ def changelog_run(spark: SparkSession, t: Tables) -> DataFrame:
     out = new_shared_path(spark, "changes")
     logs = t["in_sync_logs"].filter(F.col("resource") != CHANGE_LOG)
     export_changes(spark, order_changes(t), logs, f"{out}/changes", f"{out}/log", AT)
-    found = spark.read.parquet(f"{out}/changes")
-    outcome = F.coalesce("reason", "status")
-    return found.groupBy(outcome.alias("outcome"), F.col("table_name").cast("string")).agg(
-        F.count(F.lit(1)).alias("changes")
-    ).toDF("outcome", "table_name", "changes")
+    found = spark.read.parquet(f"{out}/changes/run={run_name(AT)}")
+    return found.select(
+        F.col("status").cast("string").alias("status"),
+        F.col("table_name").cast("string").alias("table_name"),
+        "id",
+        "schema_name",
+        "operation",
+        "change_time",
+        "row_data",
+        "change_id",
+        "source_schema",
+        "source_table",
+        "reason",
+        F.array_join("missing", ",").alias("missing"),
+    )
 
 
 @query
@@ -245,6 +297,20 @@ def changelog_stream(spark: SparkSession, t: Tables) -> DataFrame:
     return change_envelopes(spark.read.parquet(f"{out}/changes"))
 
 
+@query
+def changelog_stream_log(spark: SparkSession, t: Tables) -> DataFrame:
+    """The log that a stream leaves after it was started twice."""
+    log = new_shared_path(spark, "log")
+    order_changes(t).coalesce(1).write.parquet(log)
+    out = new_shared_path(spark, "stream")
+    for _ in range(2):
+        stream = read_change_stream(spark, log, schema=_STREAMED)
+        run_change_stream(
+            stream, f"{out}/changes", f"{out}/checkpoint", log=f"{out}/log"
+        ).awaitTermination()
+    return _log(spark, f"{out}/log")
+
+
 _STREAMED = (
     "id bigint, schema_name string, table_name string, operation string,"
     " change_time timestamp_ntz, row_data string"
@@ -292,7 +358,8 @@ def records_from_json(spark: SparkSession, t: Tables) -> DataFrame:
     records(t).write.json(landing)
     return read_facility_records(spark, landing).select(
         "id", "reference_id", "code", "name", "is_deleted", "is_operational", "latitude",
-        F.coalesce(F.size("services"), F.lit(0)).alias("services"),
+        "longitude", "category", "municipality", "province",
+        F.coalesce(as_json("services"), F.lit("[]")).alias("services"), "raw_record",
     )
 
 
@@ -350,8 +417,7 @@ def facility_program_entries(spark: SparkSession, t: Tables) -> DataFrame:
 
 @query
 def contacts_by_right(spark: SparkSession, t: Tables) -> DataFrame:
-    found = contact_details(t["in_role_rights"], t["in_role_assignments"], t["in_contacts"])
-    return found.groupBy("rightid", "email").agg(F.count(F.lit(1)).alias("contacts"))
+    return contact_details(t["in_role_rights"], t["in_role_assignments"], t["in_contacts"])
 
 
 @query
@@ -419,7 +485,7 @@ def update_actions(spark: SparkSession, t: Tables) -> DataFrame:
 @query
 def update_actions_null_safe(spark: SparkSession, t: Tables) -> DataFrame:
     rules = FacilityRules(RULES.fallback_zone, RULES.fallback_type, null_safe=True)
-    return _actions_of(_decided(t, rules), "update").drop("payload")
+    return _actions_of(_decided(t, rules), "update")
 
 
 @query
@@ -441,8 +507,7 @@ def disable_actions(spark: SparkSession, t: Tables) -> DataFrame:
 
 @query
 def disable_absent(spark: SparkSession, t: Tables) -> DataFrame:
-    listed = valid_records(t["in_records"])
-    found = absent_facilities(reference_tables(t).existing(), listed, RULES)
+    found = absent_facilities(reference_tables(t).existing(), t["in_records"], RULES)
     return found.withColumn("payload", as_json("payload"))
 
 
@@ -470,6 +535,12 @@ def import_metrics(spark: SparkSession, t: Tables) -> DataFrame:
     return run_metrics(incoming, decisions(incoming, reference_tables(t), RULES))
 
 
+def _written(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).select(
+        F.col("action").cast("string").alias("action"), "code", "target_id", "payload"
+    )
+
+
 @query
 def import_run(spark: SparkSession, t: Tables) -> DataFrame:
     """A whole import written out, with everything switched on."""
@@ -478,32 +549,71 @@ def import_run(spark: SparkSession, t: Tables) -> DataFrame:
         records(t), reference_tables(t), out, RULES, disable_missing=True, supplement=True,
         stage=True,
     )
-    facility = F.col("action").isin("create", "update", "disable")
-    return spark.read.parquet(f"{out}/actions").select(
-        F.col("action").cast("string").alias("action"),
-        "code",
-        "target_id",
-        F.when(facility, F.col("payload")).alias("payload"),
+    return _written(spark, f"{out}/actions")
+
+
+def _import(spark: SparkSession, t: Tables, **options) -> str:
+    out = new_shared_path(spark, "import")
+    run_import(
+        records(t), reference_tables(t), out, RULES, disable_missing=True, supplement=True,
+        **options,
     )
+    return out
 
 
 @query
-def import_stream(spark: SparkSession, t: Tables) -> DataFrame:
-    """Records delivered as JSON files and imported as they arrive."""
+def import_rejects(spark: SparkSession, t: Tables) -> DataFrame:
+    """The rejects that an import has written."""
+    out = _import(spark, t, report=False)
+    return spark.read.parquet(f"{out}/rejects").withColumn("columns", F.array_join("columns", ","))
+
+
+@query
+def import_run_metrics(spark: SparkSession, t: Tables) -> DataFrame:
+    """The metrics that an import has written."""
+    return spark.read.parquet(f"{_import(spark, t, report=False)}/metrics")
+
+
+@query
+def import_report(spark: SparkSession, t: Tables) -> DataFrame:
+    """The report pages that an import has written."""
+    return spark.read.parquet(f"{_import(spark, t)}/report")
+
+
+@query
+def import_deliveries(spark: SparkSession, t: Tables) -> DataFrame:
+    """Which page of the report goes to whom."""
+    right = hashlib.md5(b"F").hexdigest()
+    addresses = report_recipients(DerivedSource(t, _REFERENCE), right)
+    return spark.read.parquet(f"{_import(spark, t, addresses=addresses)}/deliveries")
+
+
+def _stream_import(spark: SparkSession, t: Tables, files: int, **options) -> str:
     out = new_shared_path(spark, "import-stream")
-    records(t).write.json(f"{out}/landing")
+    records(t).repartition(files, "id").write.json(f"{out}/landing")
     tables = reference_tables(t)
     run_import_stream(
-        stream_facility_records(spark, f"{out}/landing"),
+        stream_facility_records(spark, f"{out}/landing", **options),
         lambda: tables,
         f"{out}/imports",
         f"{out}/checkpoint",
         RULES,
-        report=False,
-    ).awaitTermination()
-    return spark.read.parquet(f"{out}/imports/actions").select(
-        F.col("action").cast("string").alias("action"), "code", "target_id", "payload"
+        disable_missing=True,
+        supplement=True,
     )
+    return f"{out}/imports"
+
+
+@query
+def import_stream(spark: SparkSession, t: Tables) -> DataFrame:
+    """Records delivered as JSON files and imported as they arrive."""
+    return _written(spark, f"{_stream_import(spark, t, 1)}/actions")
+
+
+@query
+def import_stream_in_batches(spark: SparkSession, t: Tables) -> DataFrame:
+    """The same delivery in several files, each a batch of its own."""
+    return _written(spark, f"{_stream_import(spark, t, 3, max_bytes=1)}/actions")
 
 
 # --- report ---------------------------------------------------------------------
