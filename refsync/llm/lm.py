@@ -18,6 +18,7 @@ group is larger than others.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -239,12 +240,15 @@ def answers(wanted: DataFrame, shared) -> DataFrame:
             {
                 "grp": table.column("grp"),
                 "chunk": table.column("chunk"),
+                "check": pa.array([zlib.crc32(p) for p in pairs], pa.int64()),
                 "values": pa.array(blobs, pa.binary()),
             }
         )
         return made.filter(pc.is_valid(made.column("chunk")))
 
-    return wanted.groupBy("grp").applyInArrow(answer, "grp int, chunk long, values binary")
+    return wanted.groupBy("grp").applyInArrow(
+        answer, "grp int, chunk long, check long, values binary"
+    )
 
 
 def cross_entropy_difference(
@@ -258,7 +262,9 @@ def cross_entropy_difference(
     """Per row of ``docs``: the key, ``n_words`` and ``score``.
 
     The background model is learned from all of ``docs``, the target model from
-    all of ``target``; both grow with their tables. A null or wordless text has
+    all of ``target``; both grow with their tables. ``docs`` is read again for
+    the scores, and must come in the same order then, as a stored table does; if
+    it does not, the run fails rather than mix up answers. A null or wordless text has
     score 0. Null and repeated keys keep their rows. With an empty ``target``
     both models agree up to smoothing. Other columns, whatever their names,
     take no part. An empty table gives an empty result.
@@ -284,13 +290,17 @@ def cross_entropy_difference(
 
     def score(these: pa.Table, those: pa.Table) -> pa.Table:
         pairs = [shared.value.pairs(t) for t in these.column("body").to_pylist()]
-        different, order, _ = asked(pairs, groups)
-        values = np.empty(len(different))
+        different, order, bounds = asked(pairs, groups)
+        values, wanted = np.empty(len(different)), different[order]
         blobs = sorted(
-            zip(those.column("grp").to_pylist(), those.column("values").to_pylist(), strict=True)
+            zip(
+                *(those.column(name).to_pylist() for name in ("grp", "check", "values")),
+                strict=True,
+            )
         )
-        given = np.frombuffer(b"".join(blob for _, blob in blobs), np.float32)
-        if len(given) != len(different):
+        here = [(g, zlib.crc32(wanted[bounds[g] : bounds[g + 1]])) for g, _, _ in blobs]
+        given = np.frombuffer(b"".join(blob for _, _, blob in blobs), np.float32)
+        if len(given) != len(different) or here != [(g, check) for g, check, _ in blobs]:
             raise ValueError("a chunk holds other rows than when it asked")
         values[order] = given
         scores = [float(values[np.searchsorted(different, p)].mean()) if len(p) else 0.0 for p in pairs]
