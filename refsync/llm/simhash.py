@@ -168,7 +168,9 @@ def bucket_keys(values: np.ndarray, max_bits: int, which: int = 0) -> list[np.nd
     ]
 
 
-def few_pairs(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def few_pairs(
+    values: np.ndarray, labels: np.ndarray, a: np.ndarray, b: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
     """Of linked rows: each row with its nearest one, and with the least row of its component."""
     if not len(a):
         return a, b
@@ -180,18 +182,24 @@ def few_pairs(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndar
     low = a.min()
     span = max(a.max(), b.max()) + 1 - low
     least = merged(np.arange(span), a - low, b - low)[which - low] + low
-    off = which != least
+    off = labels[which] != labels[least]
     return np.concatenate([which, which[off]]), np.concatenate([nearest, least[off]])
 
 
 def close_pairs(
-    keys: np.ndarray, values: np.ndarray, max_bits: int, labels: np.ndarray | None = None
+    keys: np.ndarray,
+    values: np.ndarray,
+    max_bits: int,
+    labels: np.ndarray | None = None,
+    few: bool = True,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of equal key whose values lie within ``max_bits``.
+    """Rows of equal key and different labels whose values lie within ``max_bits``.
 
-    With ``labels`` all pairs whose labels differ. Without, runs longer than
-    ``SHORT_RUN`` report a few pairs per row, which connect what is linked.
+    Unless ``few``, all such pairs. Runs longer than ``SHORT_RUN`` then report a
+    few pairs per row, which connect what is linked.
     """
+    if labels is None:
+        labels = np.arange(len(keys))
     starts = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1])
     lengths = np.diff(np.concatenate([starts, [len(keys)]]))
     left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
@@ -199,11 +207,10 @@ def close_pairs(
 
     def verified(a: np.ndarray, b: np.ndarray, few: bool) -> None:
         near = np.bitwise_count(values[a] ^ values[b]) <= max_bits
-        if labels is not None:
-            near &= labels[a] != labels[b]
+        near &= labels[a] != labels[b]
         a, b = a[near], b[near]
-        if few and labels is None:
-            a, b = few_pairs(values, a, b)
+        if few:
+            a, b = few_pairs(values, labels, a, b)
         left.append(a)
         right.append(b)
 
@@ -221,18 +228,16 @@ def close_pairs(
     for start, length in zip(
         starts[lengths > SHORT_RUN].tolist(), lengths[lengths > SHORT_RUN].tolist(), strict=True
     ):
-        run = np.ascontiguousarray(table[start : start + length].T)
+        part = slice(start, start + length)
+        run = np.ascontiguousarray(table[part].T)
         if length <= SQUARE_RUN:
-            kept = _within(run[0], run[0], max_bits)
-            for line in run[1:]:
+            kept = labels[part][:, None] != labels[part]
+            for line in run:
                 kept &= _within(line, line, max_bits)
             a, b = np.nonzero(np.triu(kept, 1))
-            verified(a + start, b + start, True)
+            verified(a + start, b + start, few)
         else:
-            part = slice(start, start + length)
-            a, b = _long_run(
-                values[part], run, max_bits, None if labels is None else labels[part]
-            )
+            a, b = _long_run(values[part], run, max_bits, labels[part], few)
             left.append(a + start)
             right.append(b + start)
     return np.concatenate(left), np.concatenate(right)
@@ -244,18 +249,19 @@ def _within(rows: np.ndarray, columns: np.ndarray, max_bits: int) -> np.ndarray:
 
 
 def _long_run(
-    values: np.ndarray, table: np.ndarray, max_bits: int, labels: np.ndarray | None
+    values: np.ndarray, table: np.ndarray, max_bits: int, labels: np.ndarray, few: bool
 ) -> tuple[np.ndarray, np.ndarray]:
     """Tiles of rows, sorted by the first pivot's distance so that far ones never meet.
 
-    Reports, without ``labels``, for every row the least row of its component and
-    some row that it is within ``max_bits`` of; else all pairs of other labels.
+    If ``few``, rows are not compared with those they are connected with already,
+    and every row is reported with the least row of its component as well.
     """
     order = np.argsort(table[0], kind="stable")
-    turned = table[:, order]
+    turned, labels = table[:, order], labels[order]
     count = len(order)
-    roots = np.arange(count) if labels is None else labels[order]
-    left, right = [], []
+    roots = np.unique(labels, return_index=True, return_inverse=True)
+    roots = roots[1][roots[2]]
+    left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for start in range(0, count, TILE):
         rows = np.arange(start, min(start + TILE, count))
         end = int(np.searchsorted(turned[0], turned[0, rows[-1]] + max_bits, "right"))
@@ -268,22 +274,25 @@ def _long_run(
             x, y = rows[x], columns[y]
             near = np.bitwise_count(values[order[x]] ^ values[order[y]]) <= max_bits
             x, y = x[near], y[near]
-            if labels is not None:
-                left.append(order[x])
-                right.append(order[y])
+            if not few:
+                left.append(x)
+                right.append(y)
             elif len(x):
                 for ends, others in ((x, y), (y, x)):
                     which, first = np.unique(ends, return_index=True)
-                    left.append(order[which])
-                    right.append(order[others[first]])
+                    left.append(which)
+                    right.append(others[first])
                 roots = merged(roots, x, y)
-    if labels is None:
+    if few:
         least = np.full(count, count)
         np.minimum.at(least, roots, order)
-        left.append(order)
-        right.append(least[roots])
+        place = np.empty(count, np.int64)
+        place[order] = np.arange(count)
+        left.append(np.arange(count))
+        right.append(place[least[roots]])
     a, b = np.concatenate(left), np.concatenate(right)
-    return a[a != b], b[a != b]
+    off = labels[a] != labels[b]
+    return order[a[off]], order[b[off]]
 
 
 def merged(roots: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -307,16 +316,16 @@ def links(
     nodes: DataFrame,
     columns: list[str],
     max_bits: int,
-    stars: bool = False,
-    labelled: bool = False,
+    pairs: str = "stars",
     bucket: int = BUCKET,
 ) -> DataFrame:
     """Pairs (``a``, ``b``) of ``node`` that are within ``max_bits`` in one of ``columns``.
 
-    With ``stars`` as many as connect what is linked, and a few more without.
-    ``labelled`` nodes have a ``label``, and all pairs of different labels count.
+    As ``pairs`` either ``stars``, the least that connects what a task has linked;
+    or a ``few`` for every node, or ``all``, and then only those whose ``label``
+    differs, which nodes must have.
     """
-    extra = ["label"] if labelled else []
+    extra = [] if pairs == "stars" else ["label"]
     fields = ["value", "node", *extra]
     kinds = ", ".join(f"{name} long" for name in fields)
 
@@ -363,8 +372,9 @@ def links(
             # Rows come sorted, so a change of key or tile is a new run.
             runs = np.zeros(len(key), np.int64)
             runs[1:] = np.cumsum((np.diff(key) != 0) | (np.diff(tile) != 0))
-            a, b = close_pairs(runs, value.view(np.uint64), max_bits, *label)
-            if stars and len(a):
+            known = label[0] if label else None
+            a, b = close_pairs(runs, value.view(np.uint64), max_bits, known, pairs != "all")
+            if pairs == "stars" and len(a):
                 roots = merged(np.arange(len(node)), a, b)
                 a = np.flatnonzero(roots != np.arange(len(node)))
                 b = roots[a]
@@ -432,27 +442,33 @@ def similar_links(
     """Verified links that connect all similar texts that are ``max_bits`` apart.
 
     A large group of near-copies has far more pairs than it takes to connect it.
-    So a first pass verifies a few pairs per text. A second pass takes the texts
-    that had any, and verifies all pairs that the first one left unconnected.
+    So a first pass verifies the least that connects texts within ``MAX_BITS``,
+    which is most copies. A second one verifies a few pairs for every text among
+    those not connected yet, and a third, of the texts that had any, all pairs
+    that are still not connected.
     """
-    proposed = materialize(links(nodes, columns, max_bits).distinct(), "proposed")
-    found = materialize(similar_pairs(proposed, nodes, similarity), "similar")
-    roots = materialize(components(found), "components")
-    touched = proposed.select(F.col("a").alias("node")).unionAll(
-        proposed.select(F.col("b").alias("node"))
-    )
-    again = materialize(
-        nodes.select(*dict.fromkeys(["node", *columns]))
-        .join(materialize(touched.distinct(), "touched"), "node")
-        .join(roots, "node", "left")
-        .withColumn("label", F.coalesce("root", "node"))
-        .drop("root"),
-        "again",
-    )
-    rest = materialize(
-        links(again, columns, max_bits, labelled=True).distinct(), "proposed"
-    ).join(proposed, ["a", "b"], "left_anti")
-    return found.unionAll(similar_pairs(materialize(rest, "rest"), nodes, similarity))
+    kept = ["node", *columns[1:]]
+    none = nodes.select("node", F.col("node").alias("root")).limit(0)
+    found, roots, tried, among = None, none, None, nodes.select(*kept)
+    for bits, pairs in ((min(MAX_BITS, max_bits), "stars"), (max_bits, "few"), (max_bits, "all")):
+        labelled = (
+            among.join(roots, "node", "left")
+            .withColumn("label", F.coalesce("root", "node"))
+            .drop("root")
+        )
+        proposed = links(materialize(labelled, "labelled"), columns, bits, pairs).distinct()
+        if tried is not None:
+            proposed = proposed.join(tried, ["a", "b"], "left_anti")
+        proposed = materialize(proposed, "proposed")
+        similar = similar_pairs(proposed, nodes, similarity)
+        found = materialize(similar if found is None else found.unionAll(similar), "similar")
+        if pairs == "all":
+            return found
+        tried = materialize(proposed if tried is None else tried.unionAll(proposed), "tried")
+        roots = materialize(components(found), "components")
+        if pairs == "few":
+            touched = proposed.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+            among = among.join(materialize(touched, "touched"), "node")
 
 
 def node_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -487,7 +503,7 @@ def near_duplicates(
     """
     prints = materialize(fingerprints(docs, {"doc_id": F.col(key)}, words, text=text), "prints")
     nodes = materialize(prints.groupBy("node").agg(F.min("doc_id").alias("first")), "nodes")
-    found = node_components(nodes, links(nodes, ["node"], max_bits, stars=True))
+    found = node_components(nodes, links(nodes, ["node"], max_bits))
     return prints.join(found, "node").select(
         "doc_id",
         F.lpad(F.lower(F.hex("node")), 16, "0").alias("fingerprint"),

@@ -82,7 +82,7 @@ def linked(spark, values, bucket):
     nodes = spark.createDataFrame(
         [(int(np.uint64(v).astype(np.int64)),) for v in values], "node long"
     )
-    pairs = simhash.links(nodes, ["node"], 4, stars=True, bucket=bucket)
+    pairs = simhash.links(nodes, ["node"], 4, bucket=bucket)
     found = simhash.components(pairs).collect()
     root = {r.node % (1 << 64): r.root % (1 << 64) for r in found}
     classes = defaultdict(set)
@@ -127,7 +127,7 @@ def test_all_pairs_of_different_labels(monkeypatch, short, square):
     values = np.array(groups(9, 12, 12), np.uint64)
     draw = np.random.default_rng(2)
     keys, labels = np.sort(draw.integers(0, 4, len(values))), draw.integers(0, 5, len(values))
-    a, b = simhash.close_pairs(keys, values, 4, labels)
+    a, b = simhash.close_pairs(keys, values, 4, labels, few=False)
     near = (np.bitwise_count(values[:, None] ^ values) <= 4) & (keys[:, None] == keys)
     near &= labels[:, None] != labels
     assert set(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist())) == set(
@@ -135,6 +135,25 @@ def test_all_pairs_of_different_labels(monkeypatch, short, square):
     )
 
 
+@pytest.mark.parametrize("short, square", [(16, 512), (2, 512), (2, 3)])
+def test_few_pairs_connect_what_labels_leave_apart(monkeypatch, short, square):
+    monkeypatch.setattr(simhash, "SHORT_RUN", short)
+    monkeypatch.setattr(simhash, "SQUARE_RUN", square)
+    monkeypatch.setattr(simhash, "TILE", 7)
+    values = np.array(groups(9, 12, 12), np.uint64)
+    keys = np.zeros(len(values), np.int64)
+    near = np.bitwise_count(values[:, None] ^ values) <= 4
+    x, y = np.nonzero(near)
+    tight = np.bitwise_count(values[x] ^ values[y]) <= 2
+    labels = simhash.merged(np.arange(len(values)), x[tight], y[tight])
+    a, b = simhash.close_pairs(keys, values, 4, labels)
+    assert (labels[a] != labels[b]).all()
+    assert (
+        simhash.merged(labels, np.concatenate([a, b]), np.concatenate([b, a]))
+        == simhash.merged(np.arange(len(values)), x, y)
+    ).all()
+
+
 def test_a_group_of_copies_has_few_pairs():
     draw = random.Random(4)
     base = draw.getrandbits(64)
