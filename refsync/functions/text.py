@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import unicodedata
 
 from pyspark.sql import Column
@@ -88,7 +89,6 @@ _USUAL = [sign for sign in SPELLED_OUT if sign in _LONGER]
 _RARE = {sign: form for sign, form in _LONGER.items() if sign not in _USUAL}
 _ACCENTED, _BASE = "".join(_SINGLE) + _REMOVED, "".join(_SINGLE.values())
 _NOT_ASCII = r"[^\x00-\x7F]"
-_ANY_RARE = "[" + "".join(f"\\x{{{ord(sign):x}}}" for sign in _RARE) + "]"
 
 
 def fold(text: Column) -> Column:
@@ -96,24 +96,27 @@ def fold(text: Column) -> Column:
 
     Every character with an ASCII form in Unicode gets it; other scripts pass
     through. Texts that are plain ASCII skip the replacements, and only texts
-    with a rare character such as a fraction are looked up sign by sign.
+    that are not ASCII after the usual ones are looked up sign by sign.
     """
     lowered = F.lower(text)
     folded = F.translate(lowered, _ACCENTED, _BASE)
     for sign in _USUAL:
         folded = F.replace(folded, F.lit(sign), F.lit(_FORMS[sign]))
-    forms = F.create_map(*(F.lit(x) for pair in _RARE.items() for x in pair))
-    by_sign = F.array_join(
-        F.transform(
-            F.split(folded, ""), lambda sign: F.coalesce(F.element_at(forms, sign), sign)
-        ),
-        "",
-    )
-    return (
-        F.when(~lowered.rlike(_NOT_ASCII), lowered)
-        .when(folded.rlike(_ANY_RARE), by_sign)
-        .otherwise(folded)
-    )
+    # One constant: the optimizer evaluates it before any row is read.
+    forms = F.from_json(F.lit(json.dumps(_RARE)), "map<string, string>")
+
+    def by_sign(left: Column) -> Column:
+        signs = F.transform(
+            F.split(left, ""),
+            lambda sign: F.when(sign <= "\x7f", sign).otherwise(
+                F.coalesce(F.element_at(forms, sign), sign)
+            ),
+        )
+        return F.when(left.rlike(_NOT_ASCII), F.array_join(signs, "")).otherwise(left)
+
+    # An array of one names the folded text, so that it is computed once.
+    whole = F.get(F.transform(F.array(folded), by_sign), F.lit(0))
+    return F.when(lowered.rlike(_NOT_ASCII), whole).otherwise(lowered)
 
 
 def zone_code(name: Column, level: str) -> Column:
