@@ -29,6 +29,7 @@ from refsync.operators.facilities import (
     enrich,
     match_existing,
     report_rows,
+    with_facility_programs,
     with_program_ids,
 )
 from refsync.operators.lookup import (
@@ -57,7 +58,7 @@ from refsync.plans.facility_import import (
     run_import,
     run_metrics,
 )
-from refsync.session import configure, new_shared_path
+from refsync.session import configure, materialize, new_shared_path
 from refsync.sources.incoming import read_facility_records, stream_facility_records
 from refsync.sources.registry import CHANGE_LOG, RESOURCES
 from refsync.sources.schemas import SYNC_LOGS
@@ -490,8 +491,17 @@ def update_actions_null_safe(spark: SparkSession, t: Tables) -> DataFrame:
 
 @query
 def update_actions_merged(spark: SparkSession, t: Tables) -> DataFrame:
+    """The way a run takes: programs are read late, of the facilities that change."""
     rules = FacilityRules(RULES.fallback_zone, RULES.fallback_type, programs="merged")
-    return _actions_of(_decided(t, rules), "update")
+    tables = reference_tables(t)
+    decided = decisions(records(t), tables, rules, existing=tables.placed())
+    wanted = materialize(
+        actions(decided.filter(F.col("action") == "update"), "program_ids"), "actions"
+    )
+    found = with_facility_programs(
+        wanted, tables.supported_programs, tables.programs, rules, tables.small
+    )
+    return found.drop("program_ids").withColumn("payload", as_json("payload"))
 
 
 @query
