@@ -168,22 +168,41 @@ def bucket_keys(values: np.ndarray, max_bits: int, which: int = 0) -> list[np.nd
     ]
 
 
+def hubs(roots: np.ndarray, degree: np.ndarray) -> np.ndarray:
+    """For every row the row of its component that is linked with most others."""
+    order = np.lexsort((np.arange(len(roots)), -degree, roots))
+    _, first, back = np.unique(roots[order], return_index=True, return_inverse=True)
+    found = np.empty(len(roots), np.int64)
+    found[order] = order[first][back]
+    return found
+
+
 def few_pairs(
-    values: np.ndarray, labels: np.ndarray, a: np.ndarray, b: np.ndarray
+    values: np.ndarray, labels: np.ndarray, a: np.ndarray, b: np.ndarray, pairs: str
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Of linked rows: each row with its nearest one, and with the least row of its component."""
+    """Of linked rows: each row with the hub of its component, and if ``few`` with its nearest.
+
+    Copies of a text are more alike to it than to each other, and a hub is most
+    often that text, whatever part of the copies a bucket holds.
+    """
     if not len(a):
         return a, b
-    apart = np.bitwise_count(values[a] ^ values[b])
-    ends, others = np.concatenate([a, b]), np.concatenate([b, a])
-    order = np.lexsort((others, np.concatenate([apart, apart]), ends))
-    which, first = np.unique(ends[order], return_index=True)
-    nearest = others[order][first]
     low = a.min()
     span = max(a.max(), b.max()) + 1 - low
-    least = merged(np.arange(span), a - low, b - low)[which - low] + low
-    off = labels[which] != labels[least]
-    return np.concatenate([which, which[off]]), np.concatenate([nearest, least[off]])
+    ends, others = np.concatenate([a, b]), np.concatenate([b, a])
+    roots = merged(np.arange(span), a - low, b - low)
+    hub = hubs(roots, np.bincount(ends - low, minlength=span)) + low
+    which = np.unique(ends)
+    left, right = [which], [hub[which - low]]
+    if pairs == "few":
+        apart = np.bitwise_count(values[ends] ^ values[others])
+        order = np.lexsort((others, apart, ends))
+        which, first = np.unique(ends[order], return_index=True)
+        left.append(which)
+        right.append(others[order][first])
+    x, y = np.concatenate(left), np.concatenate(right)
+    off = labels[x] != labels[y]
+    return x[off], y[off]
 
 
 def close_pairs(
@@ -191,12 +210,16 @@ def close_pairs(
     values: np.ndarray,
     max_bits: int,
     labels: np.ndarray | None = None,
-    few: bool = True,
+    pairs: str = "few",
+    words: np.ndarray | None = None,
+    total_bits: int = 0,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Rows of equal key and different labels whose values lie within ``max_bits``.
 
-    Unless ``few``, all such pairs. Runs longer than ``SHORT_RUN`` then report a
-    few pairs per row, which connect what is linked.
+    If there are ``words``, they must lie within ``total_bits`` over all of them.
+
+    ``all`` such pairs, or a ``few`` per row, or of each row and its ``hubs`` only;
+    the latter two connect what is linked.
     """
     if labels is None:
         labels = np.arange(len(keys))
@@ -205,15 +228,20 @@ def close_pairs(
     left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     table = np.bitwise_count(values[:, None] ^ PIVOTS).astype(np.int8)
 
-    def verified(a: np.ndarray, b: np.ndarray, few: bool) -> None:
+    def verified(a: np.ndarray, b: np.ndarray) -> None:
         near = np.bitwise_count(values[a] ^ values[b]) <= max_bits
         near &= labels[a] != labels[b]
         a, b = a[near], b[near]
-        if few:
-            a, b = few_pairs(values, labels, a, b)
+        if words is not None:
+            near = np.bitwise_count(words[:, a] ^ words[:, b]).sum(axis=0) <= total_bits
+            a, b = a[near], b[near]
+        if pairs != "all":
+            a, b = few_pairs(values, labels, a, b, pairs)
         left.append(a)
         right.append(b)
 
+    none = np.empty(0, np.int64)
+    short_a, short_b = [none], [none]
     short = np.repeat(lengths <= SHORT_RUN, lengths)
     room = np.repeat(starts + lengths, lengths) - np.arange(len(keys)) - 1
     for lag in range(1, SHORT_RUN):
@@ -224,7 +252,9 @@ def close_pairs(
         for pivot in range(len(PIVOTS)):
             kept = np.abs(table[a, pivot] - table[b, pivot]) <= max_bits
             a, b = a[kept], b[kept]
-        verified(a, b, False)
+        short_a.append(a)
+        short_b.append(b)
+    verified(np.concatenate(short_a), np.concatenate(short_b))
     for start, length in zip(
         starts[lengths > SHORT_RUN].tolist(), lengths[lengths > SHORT_RUN].tolist(), strict=True
     ):
@@ -235,9 +265,10 @@ def close_pairs(
             for line in run:
                 kept &= _within(line, line, max_bits)
             a, b = np.nonzero(np.triu(kept, 1))
-            verified(a + start, b + start, few)
+            verified(a + start, b + start)
         else:
-            a, b = _long_run(values[part], run, max_bits, labels[part], few)
+            own = None if words is None else words[:, part]
+            a, b = _long_run(values[part], run, max_bits, labels[part], pairs, own, total_bits)
             left.append(a + start)
             right.append(b + start)
     return np.concatenate(left), np.concatenate(right)
@@ -249,18 +280,25 @@ def _within(rows: np.ndarray, columns: np.ndarray, max_bits: int) -> np.ndarray:
 
 
 def _long_run(
-    values: np.ndarray, table: np.ndarray, max_bits: int, labels: np.ndarray, few: bool
+    values: np.ndarray,
+    table: np.ndarray,
+    max_bits: int,
+    labels: np.ndarray,
+    pairs: str,
+    words: np.ndarray | None,
+    total_bits: int,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Tiles of rows, sorted by the first pivot's distance so that far ones never meet.
 
-    If ``few``, rows are not compared with those they are connected with already,
-    and every row is reported with the least row of its component as well.
+    Unless ``all`` pairs count, rows are not compared with those they are connected
+    with already, and every row is reported with the hub of its component.
     """
     order = np.argsort(table[0], kind="stable")
     turned, labels = table[:, order], labels[order]
     count = len(order)
     roots = np.unique(labels, return_index=True, return_inverse=True)
     roots = roots[1][roots[2]]
+    degree = np.zeros(count, np.int64)
     left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for start in range(0, count, TILE):
         rows = np.arange(start, min(start + TILE, count))
@@ -274,22 +312,23 @@ def _long_run(
             x, y = rows[x], columns[y]
             near = np.bitwise_count(values[order[x]] ^ values[order[y]]) <= max_bits
             x, y = x[near], y[near]
-            if not few:
+            if words is not None:
+                apart = np.bitwise_count(words[:, order[x]] ^ words[:, order[y]]).sum(axis=0)
+                x, y = x[apart <= total_bits], y[apart <= total_bits]
+            if pairs == "all":
                 left.append(x)
                 right.append(y)
             elif len(x):
-                for ends, others in ((x, y), (y, x)):
-                    which, first = np.unique(ends, return_index=True)
-                    left.append(which)
-                    right.append(others[first])
+                degree += np.bincount(x, minlength=count) + np.bincount(y, minlength=count)
+                if pairs == "few":
+                    for ends, others in ((x, y), (y, x)):
+                        which, first = np.unique(ends, return_index=True)
+                        left.append(which)
+                        right.append(others[first])
                 roots = merged(roots, x, y)
-    if few:
-        least = np.full(count, count)
-        np.minimum.at(least, roots, order)
-        place = np.empty(count, np.int64)
-        place[order] = np.arange(count)
+    if pairs != "all":
         left.append(np.arange(count))
-        right.append(place[least[roots]])
+        right.append(hubs(roots, degree))
     a, b = np.concatenate(left), np.concatenate(right)
     off = labels[a] != labels[b]
     return order[a[off]], order[b[off]]
@@ -318,15 +357,19 @@ def links(
     max_bits: int,
     pairs: str = "stars",
     bucket: int = BUCKET,
+    total_bits: int = 0,
 ) -> DataFrame:
     """Pairs (``a``, ``b``) of ``node`` that are within ``max_bits`` in one of ``columns``.
 
+    Of several columns, the first of which is ``node``, the pairs must be within
+    ``total_bits`` over all as well.
+
     As ``pairs`` either ``stars``, the least that connects what a task has linked;
-    or a ``few`` for every node, or ``all``, and then only those whose ``label``
-    differs, which nodes must have.
+    or each node with the ``hubs`` of its buckets, or a ``few`` for every node, or
+    ``all``, and then only those whose ``label`` differs, which nodes must have.
     """
     extra = [] if pairs == "stars" else ["label"]
-    fields = ["value", "node", *extra]
+    fields = [*columns, *extra]
     kinds = ", ".join(f"{name} long" for name in fields)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -334,13 +377,13 @@ def links(
             for which, name in enumerate(columns):
                 column = batch.column(name)
                 values = column.to_numpy().astype(np.int64).view(np.uint64)
-                others = [batch.column(other) for other in ("node", *extra)]
+                others = [batch.column(other) for other in fields]
                 for keys in bucket_keys(values, max_bits, which):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys), column, *others], ["key", *fields]
+                        [pa.array(keys), *others], ["key", *fields]
                     )
 
-    spread_out = nodes.select(*dict.fromkeys(["node", *columns, *extra])).mapInArrow(
+    spread_out = nodes.select(*fields).mapInArrow(
         spread, f"key long, {kinds}"
     )
     hot = materialize(
@@ -368,12 +411,16 @@ def links(
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def report(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            key, tile, value, node, *label = np.concatenate(parts, axis=1)
+            key, tile, *rest = np.concatenate(parts, axis=1)
+            words, node = np.stack(rest[: len(columns)]).view(np.uint64), rest[0]
+            value = words[key >> 56, np.arange(len(key))]
             # Rows come sorted, so a change of key or tile is a new run.
             runs = np.zeros(len(key), np.int64)
             runs[1:] = np.cumsum((np.diff(key) != 0) | (np.diff(tile) != 0))
-            known = label[0] if label else None
-            a, b = close_pairs(runs, value.view(np.uint64), max_bits, known, pairs != "all")
+            known = rest[-1] if extra else None
+            kind = "hubs" if pairs == "stars" else pairs
+            several = words if len(columns) > 1 else None
+            a, b = close_pairs(runs, value, max_bits, known, kind, several, total_bits)
             if pairs == "stars" and len(a):
                 roots = merged(np.arange(len(node)), a, b)
                 a = np.flatnonzero(roots != np.arange(len(node)))
@@ -436,27 +483,37 @@ def similar_pairs(pairs: DataFrame, nodes: DataFrame, similarity: float) -> Data
     )
 
 
+def expected_bits(similarity: float, words: int) -> tuple[float, float]:
+    """Mean and deviation of the bits in which ``words`` fingerprints of similar texts differ."""
+    cosine = 2 * similarity / (1 + similarity)
+    share = np.arccos(cosine) / np.pi
+    bits = 64 * words
+    return float(bits * share), float(np.sqrt(bits * share * (1 - share)))
+
+
 def similar_links(
     nodes: DataFrame, columns: list[str], max_bits: int, similarity: float
 ) -> DataFrame:
     """Verified links that connect all similar texts that are ``max_bits`` apart.
 
     A large group of near-copies has far more pairs than it takes to connect it.
-    So a first pass verifies the least that connects texts within ``MAX_BITS``,
-    which is most copies. A second one verifies a few pairs for every text among
+    So a first pass verifies texts within ``MAX_BITS`` with the hubs of their
+    buckets, which connects most copies. A second one verifies a few pairs for every text among
     those not connected yet, and a third, of the texts that had any, all pairs
     that are still not connected.
     """
+    mean, deviation = expected_bits(similarity, len(columns))
+    total_bits = round(mean + 2 * deviation)
     kept = ["node", *columns[1:]]
     none = nodes.select("node", F.col("node").alias("root")).limit(0)
     found, roots, tried, among = None, none, None, nodes.select(*kept)
-    for bits, pairs in ((min(MAX_BITS, max_bits), "stars"), (max_bits, "few"), (max_bits, "all")):
+    for bits, pairs in ((min(MAX_BITS, max_bits), "hubs"), (max_bits, "hubs"), (max_bits, "all")):
         labelled = (
             among.join(roots, "node", "left")
             .withColumn("label", F.coalesce("root", "node"))
             .drop("root")
         )
-        proposed = links(materialize(labelled, "labelled"), columns, bits, pairs).distinct()
+        proposed = links(materialize(labelled, "labelled"), columns, bits, pairs, total_bits=total_bits).distinct()
         if tried is not None:
             proposed = proposed.join(tried, ["a", "b"], "left_anti")
         proposed = materialize(proposed, "proposed")
@@ -466,7 +523,7 @@ def similar_links(
             return found
         tried = materialize(proposed if tried is None else tried.unionAll(proposed), "tried")
         roots = materialize(components(found), "components")
-        if pairs == "few":
+        if bits == max_bits:
             touched = proposed.select(F.explode(F.array("a", "b")).alias("node")).distinct()
             among = among.join(materialize(touched, "touched"), "node")
 
@@ -524,7 +581,8 @@ def one_of_each(
 
     Texts are linked if one of ``count`` independent fingerprints differs in at
     most ``max_bits`` bits, which is what a ``similarity`` of 0.8 comes to on
-    average, and if the Jaccard similarity of their shingles of ``words`` words
+    average, if all together differ in no more than two deviations above that,
+    and if the Jaccard similarity of their shingles of ``words`` words
     is at least ``similarity``. The latter is exact for texts of up to
     ``SKETCH`` different shingles and an estimate of that many beyond. Equal
     fingerprints are linked without further check. At 0.8 itself three

@@ -127,7 +127,7 @@ def test_all_pairs_of_different_labels(monkeypatch, short, square):
     values = np.array(groups(9, 12, 12), np.uint64)
     draw = np.random.default_rng(2)
     keys, labels = np.sort(draw.integers(0, 4, len(values))), draw.integers(0, 5, len(values))
-    a, b = simhash.close_pairs(keys, values, 4, labels, few=False)
+    a, b = simhash.close_pairs(keys, values, 4, labels, pairs="all")
     near = (np.bitwise_count(values[:, None] ^ values) <= 4) & (keys[:, None] == keys)
     near &= labels[:, None] != labels
     assert set(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist())) == set(
