@@ -515,7 +515,7 @@ def similar_links(
         )
         proposed = links(materialize(labelled, "labelled"), columns, bits, pairs, total_bits=total_bits).distinct()
         if tried is not None:
-            proposed = proposed.join(tried, ["a", "b"], "left_anti")
+            proposed = materialize(proposed, "linked").join(tried, ["a", "b"], "left_anti")
         proposed = materialize(proposed, "proposed")
         similar = similar_pairs(proposed, nodes, similarity)
         found = materialize(similar if found is None else found.unionAll(similar), "similar")
