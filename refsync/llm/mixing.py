@@ -34,6 +34,8 @@ BINS_PER_GROUP = 4096
 # Documents with fewer words have smaller inclusion odds, down to a tenth.
 FULL_ODDS_WORDS = 50
 LARGEST_CHANCE = 0.999999
+# Words left beside whole copies from which a source is ranked.
+LEAST_ROOM = 0.5
 
 
 def words_of(text: Column) -> Column:
@@ -57,9 +59,14 @@ def random_number(key: Column) -> Column:
     return (F.shiftrightunsigned(drawn, 11) + F.lit(0.5)) / F.lit(float(1 << 53))
 
 
-def rank_of(key: Column, size: Column, scale: Column) -> Column:
-    """Random over inclusion odds, folded into 0 to 1."""
-    chance = F.least(F.lit(LARGEST_CHANCE), scale * inclusion_weight(size))
+def rank_of(key: Column, size: Column, scale: Column, bins: Column) -> Column:
+    """Random over inclusion odds, folded into 0 to 1.
+
+    Chances stay so far from 1 that the last of a source's documents do not
+    share the first bin with all others.
+    """
+    largest = F.least(F.lit(LARGEST_CHANCE), 1 - 1 / (bins * PER_BIN))
+    chance = F.least(largest, scale * inclusion_weight(size))
     u = random_number(key)
     odds = u / (1 - u) * (1 - chance) / chance
     return odds / (1 + odds)
@@ -132,19 +139,26 @@ def mix_plan(
         targets(sources, weights, share, limit)
         .withColumn("whole", F.floor(ratio).cast("long"))
         .withColumn("room", F.col("target") - F.col("whole") * F.col("words"))
-        .withColumn("scale", F.greatest(F.lit(1e-12), F.col("room") / F.col("weighted_words")))
-        .withColumn("scale", F.coalesce("scale", F.lit(1e-12)))
         .withColumn(
             "bins", F.greatest(F.lit(1), F.ceil(F.col("documents") / PER_BIN)).cast("long")
-        ),
+        )
+        # Far smaller odds would put all documents into the last bin.
+        .withColumn("least", 1 / F.col("bins"))
+        .withColumn("scale", F.greatest("least", F.col("room") / F.col("weighted_words")))
+        .withColumn("scale", F.coalesce("scale", "least"))
+        .drop("least"),
         "mix-targets",
     )
 
+    # With room for half a word or less nothing comes nearer than whole copies alone, and a
+    # source that stops at its limit has none at all.
     ranked = (
         base.where(F.col("size") > 0)
         .alias("d")
         .join(
-            planned.select("source", "scale", "bins", "room").alias("p"),
+            planned.where(F.col("room") > LEAST_ROOM)
+            .select("source", "scale", "bins", "room")
+            .alias("p"),
             F.col("d.source").eqNullSafe(F.col("p.source")),
         )
         .select(
@@ -152,7 +166,7 @@ def mix_plan(
             "key",
             "size",
             "room",
-            rank_of(F.col("key"), F.col("size"), F.col("scale")).alias("rank"),
+            rank_of(F.col("key"), F.col("size"), F.col("scale"), F.col("bins")).alias("rank"),
             "bins",
         )
         .withColumn("bin", bin_of(F.col("rank"), F.col("bins")))
@@ -173,23 +187,7 @@ def mix_plan(
     groups = materialize(reached("group", ranked, F.lit(0).cast("long")), "mix-groups")
     in_group = _within(ranked, groups, "group")
     cuts = materialize(reached("bin", in_group, F.first("before")), "mix-bins")
-    # The documents of one bin per source: PER_BIN on average, whatever the input's size.
-    last = (
-        _within(ranked, cuts, "bin")
-        .groupBy("source", "key")
-        .agg(
-            F.sum("size").alias("n"),
-            F.min("rank").alias("rank"),
-            F.first("room").alias("room"),
-            F.first("before").alias("before"),
-            F.first("bin").alias("cut"),
-        )
-        .groupBy("source", "cut")
-        .agg(
-            F.array_sort(F.collect_list(F.struct("rank", "key", "n"))).alias("items"),
-            (F.first("room") - F.first("before")).alias("left"),
-        )
-    )
+    last = in_one_bin(ranked, cuts)
     # Two ways to meet the words: take what fits in order of rank, or take all and leave out
     # what is too much, from the last rank on. The nearer one counts.
     total = F.aggregate("items", F.lit(0).cast("long"), lambda n, item: n + item["n"])
@@ -209,6 +207,30 @@ def mix_plan(
     )
 
 
+def in_one_bin(ranked: DataFrame, cuts: DataFrame) -> DataFrame:
+    """Per source the ``items`` of the bin found for it, and the words ``left`` for them.
+
+    A bin in which words are reached holds a few ``PER_BIN`` documents at most,
+    whatever the input's size.
+    """
+    return (
+        _within(ranked, cuts, "bin")
+        .groupBy("source", "key")
+        .agg(
+            F.sum("size").alias("n"),
+            F.min("rank").alias("rank"),
+            F.first("room").alias("room"),
+            F.first("before").alias("before"),
+            F.first("bin").alias("cut"),
+        )
+        .groupBy("source", "cut")
+        .agg(
+            F.array_sort(F.collect_list(F.struct("rank", "key", "n"))).alias("items"),
+            (F.first("room") - F.first("before")).alias("left"),
+        )
+    )
+
+
 def _fitting(items: Column, room: Column) -> Column:
     """``keys`` of the items that fit into ``room`` words in their order, and the ``gap`` left.
 
@@ -278,7 +300,7 @@ def with_copies(
         document_key(key, body).alias("mix_key"),
         F.col(source).alias("mix_source"),
     ).join(plan, F.col("mix_source").eqNullSafe(F.col("source")), "left")
-    rank = rank_of(F.col("mix_key"), F.col("mix_size"), F.col("scale"))
+    rank = rank_of(F.col("mix_key"), F.col("mix_size"), F.col("scale"), F.col("bins"))
     at = bin_of(rank, F.col("bins"))
     once_more = (F.col("mix_size") > 0) & (
         (at < F.col("cut"))

@@ -76,6 +76,35 @@ def test_many_bins_and_groups(spark, sample, monkeypatch):
     check(few.select("doc_id", "text", "source").collect(), mixing.mixed(few).collect(), 0.15)
 
 
+@pytest.mark.parametrize("limit", [2, 1.9999, 1.0001, 1.000001])
+def test_few_documents_of_a_capped_source_are_in_one_place(spark, monkeypatch, limit):
+    """Also if next to nothing or nearly all is taken beside whole copies."""
+    monkeypatch.setattr(mixing, "PER_BIN", 8)
+    items = []
+    plain = mixing.in_one_bin
+
+    def seen(*args):
+        last = plain(*args)
+        items.extend(last.select(F.size("items").alias("n"), "source").collect())
+        return last
+
+    monkeypatch.setattr(mixing, "in_one_bin", seen)
+    docs = spark.range(6000).select(
+        F.col("id").alias("doc_id"),
+        F.repeat(F.lit("w "), (1 + F.col("id") % 97).cast("int")).alias("text"),
+        F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("source"),
+    )
+    rows = mixing.mixed(docs, limit=limit).collect()
+    assert all(r.target == pytest.approx(limit * r.source_size) for r in rows if r.doc_id % 3 == 0)
+    for third in (True, False):
+        some = [r for r in rows if (r.doc_id % 3 == 0) == third]
+        assert sum(r.taken for r in some) == pytest.approx(some[0].target, rel=2e-3)
+    if limit == 2:
+        assert all(r.taken == 2 * r["size"] for r in rows if r.doc_id % 3 == 0)
+        assert {r.source for r in items} == {"b"}
+    assert max((r.n for r in items), default=0) <= 4 * mixing.PER_BIN
+
+
 def test_reruns_agree(spark, sample):
     assert sorted(mixing.mixed(sample).collect()) == sorted(
         mixing.mixed(sample.repartition(3)).collect()
