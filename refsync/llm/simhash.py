@@ -213,13 +213,15 @@ def close_pairs(
     pairs: str = "few",
     words: np.ndarray | None = None,
     total_bits: int = 0,
+    touched: np.ndarray | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Rows of equal key and different labels whose values lie within ``max_bits``.
 
     If there are ``words``, they must lie within ``total_bits`` over all of them.
 
     ``all`` such pairs, or a ``few`` per row, or of each row and its ``hubs`` only;
-    the latter two connect what is linked.
+    the latter two connect what is linked. Every row that has any such pair, whether it
+    is among those returned or not, is set in ``touched``, if that is given.
     """
     if labels is None:
         labels = np.arange(len(keys))
@@ -235,6 +237,8 @@ def close_pairs(
         if words is not None:
             near = np.bitwise_count(words[:, a] ^ words[:, b]).sum(axis=0) <= total_bits
             a, b = a[near], b[near]
+        if touched is not None:
+            touched[a] = touched[b] = True
         if pairs != "all":
             a, b = few_pairs(values, labels, a, b, pairs)
         left.append(a)
@@ -268,7 +272,10 @@ def close_pairs(
             verified(a + start, b + start)
         else:
             own = None if words is None else words[:, part]
-            a, b = _long_run(values[part], run, max_bits, labels[part], pairs, own, total_bits)
+            marks = None if touched is None else touched[part]
+            a, b = _long_run(
+                values[part], run, max_bits, labels[part], pairs, own, total_bits, marks
+            )
             left.append(a + start)
             right.append(b + start)
     return np.concatenate(left), np.concatenate(right)
@@ -287,11 +294,13 @@ def _long_run(
     pairs: str,
     words: np.ndarray | None,
     total_bits: int,
+    touched: np.ndarray | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Tiles of rows, sorted by the first pivot's distance so that far ones never meet.
 
     Unless ``all`` pairs count, rows are not compared with those they are connected
-    with already, and every row is reported with the hub of its component.
+    with already, and every row is reported with the hub of its component. For ``touched``
+    rows of different labels are compared until both are set.
     """
     order = np.argsort(table[0], kind="stable")
     turned, labels = table[:, order], labels[order]
@@ -299,6 +308,7 @@ def _long_run(
     roots = np.unique(labels, return_index=True, return_inverse=True)
     roots = roots[1][roots[2]]
     degree = np.zeros(count, np.int64)
+    marks = None if touched is None else np.zeros(count, bool)
     left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for start in range(0, count, TILE):
         rows = np.arange(start, min(start + TILE, count))
@@ -306,6 +316,10 @@ def _long_run(
         for other in range(start, end, TILE):
             columns = np.arange(other, min(other + TILE, end))
             kept = roots[rows][:, None] != roots[columns]
+            if marks is not None:
+                kept |= (labels[rows][:, None] != labels[columns]) & ~(
+                    marks[rows][:, None] & marks[columns]
+                )
             for line in turned:
                 kept &= _within(line[rows], line[columns], max_bits)
             x, y = np.nonzero(kept)
@@ -315,6 +329,11 @@ def _long_run(
             if words is not None:
                 apart = np.bitwise_count(words[:, order[x]] ^ words[:, order[y]]).sum(axis=0)
                 x, y = x[apart <= total_bits], y[apart <= total_bits]
+            if marks is not None:
+                marks[x] = marks[y] = True
+                if pairs != "all":
+                    apart = roots[x] != roots[y]
+                    x, y = x[apart], y[apart]
             if pairs == "all":
                 left.append(x)
                 right.append(y)
@@ -329,6 +348,8 @@ def _long_run(
     if pairs != "all":
         left.append(np.arange(count))
         right.append(hubs(roots, degree))
+    if touched is not None:
+        touched[order] |= marks
     a, b = np.concatenate(left), np.concatenate(right)
     off = labels[a] != labels[b]
     return order[a[off]], order[b[off]]
@@ -367,6 +388,8 @@ def links(
     As ``pairs`` either ``stars``, the least that connects what a task has linked;
     or each node with the ``hubs`` of its buckets, or a ``few`` for every node, or
     ``all``, and then only those whose ``label`` differs, which nodes must have.
+    With ``hubs`` or ``few`` a node that has such a pair, but none among those
+    reported, is reported with itself.
     """
     extra = [] if pairs == "stars" else ["label"]
     fields = [*columns, *extra]
@@ -420,14 +443,19 @@ def links(
             known = rest[-1] if extra else None
             kind = "hubs" if pairs == "stars" else pairs
             several = words if len(columns) > 1 else None
-            a, b = close_pairs(runs, value, max_bits, known, kind, several, total_bits)
+            touched = np.zeros(len(key), bool) if pairs in ("hubs", "few") else None
+            a, b = close_pairs(runs, value, max_bits, known, kind, several, total_bits, touched)
             if pairs == "stars" and len(a):
                 roots = merged(np.arange(len(node)), a, b)
                 a = np.flatnonzero(roots != np.arange(len(node)))
                 b = roots[a]
-            if len(a):
-                ends = np.sort(np.stack([node[a], node[b]]), axis=0)
-                ends = np.unique(ends[:, ends[0] != ends[1]], axis=1)
+            ends = np.sort(np.stack([node[a], node[b]]), axis=0)
+            ends = ends[:, ends[0] != ends[1]]
+            if touched is not None:
+                alone = np.setdiff1d(node[touched], ends)
+                ends = np.concatenate([ends, np.stack([alone, alone])], axis=1)
+            if ends.shape[1]:
+                ends = np.unique(ends, axis=1)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ends[0]), pa.array(ends[1])], ["a", "b"]
                 )
@@ -499,8 +527,8 @@ def similar_links(
     A large group of near-copies has far more pairs than it takes to connect it.
     So a first pass verifies texts within ``MAX_BITS`` with the hubs of their
     buckets, which connects most copies. A second one verifies a few pairs for every text among
-    those not connected yet, and a third, of the texts that had any, all pairs
-    that are still not connected.
+    those not connected yet, and a third, of the texts that lie near any text not connected with
+    them by the first, all pairs that are still not connected.
     """
     mean, deviation = expected_bits(similarity, len(columns))
     total_bits = round(mean + 2 * deviation)
@@ -513,9 +541,16 @@ def similar_links(
             .withColumn("label", F.coalesce("root", "node"))
             .drop("root")
         )
-        proposed = links(materialize(labelled, "labelled"), columns, bits, pairs, total_bits=total_bits).distinct()
+        linked = materialize(
+            links(
+                materialize(labelled, "labelled"), columns, bits, pairs, total_bits=total_bits
+            ).distinct(),
+            "linked",
+        )
+        # A node that is linked with itself lies near others, though no pair of it was chosen.
+        proposed = linked.where("a != b")
         if tried is not None:
-            proposed = materialize(proposed, "linked").join(tried, ["a", "b"], "left_anti")
+            proposed = proposed.join(tried, ["a", "b"], "left_anti")
         proposed = materialize(proposed, "proposed")
         similar = similar_pairs(proposed, nodes, similarity)
         found = materialize(similar if found is None else found.unionAll(similar), "similar")
@@ -524,7 +559,7 @@ def similar_links(
         tried = materialize(proposed if tried is None else tried.unionAll(proposed), "tried")
         roots = materialize(components(found), "components")
         if bits == max_bits:
-            touched = proposed.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+            touched = linked.select(F.explode(F.array("a", "b")).alias("node")).distinct()
             among = among.join(materialize(touched, "touched"), "node")
 
 

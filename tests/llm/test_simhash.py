@@ -154,6 +154,48 @@ def test_few_pairs_connect_what_labels_leave_apart(monkeypatch, short, square):
     ).all()
 
 
+@pytest.mark.parametrize("short, square", [(16, 512), (2, 512), (2, 3)])
+@pytest.mark.parametrize("pairs", ["hubs", "few"])
+def test_every_row_near_another_label_is_touched(monkeypatch, short, square, pairs):
+    monkeypatch.setattr(simhash, "SHORT_RUN", short)
+    monkeypatch.setattr(simhash, "SQUARE_RUN", square)
+    monkeypatch.setattr(simhash, "TILE", 7)
+    values = np.array(groups(9, 12, 12), np.uint64)
+    draw = np.random.default_rng(2)
+    keys, labels = np.sort(draw.integers(0, 4, len(values))), draw.integers(0, 5, len(values))
+    touched = np.zeros(len(values), bool)
+    simhash.close_pairs(keys, values, 4, labels, pairs, touched=touched)
+    near = (np.bitwise_count(values[:, None] ^ values) <= 4) & (keys[:, None] == keys)
+    near &= labels[:, None] != labels
+    assert (touched == near.any(axis=1)).all()
+
+
+def test_similar_links_compare_all_that_is_unconnected(spark, monkeypatch):
+    """What links two groups is neither the pair of a hub nor one of its partner."""
+    base = 0x0123456789ABCDEF
+    large, small = [base ^ (1 << bit) for bit in range(44, 49)], [base ^ bits for bits in (3, 5, 6)]
+    nodes = spark.createDataFrame([(v, v) for v in large + small], "node long, first long")
+    passes = []
+
+    def similar(pairs, *_):
+        tried = {(r.a, r.b) for r in pairs.collect()}
+        passes.append(tried)
+        wanted = [
+            p
+            for p in tried
+            if (p[0] in large) == (p[1] in large) or set(p) == {large[3], small[0]}
+        ]
+        return spark.createDataFrame(wanted, "a long, b long")
+
+    monkeypatch.setattr(simhash, "similar_pairs", similar)
+    monkeypatch.setattr(simhash, "MAX_BITS", 2)
+    found = simhash.components(simhash.similar_links(nodes, ["node"], 4, 0.8)).collect()
+    # The groups are connected by the first pass, and the second takes their hubs only.
+    assert all((a in large) == (b in large) for a, b in passes[0])
+    assert not any(set(p) == {large[3], small[0]} for p in passes[1])
+    assert len({r.root for r in found}) == 1 and len(found) == len(large + small)
+
+
 def test_a_group_of_copies_has_few_pairs():
     draw = random.Random(4)
     base = draw.getrandbits(64)
