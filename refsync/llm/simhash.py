@@ -45,8 +45,11 @@ CHUNK = 100_000
 SHORT_RUN = 16
 SQUARE_RUN = 512
 TILE = 1024
-# Shingles that stand for a text when pairs are verified: all, if it has no more.
+# Shingles that stand for a text when pairs are verified first: all, if it has fewer.
 SKETCH = 400
+# Similarities estimated from sketches count if they are so far off, six deviations at
+# the least; nearer pairs are verified by all their shingles.
+MARGIN = 0.125
 
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(
     np.int64
@@ -97,7 +100,7 @@ def sketch(hashes: np.ndarray) -> bytes:
 
 
 def alike(a: bytes, b: bytes) -> float:
-    """Jaccard similarity of two texts by their sketches; exact if these hold all shingles."""
+    """Jaccard similarity of two texts by their sketches; exact if both hold all shingles."""
     x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
     if not len(x) or not len(y):
         return float(len(x) == len(y))
@@ -489,26 +492,96 @@ def links(
     )
 
 
-def similar_pairs(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """The ``pairs`` whose texts are at least so similar, by the sketches of ``nodes``."""
+def settled(a: bytes, b: bytes, similarity: float) -> bool | None:
+    """Whether two texts are at least so similar, or null if their sketches leave it open."""
+    found = alike(a, b)
+    whole = 4 * SKETCH
+    if max(len(a), len(b)) >= whole and abs(found - similarity) < MARGIN:
+        return None
+    return found >= similarity
+
+
+def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
+    """``node`` and all the different ``shingles`` of one text of each node (``node``, ``body``)."""
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [
+                np.unique(shingle_hashes(t, words)).tobytes()
+                for t in batch.column("body").to_pylist()
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array(sets, pa.binary())], ["node", "shingles"]
+            )
+
+    return texts.select("node", "body").mapInArrow(compute, "node long, shingles binary")
+
+
+def jaccard(a: bytes, b: bytes) -> float:
+    """Similarity of two texts by all their shingles."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / max(1, len(x) + len(y) - both)
+
+
+def similar_pairs(
+    pairs: DataFrame, nodes: DataFrame, similarity: float, texts: DataFrame, words: int
+) -> DataFrame:
+    """The ``pairs`` whose texts are at least so similar.
+
+    The sketches of ``nodes`` settle most; the others are verified by all shingles of
+    their ``texts`` (``identity``, ``body``), of which only theirs are looked up.
+    """
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [
+                settled(x, y, similarity)
+                for x, y in zip(
+                    batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True
+                )
+            ]
+            made = batch.select(["a", "b"]).append_column("similar", pa.array(found, pa.bool_()))
+            yield made.filter(pa.array([f is not False for f in found], pa.bool_()))
+
+    def verify_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = [
-                alike(x, y) >= similarity
+                jaccard(x, y) >= similarity
                 for x, y in zip(
                     batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True
                 )
             ]
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
-    known = nodes.select("node", "sketch")
-    return (
-        pairs.join(known.toDF("a", "x"), "a")
-        .join(known.toDF("b", "y"), "b")
-        .select("a", "b", "x", "y")
-        .mapInArrow(verify, "a long, b long")
+    def both(rows: DataFrame, known: DataFrame) -> DataFrame:
+        return (
+            rows.select("a", "b")
+            .join(known.toDF("a", "x"), "a")
+            .join(known.toDF("b", "y"), "b")
+            .select("a", "b", "x", "y")
+        )
+
+    found = materialize(
+        both(pairs, nodes.select("node", "sketch")).mapInArrow(
+            verify, "a long, b long, similar boolean"
+        ),
+        "settled",
+    )
+    clear, near = found.where("similar").select("a", "b"), found.where("similar is null")
+    if near.isEmpty():
+        return clear
+    wanted = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    named = materialize(
+        nodes.join(wanted, "node", "left_semi").select(
+            "node", F.col("first.identity").alias("identity")
+        ),
+        "open-nodes",
     )
+    # Rows of one identity have one text; copies meet on the map side.
+    sets = shingle_sets(texts.join(named, "identity"), words)
+    known = materialize(sets.dropDuplicates(["node"]), "shingles")
+    return clear.unionAll(both(near, known).mapInArrow(verify_all, "a long, b long"))
 
 
 def expected_bits(similarity: float, words: int) -> tuple[float, float]:
@@ -520,7 +593,12 @@ def expected_bits(similarity: float, words: int) -> tuple[float, float]:
 
 
 def similar_links(
-    nodes: DataFrame, columns: list[str], max_bits: int, similarity: float
+    nodes: DataFrame,
+    columns: list[str],
+    max_bits: int,
+    similarity: float,
+    texts: DataFrame,
+    words: int,
 ) -> DataFrame:
     """Verified links that connect all similar texts that are ``max_bits`` apart.
 
@@ -552,7 +630,7 @@ def similar_links(
         if tried is not None:
             proposed = proposed.join(tried, ["a", "b"], "left_anti")
         proposed = materialize(proposed, "proposed")
-        similar = similar_pairs(proposed, nodes, similarity)
+        similar = similar_pairs(proposed, nodes, similarity, texts, words)
         found = materialize(similar if found is None else found.unionAll(similar), "similar")
         if pairs == "all":
             return found
@@ -618,8 +696,8 @@ def one_of_each(
     most ``max_bits`` bits, which is what a ``similarity`` of 0.8 comes to on
     average, if all together differ in no more than two deviations above that,
     and if the Jaccard similarity of their shingles of ``words`` words
-    is at least ``similarity``. The latter is exact for texts of up to
-    ``SKETCH`` different shingles and an estimate of that many beyond. Equal
+    is at least ``similarity``. The latter is estimated from ``SKETCH`` shingles
+    where that is clear, ``MARGIN`` or more off, and else of all shingles. Equal
     fingerprints are linked without further check. At 0.8 itself three
     fingerprints find about six pairs in seven, at 0.9 all but one in 500.
 
@@ -641,7 +719,9 @@ def one_of_each(
         ),
         "nodes",
     )
-    found = node_components(nodes, similar_links(nodes, columns, max_bits, similarity))
+    texts = docs.select(identity.alias("identity"), text_of(text).alias("body"))
+    edges = similar_links(nodes, columns, max_bits, similarity, texts, words)
+    found = node_components(nodes, edges)
     mark = free_name(docs.columns, "identity")
     kept = materialize(found.select(F.col("component.identity").alias("kept")).distinct(), "kept")
     # Copies with the same key fall together on the map side, before texts are shuffled.

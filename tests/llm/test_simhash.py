@@ -177,7 +177,7 @@ def test_similar_links_compare_all_that_is_unconnected(spark, monkeypatch):
     nodes = spark.createDataFrame([(v, v) for v in large + small], "node long, first long")
     passes = []
 
-    def similar(pairs, *_):
+    def similar(pairs, *others):
         tried = {(r.a, r.b) for r in pairs.collect()}
         passes.append(tried)
         wanted = [
@@ -189,7 +189,7 @@ def test_similar_links_compare_all_that_is_unconnected(spark, monkeypatch):
 
     monkeypatch.setattr(simhash, "similar_pairs", similar)
     monkeypatch.setattr(simhash, "MAX_BITS", 2)
-    found = simhash.components(simhash.similar_links(nodes, ["node"], 4, 0.8)).collect()
+    found = simhash.components(simhash.similar_links(nodes, ["node"], 4, 0.8, None, 5)).collect()
     # The groups are connected by the first pass, and the second takes their hubs only.
     assert all((a in large) == (b in large) for a, b in passes[0])
     assert not any(set(p) == {large[3], small[0]} for p in passes[1])
@@ -231,6 +231,35 @@ def test_one_of_each(spark):
     assert kept == sorted(min(f) for f in families)
 
 
+def long_pairs(shared):
+    """Documents 2 i and 2 i + 1 share ``shared[i]`` of 2,000 words, thus four shingles fewer."""
+    for i, same in enumerate(shared):
+        start = [f"s{i}x{j}" for j in range(same)]
+        for side in "ab":
+            text = start + [f"{side}{i}x{j}" for j in range(2000 - same)]
+            yield 2 * i + (side == "b"), " ".join(text)
+
+
+def test_long_texts_are_verified_by_all_shingles(spark):
+    # 1,996 shingles each: 1,775 shared are a similarity of 0.8006, and 1,773 one of 0.7990.
+    shared = [1779, 1777] * 30 + [1960, 1200]
+    docs = spark.createDataFrame(list(long_pairs(shared)), "doc_id long, text string")
+    texts = docs.select(simhash.F.col("doc_id").alias("identity"), simhash.F.col("text").alias("body"))
+    prints = simhash.fingerprints(docs, {"identity": simhash.F.col("doc_id")}, 5, sketched=True)
+    nodes = prints.select("node", simhash.F.struct("identity").alias("first"), "sketch").persist()
+    node = {r.first.identity: r.node for r in nodes.select("node", "first").collect()}
+    pairs = [(node[2 * i], node[2 * i + 1]) for i in range(len(shared))]
+    found = simhash.similar_pairs(
+        spark.createDataFrame(pairs, "a long, b long"), nodes, 0.8, texts, 5
+    ).collect()
+    assert sorted(map(tuple, found)) == sorted(p for p, n in zip(pairs, shared) if n >= 1779)
+
+
+def test_long_texts_below_the_similarity_all_stay(spark):
+    docs = spark.createDataFrame(list(long_pairs([1765] * 60)), "doc_id long, text string")
+    assert simhash.one_of_each(docs).count() == 120
+
+
 def test_one_of_each_of_awkward_documents(spark, awkward):
     kept = simhash.one_of_each(awkward)
     assert kept.columns == awkward.columns
