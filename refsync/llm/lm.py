@@ -5,15 +5,15 @@ one vocabulary, one smoothing. A document's score is the mean over its words of
 the background model's loss less the target model's, so that a higher score
 means closer to the target.
 
-The vocabulary holds every word that makes up at least a fixed share of the
-background, which bounds its size; all other words are one unknown word.
-Counts of word pairs grow with the corpus and stay distributed. Rows of the
-input form chunks. A chunk asks for each of its different pairs once, with how
-often it holds them: these requests are at the same time the counts. They are
-dealt by pair, so that one group sees all of a pair's counts, and the group
-answers every chunk with the differences, in the order asked. Chunks then score
-their documents. A pair that is everywhere is one number per chunk, so no
-group is larger than others.
+Every word is known, however rare, unless a least share of the background is
+asked for; then words below it are one unknown word. Counts of words and of
+pairs grow with the corpus and stay distributed, under one 64-bit key each. Rows
+of the input form chunks. A chunk asks for each of its different words and pairs
+once, with how often it holds them: these requests are at the same time the
+counts. They are dealt by key, so that one group sees all of a key's counts, and
+the group answers every chunk with the counts of both corpora, in the order
+asked. Chunks then score their documents. A pair that is everywhere is one
+number per chunk, so no group is larger than others.
 """
 
 from __future__ import annotations
@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 
 from refsync.llm.common import hashed_words, mix, python_tasks, text_of
 
-# Words with a smaller share of the background are unknown; at most 500,000 are known.
-LEAST_SHARE = 2e-6
+# Words with a smaller share of the background are unknown: none.
+LEAST_SHARE = 0.0
 # Weight of the shared distribution in a word's, and of a word's in a pair's probability.
 WORD_PRIOR = 5000.0
 PAIR_PRIOR = 100.0
@@ -50,6 +50,15 @@ def summed(keys: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, ...]:
     )
 
 
+def packed(counts: np.ndarray) -> bytes:
+    """Counts by place of byte, so that the zeros of small ones compress to nothing."""
+    return counts.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpacked(blob: bytes) -> np.ndarray:
+    return np.frombuffer(blob, np.uint8).reshape(8, -1).T.copy().view("<u8").ravel()
+
+
 def word_counts(rows: DataFrame) -> DataFrame:
     """``word``, ``background`` and ``target``: occurrences of every word (by hash)."""
 
@@ -90,83 +99,95 @@ def _counts(part: tuple) -> pa.RecordBatch:
     )
 
 
+# Keys of the unknown word and of the start of a document; no hash of a word is likely to be one.
+UNKNOWN, START = np.uint64(0x9D39247E33776D41), np.uint64(0x2AF7398005AAA5C7)
+
+
 @dataclass
 class Vocabulary:
-    """Known words in order of their hash, and the counts of both corpora.
-
-    Word 0 is the unknown one, the others follow in order, the start of a
-    document is the last.
-    """
+    """Totals of both corpora, and the known words in order if not all are known."""
 
-    words: np.ndarray
-    counts: np.ndarray  # background and target, per word
-    share: np.ndarray  # background and target probability of a word
+    totals: np.ndarray  # words of background and target
+    words: np.ndarray | None
 
-    def ids(self, text: str) -> np.ndarray:
+    def keys(self, text: str) -> np.ndarray:
+        """The start of a document and its words."""
         hashes = hashed_words(text)
-        if not len(self.words):
-            return np.zeros(len(hashes), np.uint64)
-        place = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        return np.where(self.words[place] == hashes, place + 1, 0).astype(np.uint64)
-
-    def pairs(self, text: str) -> np.ndarray:
-        """The pairs of a text's words with the one before, the first with the start."""
-        ids = self.ids(text)
-        before = np.concatenate([[np.uint64(len(self.words) + 1)], ids[:-1]]).astype(np.uint64)
-        return (before[: len(ids)] << np.uint64(32)) | ids
-
-    def differences(self, pairs: np.ndarray, background: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Background loss less target loss of every pair, given its counts."""
-        before = (pairs >> np.uint64(32)).astype(np.int64)
-        word = (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        logs = [
-            np.log(
-                (counts + PAIR_PRIOR * self.share[side][word])
-                / (self.counts[side][before] + PAIR_PRIOR)
-            )
-            for side, counts in enumerate((background, target))
-        ]
+        if self.words is not None:
+            if len(self.words):
+                place = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+                hashes = np.where(self.words[place] == hashes, hashes, UNKNOWN)
+            else:
+                hashes = np.full(len(hashes), UNKNOWN)
+        return np.concatenate([[START], hashes]).astype(np.uint64)
+
+    def differences(self, word: np.ndarray, before: np.ndarray, pair: np.ndarray) -> np.ndarray:
+        """Background loss less target loss of pairs, given counts of both corpora in two rows each.
+
+        The counts are of the word, of the word before it, and of the two together.
+        """
+        both = (word[0] + word[1] + 1e-9) / (self.totals.sum() + 1e-9)
+        logs = []
+        for side in (0, 1):
+            share = (word[side] + WORD_PRIOR * both) / (self.totals[side] + WORD_PRIOR)
+            logs.append(np.log((pair[side] + PAIR_PRIOR * share) / (before[side] + PAIR_PRIOR)))
         return logs[1] - logs[0]
 
 
+def pair_keys(keys: np.ndarray) -> np.ndarray:
+    """One key for each two neighbours; the order of the two matters."""
+    return mix(mix(keys[:-1]) * np.uint64(0x9E3779B97F4A7C15) + keys[1:])
+
+
 def vocabulary(rows: DataFrame, least_share: float) -> tuple[Vocabulary, int]:
     """The shared vocabulary, and the number of words of both corpora together."""
-    counted = word_counts(rows).persist()
-    try:
-        total = counted.agg(
-            F.coalesce(F.sum("background"), F.lit(0)).alias("background"),
-            F.coalesce(F.sum("target"), F.lit(0)).alias("target"),
-        ).first()
-        # At most 1 / least_share rows, since their shares add up to one at most.
-        known = counted.where(
-            (F.col("background") > 0) & (F.col("background") >= least_share * total["background"])
-        ).toArrow()
-    finally:
-        counted.unpersist()
-    starts = {r["target"]: r["count"] for r in rows.groupBy("target").count().collect()}
-    words = known.column("word").to_numpy().view(np.uint64)
-    order = np.argsort(words)
-    counts = []
-    for side, name in enumerate(("background", "target")):
-        line = known.column(name).to_numpy()[order]
-        counts.append(
-            np.concatenate([[total[name] - line.sum()], line, [starts.get(bool(side), 0)]]).astype(float)
+    if least_share > 0:
+        counted = word_counts(rows).persist()
+        try:
+            total = _totals(counted)
+            # At most 1 / least_share rows, since their shares add up to one at most.
+            known = counted.where(
+                (F.col("background") > 0) & (F.col("background") >= least_share * int(total[0]))
+            ).select("word").toArrow()
+        finally:
+            counted.unpersist()
+        words = np.sort(known.column("word").to_numpy().view(np.uint64))
+    else:
+        total, words = _totals(word_totals(rows)), None
+    return Vocabulary(total.astype(float), words), int(total.sum())
+
+
+def _totals(counted: DataFrame) -> np.ndarray:
+    row = counted.agg(
+        *(F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in ("background", "target"))
+    ).first()
+    return np.array([row["background"], row["target"]])
+
+
+def word_totals(rows: DataFrame) -> DataFrame:
+    """``background`` and ``target``: words of parts of the rows."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sides = [0, 0]
+        for batch in batches:
+            for flag, text in zip(
+                batch.column("target").to_pylist(), batch.column("body").to_pylist(), strict=True
+            ):
+                sides[flag] += len(hashed_words(text))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([n], pa.int64()) for n in sides], ["background", "target"]
         )
-    both = counts[0] + counts[1]
-    both[-1] = 0
-    both = (both + 1e-9) / (both.sum() + 1e-9)
-    share = []
-    for line in counts:
-        inner = line.copy()
-        inner[-1] = 0
-        share.append((inner + WORD_PRIOR * both) / (inner.sum() + WORD_PRIOR))
-    found = Vocabulary(words[order], np.stack(counts), np.stack(share))
-    return found, total["background"] + total["target"]
-
-
-def asked(pairs: list[np.ndarray], groups: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Different pairs of a chunk in the order asked, with the bounds of each group, and their order."""
-    different = np.unique(np.concatenate(pairs)) if pairs else np.empty(0, np.uint64)
+
+    return rows.mapInArrow(count, "background long, target long")
+
+
+def asked(texts: list[np.ndarray], groups: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different keys of a chunk, their order when asked, and the bounds of each group in it.
+
+    ``texts`` are the keys of words, starts included, of each text.
+    """
+    each = [part for keys in texts for part in (keys, pair_keys(keys))]
+    different = np.unique(np.concatenate(each)) if each else np.empty(0, np.uint64)
     group = (mix(different) % np.uint64(groups)).astype(np.int64)
     order = np.argsort(group, kind="stable")
     bounds = np.searchsorted(group[order], np.arange(groups + 1))
@@ -174,29 +195,35 @@ def asked(pairs: list[np.ndarray], groups: int) -> tuple[np.ndarray, np.ndarray,
 
 
 def requests(rows: DataFrame, shared, groups: int) -> DataFrame:
-    """Per chunk and group: the pairs asked for and their counts in the chunk."""
+    """Per chunk and group: the keys asked for and their counts in the chunk."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = shared.value
 
         def of(chunk: int, found: list[tuple[bool, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-            different, order, bounds = asked([p for _, p in found], groups)
+            different, order, bounds = asked([keys for _, keys in found], groups)
             sides = []
             for wanted in (False, True):
-                some = [np.searchsorted(different, p) for flag, p in found if flag == wanted]
+                some = [
+                    np.searchsorted(different, part)
+                    for flag, keys in found
+                    if flag == wanted
+                    for part in (keys, pair_keys(keys))
+                ]
                 place = np.concatenate(some) if some else np.empty(0, np.int64)
-                sides.append(np.bincount(place, minlength=len(different)).astype(np.uint32)[order])
+                sides.append(np.bincount(place, minlength=len(different)).astype(np.int64)[order])
             used = np.flatnonzero(np.diff(bounds))
             cuts = [(bounds[g], bounds[g + 1]) for g in used]
+            wanted_keys = different[order]
             columns = [
-                pa.array([line[a:b].tobytes() for a, b in cuts], pa.binary())
-                for line in (different[order], *sides)
+                pa.array([wanted_keys[a:b].tobytes() for a, b in cuts], pa.binary()),
+                *(pa.array([packed(line[a:b]) for a, b in cuts], pa.binary()) for line in sides),
             ]
             # Only documents are scored; a chunk of target texts needs no answer.
             asker = chunk if any(not flag for flag, _ in found) else None
             yield pa.RecordBatch.from_arrays(
                 [pa.array(used, pa.int32()), pa.array([asker] * len(used), pa.int64()), *columns],
-                ["grp", "chunk", "pairs", "background", "target"],
+                ["grp", "chunk", "keys", "background", "target"],
             )
 
         now, held = None, []
@@ -209,45 +236,41 @@ def requests(rows: DataFrame, shared, groups: int) -> DataFrame:
                     yield from of(now, held)
                     held = []
                 now = chunk
-                held.append((flag, words.pairs(body)))
+                held.append((flag, words.keys(body)))
         if held:
             yield from of(now, held)
 
     return rows.select("chunk", "target", "body").mapInArrow(
-        ask, "grp int, chunk long, pairs binary, background binary, target binary"
+        ask, "grp int, chunk long, keys binary, background binary, target binary"
     )
 
 
-def answers(wanted: DataFrame, shared) -> DataFrame:
-    """Per chunk and group the differences, in the order asked."""
+def answers(wanted: DataFrame) -> DataFrame:
+    """Per chunk and group the counts of both corpora, in the order asked."""
 
     def answer(table: pa.Table) -> pa.Table:
-        def whole(name: str, kind) -> list[np.ndarray]:
-            return [np.frombuffer(blob, kind) for blob in table.column(name).to_pylist()]
-
-        pairs = whole("pairs", np.uint64)
-        keys, place = np.unique(np.concatenate(pairs), return_inverse=True)
-        background, target = (
-            np.bincount(place, weights=np.concatenate(whole(name, np.uint32)), minlength=len(keys))
-            for name in ("background", "target")
-        )
-        values = shared.value.differences(keys, background, target).astype(np.float32)[place]
-        ends = np.cumsum([len(p) for p in pairs])
-        blobs = [
-            values[end - len(p) : end].tobytes() for p, end in zip(pairs, ends, strict=True)
-        ]
-        made = pa.table(
-            {
-                "grp": table.column("grp"),
-                "chunk": table.column("chunk"),
-                "check": pa.array([zlib.crc32(p) for p in pairs], pa.int64()),
-                "values": pa.array(blobs, pa.binary()),
-            }
-        )
+        parts = [np.frombuffer(blob, np.uint64) for blob in table.column("keys").to_pylist()]
+        keys, place = np.unique(np.concatenate(parts), return_inverse=True)
+        ends = np.cumsum([len(p) for p in parts])
+        columns = {
+            "grp": table.column("grp"),
+            "chunk": table.column("chunk"),
+            "check": pa.array([zlib.crc32(p) for p in parts], pa.int64()),
+        }
+        for name in ("background", "target"):
+            held = np.concatenate([unpacked(blob) for blob in table.column(name).to_pylist()])
+            # Doubles hold counts exactly.
+            counts = np.bincount(place, weights=held, minlength=len(keys))
+            values = counts.astype(np.int64)[place]
+            columns[name] = pa.array(
+                [packed(values[end - len(p) : end]) for p, end in zip(parts, ends, strict=True)],
+                pa.binary(),
+            )
+        made = pa.table(columns)
         return made.filter(pc.is_valid(made.column("chunk")))
 
     return wanted.groupBy("grp").applyInArrow(
-        answer, "grp int, chunk long, check long, values binary"
+        answer, "grp int, chunk long, check long, background binary, target binary"
     )
 
 
@@ -277,11 +300,11 @@ def cross_entropy_difference(
         target.select(F.lit(True), text_of(target_text))
     )
     known, size = vocabulary(rows, least_share)
-    # Four numbers per known word: at most 16 MB.
+    # At most 1 / least_share words, none if all are known.
     shared = spark.sparkContext.broadcast(known)
     groups = max(1, -(-size // WORDS_PER_GROUP))
     chunked = rows.withColumn("chunk", F.shiftright(place, CHUNK_BITS))
-    answered = answers(requests(chunked, shared, groups), shared)
+    answered = answers(requests(chunked, shared, groups))
 
     # The partitions of ``docs`` come first in the union, so the places are the same.
     asking = docs.select(F.col(key).alias("doc_id"), body, place.alias("place")).withColumn(
@@ -289,26 +312,36 @@ def cross_entropy_difference(
     )
 
     def score(these: pa.Table, those: pa.Table) -> pa.Table:
-        pairs = [shared.value.pairs(t) for t in these.column("body").to_pylist()]
-        different, order, bounds = asked(pairs, groups)
-        values, wanted = np.empty(len(different)), different[order]
+        texts = [shared.value.keys(t) for t in these.column("body").to_pylist()]
+        different, order, bounds = asked(texts, groups)
+        wanted = different[order]
         blobs = sorted(
             zip(
-                *(those.column(name).to_pylist() for name in ("grp", "check", "values")),
+                *(those.column(name).to_pylist() for name in ("grp", "check", "background", "target")),
                 strict=True,
             )
         )
-        here = [(g, zlib.crc32(wanted[bounds[g] : bounds[g + 1]])) for g, _, _ in blobs]
-        given = np.frombuffer(b"".join(blob for _, _, blob in blobs), np.float32)
-        if len(given) != len(different) or here != [(g, check) for g, check, _ in blobs]:
+        here = [(g, zlib.crc32(wanted[bounds[g] : bounds[g + 1]])) for g, *_ in blobs]
+        given = np.stack(
+            [np.concatenate([unpacked(blob[side]) for blob in blobs]) for side in (2, 3)]
+        )
+        if given.shape[1] != len(different) or here != [(g, check) for g, check, *_ in blobs]:
             raise ValueError("a chunk holds other rows than when it asked")
-        values[order] = given
-        scores = [float(values[np.searchsorted(different, p)].mean()) if len(p) else 0.0 for p in pairs]
+        counts = np.empty((2, len(different)))
+        counts[:, order] = given
+
+        def score_of(keys: np.ndarray) -> float:
+            if len(keys) < 2:
+                return 0.0
+            words = counts[:, np.searchsorted(different, keys)]
+            pairs = counts[:, np.searchsorted(different, pair_keys(keys))]
+            return float(shared.value.differences(words[:, 1:], words[:, :-1], pairs).mean())
+
         return pa.table(
             {
                 "doc_id": these.column("doc_id"),
-                "n_words": pa.array([len(p) for p in pairs], pa.int64()),
-                "score": pa.array(scores, pa.float64()),
+                "n_words": pa.array([len(keys) - 1 for keys in texts], pa.int64()),
+                "score": pa.array([score_of(keys) for keys in texts], pa.float64()),
             }
         )
 

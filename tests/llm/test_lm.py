@@ -60,6 +60,18 @@ def test_real_documents_in_many_chunks_and_groups(spark, sample, monkeypatch):
     check(sample.repartition(3).persist(), target, 1e-4)
 
 
+def test_rare_words_of_the_target_are_known(spark):
+    """However large the background, a word of which it has one counts as itself."""
+    common = " ".join(f"w{i % 1000}" for i in range(400_000))
+    rows = [(0, common), (1, common), (2, "w1 ferrite w2"), (3, "w1 gabbro w2")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    target = spark.createDataFrame([("w1 ferrite w2",)] * 20, "text string")
+    assert 1 < 2e-6 * 800_000
+    scores = {r.doc_id: r.score for r in lm.cross_entropy_difference(docs, target).collect()}
+    assert scores[2] > scores[3] + 0.1
+    check(docs, target)
+
+
 def test_empty_tables(spark, nothing, sample):
     assert lm.cross_entropy_difference(nothing, sample).collect() == []
     check(sample.limit(20).persist(), nothing)
