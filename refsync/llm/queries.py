@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from refsync.llm import language, lm, mixing, neighbours, packing, sharding, simhash, tokens, topk, toxicity
+from refsync.llm import (
+    centroids,
+    language,
+    lm,
+    mixing,
+    negatives,
+    neighbours,
+    packing,
+    quality,
+    sharding,
+    simhash,
+    tokens,
+    topk,
+    toxicity,
+)
 from refsync.llm.common import table, tokenizer_path
 
 
@@ -55,6 +69,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(table(spark, sf_dir, "embeddings"))
+
+
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_exact_top_k": op2_exact_top_k,
@@ -66,4 +92,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_cross_entropy": op9_cross_entropy,
     "op10_toxicity": op10_toxicity,
+    "op11_centroid_clusters": op11_centroid_clusters,
+    "op12_quality": op12_quality,
+    "op13_hard_negatives": op13_hard_negatives,
 }
