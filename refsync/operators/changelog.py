@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from refsync.sources.registry import CHANGE_LOG, RESOURCES, SYNC, TARGET_SCHEMA
 from refsync.sources.schemas import ENVELOPE_COLUMNS
 
 _EPOCH = "1970-01-01 00:00:00"
+_EPOCH_TIME = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 SENT, REJECTED = "sent", "rejected"
 
@@ -37,36 +39,75 @@ def last_success(sync_logs: DataFrame, resource: str) -> DataFrame:
     )
 
 
+def _marks(
+    sync_logs: DataFrame, successful_only: bool = False
+) -> tuple[dict[str | None, str], DataFrame]:
+    """The marks of the log and of the tables in the registry, and those of all others.
+
+    The former are as many as there are resources. They come as text, by name;
+    under None is the latest of the others, which are left where they are.
+    """
+    marks = last_sync(sync_logs, successful_only)
+    known = F.when(F.col("resource").isin(CHANGE_LOG, *(spec.name for spec in RESOURCES)),
+                   F.col("resource"))
+    found = marks.groupBy(known.alias("resource")).agg(
+        F.max("last_change").cast("string").alias("mark")
+    )
+    others = marks.filter(known.isNull())
+    return {row["resource"]: row["mark"] for row in found.collect() if row["mark"]}, others
+
+
+def log_mark(sync_logs: DataFrame, successful_only: bool = False) -> datetime | None:
+    """When the log itself was last synchronized."""
+    found = last_sync(sync_logs, successful_only).filter(F.col("resource") == CHANGE_LOG)
+    micros = found.agg(F.max(F.unix_micros(F.col("last_change").cast("timestamp")))).first()[0]
+    return None if micros is None else _EPOCH_TIME + timedelta(microseconds=micros)
+
+
 def changes_since(
     changes: DataFrame, sync_logs: DataFrame, successful_only: bool = False
 ) -> DataFrame:
     """Changes strictly newer than both marks: the table's own and the log's.
 
-    The log's mark is one value. It is looked up first, so that it is a literal
-    in the filter, which any source takes, databases included. The marks per
-    table are joined to what is left.
+    The marks of the log and of the known tables are a few values. They are
+    looked up first, so that they are literals in filters that any source takes:
+    files skip old row groups, a database selects by itself. Marks of tables
+    that the registry does not name are joined, if there are any.
     """
-    marks = last_sync(sync_logs, successful_only)
+    found, others = _marks(sync_logs, successful_only)
     logged, time = (
-        df.schema[name].dataType for df, name in ((marks, "last_change"), (changes, "change_time"))
+        df.schema[name].dataType
+        for df, name in ((sync_logs, "timestamp"), (changes, "change_time"))
     )
 
-    def or_epoch(mark: Column) -> Column:
-        return F.coalesce(mark, F.lit(_EPOCH).cast(logged)).cast(time)
-
-    log_mark = marks.filter(F.col("resource") == CHANGE_LOG).agg(
-        or_epoch(F.max("last_change")).cast("string").alias("mark")
-    )
-    mark = F.lit(log_mark.first()["mark"]).cast(time)
-    recent = changes.filter(F.col("change_time") > mark)
+    def mark(text: str | None) -> Column:
+        return F.lit(text or _EPOCH).cast(logged).cast(time)
+
+    when = F.col("change_time")
+    recent = changes.filter(when > mark(found.get(CHANGE_LOG)))
+    marked = [(spec, found[spec.name]) for spec in RESOURCES if spec.name in found]
+    if marked:
+        schema, table = F.col("schema_name"), F.col("table_name")
+        # A change of any other table, or of none, is not held back here.
+        due = [schema.isNull(), table.isNull()]
+        due.append(
+            reduce(
+                Column.__and__,
+                [(schema != spec.schema) | (table != spec.table) for spec, _ in marked],
+            )
+        )
+        due += [
+            (schema == spec.schema) & (table == spec.table) & (when > mark(text))
+            for spec, text in marked
+        ]
+        recent = recent.filter(reduce(Column.__or__, due))
+    if None not in found:
+        return recent
     named = recent.withColumn(
         "resource", qualified_name(F.col("schema_name"), F.col("table_name"))
     )
-    return (
-        lookup_join(named, marks, "resource")
-        .filter(F.col("change_time") > or_epoch(F.col("last_change")))
-        .select(*changes.columns)
-    )
+    last = F.coalesce(F.col("last_change"), F.lit(_EPOCH).cast(logged)).cast(time)
+    return lookup_join(named, others, "resource").filter(when > last).select(*changes.columns)
 
 
 def mapped_changes(changes: DataFrame) -> DataFrame:

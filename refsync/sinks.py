@@ -6,13 +6,9 @@ a run repeated after a failure leaves each result once.
 
 from __future__ import annotations
 
-from datetime import datetime
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from refsync.operators.changelog import retained_changes
-
 
 def write_envelopes(
     envelopes: DataFrame,
@@ -21,18 +17,21 @@ def write_envelopes(
     table: str,
     format: str = "json",
     rows_per_file: int = 1_000_000,
-) -> None:
-    """Envelopes of one table under ``<root>/run=<run>/table_name=<table>``.
+) -> int:
+    """Envelopes of one table under ``<root>/run=<run>/table_name=<table>``; returns their number.
 
     The folder names the table, so rows are neither shuffled nor sorted, and
-    ``row_data`` stays a nested object.
+    ``row_data`` stays a nested object. Rows are counted as they are written.
     """
-    writer = envelopes.drop("table_name").write.mode("overwrite").format(format)
+    seen = Observation()
+    counted = envelopes.drop("table_name").observe(seen, F.count(F.lit(1)).alias("rows"))
+    writer = counted.write.mode("overwrite").format(format)
     if format == "json":
         writer = writer.option("ignoreNullFields", "false")
     writer.option("maxRecordsPerFile", rows_per_file).save(
         f"{root}/run={run}/table_name={table}"
     )
+    return seen.get["rows"]
 
 
 def write_changes(outcomes: DataFrame, path: str) -> None:
@@ -62,11 +61,3 @@ def write_sync_log(row: DataFrame, path: str, run: str) -> None:
     """The log row of a run under ``run=<run>``; the run repeated writes it again."""
     row.coalesce(1).write.mode("overwrite").parquet(f"{path}/run={run}")
 
-
-def rewrite_changes(changes: DataFrame, snapshot: datetime, target: str) -> None:
-    """Write the log without what a full sync has covered.
-
-    The result is a new folder, as a table cannot be replaced while it is read;
-    whoever owns the log points readers to it.
-    """
-    retained_changes(changes, snapshot).write.mode("errorifexists").parquet(target)

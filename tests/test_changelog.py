@@ -197,6 +197,40 @@ def test_log_mark_reaches_the_scan(spark, tmp_path, capsys):
     assert "GreaterThan(change_time,2024-01-02" in plan and "subquery" not in plan.lower()
 
 
+def test_marks_of_known_tables_reach_the_scan(spark, tmp_path, capsys):
+    """Literals per table in the filter, and no join."""
+    changes, logs = frames(
+        spark,
+        [
+            change(1, "orders", at(3)),
+            change(2, "orders", at(3, 1)),
+            change(3, "users", at(2, 1), schema="referencedata"),
+            change(4, "orders", at(2, 1), schema="referencedata"),
+            change(5, "not_mapped", at(2, 1)),
+            change(6, None, at(2, 1)),
+            change(7, "orders", at(2, 1), schema=None),
+            change(8, "users", at(2), schema="referencedata"),
+        ],
+        [log(1, "fulfillment.orders", at(3)), log(2, CHANGE_LOG, at(2)),
+         log(3, "fulfillment.lots", at(1))],
+    )
+    changes.write.parquet(str(tmp_path / "changes"))
+    stored = spark.read.parquet(str(tmp_path / "changes"))
+    known = logs.filter("resource <> 'fulfillment.lots'")
+    due = changes_since(stored, known)
+    assert rows(due, "id") == [(2,), (3,), (4,), (5,), (6,), (7,)]
+    due.explain("formatted")
+    plan = capsys.readouterr().out
+    pushed = next(line for line in plan.splitlines() if "PushedFilters" in line)
+    assert "EqualTo(table_name,orders)" in pushed and "GreaterThan(change_time,2024-01-03" in pushed
+    assert "Join" not in plan
+    # A mark of a table that the registry does not name is joined.
+    others = logs.unionByName(
+        spark.createDataFrame([log(9, "fulfillment.not_mapped", at(9))], SYNC_LOGS)
+    )
+    assert rows(changes_since(stored, others), "id") == [(2,), (3,), (4,), (6,), (7,)]
+
+
 def test_a_row_is_parsed_once(spark, capsys):
     changes, _ = frames(spark, [change(1, "orders", at(1))], [])
     change_envelopes(change_outcomes(mapped_changes(changes))).explain("extended")

@@ -1,5 +1,6 @@
 import json
 from datetime import datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
 from helpers import rows
@@ -9,6 +10,8 @@ from refsync.functions.changes import watched_fields
 from refsync.operators.facilities import FacilityRules
 from refsync.plans.export import export_changes, export_full
 from refsync.plans.facility_import import ReferenceTables, run_import
+from refsync.plans.runs import committed_runs, read_run, run_rows
+from refsync.sources.change_log import ChangeLog
 from refsync.sources.registry import CHANGE_LOG, RESOURCES
 from refsync.sources.schemas import DATA_CHANGES, SYNC_LOGS
 from refsync.sources.tables import FileSource
@@ -50,29 +53,74 @@ def test_full_export_and_its_repetition(spark, tmp_path):
 def test_full_export_stops_at_the_first_failure(spark, tmp_path):
     out, logs = str(tmp_path / "out"), str(tmp_path / "log")
     tables = source(spark, tmp_path / "in", skip=["referencedata.geographic_zones"])
-    changes = spark.createDataFrame([change(1, "orders", at(1))], DATA_CHANGES)
+    changes = ChangeLog(spark, str(tmp_path / "changes"))
+    changes.append(spark.createDataFrame([change(1, "orders", at(1))], DATA_CHANGES))
     with pytest.raises(AnalysisException):
-        export_full(
-            spark, tables, out, logs, AT, SPECS, changes, str(tmp_path / "cleared")
-        )
+        export_full(spark, tables, out, logs, AT, SPECS, changes)
     found = rows(log(spark, logs), "resource", "success")
     assert found == [
         ("referencedata.geographic_levels", True),
         ("referencedata.geographic_zones", False),
     ]
-    assert not (tmp_path / "cleared").exists()
+    # Nobody sees what was written before the failure, and nothing is taken out of the log.
+    assert committed_runs(spark, out) == []
+    with pytest.raises(LookupError):
+        read_run(spark, out)
+    assert changes.read().count() == 1
+
+    # The cause removed, the same run completes.
+    spec = SPECS[1]
+    spark.range(3).selectExpr(*(f"cast(id as string) as {n}" for n in spec.sources)).write.parquet(
+        f"{tmp_path}/in/{spec.name}"
+    )
+    export_full(spark, tables, out, logs, AT, SPECS, changes)
+    assert read_run(spark, out).count() == 9
+    assert run_rows(spark, out, committed_runs(spark, out)[0]) == {s.target: 3 for s in SPECS}
+    assert changes.read().count() == 0
+
+
+def test_failures_among_parallel_writes_keep_the_order(spark, tmp_path):
+    """The first in registry order is reported, whichever came to an end first."""
+    tables = source(spark, tmp_path / "in", skip=[SPECS[0].name, SPECS[2].name])
+    for parallel in (1, 3):
+        logs = str(tmp_path / f"log{parallel}")
+        with pytest.raises(AnalysisException, match="geographic_levels"):
+            export_full(spark, tables, str(tmp_path / "out"), logs, AT, SPECS, parallel=parallel)
+        assert rows(log(spark, logs), "resource", "success") == [(SPECS[0].name, False)]
+
+
+def test_complete_run_is_not_written_again(spark, tmp_path):
+    out, logs = str(tmp_path / "out"), str(tmp_path / "log")
+    tables = source(spark, tmp_path / "in")
+    export_full(spark, tables, out, logs, AT, SPECS)
+    before = {f: f.stat().st_mtime_ns for f in Path(out).rglob("*.json")}
+    export_full(spark, tables, out, logs, AT, SPECS)
+    assert {f: f.stat().st_mtime_ns for f in Path(out).rglob("*.json")} == before
+
+
+def test_latest_complete_run_is_read(spark, tmp_path):
+    out, logs = str(tmp_path / "out"), str(tmp_path / "log")
+    tables = source(spark, tmp_path / "in")
+    for day in (1, 3, 2):
+        export_full(spark, tables, out, logs, AT.replace(day=day), SPECS[:1])
+    assert {r.change_time for r in read_run(spark, out).collect()} == {"2024-06-03T00:00:00Z"}
 
 
 def test_full_export_clears_what_it_covers(spark, tmp_path):
-    changes = spark.createDataFrame(
-        [change(1, "orders", datetime(2024, 5, 31)), change(2, "orders", datetime(2024, 6, 2))],
-        DATA_CHANGES,
-    )
-    export_full(
-        spark, source(spark, tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "log"), AT,
-        SPECS, changes, str(tmp_path / "cleared"),
+    changes = ChangeLog(spark, str(tmp_path / "changes"))
+    changes.append(
+        spark.createDataFrame(
+            [change(1, "orders", datetime(2024, 5, 31)), change(2, "orders", datetime(2024, 6, 2))],
+            DATA_CHANGES,
+        )
     )
-    assert rows(spark.read.parquet(str(tmp_path / "cleared")), "id") == [(2,)]
+    tables, out, logs = source(spark, tmp_path / "in"), tmp_path / "out", str(tmp_path / "log")
+    export_full(spark, tables, str(out), logs, AT, SPECS, changes)
+    assert rows(changes.read(), "id") == [(2,)]
+    # What follows sends the later change only.
+    export_changes(spark, changes, log(spark, logs), str(tmp_path / "sent"), logs, AT.replace(day=5))
+    written = spark.read.parquet(str(tmp_path / "sent/run=20240605T000000.000000"))
+    assert rows(written, "change_id") == [(2,)]
 
 
 def test_change_export_then_incremental(spark, tmp_path):

@@ -193,11 +193,30 @@ SQL["export_run"] = "\nunion all\n".join(
     SQL[f"export_{table}"].strip() for table in _EXPORTS
 )
 
+# The schema of each exported table.
+_SCHEMA_OF = {
+    table: schema
+    for schema, tables in {
+        "referencedata": "geographic_levels geographic_zones facilities lots orderables programs"
+        " program_orderables price_changes supported_programs users",
+        "fulfillment": "orders order_line_items proofs_of_delivery proof_of_delivery_line_items",
+        "requisition": "requisitions requisition_line_items",
+        "stockmanagement": "stock_events stock_event_line_items stock_cards stock_card_line_items"
+        " calculated_stocks_on_hand",
+    }.items()
+    for table in tables.split()
+}
+
 SQL["export_run_log"] = "\nunion all\n".join(
-    f"""select 'referencedata.{table}' as resource, 'full' as sync_type, 'S' as operation,
+    f"""select '{schema}.{table}' as resource, 'full' as sync_type, 'S' as operation,
        timestamp '2024-06-01' as "timestamp", true as success,
        cast(null as varchar) as message, cast(null as varchar) as details"""
-    for table in ("geographic_levels", "geographic_zones", "facilities")
+    for table, schema in _SCHEMA_OF.items()
+)
+
+SQL["export_run_counts"] = "\nunion all\n".join(
+    f"select '{target}' as table_name, count(*) as envelopes from src_{table}"
+    for table, (target, _, _) in _EXPORTS.items()
 )
 
 # --- change log -----------------------------------------------------------------
@@ -306,6 +325,13 @@ SQL["changelog_retained"] = """
 select * from in_changes where change_time > timestamp '2024-01-15'
 """
 
+SQL["changelog_cleared_parts"] = SQL["changelog_retained"]
+
+SQL["changelog_after_full_export"] = f"""
+select {_ORDER_ENVELOPE} from in_order_changes
+where o_orderstatus not in ('P', 'O') and change_time > timestamp '1995-06-01'
+"""
+
 SQL["changelog_run"] = f"""
 select 'sent' as status, table_name, id, schema_name, operation, change_time, row_data,
        o_orderkey as change_id, 'fulfillment' as source_schema, 'orders' as source_table,

@@ -58,7 +58,9 @@ from refsync.plans.facility_import import (
     run_import,
     run_metrics,
 )
+from refsync.plans.runs import read_run, run_rows
 from refsync.session import configure, materialize, new_shared_path
+from refsync.sources.change_log import ChangeLog
 from refsync.sources.incoming import read_facility_records, stream_facility_records
 from refsync.sources.registry import CHANGE_LOG, RESOURCES
 from refsync.sources.schemas import SYNC_LOGS
@@ -118,11 +120,7 @@ def export_run(spark: SparkSession, t: Tables) -> DataFrame:
     """A full export written out: every envelope as it was sent."""
     out = new_shared_path(spark, "export")
     export_full(spark, DerivedSource(t), f"{out}/batch", f"{out}/log", AT)
-    sent = spark.read.schema(
-        "id string, schema_name string, operation string, change_time string, row_data string,"
-        " table_name string"
-    ).json(f"{out}/batch/run={run_name(AT)}")
-    return sent.select(
+    return read_run(spark, f"{out}/batch", run_name(AT)).select(
         "id", "schema_name", "table_name", "operation", "change_time", "row_data"
     )
 
@@ -134,12 +132,20 @@ _LOGGED = ("resource", "sync_type", "operation", "timestamp", "success", "messag
 def export_run_log(spark: SparkSession, t: Tables) -> DataFrame:
     """The log that a full export leaves, run twice under the same time."""
     out = new_shared_path(spark, "export")
-    few = RESOURCES[:3]
     for _ in range(2):
-        export_full(spark, DerivedSource(t), f"{out}/batch", f"{out}/log", AT, few)
+        export_full(spark, DerivedSource(t), f"{out}/batch", f"{out}/log", AT)
     return _log(spark, f"{out}/log")
 
 
+@query
+def export_run_counts(spark: SparkSession, t: Tables) -> DataFrame:
+    """What a complete run says of itself: its tables and their envelopes."""
+    out = new_shared_path(spark, "export")
+    export_full(spark, DerivedSource(t), f"{out}/batch", f"{out}/log", AT)
+    rows = run_rows(spark, f"{out}/batch", run_name(AT))
+    return spark.createDataFrame(sorted(rows.items()), "table_name string, envelopes long")
+
+
 def _log(spark: SparkSession, path: str) -> DataFrame:
     found = spark.read.schema(SYNC_LOGS).parquet(path).select(*_LOGGED)
     return found.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
@@ -260,6 +266,41 @@ def changelog_retained(spark: SparkSession, t: Tables) -> DataFrame:
     return retained_changes(t["in_changes"], SNAPSHOT)
 
 
+_LOGGED_CHANGES = (
+    "id bigint, schema_name string, table_name string, operation string,"
+    " change_time timestamp_ntz, row_data string"
+)
+
+# Orders have changed before and after it.
+MIDDLE = datetime(1995, 6, 1, tzinfo=timezone.utc)
+
+
+@query
+def changelog_after_full_export(spark: SparkSession, t: Tables) -> DataFrame:
+    """A full export empties the log it covers; the next change export sends what came later."""
+    out = new_shared_path(spark, "export")
+    log = ChangeLog(spark, f"{out}/changes", _LOGGED_CHANGES)
+    changes, time = order_changes(t), F.col("change_time")
+    # Parts that end before the export, hold its time, and begin after it.
+    for part in (time < "1994-01-01", time.between("1994-01-01", "1997-01-01"), time > "1997-01-01"):
+        log.append(changes.filter(part))
+    export_full(spark, DerivedSource(t), f"{out}/full", f"{out}/log", MIDDLE, changes=log)
+    sync_logs = spark.read.schema(SYNC_LOGS).parquet(f"{out}/log")
+    export_changes(spark, log, sync_logs, f"{out}/sent", f"{out}/log", AT)
+    return change_envelopes(spark.read.parquet(f"{out}/sent/run={run_name(AT)}"))
+
+
+@query
+def changelog_cleared_parts(spark: SparkSession, t: Tables) -> DataFrame:
+    """What the log still holds, read through the version that clearing it has committed."""
+    log = ChangeLog(spark, new_shared_path(spark, "log"), _LOGGED_CHANGES)
+    changes, time = t["in_changes"], F.col("change_time")
+    for part in (time < "2024-01-10", time >= "2024-01-10"):
+        log.append(changes.filter(part))
+    log.clear(SNAPSHOT)
+    return log.read(since=SNAPSHOT)
+
+
 @query
 def changelog_run(spark: SparkSession, t: Tables) -> DataFrame:
     """A change export written out: what it has sent and rejected."""
@@ -289,7 +330,7 @@ def changelog_stream(spark: SparkSession, t: Tables) -> DataFrame:
     log = new_shared_path(spark, "log")
     order_changes(t).write.parquet(log)
     out = new_shared_path(spark, "stream")
-    stream = read_change_stream(spark, log, schema=_STREAMED)
+    stream = read_change_stream(spark, log, schema=_LOGGED_CHANGES)
     # The order changes are some years older than the events that the logs come from.
     logs = t["in_sync_logs"].withColumn(
         "timestamp", F.col("timestamp") - F.make_interval(years=F.lit(26))
@@ -305,19 +346,13 @@ def changelog_stream_log(spark: SparkSession, t: Tables) -> DataFrame:
     order_changes(t).coalesce(1).write.parquet(log)
     out = new_shared_path(spark, "stream")
     for _ in range(2):
-        stream = read_change_stream(spark, log, schema=_STREAMED)
+        stream = read_change_stream(spark, log, schema=_LOGGED_CHANGES)
         run_change_stream(
             stream, f"{out}/changes", f"{out}/checkpoint", log=f"{out}/log"
         ).awaitTermination()
     return _log(spark, f"{out}/log")
 
 
-_STREAMED = (
-    "id bigint, schema_name string, table_name string, operation string,"
-    " change_time timestamp_ntz, row_data string"
-)
-
-
 # --- validation -----------------------------------------------------------------
 
 
