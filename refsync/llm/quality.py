@@ -12,6 +12,7 @@ that there can be, and endless repetition has next to none.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -71,6 +72,12 @@ class Compressor:
         return len(self.compressor.compress(piece))
 
 
+@functools.lru_cache(maxsize=4)
+def compressor(content: bytes) -> Compressor:
+    """One per dictionary and process: their tables are megabytes that no garbage count sees."""
+    return Compressor(content)
+
+
 @dataclass
 class Model:
     """Both dictionaries, and the weights and the bias of the curve."""
@@ -81,9 +88,7 @@ class Model:
 
     def compare(self, text: str) -> tuple[float, float]:
         """By how much the bad dictionary's size exceeds the good one's, and their mean; per byte."""
-        if "_sizes" not in self.__dict__:  # made where it is used; dictionaries are not pickled
-            self._sizes = Compressor(self.good), Compressor(self.bad)
-        good, bad = self._sizes
+        good, bad = compressor(self.good), compressor(self.bad)
         raw = text.encode("utf-8", "replace")
         with_good = with_bad = 0
         for piece in pieces(raw):
@@ -99,9 +104,6 @@ class Model:
             value += self.weights[0] * difference + self.weights[1] * mean
         return float(1 / (1 + np.exp(-np.clip(value, -35, 35))))
 
-    def __getstate__(self) -> dict:
-        return {name: self.__dict__[name] for name in ("good", "bad", "weights")}
-
 
 def sample(
     docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, rows: int
