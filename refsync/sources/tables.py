@@ -12,6 +12,8 @@ from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 
+from refsync.sources.splits import splits_in
+
 
 class TableSource(Protocol):
     def table(self, name: str) -> DataFrame: ...
@@ -49,17 +51,21 @@ class JdbcSource:
     """Tables and queries of a database.
 
     ``splits`` gives, per table, the predicates that cut it into partitions
-    read in parallel; a table without them is read by a single task, which is
-    right for small tables only.
+    read in parallel; ``keys`` gives the columns of a key and the number of
+    partitions instead, and the database is asked where to cut. A table with
+    neither is read by a single task, which is right for small tables only.
     """
 
     spark: SparkSession
     url: str
     properties: Mapping[str, str] = field(default_factory=dict)
     splits: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    keys: Mapping[str, tuple[Sequence[str], int]] = field(default_factory=dict)
 
     def table(self, name: str) -> DataFrame:
         predicates = self.splits.get(name)
+        if predicates is None and name in self.keys:
+            predicates = splits_in(self, name, *self.keys[name]).predicates()
         if predicates:
             return self.spark.read.jdbc(
                 self.url, name, predicates=list(predicates), properties=dict(self.properties)

@@ -363,6 +363,66 @@ and change_time > (
     from in_sync_logs)
 """
 
+# --- undeclared records, split reads --------------------------------------------
+
+SQL["fields_inferred"] = f"""
+select field, case kind when 'UBIGINT' then 'long' when 'BIGINT' then 'long'
+                        when 'BOOLEAN' then 'boolean' else 'string' end as type
+from (
+    select field, json_extract_string(shape, '$.' || field) as kind
+    from (
+        select shape, unnest(json_keys(shape)) as field
+        from (select json_group_structure(cast({_ORDER_LOGGED} as json)) as shape from in_order_changes) s
+    ) f
+) k
+"""
+
+SQL["records_inferred"] = """
+select id as change_id, 'u-' || cast(o_custkey as varchar) as createdbyid,
+       cast(o_orderdate as varchar) as createddate, o_orderpriority = '1-URGENT' as emergency,
+       'not mapped' as extradata, 'fac-' || cast(o_custkey as varchar) as facilityid,
+       cast(o_orderkey as varchar) as id, cast(o_orderdate as varchar) as lastupdateddate,
+       cast(o_custkey as bigint) as lastupdaterid,
+       'ORD-' || cast(o_orderkey as varchar) as ordercode,
+       case when o_orderstatus <> 'O' then substr(o_orderpriority, 1, 1) end as programid,
+       cast(floor(o_totalprice) as bigint) as quotedcost,
+       cast(o_custkey as bigint) as receivingfacilityid,
+       cast(o_custkey as bigint) as requestingfacilityid,
+       case when o_orderstatus <> 'O' then o_orderstatus end as status,
+       cast(null as varchar) as supplyingfacilityid
+from in_order_changes
+"""
+
+
+def _bounds(rows: str, key: str, parts: int) -> str:
+    order = ", ".join(f"{name} nulls first" for name in key.split(", "))
+    return f"""
+select distinct {key}, n, total from (
+    select {key}, row_number() over (order by {order}) - 1 as place,
+           rank() over (order by {order}) - 1 as n, count(*) over () as total
+    from {rows}
+) ranked where floor(place * {parts} / total) > floor((place - 1) * {parts} / total)
+"""
+
+
+SQL["split_bounds"] = _bounds("lineitem", "l_shipdate, l_orderkey, l_linenumber", 16)
+SQL["split_bounds_of_few_keys"] = _bounds(
+    "(select case when l_returnflag <> 'N' then l_returnflag end as flag from lineitem) f",
+    "flag", 16,
+)
+
+SQL["split_reads"] = """
+select cast(part as bigint) as part, count(*) as orders,
+       min(struct_pack(a := o_orderpriority, b := o_orderkey)).a as o_orderpriority,
+       min(struct_pack(a := o_orderpriority, b := o_orderkey)).b as o_orderkey
+from (
+    select o_orderpriority, o_orderkey,
+           ((row_number() over (order by o_orderpriority, o_orderkey) - 1) * 12)
+               // count(*) over () as part
+    from orders
+) placed group by part
+"""
+
 # --- validation -----------------------------------------------------------------
 
 _NUMBER = r"'^-?\d+(\.\d+)?$'"

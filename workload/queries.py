@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,8 +63,10 @@ from refsync.plans.runs import read_run, run_rows
 from refsync.session import configure, materialize, new_shared_path
 from refsync.sources.change_log import ChangeLog
 from refsync.sources.incoming import read_facility_records, stream_facility_records
+from refsync.sources.inferred import field_types, infer_schema, parsed
 from refsync.sources.registry import CHANGE_LOG, RESOURCES
 from refsync.sources.schemas import SYNC_LOGS
+from refsync.sources.splits import bounds_of, splits_of
 from refsync.sources.tables import CatalogSource
 from refsync.streaming import read_change_stream, run_change_stream, run_import_stream
 from workload.inputs import Tables
@@ -399,6 +402,57 @@ def records_from_json(spark: SparkSession, t: Tables) -> DataFrame:
     )
 
 
+# --- undeclared records, split reads --------------------------------------------
+
+
+@query
+def fields_inferred(spark: SparkSession, t: Tables) -> DataFrame:
+    """The fields that logged rows of two shapes show, and their types."""
+    schema = infer_schema(order_changes(t), "row_data")
+    return spark.createDataFrame(field_types(schema), "field string, type string")
+
+
+@query
+def records_inferred(spark: SparkSession, t: Tables) -> DataFrame:
+    """Logged rows read by the schema they show; one shape lacks two fields."""
+    changes = order_changes(t)
+    row = parsed(F.col("row_data"), infer_schema(changes, "row_data"))
+    return changes.select(F.col("id").alias("change_id"), row.alias("r")).select("change_id", "r.*")
+
+
+_LINE_KEY = ("l_shipdate", "l_orderkey", "l_linenumber")
+
+
+@query
+def split_bounds(spark: SparkSession, t: Tables) -> DataFrame:
+    """Where to cut the line items into 16 even parts; most dates have many of them."""
+    return bounds_of(t.base("lineitem"), _LINE_KEY, 16)
+
+
+@query
+def split_bounds_of_few_keys(spark: SparkSession, t: Tables) -> DataFrame:
+    """A key of three values, one of them null, makes three parts at most."""
+    line = t.base("lineitem").select(
+        F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("flag")
+    )
+    return bounds_of(line, ("flag",), 16)
+
+
+@query
+def split_reads(spark: SparkSession, t: Tables) -> DataFrame:
+    """Orders read part by part, by predicates on a text and a number."""
+    orders = t.base("orders").select("o_orderpriority", "o_orderkey")
+    splits = splits_of(orders, ("o_orderpriority", "o_orderkey"), 12)
+    parts = [
+        orders.filter(predicate).select(F.lit(number).cast("long").alias("part"), "*")
+        for number, predicate in enumerate(splits.predicates())
+    ]
+    return reduce(DataFrame.unionAll, parts).groupBy("part").agg(
+        F.count(F.lit(1)).alias("orders"),
+        F.min(F.struct("o_orderpriority", "o_orderkey")).alias("first"),
+    ).select("part", "orders", "first.*")
+
+
 # --- reference tables -----------------------------------------------------------
 
 
