@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from refsync.functions.programs import no_programs
 from refsync.functions.text import is_coordinate
+from refsync.operators.digests import DigestStore, compared, merged, record_digests
 from refsync.operators.facilities import (
     CREATE_ACTION,
     DISABLE_ACTION,
@@ -43,6 +44,7 @@ from refsync.operators.supplement import (
 from refsync.operators.validate import is_valid, rejects, valid_records
 from refsync.session import configure, materialize, scratch_tables
 from refsync.sinks import write_actions, write_rows
+from refsync.sources.known import store_by_key
 from refsync.sources.tables import TableSource
 
 # The kinds of action that a run may write.
@@ -73,12 +75,19 @@ _DECIDED = (
 
 @dataclass(frozen=True)
 class ReferenceTables:
+    """What a delivery is compared with.
+
+    ``known`` are the facilities as ``placed`` gives them, stored by their code
+    (``with_known``); an import then joins them where they lie.
+    """
+
     facilities: DataFrame
     supported_programs: DataFrame
     programs: DataFrame
     zones: DataFrame
     levels: DataFrame
     types: DataFrame
+    known: DataFrame | None = None
 
     @classmethod
     def read(cls, source: TableSource) -> ReferenceTables:
@@ -100,8 +109,19 @@ class ReferenceTables:
         return zone_hierarchy(self.zones, self.levels, self.small)
 
     def placed(self) -> DataFrame:
+        if self.known is not None:
+            return self.known
         return placed_facilities(self.facilities, self.zones, self.small)
 
+    def with_known(self, name: str, path: str, buckets: int | None = None) -> ReferenceTables:
+        """The same tables, with the facilities stored by code as table ``name`` below ``path``.
+
+        To be repeated when facilities or zones have changed.
+        """
+        made = replace(self, known=store_by_key(self.placed(), name, path, "code", buckets))
+        made.__dict__["small"] = self.small
+        return made
+
     def existing(self) -> DataFrame:
         return existing_facilities(
             self.facilities, self.supported_programs, self.programs, self.zones, self.small
@@ -118,6 +138,20 @@ def report_recipients(source: TableSource, right_id: str) -> DataFrame:
     )
 
 
+def enriched(
+    records: DataFrame, tables: ReferenceTables, by_province: bool = False
+) -> DataFrame:
+    """Valid records with what their names refer to."""
+    return enrich(
+        valid_records(records),
+        tables.hierarchy(),
+        tables.types,
+        tables.programs,
+        by_province,
+        tables.small,
+    )
+
+
 def decisions(
     records: DataFrame,
     tables: ReferenceTables,
@@ -128,15 +162,7 @@ def decisions(
     """Validated, enriched and matched records with what to do about them."""
     if existing is None:
         existing = tables.existing()
-    found = enrich(
-        valid_records(records),
-        tables.hierarchy(),
-        tables.types,
-        tables.programs,
-        by_province,
-        tables.small,
-    )
-    return decide(match_existing(found, existing), rules)
+    return decide(match_existing(enriched(records, tables, by_province), existing), rules)
 
 
 def supplement_actions(records: DataFrame, tables: ReferenceTables) -> DataFrame:
@@ -168,13 +194,16 @@ def supplement_actions(records: DataFrame, tables: ReferenceTables) -> DataFrame
     return result
 
 
-def import_rejects(records: DataFrame, tables: ReferenceTables) -> DataFrame:
+def import_rejects(
+    records: DataFrame, tables: ReferenceTables, checked: DataFrame | None = None
+) -> DataFrame:
     """What the checks found, and the valid records whose zone no table has.
 
     ``unknown_province`` and ``unknown_municipality`` records stay in the sync.
+    ``checked`` takes the place of the records where these are only checked.
     """
     valid, hierarchy = valid_records(records), tables.hierarchy()
-    found = rejects(records)
+    found = rejects(records if checked is None else checked)
     for level, column in ((PROVINCE, "province"), (MUNICIPALITY, "municipality")):
         unknown = records_missing_zone(valid, hierarchy, level, tables.small).select(
             "code",
@@ -186,36 +215,23 @@ def import_rejects(records: DataFrame, tables: ReferenceTables) -> DataFrame:
     return found
 
 
-def written_metrics(metrics: DataFrame, actions: DataFrame) -> DataFrame:
-    """``metrics`` with the actions counted as they were written, all kinds of them."""
-    counted = F.array(*map(F.lit, ACTIONS))
-    kinds = F.transform(
-        counted, lambda kind: F.struct(kind.alias("metric"), F.lit(0).cast("long").alias("value"))
-    )
-    none = metrics.sparkSession.range(1).select(F.inline(kinds))
-    counts = actions.groupBy(F.col("action").cast("string").alias("metric")).agg(
-        F.count(F.lit(1)).alias("value")
-    )
-    summed = none.unionByName(counts).groupBy("metric").agg(F.sum("value").alias("value"))
-    return metrics.filter(~F.col("metric").isin(*ACTIONS)).unionByName(summed)
-
-
-def run_metrics(records: DataFrame, decided: DataFrame) -> DataFrame:
-    """Counts of one run, as ``(metric, value)``; one pass over each input.
-
-    ``matched`` above ``valid`` tells how many rows ambiguous names have added.
-    """
+def record_gates(records: DataFrame) -> list[Column]:
+    """Counts over the records as they come."""
     valid = is_valid(records)
     bad = ~is_coordinate(F.col("latitude")) | ~is_coordinate(F.col("longitude"))
-    seen = records.agg(
+    return [
         F.count(F.lit(1)).alias("incoming"),
         F.count_if(~valid).alias("invalid"),
         F.count_if(valid).alias("valid"),
         F.count_if(valid & bad).alias("bad_coordinate"),
-    )
+    ]
+
+
+def decision_gates() -> list[Column]:
+    """Counts over decided records; ``matched`` above ``valid`` tells what ambiguous names added."""
     changed = F.col("any_change")
     action = F.col("action")
-    done = decided.agg(
+    return [
         F.count(F.lit(1)).alias("matched"),
         F.count_if(action.isNull()).alias("no_action"),
         F.count_if(action == CREATE_ACTION).alias("create"),
@@ -223,14 +239,30 @@ def run_metrics(records: DataFrame, decided: DataFrame) -> DataFrame:
         F.count_if((action == UPDATE_ACTION) & changed).alias("update"),
         F.count_if(action == DISABLE_ACTION).alias("disable_candidates"),
         F.count_if((action == DISABLE_ACTION) & changed).alias("disable"),
-    )
-    return _listed(seen).unionByName(_listed(done))
+    ]
+
+
+def action_gates() -> list[Column]:
+    """Counts over the actions that are sent, all kinds of them."""
+    return [F.count_if(F.col("action") == kind).alias(kind) for kind in ACTIONS]
+
+
+def run_metrics(records: DataFrame, decided: DataFrame) -> DataFrame:
+    """Counts of one run, as ``(metric, value)``; one pass over each input."""
+    seen = records.agg(*record_gates(records))
+    return _listed(seen).unionByName(_listed(decided.agg(*decision_gates())))
 
 
 def _listed(counts: DataFrame) -> DataFrame:
     return counts.unpivot([], counts.columns, "metric", "value")
 
 
+def _metrics(spark: SparkSession, *observed: Observation) -> DataFrame:
+    """What was counted while writing; where two count the same, the later one holds."""
+    counts = {name: value for seen in observed for name, value in seen.get.items()}
+    return spark.createDataFrame(list(counts.items()), "metric string, value long")
+
+
 def run_import(
     records: DataFrame,
     tables: ReferenceTables,
@@ -243,6 +275,7 @@ def run_import(
     stage: bool = False,
     part: str | None = None,
     addresses: DataFrame | None = None,
+    digests: str | None = None,
 ) -> None:
     """Write ``decisions``, ``actions``, ``rejects``, ``report`` and ``metrics`` below ``out``.
 
@@ -255,15 +288,23 @@ def run_import(
 
     Decisions are written first and everything else is read back from them, so
     the joins run once however many results follow, and the later steps do not
-    depend on executors keeping anything. The payloads of ``actions`` are whole;
+    depend on executors keeping anything. Metrics are counted while rows are
+    written, at the end of a write's last stage, whose tasks Spark counts once.
+
+    ``digests`` names a folder that remembers what was delivered. Records that
+    say about a code what the last import was told are then neither matched nor
+    compared, on the understanding that what was sent then is in force; without
+    it every record is compared with the facility as it is. The payloads of ``actions`` are whole;
     those of ``decisions`` lack the programs of known facilities, unless own
     watched fields may ask for them.
     """
+    if digests is not None and rules.watched is not None:
+        raise ValueError("own comparisons may look at more than digests stand for")
     spark = configure(records.sparkSession)
     with scratch_tables(spark):
         _write_import(
             records, tables, out, rules, by_province, disable_missing, supplement, report, stage,
-            part, addresses,
+            part, addresses, digests,
         )
 
 
@@ -279,6 +320,7 @@ def _write_import(
     stage: bool,
     part: str | None,
     addresses: DataFrame | None,
+    digests: str | None,
 ) -> None:
     spark = records.sparkSession
 
@@ -288,22 +330,38 @@ def _write_import(
     if stage:
         write_rows(records, to("records"))
         records = spark.read.schema(records.schema).parquet(to("records"))
+    found = enriched(records, tables, by_province)
+    store, known, delivered = None, None, None
+    if digests is not None:
+        store = DigestStore(spark, digests)
+        known = store.manifest().latest()
+        judged = {
+            "zone": rules.fallback_zone, "type": rules.fallback_type, "safe": rules.null_safe,
+            "programs": rules.programs, "province": by_province,
+        }
+        delivered = materialize(
+            compared(record_digests(found, judged), store.read(known)), "digests"
+        )
+        found = found.join(delivered.filter(~F.col("same")).select("code"), "code", "left_semi")
     # The fields watched by default leave programs out, which are then read for changes only.
     late = rules.watched is None
     existing = tables.placed() if late else tables.existing()
     if disable_missing:
         # Needed twice, and costs joins.
         existing = materialize(existing, "existing")
-    decided = decisions(records, tables, rules, by_province, existing).select(*_DECIDED)
-    write_rows(decided, to("decisions"))
+    at_records, at_decisions, at_actions = Observation(), Observation(), Observation()
+    decided = decide(match_existing(found, existing), rules).select(*_DECIDED)
+    write_rows(decided.observe(at_decisions, *decision_gates()), to("decisions"))
     decided = spark.read.schema(decided.schema).parquet(to("decisions"))
 
     wanted = actions(decided, "program_ids")
+    acting = at_decisions.get["update"] + at_decisions.get["disable"] > 0
     if disable_missing:
         absent = absent_facilities(existing, records, rules)
         wanted = wanted.unionByName(absent.withColumn("program_ids", no_programs()))
         wanted = materialize(wanted, "actions")
-    if late:
+        acting = bool(wanted.filter(F.col("action") != CREATE_ACTION).head(1))
+    if late and acting:
         wanted = with_facility_programs(
             wanted, tables.supported_programs, tables.programs, rules, tables.small
         )
@@ -312,14 +370,17 @@ def _write_import(
     )
     if supplement:
         wanted = wanted.unionByName(supplement_actions(records, tables))
-    write_actions(wanted, to("actions"))
-    write_rows(import_rejects(records, tables), to("rejects"))
+    write_actions(wanted.observe(at_actions, *action_gates()), to("actions"))
+    # The rejects are read from the records without a shuffle, so these are counted there.
+    counted = records.observe(at_records, *record_gates(records))
+    write_rows(import_rejects(records, tables, counted), to("rejects"))
     if report:
         pages = report_pages(report_rows(decided))
         write_rows(pages, to("report"))
         if addresses is not None:
             written = spark.read.schema(pages.schema).parquet(to("report"))
             write_rows(deliveries(written, addresses), to("deliveries"))
-    sent = spark.read.schema("code string, action string").parquet(to("actions"))
-    write_rows(written_metrics(run_metrics(records, decided), sent), to("metrics"))
-
+    write_rows(_metrics(spark, at_records, at_decisions, at_actions), to("metrics"))
+    if store is not None:
+        undecided = decided.filter(F.col("action").isNull())
+        store.commit(known, merged(delivered, undecided, store.read(known), disable_missing))

@@ -1,0 +1,183 @@
+"""Known facilities stored by code, and imports that remember what they were told."""
+
+import shutil
+from dataclasses import replace
+
+import pytest
+from helpers import rows
+from pyspark.sql import functions as F
+from test_plans import import_records, import_tables
+
+from refsync.functions.changes import watched_fields
+from refsync.operators.digests import DigestStore, record_digests
+from refsync.operators.facilities import FacilityRules, match_existing
+from refsync.plans.facility_import import enriched, run_import
+from refsync.sources.known import forget
+
+
+@pytest.fixture
+def stored(spark, tmp_path):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield import_tables(spark).with_known("known_here", str(tmp_path / "known"), 8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    forget(spark, "known_here")
+
+
+def many_records(spark):
+    return spark.range(200).select(
+        F.concat(F.lit("c"), F.col("id")).alias("code"), F.lit(False).alias("is_deleted")
+    )
+
+
+def test_known_facilities_do_not_move(spark, stored, capsys):
+    matched = match_existing(many_records(spark), stored.placed())
+    matched.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange") == 1 and "Exchange hashpartitioning(code" in plan
+    fresh = match_existing(many_records(spark), import_tables(spark).placed())
+    assert rows(matched, "code", "existing_id", "action") == rows(
+        fresh, "code", "existing_id", "action"
+    )
+    fresh.explain()
+    assert capsys.readouterr().out.count("Exchange hashpartitioning(code") == 2
+
+
+def test_buckets_follow_the_partitions_of_joins(spark, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    try:
+        import_tables(spark).with_known("known_more", str(tmp_path / "known"), 3)
+        told = {r.col_name: r.data_type for r in spark.sql("describe extended known_more").collect()}
+        assert told["Num Buckets"] == "12"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        forget(spark, "known_more")
+
+
+def test_an_import_over_stored_facilities(spark, tmp_path, stored):
+    for name, tables in (("stored", stored), ("fresh", import_tables(spark))):
+        run_import(import_records(spark), tables, str(tmp_path / name), disable_missing=True)
+    columns = ("action", "code", "target_id", "payload")
+    found, expected = (
+        rows(spark.read.parquet(str(tmp_path / name / "actions")), *columns)
+        for name in ("stored", "fresh")
+    )
+    assert found == expected and len(found) == 3
+
+
+# --- digests --------------------------------------------------------------------
+
+
+def imported(spark, folder, number, records, tables=None, **options):
+    out = f"{folder}/{number}"
+    run_import(
+        records, tables or import_tables(spark), out, report=False, digests=f"{folder}/digests",
+        **options,
+    )
+    # Without any action there is no file to take a schema from.
+    written = spark.read.schema("code string, payload string, action string")
+    found = rows(written.parquet(f"{out}/actions"), "action", "code")
+    metrics = dict(tuple(row) for row in spark.read.parquet(f"{out}/metrics").collect())
+    return found, metrics
+
+
+def test_a_repeated_delivery_does_nothing_and_reads_no_program(spark, tmp_path):
+    tables = import_tables(spark)
+    tables.supported_programs.write.parquet(str(tmp_path / "supported"))
+    tables = replace(tables, supported_programs=spark.read.parquet(str(tmp_path / "supported")))
+    first, _ = imported(spark, tmp_path, 1, import_records(spark), tables)
+    assert first == [("create", "c9"), ("update", "c1")]
+    shutil.rmtree(tmp_path / "supported")
+    again, metrics = imported(spark, tmp_path, 2, import_records(spark), tables)
+    assert again == []
+    assert (metrics["incoming"], metrics["invalid"], metrics["matched"]) == (3, 1, 0)
+
+
+def test_only_what_is_said_anew_is_decided(spark, tmp_path):
+    imported(spark, tmp_path, 1, import_records(spark))
+    other = import_records(spark).withColumn(
+        "name", F.when(F.col("code") == "c9", "Ten").otherwise(F.col("name"))
+    )
+    found, metrics = imported(spark, tmp_path, 2, other)
+    assert found == [("create", "c9")] and metrics["matched"] == 1
+    assert imported(spark, tmp_path, 3, other)[0] == []
+    # Back to the first delivery: said anew once more.
+    assert imported(spark, tmp_path, 4, import_records(spark))[0] == [("create", "c9")]
+
+
+def test_rules_are_part_of_what_is_said(spark, tmp_path):
+    imported(spark, tmp_path, 1, import_records(spark))
+    found, _ = imported(
+        spark, tmp_path, 2, import_records(spark), rules=FacilityRules(programs="merged")
+    )
+    assert len(found) == 2
+    with pytest.raises(ValueError):
+        imported(
+            spark, tmp_path, 3, import_records(spark), rules=FacilityRules(watched=watched_fields())
+        )
+
+
+def test_a_partial_delivery_keeps_the_rest(spark, tmp_path):
+    imported(spark, tmp_path, 1, import_records(spark))
+    imported(spark, tmp_path, 2, import_records(spark).filter("code = 'c1'"))
+    assert imported(spark, tmp_path, 3, import_records(spark))[0] == []
+
+
+def test_what_was_absent_is_new_when_it_comes_back(spark, tmp_path):
+    whole = import_records(spark)
+    first, _ = imported(spark, tmp_path, 1, whole, disable_missing=True)
+    assert ("disable", "c2") in first and ("update", "c1") in first
+    second, _ = imported(spark, tmp_path, 2, whole.filter("code <> 'c1'"), disable_missing=True)
+    assert ("disable", "c1") in second
+    third, _ = imported(spark, tmp_path, 3, whole, disable_missing=True)
+    assert ("update", "c1") in third
+
+
+def test_records_without_an_action_are_looked_at_again(spark, tmp_path):
+    """Deleted and unknown now; once it is known, the same record disables it."""
+    gone = import_records(spark).filter("code = 'c9'").withColumn("is_deleted", F.lit(True))
+    assert imported(spark, tmp_path, 1, gone)[0] == []
+    tables = import_tables(spark)
+    known = spark.createDataFrame(
+        [("f9", "Nine", "c9", True, True, "t1", "w1")], tables.facilities.schema
+    )
+    found, _ = imported(
+        spark, tmp_path, 2, gone, replace(tables, facilities=known),
+        rules=FacilityRules(fallback_zone="z", fallback_type="t"),
+    )
+    assert found == [("disable", "c9")]
+
+
+def test_an_import_that_dies_is_not_remembered(spark, tmp_path, monkeypatch):
+    def die(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(DigestStore, "commit", die)
+        with pytest.raises(RuntimeError):
+            imported(spark, tmp_path, 1, import_records(spark))
+    assert len(imported(spark, tmp_path, 2, import_records(spark))[0]) == 2
+
+
+def test_two_imports_at_a_time_are_told_apart(spark, tmp_path):
+    store = DigestStore(spark, str(tmp_path))
+    nothing = store.read(store.manifest().latest())
+    before = store.manifest().latest()
+    store.commit(before, nothing)
+    with pytest.raises(RuntimeError):
+        store.commit(before, nothing)
+
+
+def test_a_digest_knows_no_order_but_every_record(spark):
+    tables = import_tables(spark)
+    records = import_records(spark).filter("code <> 'c8'").withColumn("code", F.lit("c1"))
+
+    def digest(df):
+        return rows(record_digests(enriched(df, tables), {"a": 1}))
+
+    one = digest(records)
+    assert len(one) == 1
+    assert digest(records.orderBy(F.desc("name")).repartition(3)) == one
+    assert digest(records.unionAll(records)) != one
+    assert digest(records.filter("name = 'Nine'")) != one

@@ -604,6 +604,8 @@ select r.id, r.code, f.id as existing_id,
 from valid_records r left join in_facilities f on f.code = r.code
 """
 
+SQL["split_actions_stored"] = SQL["split_actions"]
+
 VIEWS["sides"] = """
 select *, coalesce(municipality_id, existing_zone, 'Z-UNKNOWN') as new_zone,
        coalesce(existing_zone, 'Z-UNKNOWN') as old_zone,
@@ -893,6 +895,38 @@ where metric not in ({", ".join(f"'{kind}'" for kind in _KINDS)})
     for kind in _KINDS
 )
 
+# The same views over a later delivery, in which every ninth customer has another name.
+_LATER = {
+    **VIEWS,
+    "in_records": f"""
+select * replace (case when cast(substr(id, 5) as bigint) % 9 = 0 and name <> ''
+                       then name || ' Novo' else name end as name)
+from ({VIEWS["in_records"]}) first_delivery
+""",
+}
+
+# Statements over other views than the rest.
+WHOLE: dict[str, str] = {
+    "import_repeated": with_inputs(
+        "\nunion all\n".join(
+            f"""select action, code, target_id, payload from ({SQL[f"{kind}_actions"]}) acts
+            where cast(substr(code, 2) as bigint) % 9 = 0"""
+            for kind in ("create", "update", "disable")
+        ),
+        _LATER,
+    )
+}
+
+SQL["import_repeated_metrics"] = f"""
+select * from ({SQL["import_metrics"]}) counted
+where metric in ('incoming', 'valid', 'invalid', 'bad_coordinate')
+union all select 'matched', count(*) from matched where action is null
+union all select 'no_action', count(*) from matched where action is null
+""" + "".join(
+    f"union all select '{kind}', cast(0 as bigint)\n"
+    for kind in (*_KINDS, "update_candidates", "disable_candidates")
+)
+
 # --- report ---------------------------------------------------------------------
 
 VIEWS["lines"] = """
@@ -992,4 +1026,4 @@ from in_records
 
 
 def statements() -> dict[str, str]:
-    return {name: with_inputs(sql, VIEWS) for name, sql in SQL.items()}
+    return {**{name: with_inputs(sql, VIEWS) for name, sql in SQL.items()}, **WHOLE}

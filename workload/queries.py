@@ -553,6 +553,16 @@ def split_actions(spark: SparkSession, t: Tables) -> DataFrame:
     return matched.select("id", "code", "existing_id", "action")
 
 
+@query
+def split_actions_stored(spark: SparkSession, t: Tables) -> DataFrame:
+    """Matched with known facilities that are stored in buckets of their code."""
+    tables = reference_tables(t).with_known(
+        "refsync_known_facilities", new_shared_path(spark, "known")
+    )
+    matched = match_existing(valid_records(t["in_records"]), tables.placed())
+    return matched.select("id", "code", "existing_id", "action")
+
+
 def _decided(t: Tables, rules: FacilityRules = RULES) -> DataFrame:
     return decisions(records(t), reference_tables(t), rules)
 
@@ -687,6 +697,37 @@ def import_deliveries(spark: SparkSession, t: Tables) -> DataFrame:
     return spark.read.parquet(f"{_import(spark, t, addresses=addresses)}/deliveries")
 
 
+def renamed_records(t: Tables) -> DataFrame:
+    """A later delivery, in which every ninth customer has another name."""
+    ninth = (F.substring("id", 5, 20).cast("long") % 9 == 0) & (F.col("name") != "")
+    name = F.when(ninth, F.concat("name", F.lit(" Novo"))).otherwise(F.col("name"))
+    return records(t).withColumn("name", name)
+
+
+@query
+def import_repeated(spark: SparkSession, t: Tables) -> DataFrame:
+    """The second import of two, by digests: it acts on what the delivery says anew."""
+    out = new_shared_path(spark, "import")
+    for number, delivery in enumerate([records(t), renamed_records(t)]):
+        run_import(
+            delivery, reference_tables(t), f"{out}/{number}", RULES, report=False,
+            digests=f"{out}/digests",
+        )
+    return _written(spark, f"{out}/1/actions")
+
+
+@query
+def import_repeated_metrics(spark: SparkSession, t: Tables) -> DataFrame:
+    """What the same delivery leads to when it comes again: nothing but its checks."""
+    out = new_shared_path(spark, "import")
+    for number in range(2):
+        run_import(
+            records(t), reference_tables(t), f"{out}/{number}", RULES, report=False,
+            digests=f"{out}/digests",
+        )
+    return spark.read.parquet(f"{out}/1/metrics")
+
+
 def _stream_import(spark: SparkSession, t: Tables, files: int, **options) -> str:
     out = new_shared_path(spark, "import-stream")
     records(t).repartition(files, "id").write.json(f"{out}/landing")
