@@ -43,7 +43,12 @@ TOO_LARGE = Size(BROADCAST_ROWS + 1, BROADCAST_BYTES + 1)
 
 
 def _scanned_bytes(frame: DataFrame) -> int:
-    """What the sources of a frame hold, by their own statistics; no job runs."""
+    """What the sources of a frame hold, by their own statistics; no job runs.
+
+    A remote session does not show its plans, so there nothing is known.
+    """
+    if not hasattr(frame, "_jdf"):
+        return _NO_ESTIMATE
     leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
     sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
     return sum(sizes)
