@@ -17,19 +17,24 @@ from refsync.llm.blocks import nearest_rows, usable_vectors
 
 ROW_BLOCK = 65_536
 QUERY_BLOCK = (24, 64, 4096)
-# Quantised components beyond this could make a score leave 64 bits.
-LARGEST = 1 << 24
+LONGEST = (1 << 63) - 1
 
 
 def quantised(vectors: np.ndarray, factor: float) -> np.ndarray:
-    return np.floor(vectors * factor).astype(np.int64)
+    """``floor(factor * x)``, at the limits of a long beyond them."""
+    with np.errstate(over="ignore"):
+        whole = np.floor(vectors * factor)
+    high = whole >= 2.0**63
+    found = np.where(high, 0.0, np.maximum(whole, -(2.0**63))).astype(np.int64)
+    found[high] = LONGEST
+    return found
 
 
 def slices(values: np.ndarray) -> bytes:
     """Lowest value, number of digits, and the bitmaps of (component, digit)."""
     rows, dims = values.shape
     low = int(values.min()) if values.size else 0
-    lifted = (values - low).astype(np.uint64)
+    lifted = values.astype(np.uint64) - np.uint64(low % (1 << 64))
     digits = max(1, int(lifted.max()).bit_length()) if values.size else 1
     words = -(-rows // 64)
     maps = np.zeros((dims, digits, words * 8), np.uint8)
@@ -150,10 +155,14 @@ def search(rows, queries, k: int) -> list[np.ndarray]:
             among = everyone.copy()
             among[own >> 6] &= ~np.uint64(1 << (own & 63))
         picked = best(summed, among, k)
-        scores = np.full(len(picked), constant, np.int64)
+        # The digits say who is best whatever their number; only the score has to fit a long.
+        kind = np.int64 if len(summed) < 62 and abs(constant) < 1 << 62 else object
+        scores = np.full(len(picked), constant, kind)
         for weight, bitmap in enumerate(summed):
             bit = (bitmap[picked >> 6] >> (picked & 63).astype(np.uint64)) & np.uint64(1)
-            scores += bit.astype(np.int64) << weight
+            scores += bit.astype(kind) * (1 << weight)
+        if kind is object:
+            scores = np.array([max(-LONGEST - 1, min(LONGEST, n)) for n in scores], np.int64)
         n = len(picked)
         out.append(
             [
@@ -183,16 +192,12 @@ def top_k(
     ``vec_id``, ``score``; fewer candidates give fewer rows.
 
     Null vectors, vectors with null or non-finite components, and rows without
-    an id take no part; nor do vectors with a quantised component beyond 2**24,
-    whose scores might not fit 64 bits. Vectors meet those with as many
-    components. Other columns, whatever their names, take no part. An empty
-    table gives an empty result.
+    an id take no part. Vectors meet those with as many components. Components
+    and scores beyond 64 bits count as the nearest long; of rows that share such
+    a score the smaller ids come first. Other columns, whatever their names,
+    take no part. An empty table gives an empty result.
     """
-    from pyspark.sql import functions as F
-
-    usable = usable_vectors(vectors, key, vector).where(
-        F.forall("vec", lambda x: F.abs(F.floor(x * factor)) <= LARGEST)
-    )
+    usable = usable_vectors(vectors, key, vector)
     return nearest_rows(
         usable,
         every,

@@ -110,3 +110,33 @@ def test_quantisation_bound_holds():
     near = neighbours.products(q8, x8) * qs[:, None] * xs
     error = q_cut[:, None] * np.linalg.norm(x, axis=1) + q_length[:, None] * x_cut
     assert (np.abs(near - q @ x.T) <= error + 1e-9).all()
+
+
+@pytest.mark.parametrize("size", [3e5, 1e9, 1e17, 1e300])
+def test_top_k_of_large_components(spark, size):
+    """Nothing is left out; what leaves 64 bits counts as the nearest long."""
+    draw = np.random.default_rng(6)
+    rows = [(i * 10, [float(np.float32(x)) for x in draw.normal(0, 0.2, 8)]) for i in range(40)]
+    rows += [(401 + i, draw.normal(0, size, 8).tolist()) for i in range(12)]
+    rows += [(0, [size, 1.0] + [0.0] * 6), (20, [1.0] * 8)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    longest = (1 << 63) - 1
+
+    def long(x):
+        return max(-longest - 1, min(longest, x))
+
+    whole = [(i, [long(math.floor(64 * x)) for x in v]) for i, v in rows]
+    expected = []
+    for q, (query, a) in enumerate(whole):
+        if query % 20 == 0:
+            scored = sorted(
+                (-long(sum(x * y for x, y in zip(a, b))), i)
+                for c, (i, b) in enumerate(whole)
+                if c != q
+            )
+            expected += [(query, rank, i, -n) for rank, (n, i) in enumerate(scored[:20], 1)]
+    # Within a block the order is exact even beyond 64 bits, so ties there may be broken by it.
+    found = sorted(map(tuple, topk.top_k(df).collect()))
+    assert sorted((q, r, n) for q, r, _, n in found) == sorted((q, r, n) for q, r, _, n in expected)
+    if size < 1e9:
+        assert found == sorted(expected)
