@@ -26,6 +26,7 @@ BUCKETS = 1 << BUCKET_BITS
 # Labelled rows to learn from, shared equally by the languages, and the least of one.
 SAMPLE_ROWS = 3000
 LEAST_ROWS = 50
+MOST_LANGUAGES = 200
 
 # Families of related languages, by ISO 639-1 code.
 FAMILIES = {
@@ -144,27 +145,34 @@ def fit(
 ) -> Model:
     """Learn from at most ``sample_rows`` texts with a language, of the rows ``learn`` admits.
 
-    The sample is drawn by a hash of the text, the same share for every
-    language, different texts only; it alone comes to the driver.
+    The sample is drawn by a hash of the text, different texts only, as many of
+    every language; each gets ``LEAST_ROWS`` at least, so beyond 60 languages
+    there are more. Of more than ``MOST_LANGUAGES`` those with most different
+    texts are learned. The sample alone comes to the driver.
     """
     python_tasks(docs.sparkSession)
     rows = docs.where(learn) if learn is not None else docs
-    rows = rows.select(
-        F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("body")
-    ).where(F.col("lang").isNotNull() & F.col("body").rlike(r"\p{L}"))
-    # One row per language.
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    rows = (
+        rows.select(
+            F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("body")
+        )
+        .where(F.col("lang").isNotNull() & F.col("body").rlike(r"\p{L}"))
+        .withColumn("h", F.xxhash64("body"))
+    )
+    # Texts are drawn by their hash, so copies do not count.
+    different = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"))
+    largest = different.orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
+    sizes = {r["lang"]: max(1, r["n"]) for r in largest.collect()}
     if not sizes:
         return Model()
     quota = max(LEAST_ROWS, sample_rows // len(sizes))
     share = F.create_map(
         *(F.lit(v) for name, n in sizes.items() for v in (name, min(1.0, 1.5 * quota / n)))
     )
-    drawn = (
-        rows.withColumn("h", F.xxhash64("body"))
-        .where(F.pmod("h", F.lit(1_000_000)) < F.get(F.array(share), F.lit(0))[F.col("lang")] * 1e6)
-        .dropDuplicates(["lang", "h"])
-    )
+    # A language of a few texts is taken whole.
+    drawn = rows.where(
+        F.pmod("h", F.lit(1_000_000)) < F.get(F.array(share), F.lit(0))[F.col("lang")] * 1e6
+    ).dropDuplicates(["lang", "h"])
     first = Window.partitionBy("lang").orderBy("h")
     sample = drawn.withColumn("n", F.row_number().over(first)).where(F.col("n") <= quota)
 
@@ -181,6 +189,8 @@ def fit(
     found = sorted(
         sample.select("lang", "h", "body").mapInArrow(describe, "lang string, h long, x binary").collect()
     )
+    if not found:
+        return Model()
     x = np.stack([np.frombuffer(r["x"], np.float16) for r in found]).astype(np.float64)
     return _learn(x, np.array([r["lang"] for r in found], object))
 

@@ -85,3 +85,24 @@ def test_pairs_within_a_family_are_told_apart(spark):
     assert set(model.pairs) == {("de", "nl"), ("de", "sv"), ("nl", "sv")}
     assert set(model.families) == {"germanic", "romance"}
     assert all(model.predict(text)[0] == lang for _, text, lang, _, _ in rows)
+
+
+def test_a_language_of_copies_is_learned(spark):
+    """The share drawn is one of different texts, however often each is there."""
+    rows = [(i, "the quick brown fox jumps over the lazy dog", "en") for i in range(4000)]
+    rows += [(4000 + i, "der schnelle braune fuchs springt", "de") for i in range(3000)]
+    rows += [(9000 + i, f"le renard brun numero {i} saute par dessus le chien", "fr") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = language.identify(docs).groupBy("lang_pred").count().collect()
+    assert {r.lang_pred: r["count"] for r in found} == {"en": 4000, "de": 3000, "fr": 300}
+    only = language.identify(docs.where("lang = 'en'")).select("lang_pred").distinct().collect()
+    assert [r.lang_pred for r in only] == ["en"]
+
+
+def test_languages_beyond_the_bound(spark, monkeypatch):
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 2)
+    rows = [(i, f"the text number {i}", "en") for i in range(40)]
+    rows += [(100 + i, f"der fuchs nummer {i}", "de") for i in range(30)]
+    rows += [(200 + i, f"odd {i}", f"x{i}") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert set(language.fit(docs).members["germanic"]) == {"de", "en"}
