@@ -9,11 +9,14 @@ that makes one too many, the fullest closes.
 Pieces are dealt to tasks by a hash, and each task packs its share. Bins that
 are still open at the end hand their pieces on to the next round, which has
 fewer tasks; the last round is one task over what a fixed number of rows holds.
-So bins left half empty are as rare as in one single pass.
+So bins left half empty are as rare as in one single pass. Within a chunk that
+the open bins can hold a task takes the longest pieces first; from chunk to chunk
+it is online.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -65,14 +68,29 @@ def token_ids(text: str, path: str, ranks_path: str) -> np.ndarray:
 
     Both libraries give the same ids; they rely on Unicode tables of their own,
     so the faster one is used only for characters of Latin-1, whose classes
-    have never changed.
+    have never changed. Its pattern matching gives up on very long runs of
+    one kind, such as white space; such texts are left to the other as well.
     """
     whole, fast = _tokenizer(path, ranks_path)
+    if text.isascii() or _is_latin(text):
+        if not _LONG_RUN.search(text):
+            try:
+                return np.asarray(fast.encode_to_numpy(text, allowed_special="all"), np.uint32)
+            except ValueError:
+                pass  # its matcher's stack is full
+    return np.asarray(whole.encode(text, add_special_tokens=False).ids, np.uint32)
+
+
+# Far below what the faster library's pattern matching stands.
+_LONG_RUN = re.compile(r"\s{20000}|\w{20000}|[^\s\w]{20000}")
+
+
+def _is_latin(text: str) -> bool:
     try:
         text.encode("latin-1")
     except UnicodeEncodeError:
-        return np.asarray(whole.encode(text, add_special_tokens=False).ids, np.uint32)
-    return np.asarray(fast.encode_to_numpy(text, allowed_special="all"), np.uint32)
+        return False
+    return True
 
 
 def pieces(
@@ -179,14 +197,20 @@ class Bins:
 
 
 def _round(
-    rows: DataFrame, count: int, tasks: int, level: int, capacity: int, open_bins: int
+    rows: DataFrame,
+    count: int,
+    tasks: int,
+    level: int,
+    capacity: int,
+    open_bins: int,
+    last: bool = False,
 ) -> DataFrame:
     """One packing round; rows of bins left open have no sequence unless this is the last.
 
     A task takes its share in chunks that the open bins can hold, the longest
     pieces of a chunk first, so that short ones find the gaps that long ones left.
     """
-    last = tasks == 1
+    last = last or tasks == 1
     out = StructType(
         [*rows.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())]
     )
@@ -270,8 +294,13 @@ def pack(
             return placed
         waiting = done.where(F.col("sequence_id").isNull()).drop("sequence_id", "offset")
         before, left = left, waiting.count()
-        if left > before * 0.9:  # hardly anything fits together any more
-            pieces_per_task = left
+        if left > before * 0.9:
+            # Hardly anything fits together any more, so what a task leaves open is as good
+            # as done; it is closed in as many tasks as ever.
+            closed = materialize(
+                _round(waiting, left, tasks, level + 1, capacity, open_bins, last=True), "packed"
+            )
+            return placed.unionAll(closed)
         level += 1
 
 

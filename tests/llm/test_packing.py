@@ -2,6 +2,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -94,3 +95,25 @@ def test_both_libraries_give_the_same_ids(text):
     assert packing.token_ids(text, PATH, RANKS).tolist() == whole.encode(
         text, add_special_tokens=False
     ).ids
+
+
+@pytest.mark.parametrize("text", [" " * 1_500_000, "\n" * 1_000_000, "x" * 300_000, "-" * 400_000])
+def test_very_long_runs_have_ids(text):
+    found = packing.token_ids(text, PATH, RANKS)
+    assert found.tolist() == Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
+
+
+def test_equal_short_pieces_are_packed_in_many_tasks(spark):
+    """Nothing is left over for one task where no piece closes a bin."""
+    cut = spark.range(4000).selectExpr(
+        "id as doc_id", "id as place", "0L as piece", "0L as start", "19L as length",
+        "1L as ids_crc32",
+    )
+    found = packing.pack(cut, pieces_per_task=1000).collect()
+    assert len(found) == 4000
+    sequences = {}
+    for r in found:
+        sequences.setdefault(r.sequence_id, []).append(r.offset)
+    # 53 pieces fill a sequence; each of four tasks leaves one unfilled.
+    assert len(sequences) <= -(-4000 // 53) + 4
+    assert all(sorted(o) == [19 * i for i in range(len(o))] for o in sequences.values())
