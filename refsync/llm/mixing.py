@@ -11,7 +11,8 @@ The rank at which the words are reached is found without sorting a source:
 ranks are cut into bins that hold a few hundred documents each, words are
 summed by bin, and only the documents of the one bin in which the words are
 reached are ranked one by one. There a document that is too long for what is
-left is passed over, so that the words come out almost exactly.
+left is passed over, so that the words come out almost exactly. Equal rows share
+a rank; if only some of them fit, rows are numbered to tell which.
 
 Only built-in functions; nothing but one row per source is ever in one place.
 """
@@ -118,7 +119,8 @@ def mix_plan(
 
     ``source``, ``words``, ``target``, ``whole`` (certain copies), ``scale`` (of
     the inclusion odds), ``bins``, ``cut`` (the bin in which the words are
-    reached) and ``picks`` (keys of the documents taken in that bin).
+    reached) and ``picks`` (of the documents in that bin the ``key``, how many ``rows`` have it,
+    and how ``some`` of them are taken).
     """
     body = text_of(text)
     base = materialize(
@@ -190,14 +192,30 @@ def mix_plan(
     last = in_one_bin(ranked, cuts)
     # Two ways to meet the words: take what fits in order of rank, or take all and leave out
     # what is too much, from the last rank on. The nearer one counts.
-    total = F.aggregate("items", F.lit(0).cast("long"), lambda n, item: n + item["n"])
+    total = F.aggregate(
+        "items", F.lit(0).cast("long"), lambda n, item: n + item["n"] * item["rows"]
+    )
     taken = _fitting(F.col("items"), F.col("left"))
     left_out = _fitting(F.reverse("items"), total - F.col("left"))
     others = F.filter(
-        F.transform("items", lambda item: item["key"]),
-        lambda key: ~F.array_contains(left_out["keys"], key),
+        F.transform(
+            "items",
+            lambda item: F.struct(
+                item["key"].alias("key"),
+                (
+                    item["rows"]
+                    - F.aggregate(
+                        left_out["picks"],
+                        F.lit(0).cast("long"),
+                        lambda n, out: n + F.when(out["key"] == item["key"], out["some"]).otherwise(0),
+                    )
+                ).alias("some"),
+                item["rows"].alias("rows"),
+            ),
+        ),
+        lambda pick: pick["some"] > 0,
     )
-    nearer = F.when(F.abs(taken["gap"]) <= F.abs(left_out["gap"]), taken["keys"]).otherwise(others)
+    nearer = F.when(F.abs(taken["gap"]) <= F.abs(left_out["gap"]), taken["picks"]).otherwise(others)
     picked = last.select("source", "cut", nearer.alias("picks"))
     return materialize(
         planned.alias("p")
@@ -217,7 +235,8 @@ def in_one_bin(ranked: DataFrame, cuts: DataFrame) -> DataFrame:
         _within(ranked, cuts, "bin")
         .groupBy("source", "key")
         .agg(
-            F.sum("size").alias("n"),
+            F.min("size").alias("n"),
+            F.count(F.lit(1)).alias("rows"),
             F.min("rank").alias("rank"),
             F.first("room").alias("room"),
             F.first("before").alias("before"),
@@ -225,45 +244,63 @@ def in_one_bin(ranked: DataFrame, cuts: DataFrame) -> DataFrame:
         )
         .groupBy("source", "cut")
         .agg(
-            F.array_sort(F.collect_list(F.struct("rank", "key", "n"))).alias("items"),
+            F.array_sort(F.collect_list(F.struct("rank", "key", "n", "rows"))).alias("items"),
             (F.first("room") - F.first("before")).alias("left"),
         )
     )
 
 
+_PICKS = "array<struct<key:bigint,some:bigint,rows:bigint>>"
+
+
 def _fitting(items: Column, room: Column) -> Column:
-    """``keys`` of the items that fit into ``room`` words in their order, and the ``gap`` left.
+    """``picks`` of the items that fit into ``room`` words in their order, and the ``gap`` left.
 
-    The smallest item passed over is added if that brings the words nearer.
+    Of an item that stands for several equal rows ``some`` may fit. The smallest row
+    passed over is added if that brings the words nearer.
     """
-    nothing = F.lit(None).cast("struct<n:bigint,key:bigint>")
     start = F.struct(
         room.cast("double").alias("gap"),
-        F.array().cast("array<bigint>").alias("keys"),
-        nothing.alias("over"),
+        F.array().cast(_PICKS).alias("picks"),
+        F.lit(None).cast("struct<n:bigint,key:bigint,some:bigint,rows:bigint>").alias("over"),
     )
 
+    def pick(item: Column, some: Column) -> Column:
+        return F.struct(item["key"].alias("key"), some.alias("some"), item["rows"].alias("rows"))
+
     def step(state: Column, item: Column) -> Column:
-        fits = F.struct(
-            (state["gap"] - item["n"]).alias("gap"),
-            F.array_append(state["keys"], item["key"]).alias("keys"),
-            state["over"].alias("over"),
+        some = F.greatest(
+            F.lit(0).cast("long"),
+            F.least(item["rows"], F.floor(state["gap"] / item["n"]).cast("long")),
         )
-        this = F.struct(item["n"].alias("n"), item["key"].alias("key"))
-        passed = F.struct(
-            state["gap"].alias("gap"),
-            state["keys"].alias("keys"),
-            F.least(state["over"], this).alias("over"),
+        # One row more of this item.
+        this = F.struct(
+            item["n"].alias("n"),
+            item["key"].alias("key"),
+            (some + 1).alias("some"),
+            item["rows"].alias("rows"),
+        )
+        return F.struct(
+            (state["gap"] - some * item["n"]).alias("gap"),
+            F.when(some > 0, F.array_append(state["picks"], pick(item, some)))
+            .otherwise(state["picks"])
+            .alias("picks"),
+            F.when(some < item["rows"], F.least(state["over"], this))
+            .otherwise(state["over"])
+            .alias("over"),
         )
-        return F.when(item["n"] <= state["gap"], fits).otherwise(passed)
 
     def end(state: Column) -> Column:
+        over = state["over"]
         closed = F.struct(
-            (state["gap"] - state["over"]["n"]).alias("gap"),
-            F.array_append(state["keys"], state["over"]["key"]).alias("keys"),
+            (state["gap"] - over["n"]).alias("gap"),
+            F.array_append(
+                F.filter(state["picks"], lambda p: p["key"] != over["key"]),
+                pick(over, over["some"]),
+            ).alias("picks"),
         )
-        plain = F.struct(state["gap"].alias("gap"), state["keys"].alias("keys"))
-        return F.when(state["over"]["n"] < 2 * state["gap"], closed).otherwise(plain)
+        plain = F.struct(state["gap"].alias("gap"), state["picks"].alias("picks"))
+        return F.when(over["n"] < 2 * state["gap"], closed).otherwise(plain)
 
     return F.aggregate(items, start, step, end)
 
@@ -302,24 +339,67 @@ def with_copies(
     ).join(plan, F.col("mix_source").eqNullSafe(F.col("source")), "left")
     rank = rank_of(F.col("mix_key"), F.col("mix_size"), F.col("scale"), F.col("bins"))
     at = bin_of(rank, F.col("bins"))
-    once_more = (F.col("mix_size") > 0) & (
-        (at < F.col("cut"))
-        | ((at == F.col("cut")) & F.coalesce(F.array_contains("picks", F.col("mix_key")), F.lit(False)))
-    )
+    own = F.filter("picks", lambda p: p["key"] == F.col("mix_key"))
+    some = F.when((F.col("mix_size") > 0) & (at == F.col("cut")), F.get(own, F.lit(0)))
+    placed = sized.withColumn("mix_some", some)
+    partly = F.coalesce(F.col("mix_some")["some"] < F.col("mix_some")["rows"], F.lit(False))
+    whole = (F.col("mix_size") > 0) & ((at < F.col("cut")) | F.col("mix_some").isNotNull())
+    if plan.where(F.exists("picks", lambda p: p["some"] < p["rows"])).isEmpty():
+        found = placed.withColumn("mix_more", F.coalesce(whole, F.lit(False)))
+    else:
+        numbered = _numbered(placed.where(partly))
+        few = numbered.withColumn("mix_more", F.col("mix_number") < F.col("mix_some")["some"])
+        rest = placed.where(~partly).withColumn("mix_more", F.coalesce(whole, F.lit(False)))
+        found = rest.unionByName(few.drop("mix_number"))
     return (
-        sized.withColumn("mix_copies", F.col("whole") + F.when(once_more, 1).otherwise(0))
+        found.withColumn("mix_copies", F.col("whole") + F.when(F.col("mix_more"), 1).otherwise(0))
         .withColumn("mix_words", F.col("words"))
         .withColumn("mix_target", F.col("target"))
         .select(*(column.alias(name) for name, column in columns.items()), F.col(row))
     )
 
 
+def _numbered(equal: DataFrame) -> DataFrame:
+    """``mix_number``: from zero, for each key and source.
+
+    The rows are stored with the task that they came from. They are numbered within
+    tasks, and those of a task go on where the tasks before it end, so that a key which
+    most rows share is nowhere in one place.
+    """
+    stored = materialize(equal.withColumn("mix_task", F.spark_partition_id()), "mix-equal")
+    earlier = (
+        Window.partitionBy("mix_key", "mix_source")
+        .orderBy("mix_task")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    # One row per task and key, of a few keys a source.
+    counts = stored.groupBy("mix_key", "mix_source", "mix_task").agg(F.count(F.lit(1)).alias("n"))
+    shifts = counts.select(
+        F.col("mix_key").alias("k"),
+        F.col("mix_source").alias("s"),
+        F.col("mix_task").alias("t"),
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("mix_shift"),
+    )
+    within = Window.partitionBy("mix_key", "mix_source", "mix_task").orderBy("mix_task")
+    return (
+        stored.withColumn("mix_within", F.row_number().over(within) - 1)
+        .join(
+            shifts,
+            (F.col("mix_key") == F.col("k"))
+            & F.col("mix_source").eqNullSafe(F.col("s"))
+            & (F.col("mix_task") == F.col("t")),
+        )
+        .withColumn("mix_number", F.col("mix_shift") + F.col("mix_within"))
+        .drop("k", "s", "t", "mix_shift", "mix_within", "mix_task")
+    )
+
+
 def mixed(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """Per row: the key, ``size``, ``source_size``, ``target`` and ``taken`` words.
 
     A null text has size 0 and nothing is taken of it; null is a source like
-    any other, the last. Rows with equal key and text are taken together. Other
-    columns, whatever their names, take no part. An empty table gives an empty
+    any other, the last. Of rows with equal key and text as many are taken as fit;
+    which of them is not told apart. Other columns, whatever their names, take no part. An empty table gives an empty
     result.
     """
     named = {name: options[name] for name in ("text", "source") if name in options}

@@ -143,3 +143,23 @@ def test_mixture_repeats_whole_rows(spark, awkward):
 def test_empty_table(spark, nothing):
     assert mixing.mixed(nothing).collect() == []
     assert mixing.mixture(nothing).collect() == []
+
+
+@pytest.mark.parametrize("others", [0, 300])
+def test_equal_rows_are_taken_as_far_as_they_fit(spark, others):
+    """Rows that cannot be told apart by key or text do not come all or none."""
+    text = " ".join(["word"] * 10)
+    rows = [(1, text, "a")] * 400 + [(1000 + i, "more " * (1 + i % 30), "a") for i in range(others)]
+    rows += [(5000 + i, "other words here", "b") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    found = mixing.mixed(docs).collect()
+    assert len(found) == len(rows)
+    for source in ("a", "b"):
+        mine = [r for r in found if (r.doc_id >= 5000) == (source == "b")]
+        assert all(r.taken <= 2 * r["size"] and r.taken % r["size"] == 0 for r in mine)
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 10
+    again = mixing.mixed(docs.repartition(3)).collect()
+    assert sorted(found) == sorted(again)
+    repeated = mixing.mixture(docs)
+    assert repeated.columns == docs.columns
+    assert repeated.count() == sum(r.taken // r["size"] for r in found)
