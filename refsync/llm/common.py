@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+import hashlib
 import shutil
 import tempfile
 from collections.abc import Iterable, Iterator
@@ -105,7 +105,6 @@ _POWERS = np.cumprod(_POWERS, dtype=np.uint64)
 _INVERSE = np.full(_SPAN + 1, pow(_BASE, -1, 1 << 64), np.uint64)
 _INVERSE[0] = 1
 _INVERSE = np.cumprod(_INVERSE, dtype=np.uint64)
-_BREAK = re.compile(rb"[\x00-\x20]")
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -116,24 +115,25 @@ def mix(values: np.ndarray) -> np.ndarray:
 
 
 def _spans(raw: bytes) -> Iterator[bytes]:
-    """Cut a long text at white space, so that no word is cut."""
+    """Cut a long text between words; a span is longer than the others only for one long word."""
+    outside = np.flatnonzero(_KEPT[np.frombuffer(raw, np.uint8)] == 0)
     start = 0
     while len(raw) - start > _SPAN:
-        cut = start + _SPAN
-        found = None
-        for found in _BREAK.finditer(raw, max(start, cut - 4096), cut):
-            pass
-        if found is None:  # one very long run without white space: cut it hard
-            yield raw[start:cut]
-            start = cut
-        else:
-            yield raw[start : found.end()]
-            start = found.end()
+        # After the last byte that belongs to no word, or else where the word at hand ends.
+        last = int(np.searchsorted(outside, start + _SPAN)) - 1
+        if last < 0 or outside[last] < start:
+            last += 1
+        end = int(outside[last]) + 1 if last < len(outside) else len(raw)
+        yield raw[start:end]
+        start = end
     yield raw[start:]
 
 
 def _span_hashes(raw: bytes) -> np.ndarray:
     values = _KEPT[np.frombuffer(raw, np.uint8)]
+    if np.count_nonzero(values) > _SPAN:  # one word, of more bytes than there are powers
+        digest = hashlib.blake2b(values[values > 0].tobytes(), digest_size=8).digest()
+        return np.frombuffer(digest, np.uint64).copy()
     inside = np.empty(len(values) + 2, np.int8)
     inside[0] = inside[-1] = 0
     inside[1:-1] = values != 0
@@ -150,7 +150,7 @@ def hashed_words(text: str) -> np.ndarray:
     """64-bit hashes of a text's words, in order.
 
     A word is a run of ASCII letters and digits and of any characters beyond
-    ASCII, lower-cased. A word beyond 128 KB without white space is cut.
+    ASCII, lower-cased, however long.
     """
     raw = text.lower().encode("utf-8", "replace")
     if not raw:
