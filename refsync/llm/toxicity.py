@@ -41,6 +41,7 @@ from refsync.llm.common import (
     python_tasks,
     text_of,
 )
+from refsync.operators.joins import fits_broadcast
 
 BUCKET_BITS = 20
 BUCKETS = 1 << BUCKET_BITS
@@ -51,12 +52,6 @@ PRIOR_WORDS = 10
 LEAST_DISCOUNT = 0.75
 DEVIATIONS = 5.0
 _MASK = np.uint64(BUCKETS - 1)
-_BLOOM_FILTER = {
-    "enabled": "true",
-    "applicationSideScanSizeThreshold": "0",
-    "expectedNumItems": "4000000",
-    "numBits": "67108864",
-}
 _COUNTS = ["ordinary0", "toxic0", "ordinary1", "toxic1"]
 
 
@@ -110,13 +105,9 @@ def labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str
     """``body``, ``toxic`` and ``half`` of the rows to learn from.
 
     Folds 1 to 4 of the rows with a label. If a document's labels disagree, it
-    counts as toxic. Labels are made unique and stored first, so that a hot
-    document id is split by the re-plan.
+    counts as toxic. Labels are made unique and stored first, so that beyond a
+    broadcast a hot document id is split by the re-plan.
     """
-    # Most documents may have no label: a Bloom filter of the labelled ids, of 8 MB at most,
-    # keeps their texts out of the shuffle. Spark adds it to joins on selective sides.
-    for name, value in _BLOOM_FILTER.items():
-        docs.sparkSession.conf.set(f"spark.sql.optimizer.runtime.bloomFilter.{name}", value)
     known = materialize(
         labels.where(F.col(label).isNotNull() & F.col(key).isNotNull())
         .groupBy(F.col(key).alias("label_id"))
@@ -129,6 +120,9 @@ def labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str
         F.pmod(F.floor(F.crc32(F.col(key).cast("string")) / 5), F.lit(2)).cast("int").alias("half"),
     )
     selected = known.where(F.col("toxic").isin(0, 1))
+    # Most documents may have no label. As long as the ids fit a broadcast, no text moves.
+    if fits_broadcast(selected)[0]:
+        selected = F.broadcast(selected)
     return rows.join(selected, F.col("id") == F.col("label_id")).select("body", "toxic", "half")
 
 

@@ -79,3 +79,15 @@ def test_marked_words_decide(spark):
     found = {r.doc_id: r.predicted for r in toxicity.toxicity(docs, labels).collect()}
     wrong = [i for i, predicted in found.items() if predicted != int(i % 6 == 0)]
     assert len(wrong) <= 6
+
+
+def test_the_sessions_optimizer_is_left_alone(spark, awkward):
+    """What is set for one query would change the plans of all that follow."""
+    names = ("spark.sql.optimizer", "spark.sql.adaptive", "spark.sql.shuffle", "spark.sql.auto")
+
+    def settings():
+        return {k: v for k, v in spark.conf.getAll.items() if k.startswith(names)}
+
+    before = settings()
+    toxicity.toxicity(awkward, labels_of(spark, [(1, 1, 0, "b"), (2, 1, 1, "b")])).collect()
+    assert settings() == before
