@@ -130,7 +130,7 @@ def _entry():
 def test_queries_are_registered():
     entry = _entry()
     names = set(entry.queries())
-    assert {re.match(r"op\d+", n)[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {re.match(r"op\d+", n)[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= names
     assert set(statements()) <= set(entry.oracle_sql())
 
