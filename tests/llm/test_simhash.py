@@ -170,30 +170,61 @@ def test_every_row_near_another_label_is_touched(monkeypatch, short, square, pai
     assert (touched == near.any(axis=1)).all()
 
 
-def test_similar_links_compare_all_that_is_unconnected(spark, monkeypatch):
-    """What links two groups is neither the pair of a hub nor one of its partner."""
-    base = 0x0123456789ABCDEF
-    large, small = [base ^ (1 << bit) for bit in range(44, 49)], [base ^ bits for bits in (3, 5, 6)]
-    nodes = spark.createDataFrame([(v, v) for v in large + small], "node long, first long")
-    passes = []
-
-    def similar(pairs, *others):
-        tried = {(r.a, r.b) for r in pairs.collect()}
-        passes.append(tried)
-        wanted = [
-            p
-            for p in tried
-            if (p[0] in large) == (p[1] in large) or set(p) == {large[3], small[0]}
-        ]
-        return spark.createDataFrame(wanted, "a long, b long")
-
-    monkeypatch.setattr(simhash, "similar_pairs", similar)
-    monkeypatch.setattr(simhash, "MAX_BITS", 2)
-    found = simhash.components(simhash.similar_links(nodes, ["node"], 4, 0.8, None, 5)).collect()
-    # The groups are connected by the first pass, and the second takes their hubs only.
-    assert all((a in large) == (b in large) for a, b in passes[0])
-    assert not any(set(p) == {large[3], small[0]} for p in passes[1])
-    assert len({r.root for r in found}) == 1 and len(found) == len(large + small)
+def brute_components(texts, words=5, similarity=0.8):
+    """The smallest key of every text's component by all pairs of shingle sets."""
+    sets = {k: frozenset(simhash.shingle_hashes(t, words).tolist()) for k, t in texts.items()}
+    least = {k: k for k in sets}
+
+    def root(k):
+        while least[k] != k:
+            k = least[k]
+        return k
+
+    for a in sets:
+        for b in sets:
+            if a < b and len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]):
+                x, y = sorted((root(a), root(b)))
+                least[y] = x
+    return {k: root(k) for k in sets}
+
+
+def family(draw, size, length, edits, start):
+    """Copies of a text, each with other words in a few places: near it, less near each other."""
+    base = [f"b{start}x{i}" for i in range(length)]
+    for number in range(size):
+        text = list(base)
+        for place in draw.sample(range(length), draw.randrange(*edits)):
+            text[place] = f"e{start}x{number}x{place}"
+        yield start + number, " ".join(text)
+
+
+@pytest.mark.parametrize("rows, size", [(4096, 32 << 20), (20, 32 << 20), (4096, 20_000)])
+def test_clusters_find_every_link(spark, monkeypatch, rows, size):
+    """Groups whose members are connected only here and there equal all pairs of shingles."""
+    monkeypatch.setattr(simhash, "CLUSTER_ROWS", rows)
+    monkeypatch.setattr(simhash, "CLUSTER_BYTES", size)
+    draw = random.Random(rows + size)
+    texts = dict(family(draw, 60, 120, (1, 5), 1000))
+    texts |= dict(family(draw, 40, 300, (2, 9), 2000))
+    docs = spark.createDataFrame(sorted(texts.items()), "doc_id long, text string")
+    expected = brute_components(texts)
+    found = sorted(r.doc_id for r in simhash.one_of_each(docs, max_bits=18).collect())
+    assert 2 < len(set(expected.values())) < 90
+    assert found == sorted(set(expected.values()))
+
+
+def test_a_cluster_returns_fewer_links_than_it_has_texts():
+    draw = random.Random(8)
+    texts = list(family(draw, 300, 200, (1, 4), 0))
+    hashed = [simhash.shingle_hashes(t, 5) for _, t in texts]
+    rows = [
+        (0, i, simhash._signed([simhash.majority(h)])[0].as_py(), np.unique(h).tobytes())
+        for i, h in enumerate(hashed)
+    ]
+    assert 200 < simhash._linked(rows, 64, 0.8).num_rows < 300
+    assert simhash._linked(rows, 64, 1.01).num_rows == 0
+    same = [(0, 7, *row[2:]) for row in rows]
+    assert simhash._linked(same, 64, 0.8).num_rows == 0
 
 
 def test_a_group_of_copies_has_few_pairs():
