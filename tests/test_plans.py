@@ -5,12 +5,15 @@ from pathlib import Path
 import pytest
 from helpers import rows
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from refsync.functions.changes import watched_fields
+from refsync.operators.envelope import map_resource
 from refsync.operators.facilities import FacilityRules
 from refsync.plans.export import export_changes, export_full
 from refsync.plans.facility_import import ReferenceTables, run_import
 from refsync.plans.runs import committed_runs, read_run, run_rows
+from refsync.sinks import write_envelopes
 from refsync.sources.change_log import ChangeLog
 from refsync.sources.registry import CHANGE_LOG, RESOURCES
 from refsync.sources.schemas import DATA_CHANGES, SYNC_LOGS
@@ -98,6 +101,22 @@ def test_complete_run_is_not_written_again(spark, tmp_path):
     assert {f: f.stat().st_mtime_ns for f in Path(out).rglob("*.json")} == before
 
 
+def test_exported_files_are_compressed_and_bounded(spark, tmp_path):
+    """Names and constants repeat in every row, so whole exports would not fit a disk as they are."""
+    table = spark.range(0, 5000, numPartitions=1).selectExpr(
+        *(f"cast(id as string) as {name}" for name in SPECS[0].sources)
+    )
+    out = tmp_path / "out"
+    envelopes = map_resource(table, SPECS[0], AT)
+    assert write_envelopes(envelopes, str(out), "1", "level", rows_per_file=2000) == 5000
+    files = [f for f in out.rglob("part-*")]
+    assert len(files) == 3 and all(f.name.endswith(".json.gz") for f in files)
+    read = spark.read.json(f"{out}/run=1")
+    texts = sum(len(line[0]) + 1 for line in read.select(F.to_json(F.struct("*"))).collect())
+    assert sum(f.stat().st_size for f in files) * 4 < texts
+    assert read.count() == read.select("row_data.name").distinct().count() == 5000
+
+
 def test_latest_complete_run_is_read(spark, tmp_path):
     out, logs = str(tmp_path / "out"), str(tmp_path / "log")
     tables = source(spark, tmp_path / "in")
