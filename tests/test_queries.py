@@ -3,6 +3,7 @@ from pathlib import Path
 
 import pytest
 
+import workload.queries
 from helpers import DUCK_TYPES, duck, sorted_rows
 
 FOLDER = "/root/testdata/sf0.001"
@@ -47,3 +48,14 @@ def test_query_equals_sql(spark, con, name):
     assert sorted_rows(result.collect(), result.columns) == sorted_rows(
         cursor.fetchall(), columns
     )
+
+
+def test_logged_changes_are_written_by_all_tasks_and_are_one_batch(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(
+        workload.queries, "new_shared_path", lambda _, label: str(tmp_path / label)
+    )
+    orders = spark.read.parquet(f"{FOLDER}/orders.parquet")
+    orders.repartition(3).write.parquet(str(tmp_path / "in/orders.parquet"))
+    found = QUERIES["changelog_stream_log"](spark, str(tmp_path / "in"))
+    assert found.count() == 1
+    assert len(list((tmp_path / "log").glob("part-*"))) == 3
