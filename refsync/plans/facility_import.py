@@ -276,14 +276,16 @@ def run_import(
     part: str | None = None,
     addresses: DataFrame | None = None,
     digests: str | None = None,
+    columnar: bool = False,
 ) -> None:
     """Write ``decisions``, ``actions``, ``rejects``, ``report`` and ``metrics`` below ``out``.
 
     ``records`` are a whole delivery: what it does not mention counts as absent.
     ``part``, such as ``delivery=3``, names the partition of each table that this
-    run writes; without it the run replaces the tables. ``stage`` keeps a
-    columnar copy of the records first, which pays where they come as JSON,
-    since several results read them. ``addresses`` (``email``) are to receive
+    run writes; without it the run replaces the tables. Several results read the
+    records, so whatever they are computed from is computed once, into a columnar
+    copy; ``stage`` keeps it as the table ``records``, and ``columnar`` says that
+    they come from such a table already and need none. ``addresses`` (``email``) are to receive
     the report; ``deliveries`` then lists which page goes to whom.
 
     Decisions are written first and everything else is read back from them, so
@@ -304,7 +306,7 @@ def run_import(
     with scratch_tables(spark):
         _write_import(
             records, tables, out, rules, by_province, disable_missing, supplement, report, stage,
-            part, addresses, digests,
+            part, addresses, digests, columnar,
         )
 
 
@@ -321,6 +323,7 @@ def _write_import(
     part: str | None,
     addresses: DataFrame | None,
     digests: str | None,
+    columnar: bool,
 ) -> None:
     spark = records.sparkSession
 
@@ -330,6 +333,8 @@ def _write_import(
     if stage:
         write_rows(records, to("records"))
         records = spark.read.schema(records.schema).parquet(to("records"))
+    elif not columnar:
+        records = materialize(records, "records")
     found = enriched(records, tables, by_province)
     store, known, delivered = None, None, None
     if digests is not None:

@@ -54,7 +54,9 @@ def run_import_stream(
         return None
     # By its first batch, so that an attempt that failed halfway is replaced.
     delivery = f"delivery={covered + 1}"
-    run_import(due.drop("batch"), tables(), out, rules, part=delivery, **options)
+    run_import(
+        due.drop("batch"), tables(), out, rules, part=delivery, **{"columnar": True, **options}
+    )
     mark = spark.range(1).select(F.lit(last).cast("long").alias("last"))
     write_rows(mark, f"{out}/completed/{delivery}")
     return delivery

@@ -288,3 +288,20 @@ def test_deliveries_pair_pages_with_recipients(spark, tmp_path):
     addresses = spark.createDataFrame([("a@x",), ("b@x",)], "email string")
     run_import(import_records(spark), import_tables(spark), out, addresses=addresses)
     assert rows(spark.read.parquet(f"{out}/deliveries")) == [("a@x", 1), ("b@x", 1)]
+
+
+def test_records_are_computed_once_however_many_results_read_them(spark, tmp_path):
+    computed = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            computed.add(batch.num_rows)
+            yield batch
+
+    records = import_records(spark)
+    records = records.mapInArrow(counted, records.schema)
+    run_import(
+        records, import_tables(spark), str(tmp_path / "out"), disable_missing=True,
+        supplement=True, digests=str(tmp_path / "digests"),
+    )
+    assert computed.value == 3
