@@ -5,7 +5,8 @@ shingles. Its Hamming distances to a fixed set of reference fingerprints, the
 pivots, are computed once. By the triangle inequality two fingerprints within
 ``d`` bits differ by at most ``d`` in every one of these distances, so a pair
 whose largest difference is above ``d`` is discarded; survivors are verified
-bit by bit.
+bit by bit. For a large ``d`` most pairs would survive; there one pivot keeps
+far tiles of long runs apart, and the other pairs are verified at once.
 
 Pairs are only looked for where they can be: fingerprints are cut into
 ``d + 2`` blocks, of which ``d`` differing bits leave two untouched, so both
@@ -45,6 +46,8 @@ CHUNK = 100_000
 SHORT_RUN = 16
 SQUARE_RUN = 512
 TILE = 1024
+# Beyond so many bits the pivots let most pairs pass, so all bits are compared at once.
+PIVOT_BITS = 6
 # Shingles that stand for a text when pairs are verified first: all, if it has fewer.
 SKETCH = 400
 # Similarities estimated from sketches count if they are so far off, six deviations at
@@ -238,7 +241,9 @@ def close_pairs(
     starts = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1])
     lengths = np.diff(np.concatenate([starts, [len(keys)]]))
     left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    table = np.bitwise_count(values[:, None] ^ PIVOTS).astype(np.int8)
+    wide = max_bits > PIVOT_BITS
+    pivots = PIVOTS[:1] if wide else PIVOTS
+    table = np.bitwise_count(values[:, None] ^ pivots).astype(np.int8)
 
     def verified(a: np.ndarray, b: np.ndarray) -> None:
         near = np.bitwise_count(values[a] ^ values[b]) <= max_bits
@@ -263,7 +268,7 @@ def close_pairs(
         if not len(a):
             break
         b = a + lag
-        for pivot in range(len(PIVOTS)):
+        for pivot in range(len(pivots)):
             kept = np.abs(table[a, pivot] - table[b, pivot]) <= max_bits
             a, b = a[kept], b[kept]
         short_a.append(a)
@@ -274,7 +279,11 @@ def close_pairs(
     ):
         part = slice(start, start + length)
         run = np.ascontiguousarray(table[part].T)
-        if length <= SQUARE_RUN:
+        if length <= SQUARE_RUN and wide:
+            near = _near(values[part], values[part], max_bits)
+            a, b = np.divmod(np.flatnonzero(near), length)
+            verified(a[a < b] + start, b[a < b] + start)
+        elif length <= SQUARE_RUN:
             kept = labels[part][:, None] != labels[part]
             for line in run:
                 kept &= _within(line, line, max_bits)
@@ -296,6 +305,11 @@ def _within(rows: np.ndarray, columns: np.ndarray, max_bits: int) -> np.ndarray:
     return np.abs(rows[:, None] - columns) <= max_bits
 
 
+def _near(rows: np.ndarray, columns: np.ndarray, max_bits: int) -> np.ndarray:
+    """Whether the values differ in at most ``max_bits``, for all pairs."""
+    return np.bitwise_count(rows[:, None] ^ columns) <= max_bits
+
+
 def _long_run(
     values: np.ndarray,
     table: np.ndarray,
@@ -313,29 +327,45 @@ def _long_run(
     rows of different labels are compared until both are set.
     """
     order = np.argsort(table[0], kind="stable")
-    turned, labels = table[:, order], labels[order]
+    turned, labels, sorted_ = table[:, order], labels[order], values[order]
     count = len(order)
     roots = np.unique(labels, return_index=True, return_inverse=True)
     roots = roots[1][roots[2]]
     degree = np.zeros(count, np.int64)
     marks = None if touched is None else np.zeros(count, bool)
     left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+
+    def open_(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Of rows and columns that broadcast, the pairs which are still to be compared."""
+        kept = roots[x] != roots[y]
+        if marks is not None:
+            kept |= (labels[x] != labels[y]) & ~(marks[x] & marks[y])
+        return kept
+
     for start in range(0, count, TILE):
         rows = np.arange(start, min(start + TILE, count))
         end = int(np.searchsorted(turned[0], turned[0, rows[-1]] + max_bits, "right"))
         for other in range(start, end, TILE):
             columns = np.arange(other, min(other + TILE, end))
-            kept = roots[rows][:, None] != roots[columns]
-            if marks is not None:
-                kept |= (labels[rows][:, None] != labels[columns]) & ~(
-                    marks[rows][:, None] & marks[columns]
-                )
-            for line in turned:
-                kept &= _within(line[rows], line[columns], max_bits)
-            x, y = np.nonzero(kept)
-            x, y = rows[x], columns[y]
-            near = np.bitwise_count(values[order[x]] ^ values[order[y]]) <= max_bits
-            x, y = x[near], y[near]
+            if max_bits > PIVOT_BITS:
+                kept = _near(sorted_[rows], sorted_[columns], max_bits)
+                # Most often next to none are near; of copies nearly all are, but connected.
+                many = np.count_nonzero(kept) > TILE
+                if many:
+                    kept &= open_(rows[:, None], columns)
+                x, y = np.divmod(np.flatnonzero(kept), len(columns))
+                x, y = rows[x], columns[y]
+                if not many:
+                    still = open_(x, y)
+                    x, y = x[still], y[still]
+            else:
+                kept = open_(rows[:, None], columns)
+                for line in turned:
+                    kept &= _within(line[rows], line[columns], max_bits)
+                x, y = np.nonzero(kept)
+                x, y = rows[x], columns[y]
+                near = np.bitwise_count(sorted_[x] ^ sorted_[y]) <= max_bits
+                x, y = x[near], y[near]
             if words is not None:
                 apart = np.bitwise_count(words[:, order[x]] ^ words[:, order[y]]).sum(axis=0)
                 x, y = x[apart <= total_bits], y[apart <= total_bits]
@@ -418,12 +448,35 @@ def links(
                         [pa.array(keys), *others], ["key", *fields]
                     )
 
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The keys of many nodes with their number of rows, as buckets are far fewer than rows."""
+
+        def report(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            for which, values in enumerate(np.concatenate(parts, axis=1).view(np.uint64)):
+                for keys in bucket_keys(values, max_bits, which)[tables]:
+                    found, rows = np.unique(keys, return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(found), pa.array(rows)], ["key", "rows"]
+                    )
+
+        waiting, rows = [], 0
+        for batch in batches:
+            waiting.append(np.stack([c.to_numpy().astype(np.int64) for c in batch.columns]))
+            rows += batch.num_rows
+            if rows >= CHUNK:
+                yield from report(waiting)
+                waiting, rows = [], 0
+        if rows:
+            yield from report(waiting)
+
     spread_out = nodes.select(*fields).mapInArrow(
         spread, f"key long, {kinds}"
     )
     hot = materialize(
-        spread_out.groupBy("key")
-        .count()
+        nodes.select(*columns)
+        .mapInArrow(counted, "key long, rows long")
+        .groupBy("key")
+        .agg(F.sum("rows").alias("count"))
         .where(F.col("count") > bucket)
         .select("key", F.ceil(F.col("count") * 2 / bucket).cast("int").alias("chunks")),
         "hot-buckets",

@@ -227,6 +227,68 @@ def test_a_cluster_returns_fewer_links_than_it_has_texts():
     assert simhash._linked(same, 64, 0.8).num_rows == 0
 
 
+@pytest.mark.parametrize("short, square, tile", [(16, 512, 1024), (2, 512, 7), (2, 3, 7)])
+@pytest.mark.parametrize("pairs", ["all", "few"])
+def test_wide_distances_are_compared_without_a_pass_per_pivot(
+    monkeypatch, short, square, tile, pairs
+):
+    """Pivots let most pairs within ten bits pass, at many times the cost of comparing them."""
+
+    def never(*_):
+        raise AssertionError("a pass over all pairs for one pivot")
+
+    monkeypatch.setattr(simhash, "_within", never)
+    monkeypatch.setattr(simhash, "SHORT_RUN", short)
+    monkeypatch.setattr(simhash, "SQUARE_RUN", square)
+    monkeypatch.setattr(simhash, "TILE", tile)
+    values = np.array(groups(9, 12, 12), np.uint64)
+    draw = np.random.default_rng(3)
+    keys, labels = np.sort(draw.integers(0, 4, len(values))), draw.integers(0, 5, len(values))
+    touched = np.zeros(len(values), bool)
+    a, b = simhash.close_pairs(keys, values, 10, labels, pairs, touched=touched)
+    near = (np.bitwise_count(values[:, None] ^ values) <= 10) & (keys[:, None] == keys)
+    near &= labels[:, None] != labels
+    assert near.any() and (touched == near.any(axis=1)).all()
+    found = set(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist()))
+    every = set(zip(*(x.tolist() for x in np.nonzero(np.triu(near, 1)))))
+    if pairs == "all":
+        assert found == every
+    else:
+        # Together with the labels they connect what all pairs connect.
+        least = np.unique(labels, return_index=True)[1][np.unique(labels, return_inverse=True)[1]]
+        rows, (x, y) = np.arange(len(values)), zip(*every)
+        joined = [
+            simhash.merged(rows, np.append(rows, p), np.append(least, q))
+            for p, q in ((a, b), (np.array(x), np.array(y)))
+        ]
+        assert (joined[0] == joined[1]).all()
+
+
+@pytest.mark.parametrize("chunk", [1, 10, 100_000])
+def test_hot_buckets_are_counted_over_tasks_and_batches(spark, monkeypatch, chunk):
+    """Tasks send the number of rows of a bucket, not the rows; a cut bucket links all the same."""
+    monkeypatch.setattr(simhash, "CHUNK", chunk)
+    draw = random.Random(6)
+    base = draw.getrandbits(63)
+    nodes = [(base ^ (1 << draw.randrange(20)),) for _ in range(60)]
+    nodes = spark.createDataFrame(sorted(set(nodes)), "node long").repartition(3)
+    for bucket in (5, 1000):
+        ends = simhash.links(nodes, ["node"], 4, bucket=bucket).collect()
+        linked_ = plain_groups({n.node for n in nodes.collect()}, ends)
+        assert len(linked_) == 1
+
+
+def plain_groups(names, ends):
+    """The groups that links make, by plain union."""
+    group = {name: {name} for name in names}
+    for a, b in ends:
+        if group[a] is not group[b]:
+            group[a] |= group[b]
+            for name in group[b]:
+                group[name] = group[a]
+    return {frozenset(g) for g in group.values()}
+
+
 def test_a_group_of_copies_has_few_pairs():
     draw = random.Random(4)
     base = draw.getrandbits(64)
